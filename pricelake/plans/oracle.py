@@ -110,3 +110,203 @@ FROM f1m WINDOW w AS (PARTITION BY symbol ORDER BY date)"""
 ORACLE["future_dates"] = with_(F1M) + """
 SELECT symbol, CAST(s AS INTEGER) AS step, CAST(last_date + CAST(s AS INTEGER) AS DATE) AS date
 FROM (SELECT symbol, max(date) AS last_date, unnest(range(1, 366)) AS s FROM f1m GROUP BY symbol)"""
+
+# ---------------------------------------------------------------- profile
+
+LONG_MULTI = """lv AS (
+  UNPIVOT (SELECT symbol, open, high, low, close, volume FROM clean)
+  ON open, high, low, close, volume INTO NAME "column" VALUE value)"""
+
+ORACLE["describe"] = with_(F1M, F1MU, clean_from("f1mu"), LONG_MULTI) + """
+SELECT symbol, "column", count(value) AS count, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
+       round(min(value), 6) AS min, round(quantile_cont(value, 0.25), 6) AS p25,
+       round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.75), 6) AS p75,
+       round(max(value), 6) AS max
+FROM lv GROUP BY symbol, "column\""""
+
+_CORR_COLS = ["date", "open", "high", "low", "close", "volume"]
+
+
+def _corr_sql() -> str:
+    parts = []
+    for a in _CORR_COLS:
+        for b in _CORR_COLS:
+            parts.append(
+                f"SELECT symbol, '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 6) AS r FROM cd GROUP BY symbol"
+            )
+    return "\nUNION ALL\n".join(parts)
+
+
+ORACLE["corr_matrix"] = with_(
+    F1,
+    clean_from("f1"),
+    """cd AS (SELECT symbol, CAST(date - DATE '1970-01-01' AS DOUBLE) AS date, open, high, low, close, volume FROM clean)""",
+) + _corr_sql()
+
+ORACLE["outlier_stats"] = with_(
+    F1M,
+    F1MU,
+    clean_from("f1mu"),
+    LONG_MULTI,
+    """q AS (SELECT symbol, "column", quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
+       FROM lv GROUP BY ALL),
+fz AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5::DOUBLE * (q3 - q1) AS lo_fence, q3 + 1.5::DOUBLE * (q3 - q1) AS hi_fence FROM q)""",
+) + """
+SELECT lv.symbol, lv."column", count(*) AS n,
+       count(*) FILTER (WHERE NOT (value >= lo_fence AND value <= hi_fence)) AS n_outliers,
+       round(any_value(q1), 6) AS q1, round(any_value(q3), 6) AS q3, round(any_value(iqr), 6) AS iqr,
+       round(any_value(lo_fence), 6) AS lo_fence, round(any_value(hi_fence), 6) AS hi_fence,
+       round(min(value) FILTER (WHERE value >= lo_fence AND value <= hi_fence), 6) AS whisker_lo,
+       round(max(value) FILTER (WHERE value >= lo_fence AND value <= hi_fence), 6) AS whisker_hi
+FROM lv JOIN fz USING (symbol, "column") GROUP BY lv.symbol, lv."column\""""
+
+ORACLE["histogram"] = with_(
+    F1M,
+    F1MU,
+    clean_from("f1mu"),
+    LONG_MULTI,
+    """rng AS (SELECT symbol, "column", min(value) AS lo, max(value) AS hi FROM lv GROUP BY ALL),
+bn AS (SELECT lv.symbol, lv."column",
+              CAST(CASE WHEN hi = lo THEN 1
+                        ELSE least(floor((value - lo) * CAST(50 AS DOUBLE) / (hi - lo)) + 1, 50) END AS INTEGER) AS bin
+       FROM lv JOIN rng USING (symbol, "column")),
+cnt AS (SELECT symbol, "column", bin, count(*) AS c FROM bn GROUP BY ALL),
+grid AS (SELECT symbol, "column", lo, hi, CAST(unnest(range(1, 51)) AS INTEGER) AS bin FROM rng)""",
+) + """
+SELECT g.symbol, g."column", g.bin,
+       round(lo + (g.bin - 1) * ((hi - lo) / CAST(50 AS DOUBLE)), 6) AS bin_lo,
+       round(lo + g.bin * ((hi - lo) / CAST(50 AS DOUBLE)), 6) AS bin_hi,
+       coalesce(c, 0) AS count
+FROM grid g LEFT JOIN cnt USING (symbol, "column", bin)"""
+
+# ---------------------------------------------------------------- supervised
+
+WEIGHTS = [2.0 * i / (30 * 31) for i in range(1, 31)]
+
+
+def supervised_ctes(src: str, value: str, window: int, pct: int, p: str, val_pct: int | None = None) -> str:
+    """Scale ``value`` with min/max of the training rows, cut ``window``-step
+    samples (x_00 oldest), label the split by position."""
+    lags = ",\n         ".join(f"lag(xs, {window - j}) OVER w AS x_{j:02d}" for j in range(window))
+    label = f"CASE WHEN s.idx < ns * {pct} // 100 THEN 'train' ELSE 'test' END"
+    if val_pct is not None:
+        label = (
+            f"CASE WHEN s.idx < (ns * {pct} // 100) * {100 - val_pct} // 100 THEN 'train' "
+            f"WHEN s.idx < ns * {pct} // 100 THEN 'val' ELSE 'test' END"
+        )
+    return f"""{p}_n AS (SELECT symbol, count(*) AS n_rows FROM {src} GROUP BY symbol),
+{p}_p AS (SELECT t.symbol, min({value}) AS mn, max({value}) AS mx FROM {src} t JOIN {p}_n USING (symbol)
+          WHERE t.idx < (n_rows - {window}) * {pct} // 100 + {window} GROUP BY t.symbol),
+{p}_s AS (SELECT t.*, mn, mx, CASE WHEN mx = mn THEN 0.0 ELSE ({value} - mn) / (mx - mn) END AS xs
+          FROM {src} t JOIN {p}_p USING (symbol)),
+{p}_q AS (SELECT symbol, idx - {window} AS idx, date, xs AS y,
+         {lags}
+          FROM {p}_s WINDOW w AS (PARTITION BY symbol ORDER BY idx)),
+{p}_qn AS (SELECT symbol, count(*) AS ns FROM {p}_q WHERE idx >= 0 GROUP BY symbol),
+{p}_samples AS (SELECT s.*, {label} AS split FROM {p}_q s JOIN {p}_qn USING (symbol) WHERE s.idx >= 0)"""
+
+
+def x_cols(window: int) -> str:
+    return ", ".join(f"round(x_{j:02d}, 6) AS x_{j:02d}" for j in range(window))
+
+
+SV = supervised_ctes("feat", "close", 30, 80, "sv")
+BASE = (F1, clean_from("f1"), FEATURES)
+
+ORACLE["minmax_scale"] = with_(*BASE, SV) + """
+SELECT symbol, idx, date, close, mn AS min, mx AS max, round(xs, 6) AS close_scaled FROM sv_s"""
+
+ORACLE["minmax_roundtrip"] = with_(*BASE, SV) + """
+SELECT symbol, idx, date, close, round(xs, 6) AS close_scaled, round(xs * (mx - mn) + mn, 6) AS restored FROM sv_s"""
+
+ORACLE["make_sequences"] = with_(*BASE, SV) + f"""
+SELECT symbol, idx, date, round(y, 6) AS y, split, {x_cols(30)} FROM sv_samples"""
+
+ORACLE["temporal_split"] = with_(*BASE, SV) + "SELECT symbol, idx, date, split FROM sv_samples"
+
+ORACLE["temporal_split_3way"] = with_(*BASE, supervised_ctes("feat", "close", 30, 80, "sv", val_pct=10)) + """
+SELECT symbol, idx, date, split FROM sv_samples"""
+
+ORACLE["make_sequences_60"] = with_(
+    *BASE,
+    """lr0 AS (SELECT symbol, date, CASE WHEN close / lag(close) OVER w > 0 THEN ln(close / lag(close) OVER w) END AS log_return
+        FROM feat WINDOW w AS (PARTITION BY symbol ORDER BY idx)),
+lr AS (SELECT symbol, date, log_return, CAST(row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS BIGINT) AS idx
+       FROM lr0 WHERE log_return IS NOT NULL)""",
+    supervised_ctes("lr", "log_return", 60, 80, "sv"),
+) + f"""
+SELECT symbol, idx, date, round(y, 6) AS y, split, {x_cols(60)} FROM sv_samples"""
+
+ORACLE["temporal_split_85"] = with_(F3, supervised_ctes("exti", "close", 30, 85, "sv")) + """
+SELECT symbol, idx, date, split FROM sv_samples"""
+
+ORACLE["external_series"] = with_(F3) + "SELECT symbol, idx, date, close FROM exti"
+
+ORACLE["forecast_seed"] = with_(*BASE, SV) + """
+SELECT s.symbol, s.idx - (n_rows - 30) AS pos, s.date, round(s.xs, 6) AS value
+FROM sv_s s JOIN sv_n USING (symbol) WHERE s.idx >= n_rows - 30"""
+
+DOT_X = " + ".join(f"x_{j:02d} * {WEIGHTS[j]!r}" for j in range(30))
+DOT_WIN = " + ".join(f"win[{j + 1}] * {WEIGHTS[j]!r}" for j in range(30))
+
+ORACLE["score_linear"] = with_(*BASE, SV) + f"""
+SELECT symbol, idx, date, round(y, 6) AS y, round({DOT_X}, 6) AS pred FROM sv_samples WHERE split = 'test'"""
+
+ALIGNED = f"""al AS (
+  SELECT s.symbol, s.date, s.y * (p.mx - p.mn) + p.mn AS real, ({DOT_X}) * (p.mx - p.mn) + p.mn AS pred
+  FROM sv_samples s JOIN sv_p p USING (symbol) WHERE split = 'test')"""
+
+ORACLE["align_predictions"] = with_(*BASE, SV, ALIGNED) + """
+SELECT symbol, date, round(real, 6) AS real, round(pred, 6) AS pred FROM al"""
+
+FUTURE = f"""seeds AS (
+  SELECT s.symbol, list(s.xs ORDER BY s.idx) AS win, max(s.date) AS last_date, any_value(s.mn) AS mn, any_value(s.mx) AS mx
+  FROM sv_s s JOIN sv_n USING (symbol) WHERE s.idx >= n_rows - 30 GROUP BY s.symbol),
+rec AS (
+  SELECT symbol, last_date, mn, mx, 0 AS step, win, CAST(NULL AS DOUBLE) AS pred FROM seeds
+  UNION ALL
+  SELECT symbol, last_date, mn, mx, step + 1, list_append(win[2:30], {DOT_WIN}), {DOT_WIN}
+  FROM rec WHERE step < 365),
+fut AS (SELECT symbol, CAST(step AS INTEGER) AS step, CAST(last_date + CAST(step AS INTEGER) AS DATE) AS date,
+               pred, pred * (mx - mn) + mn AS pred_usd FROM rec WHERE step > 0)"""
+
+ORACLE["recursive_forecast"] = "WITH RECURSIVE " + with_(*BASE, SV, FUTURE)[5:] + """
+SELECT symbol, step, date, round(pred, 6) AS pred, round(pred_usd, 6) AS pred_usd FROM fut"""
+
+ORACLE["forecast_timeline"] = "WITH RECURSIVE " + with_(*BASE, SV, ALIGNED, FUTURE)[5:] + """
+SELECT 'real' AS kind, symbol, date, round(close, 6) AS value FROM feat
+UNION ALL SELECT 'pred', symbol, date, round(pred, 6) FROM al
+UNION ALL SELECT 'future', symbol, date, round(pred_usd, 6) FROM fut"""
+
+# ---------------------------------------------------------------- evaluation
+
+F4 = """f4 AS (
+  SELECT * FROM (
+    SELECT 'naive' AS model, symbol, date, close AS real, lag(close) OVER w AS pred
+    FROM f1m WINDOW w AS (PARTITION BY symbol ORDER BY date)
+    UNION ALL
+    SELECT 'ma5', symbol, date, close, CASE WHEN count(close) OVER w = 5 THEN avg(close) OVER w END
+    FROM f1m WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)
+    UNION ALL
+    SELECT 'ma20', symbol, date, close, CASE WHEN count(close) OVER w = 20 THEN avg(close) OVER w END
+    FROM f1m WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING))
+  WHERE pred IS NOT NULL)"""
+
+METRICS = """count(*) AS n, avg(abs(pred - real)) AS mae, sqrt(avg((pred - real) * (pred - real))) AS rmse,
+       CASE WHEN var_pop(real) * count(*) > 0
+            THEN 1 - sum((pred - real) * (pred - real)) / (var_pop(real) * count(*)) END AS r2"""
+
+ORACLE["regression_metrics"] = with_(F1M, F4) + f"""
+SELECT model, symbol, n, round(mae, 6) AS mae, round(rmse, 6) AS rmse, round(r2, 6) AS r2
+FROM (SELECT model, symbol, {METRICS} FROM f4 GROUP BY model, symbol)"""
+
+ORACLE["leaderboard"] = with_(F1M, F4) + f"""
+SELECT model, n, mae, rmse, r2, CAST(rank() OVER (ORDER BY mae) AS INTEGER) AS rank
+FROM (SELECT model, n, round(mae, 4) AS mae, round(rmse, 4) AS rmse, round(r2, 4) AS r2
+      FROM (SELECT model, {METRICS} FROM f4 GROUP BY model))"""
+
+ORACLE["model_compare_wide"] = with_(F1M, F4) + """
+SELECT symbol, date, max(real) AS real, max(CASE WHEN model = 'naive' THEN pred END) AS naive,
+       round(max(CASE WHEN model = 'ma5' THEN pred END), 6) AS ma5,
+       round(max(CASE WHEN model = 'ma20' THEN pred END), 6) AS ma20
+FROM f4 GROUP BY symbol, date"""

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pricelake import fixtures
 from pricelake.functions.dates import format_csv_date, format_provider_date
-from pricelake.operators import evaluate, features, forecast, ordering, supervised
+from pricelake.operators import evaluate, features, forecast, ordering, profile, supervised
 from pricelake.operators.clean import series_head
 from pricelake.operators.unify import canonical, dedupe_by_date, unify_sources
 from pricelake.plans import analysis
@@ -136,6 +136,192 @@ def q_future_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.future_dates(last, fixtures.FORECAST_HORIZON).select("symbol", "step", "date")
 
 
+# ---------------------------------------------------------------- profile
+
+PROFILE_COLS = ("open", "high", "low", "close", "volume")
+
+
+def q_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _ready(spark)
+    d = profile.describe(analysis.clean_multi(spark, sf_dir), PROFILE_COLS)
+    return d.select("symbol", "column", "count", *[r6(c).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
+
+
+def q_corr_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _ready(spark)
+    c = profile.corr_matrix(analysis.clean_two_sources(spark, sf_dir), PROFILE_COLS)
+    return c.select("symbol", "col_a", "col_b", r6("r").alias("r"))
+
+
+def q_outlier_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _ready(spark)
+    o = profile.outlier_stats(analysis.clean_multi(spark, sf_dir), PROFILE_COLS)
+    return o.select(
+        "symbol", "column", "n", "n_outliers",
+        *[r6(c).alias(c) for c in ("q1", "q3", "iqr", "lo_fence", "hi_fence", "whisker_lo", "whisker_hi")],
+    )
+
+
+def q_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _ready(spark)
+    h = profile.histogram(analysis.clean_multi(spark, sf_dir), PROFILE_COLS, bins=50)
+    return h.select("symbol", "column", "bin", r6("bin_lo").alias("bin_lo"), r6("bin_hi").alias("bin_hi"), "count")
+
+
+# ---------------------------------------------------------------- supervised
+
+
+def _f1_supervised(spark: SparkSession, sf_dir: str, **kw) -> analysis.Supervised:
+    feat = analysis.feature_table(analysis.clean_two_sources(spark, sf_dir))
+    return analysis.supervised(feat, "close", W, **kw)
+
+
+def _x_columns(window: int) -> list[Column]:
+    return [r6(F.col("X")[j]).alias(f"x_{j:02d}") for j in range(window)]
+
+
+def q_minmax_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 + X4, scaler fitted on the training rows only (fit_on='train')."""
+    _ready(spark)
+    sv = _f1_supervised(spark, sf_dir)
+    return sv.scaled.join(sv.params, "symbol").select(
+        "symbol", "idx", "date", "close", "min", "max", r6("close_scaled").alias("close_scaled")
+    )
+
+
+def q_minmax_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 + X5: scale then map back with the broadcast-joined parameters."""
+    _ready(spark)
+    sv = _f1_supervised(spark, sf_dir)
+    back = supervised.apply_minmax(sv.scaled, sv.params, "close_scaled", "restored", inverse=True)
+    return back.select("symbol", "idx", "date", "close", r6("close_scaled").alias("close_scaled"), r6("restored").alias("restored"))
+
+
+def q_make_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _ready(spark)
+    s = _f1_supervised(spark, sf_dir).samples
+    return s.select("symbol", "idx", "date", r6("y").alias("y"), "split", *_x_columns(W))
+
+
+def q_make_sequences_60(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """60-step samples of scaled log returns."""
+    _ready(spark)
+    feat = analysis.feature_table(analysis.clean_two_sources(spark, sf_dir))
+    lr = features.log_return(feat, "close").filter(F.col("log_return").isNotNull()).drop("idx")
+    lr = ordering.series_index(lr)
+    sv = analysis.supervised(lr, "log_return", 60)
+    return sv.samples.select("symbol", "idx", "date", r6("y").alias("y"), "split", *_x_columns(60))
+
+
+def q_temporal_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _ready(spark)
+    return _f1_supervised(spark, sf_dir).samples.select("symbol", "idx", "date", "split")
+
+
+def q_temporal_split_3way(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _ready(spark)
+    return _f1_supervised(spark, sf_dir, val_pct_of_train=10).samples.select("symbol", "idx", "date", "split")
+
+
+def _ext_supervised(spark: SparkSession, sf_dir: str) -> analysis.Supervised:
+    return analysis.supervised(analysis.external_series(spark, sf_dir), "close", W, train_pct=85)
+
+
+def q_temporal_split_85(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _ready(spark)
+    return _ext_supervised(spark, sf_dir).samples.select("symbol", "idx", "date", "split")
+
+
+def q_external_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S21 + P10: external table -> (symbol, date, close) sorted and indexed."""
+    _ready(spark)
+    return analysis.external_series(spark, sf_dir).select("symbol", "idx", "date", "close")
+
+
+def q_forecast_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _ready(spark)
+    sv = _f1_supervised(spark, sf_dir)
+    seed = supervised.forecast_seed(sv.scaled, "close_scaled", W)
+    return seed.select("symbol", "pos", "date", r6("value").alias("value"))
+
+
+# ---------------------------------------------------------------- scoring / forecast
+
+
+def _test_scores(spark: SparkSession, sf_dir: str):
+    sv = _f1_supervised(spark, sf_dir)
+    test = sv.samples.filter(F.col("split") == "test")
+    scored = forecast.score_linear(test, fixtures.linear_weights(W))
+    return sv, scored
+
+
+def q_score_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _ready(spark)
+    _, scored = _test_scores(spark, sf_dir)
+    return scored.select("symbol", "idx", "date", r6("y").alias("y"), r6("pred").alias("pred"))
+
+
+def _aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positional predictions (symbol, idx, pred) joined back to dated test
+    samples, both mapped back to price units."""
+    sv, scored = _test_scores(spark, sf_dir)
+    positional = scored.select("symbol", "idx", "pred")
+    dated = sv.samples.filter(F.col("split") == "test").select("symbol", "idx", "date", "y")
+    a = evaluate.align_by_position(dated, positional)
+    a = supervised.apply_minmax(a, sv.params, "y", "real", inverse=True)
+    return supervised.apply_minmax(a, sv.params, "pred", "pred_usd", inverse=True)
+
+
+def q_align_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _ready(spark)
+    a = _aligned(spark, sf_dir)
+    return a.select("symbol", "date", r6("real").alias("real"), r6("pred_usd").alias("pred"))
+
+
+def _future(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sv = _f1_supervised(spark, sf_dir)
+    seeds = supervised.seed_arrays(supervised.forecast_seed(sv.scaled, "close_scaled", W))
+    fc = forecast.recursive_forecast(seeds, fixtures.linear_weights(W), fixtures.FORECAST_HORIZON)
+    return forecast.forecast_in_units(fc, sv.params)
+
+
+def q_recursive_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4 + M5: 365-step recursive forecast with given weights, dated and in price units."""
+    _ready(spark)
+    return _future(spark, sf_dir).select("symbol", "step", "date", r6("pred").alias("pred"), r6("pred_usd").alias("pred_usd"))
+
+
+def q_forecast_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6: real, predicted (test) and future values on one axis."""
+    _ready(spark)
+    feat = analysis.feature_table(analysis.clean_two_sources(spark, sf_dir))
+    real = feat.select("symbol", "date", F.col("close").alias("value"))
+    pred = _aligned(spark, sf_dir).select("symbol", "date", F.col("pred_usd").alias("value"))
+    fut = _future(spark, sf_dir).select("symbol", "date", F.col("pred_usd").alias("value"))
+    return forecast.timeline(real, pred, fut).select("kind", "symbol", "date", r6("value").alias("value"))
+
+
+# ---------------------------------------------------------------- evaluation
+
+
+def q_regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _ready(spark)
+    m = evaluate.regression_metrics(fixtures.prediction_table(spark, sf_dir), by=("model", "symbol"))
+    return m.select("model", "symbol", "n", *[r6(c).alias(c) for c in ("mae", "rmse", "r2")])
+
+
+def q_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7 + U2 + X6: all models of the long table ranked by MAE, 4 digits."""
+    _ready(spark)
+    return evaluate.leaderboard(fixtures.prediction_table(spark, sf_dir))
+
+
+def q_model_compare_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _ready(spark)
+    w = evaluate.compare_wide(fixtures.prediction_table(spark, sf_dir), ["naive", "ma5", "ma20"])
+    return w.select("symbol", "date", "real", "naive", r6("ma5").alias("ma5"), r6("ma20").alias("ma20"))
+
+
 QUERIES = {
     "features": q_features,
     "unify_sources": q_unify_sources,
@@ -147,4 +333,24 @@ QUERIES = {
     "rolling_mean": q_rolling_mean,
     "log_return": q_log_return,
     "future_dates": q_future_dates,
+    "describe": q_describe,
+    "corr_matrix": q_corr_matrix,
+    "outlier_stats": q_outlier_stats,
+    "histogram": q_histogram,
+    "minmax_scale": q_minmax_scale,
+    "minmax_roundtrip": q_minmax_roundtrip,
+    "make_sequences": q_make_sequences,
+    "make_sequences_60": q_make_sequences_60,
+    "temporal_split": q_temporal_split,
+    "temporal_split_3way": q_temporal_split_3way,
+    "temporal_split_85": q_temporal_split_85,
+    "external_series": q_external_series,
+    "forecast_seed": q_forecast_seed,
+    "score_linear": q_score_linear,
+    "align_predictions": q_align_predictions,
+    "recursive_forecast": q_recursive_forecast,
+    "forecast_timeline": q_forecast_timeline,
+    "regression_metrics": q_regression_metrics,
+    "leaderboard": q_leaderboard,
+    "model_compare_wide": q_model_compare_wide,
 }
