@@ -109,3 +109,78 @@ def expected_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
         .select("topic", (F.col("n") + F.when(F.col("topic") == TOPIC_PROVIDER, 10).otherwise(0)).alias("expected"))
     )
+
+
+def _q(c):
+    """JSON string literal of a text column (the fixture texts need no escaping)."""
+    return F.concat(F.lit('"'), c, F.lit('"'))
+
+
+def _kv(key, value):
+    return F.concat(_q(F.lit(key) if isinstance(key, str) else key), F.lit(":"), value)
+
+
+def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """every F1 row rendered as the JSON message its producer would send,
+    with faults injected by day of year (``f = dayofyear % 23``):
+
+    f=1 truncated JSON; f=2 unknown keys; f=3 packed text with 5 parts;
+    f=4 non-numeric close; f=5 explicit null high (empty part when packed);
+    f=6 missing low (a short packed text); f=7 NaN volume.
+    CSV rows use the packed one-key layout when ``day % 5 = 0``.
+    Columns: ``topic, key, value`` (as a message source delivers them).
+    """
+    from pricelake.plans.ingest import TOPIC_CSV, TOPIC_PROVIDER
+
+    f1 = two_sources(spark, sf_dir)
+    f = F.dayofyear("date") % 23
+    packed = F.dayofmonth("date") % 5 == 0
+    num = {c: F.col(c).cast("string") for c in ("open", "high", "low", "close", "volume")}
+    csv_date = F.date_format("date", "yyyy.MM.dd HH:mm")
+    prov_date = F.date_format("date", "yyyy-MM-dd HH:mm:ss")
+    tail_csv = [_kv("source", _q(F.lit("csv"))), _kv("ingested_at", _q(F.col("ingested_at")))]
+
+    regular = F.concat_ws(
+        ",",
+        _kv(F.when(f == 2, F.lit("fecha")).otherwise(F.lit("date")), _q(csv_date)),
+        _kv("open", num["open"]),
+        _kv("high", F.when(f == 5, F.lit("null")).otherwise(num["high"])),
+        F.when(f != 6, _kv("low", num["low"])),
+        _kv("close", F.when(f == 4, F.lit('"n/a"')).otherwise(num["close"])),
+        _kv("volume", F.when(f == 7, F.lit("NaN")).otherwise(num["volume"])),
+        *tail_csv,
+    )
+    packed_text = F.concat_ws(
+        ";",
+        csv_date,
+        num["open"],
+        F.when(f == 5, F.lit("")).otherwise(num["high"]),
+        F.when(f != 6, num["low"]),
+        F.when(f == 4, F.lit("n/a")).otherwise(num["close"]),
+        F.when(f == 3, F.lit(None)).when(f == 7, F.lit("NaN")).otherwise(num["volume"]),
+    )
+    packed_key = F.when(f == 2, F.lit("date,open,high,low,close,volume")).otherwise(F.lit("date;open;high;low;close;volume"))
+    packed_msg = F.concat_ws(",", _kv(packed_key, _q(packed_text)), *tail_csv)
+
+    t = F.col("symbol")
+    provider = F.concat_ws(
+        ",",
+        _kv(F.when(f == 2, F.lit("Fecha")).otherwise(F.lit("Date")), _q(prov_date)),
+        _kv(F.concat(F.lit("Open_"), t), num["open"]),
+        _kv(F.concat(F.lit("High_"), t), F.when(f == 5, F.lit("null")).otherwise(num["high"])),
+        F.when(f != 6, _kv(F.concat(F.lit("Low_"), t), num["low"])),
+        _kv(F.concat(F.lit("Close_"), t), F.when(f == 4, F.lit('"n/a"')).otherwise(num["close"])),
+        _kv(F.concat(F.lit("Volume_"), t), F.when(f == 7, F.lit("NaN")).otherwise(num["volume"])),
+        _kv("source", _q(F.lit("yfinance"))),
+        _kv("ticker", _q(t)),
+        _kv("ingested_at", _q(F.col("ingested_at"))),
+    )
+    is_csv = F.col("source") == "csv"
+    body = F.when(is_csv & packed, packed_msg).when(is_csv, regular).otherwise(provider)
+    text = F.concat(F.lit("{"), body, F.lit("}"))
+    text = F.when(f == 1, F.substring(text, F.lit(1), (F.length(text) / 2).cast("int"))).otherwise(text)
+    return f1.select(
+        F.when(is_csv, F.lit(TOPIC_CSV)).otherwise(F.lit(TOPIC_PROVIDER)).alias("topic"),
+        F.col("source").alias("key"),
+        text.alias("value"),
+    )

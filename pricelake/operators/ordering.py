@@ -69,8 +69,12 @@ def series_index(
     offs = offsets if offsets is not None else bucket_offsets(df, keys, order_col, b)
     d = df.withColumn("_bkt", b)
     rn = F.row_number().over(Window.partitionBy(*keys, "_bkt").orderBy(order_col))
+    # A left join: every bucket has an offset, and an inner join would add a
+    # "_bkt IS NOT NULL" filter to this side only, which stops Spark from
+    # reusing the upstream shuffle that both sides share (the upstream would
+    # then be computed twice).
     return (
-        d.join(offs.select(*keys, "_bkt", "_off"), [*keys, "_bkt"])
+        d.join(offs.select(*keys, "_bkt", "_off"), [*keys, "_bkt"], "left")
         .withColumn(idx_col, F.col("_off") + rn - F.lit(1))
         .drop("_bkt", "_off")
     )
@@ -93,8 +97,10 @@ def with_lookback(
     c = max(int(block_rows), int(k), 1)
     idx = F.col(idx_col)
     blk = F.floor(idx / F.lit(c)).cast("long")
-    blocks = F.when((idx % F.lit(c)) >= F.lit(c - k), F.array(blk, blk + F.lit(1))) if k > 0 else None
-    blocks = blocks.otherwise(F.array(blk)) if blocks is not None else F.array(blk)
+    if k > 0:
+        blocks = F.when((idx % F.lit(c)) >= F.lit(c - k), F.array(blk, blk + F.lit(1))).otherwise(F.array(blk))
+    else:
+        blocks = F.array(blk)
     expanded = df.select("*", F.posexplode(blocks).alias("_halo", "_blk"))
     w = Window.partitionBy(*keys, "_blk").orderBy(idx_col)
     out = build(expanded, w)

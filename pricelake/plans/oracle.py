@@ -310,3 +310,115 @@ SELECT symbol, date, max(real) AS real, max(CASE WHEN model = 'naive' THEN pred
        round(max(CASE WHEN model = 'ma5' THEN pred END), 6) AS ma5,
        round(max(CASE WHEN model = 'ma20' THEN pred END), 6) AS ma20
 FROM f4 GROUP BY symbol, date"""
+
+# ---------------------------------------------------------------- messages, normalisation
+
+NORM = """msg AS (
+  SELECT f1.*, dayofyear(date) % 23 AS f, dayofmonth(date) % 5 = 0 AS packed,
+         CASE WHEN source = 'csv' THEN 'prices_csv' ELSE 'prices_provider' END AS topic
+  FROM f1),
+nr AS (
+  SELECT *, CASE
+      WHEN f = 1 THEN 'malformed_json'
+      WHEN source = 'csv' AND f = 2 THEN 'unknown_format'
+      WHEN source = 'csv' AND packed AND f IN (3, 6) THEN 'bad_arity'
+      WHEN source = 'csv' AND packed AND f IN (4, 5) THEN 'bad_number'
+      WHEN source = 'csv' AND f = 4 THEN 'bad_number'
+      WHEN source = 'csv' AND f = 5 THEN 'null_value'
+      WHEN source <> 'csv' AND f = 2 THEN 'bad_date'
+      WHEN source <> 'csv' AND f = 4 THEN 'bad_number' END AS reject_reason
+  FROM msg),
+norm AS (
+  SELECT topic,
+         CASE WHEN reject_reason IS NULL THEN symbol END AS symbol,
+         CASE WHEN reject_reason IS NULL THEN date END AS date,
+         CASE WHEN reject_reason IS NULL THEN open END AS open,
+         CASE WHEN reject_reason IS NULL THEN CASE WHEN source <> 'csv' AND f = 5 THEN 0.0::DOUBLE ELSE high END END AS high,
+         CASE WHEN reject_reason IS NULL THEN CASE WHEN f = 6 THEN 0.0::DOUBLE ELSE low END END AS low,
+         CASE WHEN reject_reason IS NULL THEN close END AS close,
+         CASE WHEN reject_reason IS NULL THEN CASE WHEN f = 7 THEN 'NaN'::DOUBLE ELSE volume END END AS volume,
+         CASE WHEN reject_reason IS NULL THEN source END AS source,
+         CASE WHEN reject_reason IS NULL THEN ingested_at END AS ingested_at,
+         reject_reason
+  FROM nr)"""
+
+ORACLE["normalize_csv"] = with_(F1, NORM) + "SELECT * FROM norm WHERE topic = 'prices_csv'"
+ORACLE["normalize_provider"] = with_(F1, NORM) + "SELECT * FROM norm WHERE topic = 'prices_provider'"
+ORACLE["quarantine"] = with_(F1, NORM) + """
+SELECT topic, coalesce(reject_reason, 'ok') AS outcome, count(*) AS n FROM norm GROUP BY ALL"""
+
+_NORM_TYPES = [
+    ("topic", "string"), ("symbol", "string"), ("date", "date"), ("open", "double"), ("high", "double"),
+    ("low", "double"), ("close", "double"), ("volume", "double"), ("source", "string"),
+    ("ingested_at", "string"), ("reject_reason", "string"),
+]
+
+
+def _null_counts_sql() -> str:
+    parts = []
+    for c, t in _NORM_TYPES:
+        miss = f"{c} IS NULL OR isnan({c})" if t == "double" else f"{c} IS NULL"
+        parts.append(
+            f"SELECT '{c}' AS \"column\", '{t}' AS dtype, count(*) - count(*) FILTER (WHERE {miss}) AS non_null, "
+            f"count(*) FILTER (WHERE {miss}) AS missing, count(*) AS rows FROM norm"
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
+ORACLE["null_counts"] = with_(F1, NORM) + _null_counts_sql()
+
+ORACLE["publish_messages"] = with_(F1, NORM) + "SELECT * FROM norm"
+ORACLE["stream_land"] = with_(F1, NORM) + "SELECT * FROM norm"
+ORACLE["raw_scan"] = with_(F1, NORM) + "SELECT topic, count(*) AS n FROM msg GROUP BY topic"
+ORACLE["stream_topic_counts"] = ORACLE["raw_scan"]
+ORACLE["reconcile_counts"] = with_(F1, NORM) + """
+SELECT topic, n AS landed, e AS expected,
+       CASE WHEN n = e THEN 'ok' WHEN n < e THEN 'short' ELSE 'over' END AS status
+FROM (SELECT topic, count(*) AS n, count(*) + CASE WHEN topic = 'prices_provider' THEN 10 ELSE 0 END AS e
+      FROM msg GROUP BY topic)"""
+
+ORACLE["parse_dates"] = with_(F1M) + """
+SELECT symbol,
+       CASE dayofyear(date) % 3 WHEN 0 THEN strftime(date, '%Y.%m.%d %H:%M')
+                                WHEN 1 THEN strftime(date, '%Y-%m-%d %H:%M:%S')
+                                ELSE strftime(date, '%Y/%m/%d') END AS date_text,
+       CASE WHEN dayofyear(date) % 3 < 2 THEN date END AS date
+FROM f1m"""
+
+ORACLE["records_to_json"] = with_(F1) + """
+SELECT source AS key, symbol, strftime(date, '%Y-%m-%d %H:%M:%S') AS date, open, high, low, close, volume,
+       source, ingested_at FROM f1"""
+
+ORACLE["stamp_provenance"] = with_(F1M) + f"""
+SELECT *, 'yfinance' AS source, symbol AS ticker, {INGESTED} AS ingested_at FROM f1m"""
+
+ORACLE["string_normalize"] = with_(F1M) + """
+SELECT symbol, replace(lower(trim(symbol)), ' ', '_') AS label, 'Close_' || symbol AS close_key, count(*) AS n_rows
+FROM f1m GROUP BY symbol"""
+
+_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+_FIELDS = [("open", "Open"), ("high", "High"), ("low", "Low"), ("close", "Close"), ("volume", "Volume")]
+
+ORACLE["flatten_provider"] = with_(F1M) + "SELECT date AS \"Date\", " + ", ".join(
+    f"max(CASE WHEN symbol = '{t}' THEN {f} END) AS \"{n}_{t}\"" for t in _PRIORITIES for f, n in _FIELDS
+) + " FROM f1m GROUP BY date"
+
+ORACLE["provider_slice"] = with_(F1M) + f"SELECT * FROM f1m WHERE symbol = '1-URGENT' AND date >= {FROM_DATE}"
+
+# ---------------------------------------------------------------- sources and sinks
+
+ORACLE["src_csv"] = with_(F1) + """
+SELECT date, open, high, low, close, volume, CAST(NULL AS VARCHAR) AS _corrupt_record FROM f1 WHERE source = 'csv'"""
+
+ORACLE["parquet_publish"] = with_(F1M, F1MU) + "SELECT * FROM f1mu"
+
+ORACLE["export_json"] = with_(F1, clean_from("f1")) + "SELECT * FROM clean"
+
+ORACLE["predictions_csv"] = with_(F1M, F4) + "SELECT model, symbol, date, real, round(pred, 6) AS pred FROM f4"
+
+ORACLE["supervised_store"] = with_(*BASE, SV) + """
+SELECT s.symbol, s.idx, s.date, round(s.y, 6) AS y, s.split, p.mn AS min, p.mx AS max
+FROM sv_samples s JOIN sv_p p USING (symbol) WHERE split = 'test'"""
+
+ORACLE["doc_roundtrip"] = with_(F1) + """
+SELECT symbol, date, open, high, low, close, volume, source, 'GC=F' AS ticker, ingested_at FROM f1 WHERE source = 'yfinance'"""

@@ -13,12 +13,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake import fixtures
-from pricelake.functions.dates import format_csv_date, format_provider_date
-from pricelake.operators import evaluate, features, forecast, ordering, profile, supervised
+from pricelake.functions.dates import format_csv_date, format_provider_date, parse_date
+from pricelake.functions.strings import flatten_label, normalize_label
+from pricelake.operators import evaluate, features, forecast, normalize, ordering, profile, reshape, supervised
 from pricelake.operators.clean import series_head
 from pricelake.operators.unify import canonical, dedupe_by_date, unify_sources
-from pricelake.plans import analysis
-from pricelake.session import configure
+from pricelake.plans import analysis, ingest
+from pricelake.schemas import PREDICTIONS
+from pricelake.session import configure, scratch_path
+from pricelake.sources import documents, files, messages
+from pricelake.streaming import land
 
 W = fixtures.SEQ_WINDOW
 
@@ -322,6 +326,261 @@ def q_model_compare_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.select("symbol", "date", "real", "naive", r6("ma5").alias("ma5"), r6("ma20").alias("ma20"))
 
 
+# ---------------------------------------------------------------- messages, normalisation
+
+
+def _normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.normalized(fixtures.raw_messages(spark, sf_dir), fixtures.SINGLE_SYMBOL)
+
+
+def q_normalize_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 + X8 + X9: CSV-producer messages (packed / regular / unknown)."""
+    _ready(spark)
+    m = fixtures.raw_messages(spark, sf_dir).filter(F.col("topic") == ingest.TOPIC_CSV)
+    return normalize.normalize_csv(m, fixtures.SINGLE_SYMBOL).drop("raw")
+
+
+def q_normalize_provider(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 + X13: provider messages with ticker-suffixed keys."""
+    _ready(spark)
+    m = fixtures.raw_messages(spark, sf_dir).filter(F.col("topic") == ingest.TOPIC_PROVIDER)
+    return normalize.normalize_provider(m).drop("raw")
+
+
+def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3 + G4: outcome counts per topic (good rows and each reject reason)."""
+    _ready(spark)
+    return normalize.reject_counts(_normalized(spark, sf_dir))
+
+
+def q_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 + A4 over the normalised messages (NULLs from rejects, NaN volumes)."""
+    _ready(spark)
+    return profile.null_counts(_normalized(spark, sf_dir).drop("raw"))
+
+
+def q_parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates in both source layouts and one unknown layout (-> NULL)."""
+    _ready(spark)
+    m = fixtures.multi_symbol(spark, sf_dir)
+    k = F.dayofyear("date") % 3
+    text = (
+        F.when(k == 0, format_csv_date("date"))
+        .when(k == 1, format_provider_date("date"))
+        .otherwise(F.date_format("date", "yyyy/MM/dd"))
+    )
+    return m.select("symbol", text.alias("date_text")).select("symbol", "date_text", parse_date("date_text").alias("date"))
+
+
+def q_records_to_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 + X10: records -> JSON-safe messages -> parsed back with a schema."""
+    _ready(spark)
+    f1 = fixtures.two_sources(spark, sf_dir)
+    msgs = messages.to_messages(f1, "records", F.col("source"))
+    schema = "symbol string, date string, open double, high double, low double, close double, volume double, source string, ingested_at string"
+    return messages.parse_records(msgs, schema, keep=("key",))
+
+
+def q_stamp_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 + X11: source, ticker and one ingestion time per load (a parameter,
+    so a re-run is reproducible)."""
+    _ready(spark)
+    m = fixtures.multi_symbol(spark, sf_dir)
+    return m.select(
+        "*",
+        F.lit("yfinance").alias("source"),
+        F.col("symbol").alias("ticker"),
+        F.lit(fixtures.FIXED_INGESTED_AT).alias("ingested_at"),
+    )
+
+
+def q_string_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X7 + S2: label normalisation and two-level label flattening, per symbol."""
+    _ready(spark)
+    m = fixtures.multi_symbol(spark, sf_dir)
+    return m.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_rows")).select(
+        "symbol",
+        normalize_label("symbol").alias("label"),
+        flatten_label(F.lit("Close"), F.col("symbol")).alias("close_key"),
+        "n_rows",
+    )
+
+
+def q_flatten_provider(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: long multi-ticker frame -> flat ``Field_TICKER`` columns per date."""
+    _ready(spark)
+    return reshape.flatten(fixtures.multi_symbol(spark, sf_dir), PRIORITIES)
+
+
+def q_provider_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 + S5: one ticker from a start date (filters reach the scan)."""
+    _ready(spark)
+    m = fixtures.multi_symbol(spark, sf_dir)
+    return m.filter((F.col("symbol") == "1-URGENT") & (F.col("date") >= F.to_date(F.lit(fixtures.FROM_DATE))))
+
+
+# ---------------------------------------------------------------- sources and sinks (round trips)
+
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+def q_src_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S2: semicolon CSV with a header, read back with a declared schema."""
+    _ready(spark)
+    f1 = fixtures.two_sources(spark, sf_dir).filter(F.col("source") == "csv")
+    path = scratch_path(spark, "csv")
+    out = f1.select(
+        format_csv_date("date").alias("Date"),
+        *[F.col(c).alias(c.capitalize()) for c in ("open", "high", "low", "close", "volume")],
+    )
+    files.write_price_csv(out, path)
+    back = files.read_price_csv(spark, path)
+    return back.select(
+        parse_date("date").alias("date"), "open", "high", "low", "close", "volume", "_corrupt_record"
+    )
+
+
+def q_parquet_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S16 + S17 + S23: publish partitioned by symbol (dynamic overwrite), read back."""
+    _ready(spark)
+    path = scratch_path(spark, "published")
+    files.publish_parquet(fixtures.multi_symbol_unified(spark, sf_dir), path)
+    files.publish_parquet(fixtures.multi_symbol_unified(spark, sf_dir), path)  # a re-run replaces, never appends
+    return files.read_published(spark, path)
+
+
+def q_export_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S18 + S19: JSON records (nulls kept) and back with a declared schema."""
+    _ready(spark)
+    path = scratch_path(spark, "export")
+    files.export_json(analysis.clean_two_sources(spark, sf_dir), path)
+    schema = "symbol string, date date, open double, high double, low double, close double, volume double, idx long"
+    return files.read_json_records(spark, path, schema)
+
+
+def q_predictions_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long prediction table to CSV and back."""
+    _ready(spark)
+    path = scratch_path(spark, "predictions")
+    files.write_predictions_csv(fixtures.prediction_table(spark, sf_dir), path)
+    back = files.read_predictions_csv(spark, path, PREDICTIONS)
+    return back.select("model", "symbol", "date", "real", r6("pred").alias("pred"))
+
+
+def q_supervised_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples by split + scaler table persisted; the test split read back."""
+    _ready(spark)
+    sv = _f1_supervised(spark, sf_dir)
+    path = scratch_path(spark, "supervised")
+    files.write_supervised(sv.samples, sv.params, path)
+    test, params = files.read_supervised(spark, path, "test")
+    return test.join(params, "symbol").select("symbol", "idx", "date", r6("y").alias("y"), "split", "min", "max")
+
+
+def q_doc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S14 + S15 with the file stand-in for the document store."""
+    _ready(spark)
+    path = scratch_path(spark, "documents")
+    docs = fixtures.two_sources(spark, sf_dir).filter(F.col("source") == "yfinance").withColumn("ticker", F.lit("GC=F"))
+    documents.write_documents(docs, fmt="json", path=path)
+    schema = "symbol string, date date, open double, high double, low double, close double, volume double, source string, ticker string, ingested_at string"
+    return documents.read_documents(spark, schema, fmt="json", path=path)
+
+
+# ---------------------------------------------------------------- streaming
+
+
+def _publish_fixture(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "topics")
+    messages.publish(fixtures.raw_messages(spark, sf_dir), fmt="json", path=path)
+    return path
+
+
+def q_publish_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 + S9 (batch): publish keyed JSON messages, read both topics back, normalise."""
+    _ready(spark)
+    path = _publish_fixture(spark, sf_dir)
+    back = messages.read_topics(spark, [ingest.TOPIC_CSV, ingest.TOPIC_PROVIDER], fmt="json", path=path)
+    return ingest.normalized(back, fixtures.SINGLE_SYMBOL).drop("raw")
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    src = _publish_fixture(spark, sf_dir)
+    raw = scratch_path(spark, "raw")
+    stream = land.message_stream(spark, [ingest.TOPIC_CSV, ingest.TOPIC_PROVIDER], fmt="json", path=src)
+    land.land(stream, raw, scratch_path(spark, "ckpt-land"))
+    return raw
+
+
+def q_stream_land(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 + S10 + G5: availableNow stream lands every message once; the raw
+    zone normalises to the same rows as the batch read."""
+    _ready(spark)
+    raw = messages.read_raw_zone(spark, _landed(spark, sf_dir))
+    return ingest.normalized(raw, fixtures.SINGLE_SYMBOL).drop("raw")
+
+
+def q_raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S11 + A11: every landed record, counted per topic."""
+    _ready(spark)
+    raw = messages.read_raw_zone(spark, _landed(spark, sf_dir))
+    return raw.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_stream_topic_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running per-topic counts from a stateful streaming aggregate."""
+    _ready(spark)
+    src = _publish_fixture(spark, sf_dir)
+    out = scratch_path(spark, "topic-counts")
+    stream = land.message_stream(spark, [ingest.TOPIC_CSV, ingest.TOPIC_PROVIDER], fmt="json", path=src)
+    land.topic_counts(stream, out, scratch_path(spark, "ckpt-counts"))
+    return spark.read.parquet(out)
+
+
+def q_reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed counts vs expected counts per topic -> ok / short / over."""
+    _ready(spark)
+    raw = messages.read_raw_zone(spark, _landed(spark, sf_dir))
+    landed = raw.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+    return land.reconcile(landed, fixtures.expected_counts(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- ML (rows-only checks)
+
+
+def q_ml_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 + X14: sample arrays as ML feature vectors."""
+    _ready(spark)
+    s = _f1_supervised(spark, sf_dir).samples
+    return forecast.ml_frame(s).select("symbol", "idx", "date", "split", "features", "label")
+
+
+def q_fit_lag_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 + M3 + M7: fit a linear lag model on train, score test, rank it
+    against the given-weights model and the naive baseline."""
+    _ready(spark)
+    sv = _f1_supervised(spark, sf_dir)
+    frame = forecast.ml_frame(sv.samples)
+    model = forecast.fit_lag_model(frame.filter(F.col("split") == "train"))
+    test = frame.filter(F.col("split") == "test")
+    fitted = forecast.score_model(model, test, "linear_fit")
+    given = forecast.score_linear(test, fixtures.linear_weights(W)).select(
+        F.lit("linear_given").alias("model"), "symbol", "date", F.col("y").alias("real"), "pred"
+    )
+    naive = test.select(
+        F.lit("naive").alias("model"), "symbol", "date", F.col("y").alias("real"), F.element_at("X", -1).alias("pred")
+    )
+    return evaluate.leaderboard(fitted.unionByName(given).unionByName(naive))
+
+
+def q_refit_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8: before/after adding the external series at lower weight."""
+    _ready(spark)
+    own = _f1_supervised(spark, sf_dir).samples
+    ext = _ext_supervised(spark, sf_dir).samples
+    return forecast.refit_compare(own, ext, external_weight=0.1)
+
+
 QUERIES = {
     "features": q_features,
     "unify_sources": q_unify_sources,
@@ -353,4 +612,28 @@ QUERIES = {
     "regression_metrics": q_regression_metrics,
     "leaderboard": q_leaderboard,
     "model_compare_wide": q_model_compare_wide,
+    "normalize_csv": q_normalize_csv,
+    "normalize_provider": q_normalize_provider,
+    "quarantine": q_quarantine,
+    "null_counts": q_null_counts,
+    "parse_dates": q_parse_dates,
+    "records_to_json": q_records_to_json,
+    "stamp_provenance": q_stamp_provenance,
+    "string_normalize": q_string_normalize,
+    "flatten_provider": q_flatten_provider,
+    "provider_slice": q_provider_slice,
+    "src_csv": q_src_csv,
+    "parquet_publish": q_parquet_publish,
+    "export_json": q_export_json,
+    "predictions_csv": q_predictions_csv,
+    "supervised_store": q_supervised_store,
+    "doc_roundtrip": q_doc_roundtrip,
+    "publish_messages": q_publish_messages,
+    "stream_land": q_stream_land,
+    "raw_scan": q_raw_scan,
+    "stream_topic_counts": q_stream_topic_counts,
+    "reconcile_counts": q_reconcile_counts,
+    "ml_frame": q_ml_frame,
+    "fit_lag_model": q_fit_lag_model,
+    "refit_compare": q_refit_compare,
 }
