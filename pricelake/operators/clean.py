@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.operators.ordering import series_index
+from pricelake.operators.ordering import partition_by_bucket, series_index
 from pricelake.operators.unify import DEFAULT_PRIORITY, dedupe_by_date
 
 
@@ -37,12 +37,18 @@ def clean_series(
     bad disappears), then the from-date filter, then the positional index.
     The filter only touches ``date``, a grouping key of the dedupe, so
     Catalyst moves it below the aggregate towards the scan.
+
+    Rows are shuffled once, by ``(symbol, month)``: the dedupe (keyed by
+    ``(symbol, month, date)``), the bucket counts and the row numbers all
+    reuse that partitioning. Duplicates of a date come from different
+    sources, which rarely share a map partition, so a map-side combine
+    before this shuffle would save little.
     """
-    d = dedupe_by_date(unified, keys=(*keys, "date"), priority=priority)
+    d = partition_by_bucket(from_date(unified, start), keys, "date")
+    d = dedupe_by_date(d, keys=(*keys, "_bkt", "date"), priority=priority)
     d = drop_columns(d, "ingested_at", "source")
     d = d.dropna(how="any")
-    d = from_date(d, start)
-    return series_index(d, keys=keys, order_col="date") if index else d
+    return series_index(d, keys=keys, order_col="date") if index else d.drop("_bkt")
 
 
 def series_head(indexed: DataFrame, n: int = 5, idx_col: str = "idx") -> DataFrame:

@@ -41,7 +41,7 @@ def bucket_offsets(
     The result has one row per series and bucket (e.g. per symbol and month),
     so the running sum is a window over a table that is tiny next to the data.
     """
-    b = bucket if bucket is not None else month_bucket(order_col)
+    b = F.col("_bkt") if "_bkt" in df.columns else (bucket if bucket is not None else month_bucket(order_col))
     counts = df.select(*keys, b.alias("_bkt")).groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long"))
@@ -63,11 +63,11 @@ def series_index(
     """Add a dense 0-based position ``idx_col`` per series, ordered by ``order_col``.
 
     ``(keys, order_col)`` must be unique (dedupe first), otherwise ties are
-    broken arbitrarily, as ``row_number`` would.
+    broken arbitrarily, as ``row_number`` would. A ``_bkt`` column already on
+    ``df`` (e.g. from ``partition_by_bucket``) is used as the bucket.
     """
-    b = bucket if bucket is not None else month_bucket(order_col)
-    offs = offsets if offsets is not None else bucket_offsets(df, keys, order_col, b)
-    d = df.withColumn("_bkt", b)
+    d = df if "_bkt" in df.columns else df.withColumn("_bkt", bucket if bucket is not None else month_bucket(order_col))
+    offs = offsets if offsets is not None else bucket_offsets(d, keys, order_col)
     rn = F.row_number().over(Window.partitionBy(*keys, "_bkt").orderBy(order_col))
     # A left join: every bucket has an offset, and an inner join would add a
     # "_bkt IS NOT NULL" filter to this side only, which stops Spark from
@@ -80,6 +80,16 @@ def series_index(
     )
 
 
+def partition_by_bucket(df: DataFrame, keys: Sequence[str] = ("symbol",), order_col: str = "date") -> DataFrame:
+    """Hash-partition rows by ``(keys, month bucket)`` and keep ``_bkt``.
+
+    One exchange then serves everything keyed by a finer key that contains
+    it: a dedupe on ``(symbol, _bkt, date)``, the bucket counts and the
+    row numbers of ``series_index``. A hot symbol still spreads over its months.
+    """
+    return df.withColumn("_bkt", month_bucket(order_col)).repartition(*keys, "_bkt")
+
+
 def with_lookback(
     df: DataFrame,
     build: Callable[[DataFrame, WindowSpec], DataFrame],

@@ -11,6 +11,7 @@ from pricelake import fixtures
 from pricelake.operators.clean import clean_series
 from pricelake.operators.features import features
 from pricelake.operators.supervised import apply_minmax, fit_minmax, make_sequences, temporal_split
+from pricelake.session import materialize
 
 
 @dataclass
@@ -41,8 +42,16 @@ def supervised(
     train_pct: int = 80,
     fit_on: str = "train",
     val_pct_of_train: int | None = None,
+    persist: bool = True,
 ) -> Supervised:
-    """Scale ``value_col`` per symbol, cut ``window``-step samples, label splits."""
+    """Scale ``value_col`` per symbol, cut ``window``-step samples, label splits.
+
+    The input fans out into four branches (row counts, scaler fit, scaled
+    values, split counts); with ``persist`` it is written once to the shared
+    checkpoint folder first, so the upstream plan runs once, not four times.
+    """
+    if persist:
+        series = materialize(series, "series")
     params = fit_minmax(series, value_col, fit_on=fit_on, window=window, train_pct=train_pct)
     scaled_col = f"{value_col}_scaled"
     scaled = apply_minmax(series, params, value_col, scaled_col)

@@ -252,8 +252,8 @@ def q_forecast_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- scoring / forecast
 
 
-def _test_scores(spark: SparkSession, sf_dir: str):
-    sv = _f1_supervised(spark, sf_dir)
+def _test_scores(spark: SparkSession, sf_dir: str, sv: analysis.Supervised | None = None):
+    sv = sv or _f1_supervised(spark, sf_dir)
     test = sv.samples.filter(F.col("split") == "test")
     scored = forecast.score_linear(test, fixtures.linear_weights(W))
     return sv, scored
@@ -265,10 +265,10 @@ def q_score_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("symbol", "idx", "date", r6("y").alias("y"), r6("pred").alias("pred"))
 
 
-def _aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _aligned(spark: SparkSession, sf_dir: str, sv: analysis.Supervised | None = None) -> DataFrame:
     """Positional predictions (symbol, idx, pred) joined back to dated test
     samples, both mapped back to price units."""
-    sv, scored = _test_scores(spark, sf_dir)
+    sv, scored = _test_scores(spark, sf_dir, sv)
     positional = scored.select("symbol", "idx", "pred")
     dated = sv.samples.filter(F.col("split") == "test").select("symbol", "idx", "date", "y")
     a = evaluate.align_by_position(dated, positional)
@@ -282,8 +282,8 @@ def q_align_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.select("symbol", "date", r6("real").alias("real"), r6("pred_usd").alias("pred"))
 
 
-def _future(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sv = _f1_supervised(spark, sf_dir)
+def _future(spark: SparkSession, sf_dir: str, sv: analysis.Supervised | None = None) -> DataFrame:
+    sv = sv or _f1_supervised(spark, sf_dir)
     seeds = supervised.seed_arrays(supervised.forecast_seed(sv.scaled, "close_scaled", W))
     fc = forecast.recursive_forecast(seeds, fixtures.linear_weights(W), fixtures.FORECAST_HORIZON)
     return forecast.forecast_in_units(fc, sv.params)
@@ -298,10 +298,10 @@ def q_recursive_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_forecast_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M6: real, predicted (test) and future values on one axis."""
     _ready(spark)
-    feat = analysis.feature_table(analysis.clean_two_sources(spark, sf_dir))
-    real = feat.select("symbol", "date", F.col("close").alias("value"))
-    pred = _aligned(spark, sf_dir).select("symbol", "date", F.col("pred_usd").alias("value"))
-    fut = _future(spark, sf_dir).select("symbol", "date", F.col("pred_usd").alias("value"))
+    sv = _f1_supervised(spark, sf_dir)
+    real = sv.scaled.select("symbol", "date", F.col("close").alias("value"))
+    pred = _aligned(spark, sf_dir, sv).select("symbol", "date", F.col("pred_usd").alias("value"))
+    fut = _future(spark, sf_dir, sv).select("symbol", "date", F.col("pred_usd").alias("value"))
     return forecast.timeline(real, pred, fut).select("kind", "symbol", "date", r6("value").alias("value"))
 
 
