@@ -12,11 +12,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricelake.functions.numeric import is_missing
+from pricelake.session import materialize
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -25,42 +26,132 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC) and f.name not in exclude]
 
 
-def long_values(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("symbol",)) -> DataFrame:
-    """``(keys, column, value DOUBLE)`` without missing values."""
+def long_values(
+    df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("symbol",), persist: bool = False
+) -> DataFrame:
+    """``(keys, column, value DOUBLE)`` without missing values.
+
+    With ``persist`` the result is written once to the shared checkpoint
+    folder, for statistics that read it in several branches (otherwise every
+    branch would recompute the upstream plan)."""
     d = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
-    return d.unpivot(list(keys), list(columns), "column", "value").filter(~is_missing("value", T.DoubleType()))
+    v = d.unpivot(list(keys), list(columns), "column", "value").filter(~is_missing("value", T.DoubleType()))
+    return materialize(v, "long-values") if persist else v
 
 
-def _quantile(value: str, p: float, exact: bool, accuracy: int):
-    if exact:
-        return F.percentile(value, F.lit(p))
-    return F.percentile_approx(value, F.lit(p), F.lit(accuracy))
+def exact_quantiles(
+    v: DataFrame,
+    group: Sequence[str],
+    probs: Sequence[tuple[str, float]],
+    value: str = "value",
+    bins: int = 4096,
+) -> DataFrame:
+    """Exact quantiles (linear interpolation between the order statistics at
+    floor and ceil of p*(n-1), as pandas and SQL ``quantile_cont``) without
+    sending a whole group to one task.
+
+    1. count/min/max per group; each value gets an equal-width bin of its group;
+    2. distinct values with multiplicities per (group, bin) -- map-side combined;
+    3. a running count over the (at most ``bins``) bins of each group locates
+       the bin holding each target rank;
+    4. only the distinct values of those bins are ranked to pick the value.
+    A task therefore holds at most ``bins`` rows per group, or the distinct
+    values of one bin -- never the group. Returns ``(group, <name>...)``.
+    """
+    g = list(group)
+    x = F.col(value)
+    st = v.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.min(x).alias("_lo"), F.max(x).alias("_hi"))
+    lo, hi = F.col("_lo"), F.col("_hi")
+    b = F.when(hi == lo, F.lit(0)).otherwise(
+        F.least(F.floor((x - lo) * F.lit(float(bins)) / (hi - lo)), F.lit(bins - 1))
+    ).cast("int")
+    # _n is constant per group, so carrying it as a grouping key costs nothing
+    # and saves joining the group stats back later.
+    dv = v.join(st, g).groupBy(*g, "_n", b.alias("_b"), x.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    bc = dv.groupBy(*g, "_n", "_b").agg(F.sum("_c").alias("_bc"))
+    before = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    bc = bc.withColumn("_start", F.coalesce(F.sum("_bc").over(before), F.lit(0)).cast("long"))
+    n1 = (F.col("_n") - F.lit(1)).cast("double")
+    targets = F.array(
+        *[
+            F.struct(F.lit(name).alias("q"), F.lit(side).alias("side"), fn(F.lit(float(p)) * n1).cast("long").alias("k"))
+            for name, p in probs
+            for side, fn in (("lo", F.floor), ("hi", F.ceil))
+        ]
+    )
+    hit = lambda t: (t["k"] >= F.col("_start")) & (t["k"] < F.col("_start") + F.col("_bc"))
+    in_bin = bc.select(*g, "_b", "_start", F.filter(targets, hit).alias("_t")).filter(F.size("_t") > 0)
+    within = Window.partitionBy(*g, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = dv.join(in_bin, [*g, "_b"]).withColumn("_vs", F.col("_start") + F.coalesce(F.sum("_c").over(within), F.lit(0)))
+    at = lambda t: (t["k"] >= F.col("_vs")) & (t["k"] < F.col("_vs") + F.col("_c"))
+    picked = ranked.select(*g, "_n", "_v", F.explode(F.filter("_t", at)).alias("_t"))
+    sides = picked.groupBy(*g, "_n").agg(
+        *[
+            F.max(F.when((F.col("_t.q") == name) & (F.col("_t.side") == side), F.col("_v"))).alias(f"{name}_{side}")
+            for name, _ in probs
+            for side in ("lo", "hi")
+        ]
+    )
+    frac = {name: F.lit(float(p)) * n1 - F.floor(F.lit(float(p)) * n1) for name, p in probs}
+    return sides.select(
+        *g,
+        *[(F.col(f"{n}_lo") + (F.col(f"{n}_hi") - F.col(f"{n}_lo")) * frac[n]).alias(n) for n, _ in probs],
+    )
+
+
+# Largest group (in values) whose exact quantiles may be computed inside one
+# task by Spark's built-in ``percentile`` (it keeps a value -> count map).
+IN_TASK_LIMIT = 2_000_000
+
+
+def quantiles(
+    v: DataFrame,
+    group: Sequence[str],
+    probs: Sequence[tuple[str, float]],
+    method: str = "exact",
+    accuracy: int = 10000,
+    in_task_limit: int = IN_TASK_LIMIT,
+) -> DataFrame:
+    """``(group, <name>...)`` quantiles of ``value``.
+
+    ``exact``: one small aggregate measures the largest group; groups proven
+    to be at most ``in_task_limit`` values use the built-in in-task
+    ``percentile``, otherwise the distributed ``exact_quantiles`` runs. Both
+    give the same exact answer. ``approx``: ``percentile_approx``, one pass.
+    """
+    if method == "approx":
+        return v.groupBy(*group).agg(*[F.percentile_approx("value", F.lit(p), F.lit(accuracy)).alias(n) for n, p in probs])
+    if method != "exact":
+        raise ValueError(f"method must be 'exact' or 'approx', not {method!r}")
+    biggest = v.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if biggest <= in_task_limit:
+        return v.groupBy(*group).agg(*[F.percentile("value", F.lit(p)).alias(n) for n, p in probs])
+    return exact_quantiles(v, group, probs)
 
 
 def describe(
     df: DataFrame,
     columns: Sequence[str] | None = None,
     keys: Sequence[str] = ("symbol",),
-    exact: bool = True,
-    accuracy: int = 10000,
+    method: str = "exact",
 ) -> DataFrame:
     """count, mean, std (sample), min, 25/50/75 % (linear interpolation), max.
 
-    ``exact=False`` switches the quantiles to ``percentile_approx`` (bounded
-    memory per group) for very large groups.
+    Moments come from one algebraic aggregate; quantiles from ``quantiles``
+    (exact and distributed by default, ``method='approx'`` for one pass).
     """
     columns = list(columns) if columns is not None else numeric_columns(df, keys)
-    v = long_values(df, columns, keys)
-    return v.groupBy(*keys, "column").agg(
+    v = long_values(df, columns, keys, persist=True)
+    g = [*keys, "column"]
+    moments = v.groupBy(*g).agg(
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
-        _quantile("value", 0.25, exact, accuracy).alias("p25"),
-        _quantile("value", 0.5, exact, accuracy).alias("p50"),
-        _quantile("value", 0.75, exact, accuracy).alias("p75"),
         F.max("value").alias("max"),
     )
+    q = quantiles(v, g, (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)), method)
+    return moments.join(q, g).select(*g, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -114,8 +205,7 @@ def outlier_stats(
     columns: Sequence[str],
     keys: Sequence[str] = ("symbol",),
     whisker: float = 1.5,
-    exact: bool = True,
-    accuracy: int = 10000,
+    method: str = "exact",
 ) -> DataFrame:
     """Box-plot numbers per series and column: quartiles, IQR fences, the most
     extreme values inside the fences (whisker ends) and the outlier count.
@@ -124,11 +214,9 @@ def outlier_stats(
     Two passes: quartiles per group (a table of #series x #columns rows that
     Spark broadcasts if small enough), then one aggregate against the fences.
     """
-    v = long_values(df, columns, keys)
+    v = long_values(df, columns, keys, persist=True)
     g = [*keys, "column"]
-    q = v.groupBy(*g).agg(
-        _quantile("value", 0.25, exact, accuracy).alias("q1"), _quantile("value", 0.75, exact, accuracy).alias("q3")
-    )
+    q = quantiles(v, g, (("q1", 0.25), ("q3", 0.75)), method)
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     q = q.withColumn("lo_fence", F.col("q1") - F.lit(whisker) * F.col("iqr")).withColumn(
         "hi_fence", F.col("q3") + F.lit(whisker) * F.col("iqr")
@@ -152,7 +240,7 @@ def histogram(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("sym
     min/max per group -> bin number per row -> grouped count; the bin grid
     is generated from the small per-group table, not a cross join.
     """
-    v = long_values(df, columns, keys)
+    v = long_values(df, columns, keys, persist=True)
     g = [*keys, "column"]
     rng = v.groupBy(*g).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     x, lo, hi = F.col("value"), F.col("lo"), F.col("hi")

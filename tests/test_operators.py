@@ -159,3 +159,18 @@ def test_reconcile_statuses(spark):
     expected = spark.createDataFrame([("a", 5), ("b", 4), ("c", 2), ("d", 1)], "topic string, expected long")
     got = {r.topic: r.status for r in reconcile(landed, expected).collect()}
     assert got == {"a": "ok", "b": "short", "c": "over", "d": "short"}
+
+
+def test_distributed_quantiles_equal_in_task(spark):
+    import random
+
+    rnd = random.Random(7)
+    rows = [("A", "c", float(rnd.randint(0, 50))) for _ in range(500)] + [("B", "c", rnd.random()) for _ in range(301)]
+    rows += [("C", "c", 4.0)] * 9
+    v = spark.createDataFrame(rows, "symbol string, column string, value double")
+    probs = (("p25", 0.25), ("p50", 0.5), ("p75", 0.75), ("p0", 0.0), ("p100", 1.0))
+    dist = {r.symbol: r for r in profile.exact_quantiles(v, ["symbol", "column"], probs, bins=8).collect()}
+    in_task = {r.symbol: r for r in profile.quantiles(v, ["symbol", "column"], probs).collect()}
+    for s in "ABC":
+        for n, _ in probs:
+            assert math.isclose(dist[s][n], in_task[s][n], rel_tol=1e-12, abs_tol=1e-12), (s, n)
