@@ -35,6 +35,7 @@ def fit_minmax(
     window: int = 30,
     train_pct: int = 80,
     idx_col: str = "idx",
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Fit per-series min/max.
 
@@ -44,7 +45,7 @@ def fit_minmax(
     """
     rows = df
     if fit_on == "train":
-        n = series_counts(df, keys, "_N")
+        n = counts.withColumnRenamed("n", "_N") if counts is not None else series_counts(df, keys, "_N")
         cut = train_cut(F.col("_N") - F.lit(window), train_pct) + F.lit(window)
         rows = df.join(n, list(keys)).filter(F.col(idx_col) < cut)
     elif fit_on != "all":
@@ -102,11 +103,16 @@ def temporal_split(
     val_pct_of_train: int | None = None,
     keys: Sequence[str] = ("symbol",),
     idx_col: str = "idx",
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Label samples ``train`` / ``test`` by position: the first
     floor(n * pct / 100) of each series train. With ``val_pct_of_train``, the
-    last part of train becomes ``val`` (train if idx < floor(n_train*(100-v)/100))."""
-    n = series_counts(samples, keys, "_n")
+    last part of train becomes ``val`` (train if idx < floor(n_train*(100-v)/100)).
+
+    ``counts`` ``(keys, n)`` may give the samples per series when the caller
+    knows them (N - window for a series without NULLs), sparing a second
+    evaluation of the sample plan just to count it."""
+    n = counts.withColumnRenamed("n", "_n") if counts is not None else series_counts(samples, keys, "_n")
     n_train = train_cut(F.col("_n"), train_pct)
     idx = F.col(idx_col)
     label = F.when(idx < n_train, F.lit("train")).otherwise(F.lit("test"))

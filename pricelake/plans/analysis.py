@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pricelake import fixtures
 from pricelake.operators.clean import clean_series
 from pricelake.operators.features import features
-from pricelake.operators.supervised import apply_minmax, fit_minmax, make_sequences, temporal_split
+from pricelake.operators.supervised import apply_minmax, fit_minmax, make_sequences, series_counts, temporal_split
 from pricelake.session import materialize
 
 
@@ -52,11 +52,15 @@ def supervised(
     """
     if persist:
         series = materialize(series, "series")
-    params = fit_minmax(series, value_col, fit_on=fit_on, window=window, train_pct=train_pct)
+    # Rows per symbol, computed once: the scaler fit needs N, the split needs
+    # the N - window samples (exact: ``value_col`` has no NULLs here).
+    n_rows = series_counts(series)
+    params = fit_minmax(series, value_col, fit_on=fit_on, window=window, train_pct=train_pct, counts=n_rows)
     scaled_col = f"{value_col}_scaled"
     scaled = apply_minmax(series, params, value_col, scaled_col)
     samples = make_sequences(scaled, scaled_col, window)
-    samples = temporal_split(samples, train_pct, val_pct_of_train)
+    n_samples = n_rows.select("symbol", (F.col("n") - F.lit(window)).alias("n"))
+    samples = temporal_split(samples, train_pct, val_pct_of_train, counts=n_samples)
     return Supervised(samples=samples, params=params, scaled=scaled)
 
 
