@@ -1 +1 @@
-"""Composed plans: the reference's end-to-end flows as single lazy Spark plans."""
+"""Composed plans: the end-to-end flows (ingest, analysis) as single lazy Spark plans."""
