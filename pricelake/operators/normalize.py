@@ -45,30 +45,14 @@ def _number(text: Column) -> Column:
     return F.btrim(F.trim(text), F.lit('"')).try_cast("double")
 
 
-def _finish(d: DataFrame, reason: Column, symbol: Column, date_text: Column, values: dict, source: Column, ingested: Column) -> DataFrame:
-    date = parse_date(date_text)
-    reason = F.when(reason.isNull() & date.isNull(), F.lit(BAD_DATE)).otherwise(reason)
-    d = d.withColumn("reject_reason", reason)
-    ok = F.col("reject_reason").isNull()
-    cols = {"symbol": symbol, "date": date, **values, "source": source, "ingested_at": ingested}
-    return d.select(
-        "topic",
-        *[F.when(ok, c).alias(name) for name, c in cols.items()],
-        "reject_reason",
-        F.col("value").alias("raw"),
-    )
-
-
-def normalize_csv(messages: DataFrame, symbol: str) -> DataFrame:
-    """CSV-producer messages: (a) one packed key split on ';' into exactly 6
-    parts, (b) regular keys where a missing key means 0.0 but an explicit
-    null or a non-number rejects the row, (c) anything else is unknown."""
-    m = F.col("_m")
-    d = messages.withColumn("_m", parse_map(F.col("value")))
+def _csv_fields(m: Column, symbol: str) -> dict:
+    """Column expressions of the CSV-producer layouts: (a) one packed key split
+    on ';' into exactly 6 parts, (b) regular keys where a missing key means 0.0
+    but an explicit null or a non-number rejects the row, (c) anything else is
+    unknown."""
     has_packed = F.map_contains_key(m, F.lit(PACKED_KEY))
     has_date = F.map_contains_key(m, F.lit("date"))
     parts = F.split(_get(m, PACKED_KEY), ";", -1)
-
     packed_vals = {f: _number(F.get(parts, i + 1)) for i, f in enumerate(PRICE_FIELDS)}
     packed_bad = F.exists(F.slice(parts, 2, 5), lambda p: _number(p).isNull())
 
@@ -89,16 +73,20 @@ def normalize_csv(messages: DataFrame, symbol: str) -> DataFrame:
         .when(regular_null, F.lit(NULL_VALUE))
         .when(regular_bad, F.lit(BAD_NUMBER))
     ).cast("string")
-    date_text = F.when(has_packed, F.get(parts, 0)).otherwise(_get(m, "date"))
-    values = {f: F.when(has_packed, packed_vals[f]).otherwise(regular_vals[f]) for f in PRICE_FIELDS}
-    return _finish(d, reason, F.lit(symbol), date_text, values, _get(m, "source"), _get(m, "ingested_at"))
-
-
-def normalize_provider(messages: DataFrame, default_ticker: str | None = None) -> DataFrame:
-    """Provider messages with ticker-suffixed keys (``Open_<ticker>``): missing,
-    null, empty or zero values become 0.0, NaN is kept, a non-number rejects."""
-    m = F.col("_m")
-    d = messages.withColumn("_m", parse_map(F.col("value")))
+    return {
+        "_reason": reason,
+        "symbol": F.lit(symbol),
+        "_date_text": F.when(has_packed, F.get(parts, 0)).otherwise(_get(m, "date")),
+        **{f: F.when(has_packed, packed_vals[f]).otherwise(regular_vals[f]) for f in PRICE_FIELDS},
+        "source": _get(m, "source"),
+        "ingested_at": _get(m, "ingested_at"),
+    }
+
+
+def _provider_fields(m: Column, default_ticker: str | None) -> dict:
+    """Column expressions of the provider layout with ticker-suffixed keys
+    (``Open_<ticker>``): missing, null, empty or zero values become 0.0, NaN
+    is kept, a non-number rejects the row."""
     ticker = F.coalesce(_get(m, "ticker"), F.lit(default_ticker))
     values, bad = {}, F.lit(False)
     for f in PRICE_FIELDS:
@@ -106,15 +94,52 @@ def normalize_provider(messages: DataFrame, default_ticker: str | None = None) -
         empty = raw.isNull() | (F.btrim(raw, F.lit('"')) == F.lit(""))
         values[f] = F.when(empty, F.lit(0.0)).otherwise(_number(raw))
         bad = bad | (~empty & _number(raw).isNull())
-    reason = F.when(m.isNull(), F.lit(MALFORMED)).when(bad, F.lit(BAD_NUMBER)).cast("string")
-    return _finish(d, reason, ticker, _get(m, PROVIDER_DATE_KEY), values, _get(m, "source"), _get(m, "ingested_at"))
+    return {
+        "_reason": F.when(m.isNull(), F.lit(MALFORMED)).when(bad, F.lit(BAD_NUMBER)).cast("string"),
+        "symbol": ticker,
+        "_date_text": _get(m, PROVIDER_DATE_KEY),
+        **values,
+        "source": _get(m, "source"),
+        "ingested_at": _get(m, "ingested_at"),
+    }
+
+
+def _finish(parsed: DataFrame, fields: dict) -> DataFrame:
+    """Parse the date, add the date reject, NULL every value of a rejected row."""
+    d = parsed.select("topic", "value", *[c.alias(n) for n, c in fields.items()])
+    date = parse_date(F.col("_date_text"))
+    reason = F.when(F.col("_reason").isNull() & date.isNull(), F.lit(BAD_DATE)).otherwise(F.col("_reason"))
+    d = d.withColumn("date", date).withColumn("reject_reason", reason)
+    ok = F.col("reject_reason").isNull()
+    kept = ("symbol", "date", *PRICE_FIELDS, "source", "ingested_at")
+    return d.select("topic", *[F.when(ok, F.col(c)).alias(c) for c in kept], "reject_reason", F.col("value").alias("raw"))
+
+
+def _parsed(messages: DataFrame) -> DataFrame:
+    return messages.withColumn("_m", parse_map(F.col("value")))
+
+
+def normalize_csv(messages: DataFrame, symbol: str) -> DataFrame:
+    """CSV-producer messages (see ``_csv_fields``) -> normalised rows."""
+    return _finish(_parsed(messages), _csv_fields(F.col("_m"), symbol))
+
+
+def normalize_provider(messages: DataFrame, default_ticker: str | None = None) -> DataFrame:
+    """Provider messages (see ``_provider_fields``) -> normalised rows."""
+    return _finish(_parsed(messages), _provider_fields(F.col("_m"), default_ticker))
 
 
 def normalize_messages(messages: DataFrame, csv_topics: list[str], provider_topics: list[str], symbol: str) -> DataFrame:
-    """Route by topic and normalise both layouts into one table."""
-    csv = normalize_csv(messages.filter(F.col("topic").isin(csv_topics)), symbol)
-    prov = normalize_provider(messages.filter(F.col("topic").isin(provider_topics)), symbol)
-    return csv.unionByName(prov)
+    """Both layouts in one pass: each message is parsed once and routed by
+    topic inside the projection (no second scan of the source, which a
+    broker source could not prune by topic). Messages of other topics are
+    left out."""
+    m = F.col("_m")
+    is_csv = F.col("topic").isin(csv_topics)
+    csv, prov = _csv_fields(m, symbol), _provider_fields(m, symbol)
+    fields = {n: F.when(is_csv, csv[n]).otherwise(prov[n]) for n in csv}
+    routed = _parsed(messages.filter(F.col("topic").isin([*csv_topics, *provider_topics])))
+    return _finish(routed, fields)
 
 
 def good_rows(normalized: DataFrame) -> DataFrame:
