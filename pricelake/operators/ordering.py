@@ -64,15 +64,21 @@ def series_index(
 
     ``(keys, order_col)`` must be unique (dedupe first), otherwise ties are
     broken arbitrarily, as ``row_number`` would. A ``_bkt`` column already on
-    ``df`` (e.g. from ``partition_by_bucket``) is used as the bucket.
+    ``df`` (e.g. from ``partition_by_bucket``) is used as the bucket. Rows
+    with a NULL key or NULL ordering value have no position and are left out.
     """
     d = df if "_bkt" in df.columns else df.withColumn("_bkt", bucket if bucket is not None else month_bucket(order_col))
+    # Stated once for both branches: the join would otherwise infer these
+    # filters for the offsets branch only, and the two branches would no
+    # longer share their upstream shuffle (the upstream would run twice).
+    valid = F.col("_bkt").isNotNull()
+    for k in keys:
+        valid = valid & F.col(k).isNotNull()
+    d = d.filter(valid)
     offs = offsets if offsets is not None else bucket_offsets(d, keys, order_col)
     rn = F.row_number().over(Window.partitionBy(*keys, "_bkt").orderBy(order_col))
-    # A left join: every bucket has an offset, and an inner join would add a
-    # "_bkt IS NOT NULL" filter to this side only, which stops Spark from
-    # reusing the upstream shuffle that both sides share (the upstream would
-    # then be computed twice).
+    # Every bucket has an offset; a left join keeps the plan free of extra
+    # inferred filters on this side.
     return (
         d.join(offs.select(*keys, "_bkt", "_off"), [*keys, "_bkt"], "left")
         .withColumn(idx_col, F.col("_off") + rn - F.lit(1))
