@@ -48,16 +48,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the cluster (a folder every executor can
-    reach); we only pick one ourselves when it is unset, as in local tests.
+    reach). Only when it is unset, as in local tests, do we pick a folder
+    ourselves and register it with ``setCheckpointDir`` (the conf itself
+    cannot be changed on a running session).
     """
     sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="pricelake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(base)
+        return base
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(base)
-    return base
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="pricelake-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
