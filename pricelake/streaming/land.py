@@ -56,7 +56,9 @@ def message_stream(
 def land(stream: DataFrame, raw_path: str, checkpoint: str, dedupe_on: str | None = None) -> None:
     """Land every message once under ``raw_path/topic=<t>/`` and stop when
     everything available has been written. ``dedupe_on`` optionally drops
-    redelivered messages by an id column (state kept in the checkpoint)."""
+    redelivered messages by an id column; its state lives in the checkpoint
+    and grows with the number of distinct ids, so a long-running stream should
+    bound it with an event-time watermark (``dropDuplicatesWithinWatermark``)."""
     s = stream.dropDuplicates([dedupe_on]) if dedupe_on else stream
     q = (
         s.writeStream.format("json")

@@ -47,3 +47,33 @@ def test_reject_counts(spark):
     df = spark.createDataFrame([("t", "k", t) for t in texts], "topic string, key string, value string")
     got = {(r.topic, r.outcome): r.n for r in N.reject_counts(N.normalize_csv(df, "S")).collect()}
     assert got == {("t", "ok"): 1, ("t", "malformed_json"): 1}
+
+
+def test_any_text_gets_exactly_one_outcome(spark):
+    """Property: whatever the text, normalisation never raises and every
+    message is either a good row (all values typed) or carries one reason."""
+    import json
+
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    scalar = st.one_of(st.none(), st.floats(allow_nan=True, allow_infinity=False), st.integers(-10**6, 10**6), st.text(max_size=6))
+    keys = st.sampled_from(["date", "open", "high", "low", "close", "volume", "source", "fecha", N.PACKED_KEY, "Date", "Open_X", "ticker"])
+    obj = st.dictionaries(keys, scalar, max_size=8)
+    text = st.one_of(obj.map(lambda d: json.dumps(d)), st.text(max_size=30))
+
+    @settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(text, min_size=20, max_size=60))
+    def check(texts):
+        df = spark.createDataFrame([(i % 2 and "p" or "c", "k", t) for i, t in enumerate(texts)], "topic string, key string, value string")
+        rows = N.normalize_messages(df, ["c"], ["p"], "S").collect()
+        assert len(rows) == len(texts)
+        for r in rows:
+            if r.reject_reason is None:
+                assert r.date is not None and all(r[f] is not None for f in ("open", "high", "low", "close", "volume"))
+            else:
+                assert r.reject_reason in {N.MALFORMED, N.UNKNOWN, N.BAD_ARITY, N.NULL_VALUE, N.BAD_NUMBER, N.BAD_DATE}
+                assert r.date is None and r.raw is not None
+
+    for _ in range(5):
+        check()
