@@ -35,6 +35,25 @@ def canonical(df: DataFrame, symbol: str | None = None) -> DataFrame:
     return df.select(*[project(c) for c in UNIFIED_COLUMNS])
 
 
+# ISO-8601 with offset; with the session time zone in UTC it ends in +00:00.
+ISO_UTC_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
+def stamp_provenance(df: DataFrame, source: str, ticker: str | None = None, ingested_at: str | None = None) -> DataFrame:
+    """Add ``source``, optionally ``ticker``, and ``ingested_at``.
+
+    ``ingested_at`` is one value per load: the given text, or the query's
+    current time (``current_timestamp`` is fixed per query, not per row) as
+    ISO-8601 text in the session time zone (UTC). Passing it explicitly makes
+    a re-run reproducible.
+    """
+    ts = F.lit(ingested_at) if ingested_at is not None else F.date_format(F.current_timestamp(), ISO_UTC_FORMAT)
+    out = df.withColumn("source", F.lit(source))
+    if ticker is not None:
+        out = out.withColumn("ticker", F.lit(ticker))
+    return out.withColumn("ingested_at", ts)
+
+
 def unify_sources(*frames: DataFrame) -> DataFrame:
     """Vertical union by name of canonical frames; duplicates are kept."""
     out = frames[0]

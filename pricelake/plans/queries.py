@@ -17,7 +17,7 @@ from pricelake.functions.dates import format_csv_date, format_provider_date, par
 from pricelake.functions.strings import flatten_label, normalize_label
 from pricelake.operators import evaluate, features, forecast, normalize, ordering, profile, reshape, supervised
 from pricelake.operators.clean import series_head
-from pricelake.operators.unify import canonical, dedupe_by_date, unify_sources
+from pricelake.operators.unify import canonical, dedupe_by_date, stamp_provenance, unify_sources
 from pricelake.plans import analysis, ingest
 from pricelake.schemas import PREDICTIONS
 from pricelake.session import configure, scratch_path
@@ -385,13 +385,8 @@ def q_stamp_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S7 + X11: source, ticker and one ingestion time per load (a parameter,
     so a re-run is reproducible)."""
     _ready(spark)
-    m = fixtures.multi_symbol(spark, sf_dir)
-    return m.select(
-        "*",
-        F.lit("yfinance").alias("source"),
-        F.col("symbol").alias("ticker"),
-        F.lit(fixtures.FIXED_INGESTED_AT).alias("ingested_at"),
-    )
+    m = fixtures.multi_symbol(spark, sf_dir).withColumn("ticker", F.col("symbol"))
+    return stamp_provenance(m, "yfinance", ingested_at=fixtures.FIXED_INGESTED_AT)
 
 
 def q_string_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:

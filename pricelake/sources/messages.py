@@ -46,14 +46,25 @@ def parse_records(messages: DataFrame, schema: T.StructType | str, keep: Sequenc
     return messages.select(*keep, F.from_json("value", schema).alias("_r")).select(*keep, "_r.*")
 
 
-def publish(messages: DataFrame, fmt: str = "kafka", path: str | None = None, mode: str = "append", **options: str) -> None:
+def publish(
+    messages: DataFrame,
+    fmt: str = "kafka",
+    path: str | None = None,
+    mode: str = "append",
+    skip_empty: bool = True,
+    **options: str,
+) -> bool:
     """Write messages to a broker (``kafka``: topic/key/value columns) or to a
-    file zone partitioned by topic."""
+    file zone partitioned by topic. An empty source publishes nothing
+    (``isEmpty`` reads at most one row); returns whether anything was written."""
     m = messages.select("topic", "key", "value")
+    if skip_empty and m.isEmpty():
+        return False
     if fmt == "kafka":
         m.write.format("kafka").options(**options).save()
-        return
-    m.write.mode(mode).partitionBy("topic").format(fmt).options(**options).save(path)
+    else:
+        m.write.mode(mode).partitionBy("topic").format(fmt).options(**options).save(path)
+    return True
 
 
 def read_topics(

@@ -174,3 +174,24 @@ def test_distributed_quantiles_equal_in_task(spark):
     for s in "ABC":
         for n, _ in probs:
             assert math.isclose(dist[s][n], in_task[s][n], rel_tol=1e-12, abs_tol=1e-12), (s, n)
+
+
+def test_stamp_provenance_one_value_per_load(spark):
+    from pricelake.operators.unify import stamp_provenance
+
+    df = series(spark, range(50))
+    fixed = stamp_provenance(df, "csv", ingested_at="2024-01-01T00:00:00+00:00").select("source", "ingested_at").distinct().collect()
+    assert [tuple(r) for r in fixed] == [("csv", "2024-01-01T00:00:00+00:00")]
+    now = stamp_provenance(df, "provider", ticker="T").select("ticker", "ingested_at").distinct().collect()
+    assert len(now) == 1 and now[0].ticker == "T" and now[0].ingested_at.endswith(("Z", "+00:00"))
+
+
+def test_publish_skips_empty_source(spark):
+    from pricelake.session import scratch_path
+    from pricelake.sources import messages
+
+    path = scratch_path(spark, "empty-topic")
+    empty = spark.createDataFrame([], "topic string, key string, value string")
+    assert messages.publish(empty, fmt="json", path=path) is False
+    assert messages.publish(spark.createDataFrame([("t", "k", "{}")], "topic string, key string, value string"), fmt="json", path=path)
+    assert spark.read.json(path).count() == 1
