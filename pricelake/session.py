@@ -9,12 +9,13 @@ from pyspark.sql import SparkSession
 
 # Settings every pricelake job relies on. They are SQL confs, so they can be
 # applied to a session someone else built (the driver's, a notebook's).
+# Dynamic partition overwrite is passed per write instead, so the caller's
+# own writes keep their semantics.
 SQL_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
