@@ -195,3 +195,19 @@ def test_publish_skips_empty_source(spark):
     assert messages.publish(empty, fmt="json", path=path) is False
     assert messages.publish(spark.createDataFrame([("t", "k", "{}")], "topic string, key string, value string"), fmt="json", path=path)
     assert spark.read.json(path).count() == 1
+
+
+def test_publish_replaces_only_written_symbols(spark):
+    from pricelake.session import scratch_path
+    from pricelake.sources import files
+
+    path = scratch_path(spark, "published")
+    both = series(spark, [1, 2, 3], "A").unionByName(series(spark, [4, 5], "B"))
+    files.publish_parquet(both, path)
+    files.publish_parquet(both, path)  # re-run: same rows, nothing appended
+    assert files.read_published(spark, path).count() == 5
+    files.publish_parquet(series(spark, [9], "B"), path)  # reload of one symbol
+    got = sorted((r.symbol, r.close) for r in files.read_published(spark, path).collect())
+    assert got == [("A", 1.0), ("A", 2.0), ("A", 3.0), ("B", 9.0)]
+    with pytest.raises(files.PublishedTableNotFound):
+        files.read_published(spark, scratch_path(spark, "missing"))
