@@ -111,13 +111,14 @@ def expected_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _q(c):
-    """JSON string literal of a text column (the fixture texts need no escaping)."""
-    return F.concat(F.lit('"'), c, F.lit('"'))
+def _q(sql: str) -> str:
+    """SQL: the text value wrapped in double quotes (a JSON string; the fixture texts need no escaping)."""
+    return f"""concat('"', {sql}, '"')"""
 
 
-def _kv(key, value):
-    return F.concat(_q(F.lit(key) if isinstance(key, str) else key), F.lit(":"), value)
+def _kv(key_sql: str, value_sql: str) -> str:
+    """SQL: one ``"key":value`` member of a JSON object."""
+    return f"""concat('"', {key_sql}, '":', {value_sql})"""
 
 
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,58 +130,60 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     f=6 missing low (a short packed text); f=7 NaN volume.
     CSV rows use the packed one-key layout when ``day % 5 = 0``.
     Columns: ``topic, key, value`` (as a message source delivers them).
+    The message text is one Spark SQL expression per layout.
     """
     from pricelake.plans.ingest import TOPIC_CSV, TOPIC_PROVIDER
 
-    f1 = two_sources(spark, sf_dir)
-    f = F.dayofyear("date") % 23
-    packed = F.dayofmonth("date") % 5 == 0
-    num = {c: F.col(c).cast("string") for c in ("open", "high", "low", "close", "volume")}
-    csv_date = F.date_format("date", "yyyy.MM.dd HH:mm")
-    prov_date = F.date_format("date", "yyyy-MM-dd HH:mm:ss")
-    tail_csv = [_kv("source", _q(F.lit("csv"))), _kv("ingested_at", _q(F.col("ingested_at")))]
-
-    regular = F.concat_ws(
-        ",",
-        _kv(F.when(f == 2, F.lit("fecha")).otherwise(F.lit("date")), _q(csv_date)),
-        _kv("open", num["open"]),
-        _kv("high", F.when(f == 5, F.lit("null")).otherwise(num["high"])),
-        F.when(f != 6, _kv("low", num["low"])),
-        _kv("close", F.when(f == 4, F.lit('"n/a"')).otherwise(num["close"])),
-        _kv("volume", F.when(f == 7, F.lit("NaN")).otherwise(num["volume"])),
-        *tail_csv,
-    )
-    packed_text = F.concat_ws(
-        ";",
-        csv_date,
-        num["open"],
-        F.when(f == 5, F.lit("")).otherwise(num["high"]),
-        F.when(f != 6, num["low"]),
-        F.when(f == 4, F.lit("n/a")).otherwise(num["close"]),
-        F.when(f == 3, F.lit(None)).when(f == 7, F.lit("NaN")).otherwise(num["volume"]),
+    f1 = two_sources(spark, sf_dir).selectExpr(
+        "*",
+        "dayofyear(date) % 23 AS f",
+        "dayofmonth(date) % 5 = 0 AS packed",
+        "date_format(date, 'yyyy.MM.dd HH:mm') AS csv_date",
+        "date_format(date, 'yyyy-MM-dd HH:mm:ss') AS prov_date",
+        *[f"CAST({c} AS STRING) AS s_{c}" for c in ("open", "high", "low", "close", "volume")],
     )
-    packed_key = F.when(f == 2, F.lit("date,open,high,low,close,volume")).otherwise(F.lit("date;open;high;low;close;volume"))
-    packed_msg = F.concat_ws(",", _kv(packed_key, _q(packed_text)), *tail_csv)
-
-    t = F.col("symbol")
-    provider = F.concat_ws(
-        ",",
-        _kv(F.when(f == 2, F.lit("Fecha")).otherwise(F.lit("Date")), _q(prov_date)),
-        _kv(F.concat(F.lit("Open_"), t), num["open"]),
-        _kv(F.concat(F.lit("High_"), t), F.when(f == 5, F.lit("null")).otherwise(num["high"])),
-        F.when(f != 6, _kv(F.concat(F.lit("Low_"), t), num["low"])),
-        _kv(F.concat(F.lit("Close_"), t), F.when(f == 4, F.lit('"n/a"')).otherwise(num["close"])),
-        _kv(F.concat(F.lit("Volume_"), t), F.when(f == 7, F.lit("NaN")).otherwise(num["volume"])),
-        _kv("source", _q(F.lit("yfinance"))),
-        _kv("ticker", _q(t)),
-        _kv("ingested_at", _q(F.col("ingested_at"))),
+    tail_csv = [_kv("'source'", _q("'csv'")), _kv("'ingested_at'", _q("ingested_at"))]
+    regular = "concat_ws(',', " + ", ".join(
+        [
+            _kv("CASE WHEN f = 2 THEN 'fecha' ELSE 'date' END", _q("csv_date")),
+            _kv("'open'", "s_open"),
+            _kv("'high'", "CASE WHEN f = 5 THEN 'null' ELSE s_high END"),
+            f"CASE WHEN f <> 6 THEN {_kv("'low'", 's_low')} END",
+            _kv("'close'", """CASE WHEN f = 4 THEN '"n/a"' ELSE s_close END"""),
+            _kv("'volume'", "CASE WHEN f = 7 THEN 'NaN' ELSE s_volume END"),
+            *tail_csv,
+        ]
+    ) + ")"
+    packed_text = (
+        "concat_ws(';', csv_date, s_open, CASE WHEN f = 5 THEN '' ELSE s_high END, "
+        "CASE WHEN f <> 6 THEN s_low END, CASE WHEN f = 4 THEN 'n/a' ELSE s_close END, "
+        "CASE WHEN f = 3 THEN NULL WHEN f = 7 THEN 'NaN' ELSE s_volume END)"
     )
-    is_csv = F.col("source") == "csv"
-    body = F.when(is_csv & packed, packed_msg).when(is_csv, regular).otherwise(provider)
-    text = F.concat(F.lit("{"), body, F.lit("}"))
-    text = F.when(f == 1, F.substring(text, F.lit(1), (F.length(text) / 2).cast("int"))).otherwise(text)
-    return f1.select(
-        F.when(is_csv, F.lit(TOPIC_CSV)).otherwise(F.lit(TOPIC_PROVIDER)).alias("topic"),
-        F.col("source").alias("key"),
-        text.alias("value"),
+    packed_key = "CASE WHEN f = 2 THEN 'date,open,high,low,close,volume' ELSE 'date;open;high;low;close;volume' END"
+    packed_msg = "concat_ws(',', " + ", ".join([_kv(packed_key, _q(packed_text)), *tail_csv]) + ")"
+
+    def prov_key(name: str) -> str:
+        return f"concat('{name}_', symbol)"
+
+    provider = "concat_ws(',', " + ", ".join(
+        [
+            _kv("CASE WHEN f = 2 THEN 'Fecha' ELSE 'Date' END", _q("prov_date")),
+            _kv(prov_key("Open"), "s_open"),
+            _kv(prov_key("High"), "CASE WHEN f = 5 THEN 'null' ELSE s_high END"),
+            f"CASE WHEN f <> 6 THEN {_kv(prov_key('Low'), 's_low')} END",
+            _kv(prov_key("Close"), """CASE WHEN f = 4 THEN '"n/a"' ELSE s_close END"""),
+            _kv(prov_key("Volume"), "CASE WHEN f = 7 THEN 'NaN' ELSE s_volume END"),
+            _kv("'source'", _q("'yfinance'")),
+            _kv("'ticker'", _q("symbol")),
+            _kv("'ingested_at'", _q("ingested_at")),
+        ]
+    ) + ")"
+    body = f"CASE WHEN source = 'csv' AND packed THEN {packed_msg} WHEN source = 'csv' THEN {regular} ELSE {provider} END"
+    return f1.selectExpr(
+        f"CASE WHEN source = 'csv' THEN '{TOPIC_CSV}' ELSE '{TOPIC_PROVIDER}' END AS topic",
+        "source AS key",
+        f"concat('{{', {body}, '}}') AS _text",
+        "f",
+    ).selectExpr(
+        "topic", "key", "CASE WHEN f = 1 THEN substring(_text, 1, CAST(length(_text) / 2 AS INT)) ELSE _text END AS value"
     )

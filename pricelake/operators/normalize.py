@@ -35,98 +35,101 @@ def parse_map(value: Column) -> Column:
     return F.from_json(value, "map<string,string>")
 
 
-def _get(m: Column, key: Column | str) -> Column:
-    return F.try_element_at(m, F.lit(key) if isinstance(key, str) else key)
+# The layouts are written as Spark SQL expression text: one expression per
+# output column, parsed on the JVM in one call instead of hundreds of small
+# Column objects built one by one from Python.
 
 
-def _number(text: Column) -> Column:
+def sql_str(text: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _get(key_sql: str) -> str:
+    return f"try_element_at(_m, {key_sql})"
+
+
+def _num(text_sql: str) -> str:
     """Number text -> DOUBLE or NULL. A bare NaN token comes out of the map
     quoted, so quotes are trimmed; 'NaN' / 'Infinity' parse as in Python."""
-    return F.btrim(F.trim(text), F.lit('"')).try_cast("double")
-
-
-def _csv_fields(m: Column, symbol: str) -> dict:
-    """Column expressions of the CSV-producer layouts: (a) one packed key split
-    on ';' into exactly 6 parts, (b) regular keys where a missing key means 0.0
-    but an explicit null or a non-number rejects the row, (c) anything else is
-    unknown."""
-    has_packed = F.map_contains_key(m, F.lit(PACKED_KEY))
-    has_date = F.map_contains_key(m, F.lit("date"))
-    parts = F.split(_get(m, PACKED_KEY), ";", -1)
-    packed_vals = {f: _number(F.get(parts, i + 1)) for i, f in enumerate(PRICE_FIELDS)}
-    packed_bad = F.exists(F.slice(parts, 2, 5), lambda p: _number(p).isNull())
-
-    present = {f: F.map_contains_key(m, F.lit(f)) for f in PRICE_FIELDS}
-    regular_vals = {f: F.when(present[f], _number(_get(m, f))).otherwise(F.lit(0.0)) for f in PRICE_FIELDS}
-    regular_null = F.lit(False)
-    regular_bad = F.lit(False)
-    for f in PRICE_FIELDS:
-        regular_null = regular_null | (present[f] & _get(m, f).isNull())
-        regular_bad = regular_bad | (present[f] & _get(m, f).isNotNull() & regular_vals[f].isNull())
-
+    return f"try_cast(btrim(trim({text_sql}), '\"') AS DOUBLE)"
+
+
+def _csv_fields(symbol: str) -> dict[str, str]:
+    """CSV-producer layouts: (a) one packed key split on ';' into exactly 6
+    parts, (b) regular keys where a missing key means 0.0 but an explicit null
+    or a non-number rejects the row, (c) anything else is unknown.
+    Reads ``_m`` (the parsed map) and ``_parts`` (the split packed text)."""
+    hp = f"map_contains_key(_m, {sql_str(PACKED_KEY)})"
+    packed_bad = f"exists(slice(_parts, 2, 5), p -> {_num('p')} IS NULL)"
+    present = {f: f"map_contains_key(_m, {sql_str(f)})" for f in PRICE_FIELDS}
+    got = {f: _get(sql_str(f)) for f in PRICE_FIELDS}
+    regular = {f: f"CASE WHEN {present[f]} THEN {_num(got[f])} ELSE 0.0D END" for f in PRICE_FIELDS}
+    null_value = " OR ".join(f"({present[f]} AND {got[f]} IS NULL)" for f in PRICE_FIELDS)
+    bad_number = " OR ".join(f"({present[f]} AND {got[f]} IS NOT NULL AND {_num(got[f])} IS NULL)" for f in PRICE_FIELDS)
     reason = (
-        F.when(m.isNull(), F.lit(MALFORMED))
-        .when(has_packed & (F.size(parts) != 6), F.lit(BAD_ARITY))
-        .when(has_packed & packed_bad, F.lit(BAD_NUMBER))
-        .when(has_packed, F.lit(None))
-        .when(~has_date, F.lit(UNKNOWN))
-        .when(regular_null, F.lit(NULL_VALUE))
-        .when(regular_bad, F.lit(BAD_NUMBER))
-    ).cast("string")
+        f"CASE WHEN _m IS NULL THEN {sql_str(MALFORMED)} "
+        f"WHEN {hp} AND size(_parts) <> 6 THEN {sql_str(BAD_ARITY)} "
+        f"WHEN {hp} AND {packed_bad} THEN {sql_str(BAD_NUMBER)} "
+        f"WHEN {hp} THEN CAST(NULL AS STRING) "
+        f"WHEN NOT map_contains_key(_m, 'date') THEN {sql_str(UNKNOWN)} "
+        f"WHEN {null_value} THEN {sql_str(NULL_VALUE)} "
+        f"WHEN {bad_number} THEN {sql_str(BAD_NUMBER)} END"
+    )
     return {
         "_reason": reason,
-        "symbol": F.lit(symbol),
-        "_date_text": F.when(has_packed, F.get(parts, 0)).otherwise(_get(m, "date")),
-        **{f: F.when(has_packed, packed_vals[f]).otherwise(regular_vals[f]) for f in PRICE_FIELDS},
-        "source": _get(m, "source"),
-        "ingested_at": _get(m, "ingested_at"),
+        "symbol": sql_str(symbol),
+        "_date_text": f"CASE WHEN {hp} THEN get(_parts, 0) ELSE {_get(sql_str('date'))} END",
+        **{f: f"CASE WHEN {hp} THEN {_num(f'get(_parts, {i + 1})')} ELSE {regular[f]} END" for i, f in enumerate(PRICE_FIELDS)},
+        "source": _get("'source'"),
+        "ingested_at": _get("'ingested_at'"),
     }
 
 
-def _provider_fields(m: Column, default_ticker: str | None) -> dict:
-    """Column expressions of the provider layout with ticker-suffixed keys
-    (``Open_<ticker>``): missing, null, empty or zero values become 0.0, NaN
-    is kept, a non-number rejects the row."""
-    ticker = F.coalesce(_get(m, "ticker"), F.lit(default_ticker))
-    values, bad = {}, F.lit(False)
-    for f in PRICE_FIELDS:
-        raw = _get(m, F.concat(F.lit(PROVIDER_FIELD_NAMES[f] + "_"), ticker))
-        empty = raw.isNull() | (F.btrim(raw, F.lit('"')) == F.lit(""))
-        values[f] = F.when(empty, F.lit(0.0)).otherwise(_number(raw))
-        bad = bad | (~empty & _number(raw).isNull())
+def _provider_fields(default_ticker: str | None) -> dict[str, str]:
+    """Provider layout with ticker-suffixed keys (``Open_<ticker>``): missing,
+    null, empty or zero values become 0.0, NaN is kept, a non-number rejects
+    the row."""
+    default = sql_str(default_ticker) if default_ticker is not None else "CAST(NULL AS STRING)"
+    ticker = f"coalesce({_get(sql_str('ticker'))}, {default})"
+    raw = {f: _get(f"concat({sql_str(PROVIDER_FIELD_NAMES[f] + '_')}, {ticker})") for f in PRICE_FIELDS}
+    empty = {f: f"({raw[f]} IS NULL OR btrim({raw[f]}, '\"') = '')" for f in PRICE_FIELDS}
+    bad = " OR ".join(f"(NOT {empty[f]} AND {_num(raw[f])} IS NULL)" for f in PRICE_FIELDS)
     return {
-        "_reason": F.when(m.isNull(), F.lit(MALFORMED)).when(bad, F.lit(BAD_NUMBER)).cast("string"),
+        "_reason": f"CASE WHEN _m IS NULL THEN {sql_str(MALFORMED)} WHEN {bad} THEN {sql_str(BAD_NUMBER)} END",
         "symbol": ticker,
-        "_date_text": _get(m, PROVIDER_DATE_KEY),
-        **values,
-        "source": _get(m, "source"),
-        "ingested_at": _get(m, "ingested_at"),
+        "_date_text": _get(sql_str(PROVIDER_DATE_KEY)),
+        **{f: f"CASE WHEN {empty[f]} THEN 0.0D ELSE {_num(raw[f])} END" for f in PRICE_FIELDS},
+        "source": _get("'source'"),
+        "ingested_at": _get("'ingested_at'"),
     }
 
 
-def _finish(parsed: DataFrame, fields: dict) -> DataFrame:
-    """Parse the date, add the date reject, NULL every value of a rejected row."""
-    d = parsed.select("topic", "value", *[c.alias(n) for n, c in fields.items()])
-    date = parse_date(F.col("_date_text"))
-    reason = F.when(F.col("_reason").isNull() & date.isNull(), F.lit(BAD_DATE)).otherwise(F.col("_reason"))
-    d = d.withColumn("date", date).withColumn("reject_reason", reason)
-    ok = F.col("reject_reason").isNull()
+def _finish(messages: DataFrame, fields: dict[str, str]) -> DataFrame:
+    """Parse once, evaluate the layout, parse the date, add the date reject,
+    NULL every value of a rejected row."""
+    parsed = messages.select(
+        "topic", "value", parse_map(F.col("value")).alias("_m")
+    ).selectExpr("*", f"split({_get(sql_str(PACKED_KEY))}, ';', -1) AS _parts")
+    d = parsed.selectExpr("topic", "value", *[f"{sql} AS {name}" for name, sql in fields.items()])
+    d = d.withColumn("date", parse_date(F.col("_date_text")))
+    d = d.selectExpr(
+        "*", f"CASE WHEN _reason IS NULL AND date IS NULL THEN {sql_str(BAD_DATE)} ELSE _reason END AS reject_reason"
+    )
     kept = ("symbol", "date", *PRICE_FIELDS, "source", "ingested_at")
-    return d.select("topic", *[F.when(ok, F.col(c)).alias(c) for c in kept], "reject_reason", F.col("value").alias("raw"))
-
-
-def _parsed(messages: DataFrame) -> DataFrame:
-    return messages.withColumn("_m", parse_map(F.col("value")))
+    return d.selectExpr(
+        "topic", *[f"CASE WHEN reject_reason IS NULL THEN {c} END AS {c}" for c in kept], "reject_reason", "value AS raw"
+    )
 
 
 def normalize_csv(messages: DataFrame, symbol: str) -> DataFrame:
     """CSV-producer messages (see ``_csv_fields``) -> normalised rows."""
-    return _finish(_parsed(messages), _csv_fields(F.col("_m"), symbol))
+    return _finish(messages, _csv_fields(symbol))
 
 
 def normalize_provider(messages: DataFrame, default_ticker: str | None = None) -> DataFrame:
     """Provider messages (see ``_provider_fields``) -> normalised rows."""
-    return _finish(_parsed(messages), _provider_fields(F.col("_m"), default_ticker))
+    return _finish(messages, _provider_fields(default_ticker))
 
 
 def normalize_messages(messages: DataFrame, csv_topics: list[str], provider_topics: list[str], symbol: str) -> DataFrame:
@@ -134,11 +137,10 @@ def normalize_messages(messages: DataFrame, csv_topics: list[str], provider_topi
     topic inside the projection (no second scan of the source, which a
     broker source could not prune by topic). Messages of other topics are
     left out."""
-    m = F.col("_m")
-    is_csv = F.col("topic").isin(csv_topics)
-    csv, prov = _csv_fields(m, symbol), _provider_fields(m, symbol)
-    fields = {n: F.when(is_csv, csv[n]).otherwise(prov[n]) for n in csv}
-    routed = _parsed(messages.filter(F.col("topic").isin([*csv_topics, *provider_topics])))
+    csv, prov = _csv_fields(symbol), _provider_fields(symbol)
+    in_csv = "topic IN (" + ", ".join(sql_str(t) for t in csv_topics) + ")"
+    fields = {n: f"CASE WHEN {in_csv} THEN {csv[n]} ELSE {prov[n]} END" for n in csv}
+    routed = messages.filter(F.col("topic").isin([*csv_topics, *provider_topics]))
     return _finish(routed, fields)
 
 

@@ -162,19 +162,12 @@ def null_counts(df: DataFrame) -> DataFrame:
     for i, f in enumerate(fields):
         aggs.append(F.count_if(is_missing(f.name, f.dataType)).alias(f"_m{i}"))
     one = df.agg(*aggs)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(f.name).alias("column"),
-                F.lit(f.dataType.simpleString()).alias("dtype"),
-                (F.col("_rows") - F.col(f"_m{i}")).alias("non_null"),
-                F.col(f"_m{i}").alias("missing"),
-                F.col("_rows").alias("rows"),
-            )
-            for i, f in enumerate(fields)
-        ]
+    rows = ", ".join(
+        f"named_struct('column', '{f.name}', 'dtype', '{f.dataType.simpleString()}', "
+        f"'non_null', _rows - _m{i}, 'missing', _m{i}, 'rows', _rows)"
+        for i, f in enumerate(fields)
     )
-    return one.select(F.inline(rows))
+    return one.selectExpr(f"inline(array({rows}))")
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("symbol",), date_col: str | None = "date") -> DataFrame:
@@ -194,10 +187,11 @@ def corr_matrix(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("s
     agg = d.groupBy(*keys).agg(*[F.corr(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
     cells = []
     for i, (a, b) in enumerate(pairs):
-        cells.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"_{i}").alias("r")))
+        cells.append(f"named_struct('col_a', '{a}', 'col_b', '{b}', 'r', _{i})")
         if a != b:
-            cells.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), F.col(f"_{i}").alias("r")))
-    return agg.select(*keys, F.inline(F.array(*cells)))
+            cells.append(f"named_struct('col_a', '{b}', 'col_b', '{a}', 'r', _{i})")
+    # One SQL expression for the whole matrix (one call, not hundreds of Column objects).
+    return agg.selectExpr(*[f"`{k}`" for k in keys], f"inline(array({', '.join(cells)}))")
 
 
 def outlier_stats(

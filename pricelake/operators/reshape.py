@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.operators.normalize import PROVIDER_FIELD_NAMES
+from pricelake.operators.normalize import PROVIDER_FIELD_NAMES, sql_str
 from pricelake.schemas import PRICE_FIELDS
 
 
@@ -20,7 +20,7 @@ def flatten(long: DataFrame, tickers: Sequence[str], fields: Sequence[str] = PRI
     """One row per date, one ``Field_TICKER`` column per field and ticker
     (a pivot with known values: a single aggregate, no discovery job)."""
     aggs = [
-        F.max(F.when(F.col("symbol") == t, F.col(f))).alias(flat_name(f, t)) for t in tickers for f in fields
+        F.expr(f"max(CASE WHEN symbol = {sql_str(t)} THEN {f} END) AS `{flat_name(f, t)}`") for t in tickers for f in fields
     ]
     return long.groupBy(F.col(date_col).alias("Date")).agg(*aggs)
 

@@ -181,7 +181,7 @@ def _f1_supervised(spark: SparkSession, sf_dir: str, **kw) -> analysis.Supervise
 
 
 def _x_columns(window: int) -> list[Column]:
-    return [r6(F.col("X")[j]).alias(f"x_{j:02d}") for j in range(window)]
+    return [F.expr(f"round(X[{j}], 6) AS x_{j:02d}") for j in range(window)]
 
 
 def q_minmax_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
