@@ -38,14 +38,15 @@ def clean_series(
     The filter only touches ``date``, a grouping key of the dedupe, so
     Catalyst moves it below the aggregate towards the scan.
 
-    Rows are shuffled once, by ``(symbol, month)``: the dedupe (keyed by
-    ``(symbol, month, date)``), the bucket counts and the row numbers all
-    reuse that partitioning. Duplicates of a date come from different
+    Rows are shuffled once, by ``(symbol, month)``: the dedupe (a
+    ``row_number`` window keyed by ``(symbol, month, date)``), the bucket
+    counts and the row numbers all reuse that partitioning, and the row
+    numbers reuse the dedupe's sort. Duplicates of a date come from different
     sources, which rarely share a map partition, so a map-side combine
     before this shuffle would save little.
     """
     d = partition_by_bucket(from_date(unified, start), keys, "date")
-    d = dedupe_by_date(d, keys=(*keys, "_bkt", "date"), priority=priority)
+    d = dedupe_by_date(d, keys=(*keys, "_bkt", "date"), priority=priority, method="window")
     d = drop_columns(d, "ingested_at", "source")
     d = d.dropna(how="any")
     return series_index(d, keys=keys, order_col="date") if index else d.drop("_bkt")

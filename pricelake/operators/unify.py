@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelake.functions.dates import parse_date
@@ -68,19 +68,29 @@ def dedupe_by_date(
     priority: Sequence[str] = DEFAULT_PRIORITY,
     source_col: str = "source",
     ingested_col: str = "ingested_at",
+    method: str = "aggregate",
 ) -> DataFrame:
     """Keep one row per ``keys`` under a total order.
 
     Order: source priority, then earliest ``ingested_at``, then a hash of the
-    row so that even full ties resolve the same way on every run. Built as a
-    ``min_by`` aggregate, so it combines map-side before the shuffle instead
-    of sorting every row of a key the way a ``row_number`` window would.
+    row so that even full ties resolve the same way on every run.
+
+    ``method='aggregate'`` (default): a ``min_by`` aggregate, which combines
+    map-side before its shuffle. ``method='window'``: ``row_number() == 1``
+    over ``keys``, for input already partitioned by a prefix of ``keys``
+    (no shuffle of its own, one sort that later windows on the same prefix
+    reuse). Both keep the same row.
     """
     pos = F.array_position(F.array(*[F.lit(p) for p in priority]), F.col(source_col))
     prio = F.when(pos == 0, F.lit(len(priority) + 1)).otherwise(pos)
     ts = F.try_to_timestamp(F.col(ingested_col))
     payload = [c for c in df.columns if c not in keys]
     tie = F.xxhash64(*[F.col(c) for c in payload])
+    if method == "window":
+        w = Window.partitionBy(*keys).orderBy(prio, ts.isNull(), ts, F.col(ingested_col), tie)
+        return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    if method != "aggregate":
+        raise ValueError(f"method must be 'aggregate' or 'window', not {method!r}")
     rank = F.struct(prio.alias("p"), ts.isNull().alias("tn"), ts.alias("t"), F.col(ingested_col).alias("s"), tie.alias("h"))
     return (
         df.groupBy(*keys)

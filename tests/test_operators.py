@@ -211,3 +211,24 @@ def test_publish_replaces_only_written_symbols(spark):
     assert got == [("A", 1.0), ("A", 2.0), ("A", 3.0), ("B", 9.0)]
     with pytest.raises(files.PublishedTableNotFound):
         files.read_published(spark, scratch_path(spark, "missing"))
+
+
+def test_dedupe_methods_agree(spark):
+    import random
+
+    rnd = random.Random(3)
+    schema = "symbol string, date date, open double, high double, low double, close double, volume double, source string, ingested_at string"
+    rows = [
+        (
+            rnd.choice("AB"),
+            D(2020, 1, 1) + dt.timedelta(days=rnd.randint(0, 9)),
+            *(float(rnd.randint(0, 3)) for _ in range(5)),
+            rnd.choice(["csv", "yfinance", "other"]),
+            rnd.choice(["2024-01-01T00:00:00+00:00", "2024-01-02T00:00:00+00:00", "not a time"]),
+        )
+        for _ in range(300)
+    ]
+    df = spark.createDataFrame(rows, schema)
+    agg = sorted(dedupe_by_date(df).collect())
+    win = sorted(dedupe_by_date(df.repartition(3, "symbol"), method="window").select(*df.columns).collect())
+    assert agg == win and len(agg) == len({(r[0], r[1]) for r in rows})
