@@ -232,3 +232,16 @@ def test_dedupe_methods_agree(spark):
     agg = sorted(dedupe_by_date(df).collect())
     win = sorted(dedupe_by_date(df.repartition(3, "symbol"), method="window").select(*df.columns).collect())
     assert agg == win and len(agg) == len({(r[0], r[1]) for r in rows})
+
+
+def test_weekday_calendar_matches_business_day_walk(spark):
+    starts = [D(2024, 1, 1) + dt.timedelta(days=i) for i in range(7)]  # Monday .. Sunday
+    df = spark.createDataFrame([(d,) for d in starts], "last_date date")
+    got = {(r.last_date, r.step): r.date for r in forecast.future_dates(df, 30, calendar="weekday").collect()}
+    for d0 in starts:
+        d, step = d0, 0
+        while step < 30:
+            d += dt.timedelta(days=1)
+            if d.weekday() < 5:
+                step += 1
+                assert got[(d0, step)] == d, (d0, step)
