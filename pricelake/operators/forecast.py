@@ -111,15 +111,42 @@ def ml_frame(samples: DataFrame, x_col: str = "X", y_col: str = "y") -> DataFram
     return samples.withColumn("features", array_to_vector(F.col(x_col))).withColumn("label", F.col(y_col))
 
 
-def fit_lag_model(train: DataFrame, weight_col: str | None = None, reg_param: float = 0.0):
-    """Fit a linear regressor on lag windows (``pyspark.ml``; distributed normal
-    equations: the 30x30 Gram matrix is tree-aggregated, never the rows)."""
-    from pyspark.ml.regression import LinearRegression
-
-    lr = LinearRegression(featuresCol="features", labelCol="label", regParam=reg_param, solver="normal")
+def fit_lag_model(
+    train: DataFrame,
+    weight_col: str | None = None,
+    reg_param: float = 0.0,
+    kind: str = "linear",
+    per_symbol: bool = False,
+):
+    """Fit one global regressor on lag windows with ``pyspark.ml``.
+
+    ``kind='linear'``: normal equations; only the small Gram matrix is
+    tree-aggregated, never the rows. ``kind='gbt'``: gradient-boosted trees.
+    ``per_symbol`` adds a one-hot symbol term, so one model serves many
+    series with its own level for each. Returns a fitted ``PipelineModel``
+    that reads the ``features`` / ``label`` columns of ``ml_frame``.
+    """
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+    from pyspark.ml.regression import GBTRegressor, LinearRegression
+
+    stages, features = [], "features"
+    if per_symbol:
+        stages += [
+            StringIndexer(inputCol="symbol", outputCol="_sym_idx", handleInvalid="keep"),
+            OneHotEncoder(inputCol="_sym_idx", outputCol="_sym_vec", handleInvalid="keep"),
+            VectorAssembler(inputCols=["features", "_sym_vec"], outputCol="_features"),
+        ]
+        features = "_features"
+    if kind == "linear":
+        est = LinearRegression(featuresCol=features, labelCol="label", regParam=reg_param, solver="normal")
+    elif kind == "gbt":
+        est = GBTRegressor(featuresCol=features, labelCol="label", seed=42)
+    else:
+        raise ValueError(f"kind must be 'linear' or 'gbt', not {kind!r}")
     if weight_col:
-        lr = lr.setWeightCol(weight_col)
-    return lr.fit(train)
+        est = est.setWeightCol(weight_col)
+    return Pipeline(stages=[*stages, est]).fit(train)
 
 
 def score_model(model, samples: DataFrame, model_name: str, keys: Sequence[str] = ("symbol",)) -> DataFrame:
