@@ -267,3 +267,15 @@ def test_lag_models_recover_a_linear_rule(spark):
     assert all(abs(c - r) < 0.1 for c, r in zip(coef, rule)), coef
     for model in (forecast.fit_lag_model(frame, per_symbol=True), forecast.fit_lag_model(frame, kind="gbt")):
         assert forecast.score_model(model, frame, "m").count() == frame.count()
+
+
+def test_flatten_unflatten_roundtrip(spark):
+    from pricelake.operators import reshape
+
+    rows = [("GC=F", D(2024, 1, 1), 1.0, 2.0, 0.5, 1.5, 10.0), ("SI=F", D(2024, 1, 1), 3.0, 4.0, 2.5, 3.5, 20.0),
+            ("GC=F", D(2024, 1, 2), 1.1, 2.1, 0.6, 1.6, 11.0)]
+    long = spark.createDataFrame(rows, "symbol string, date date, open double, high double, low double, close double, volume double")
+    wide = reshape.flatten(long, ["GC=F", "SI=F"])
+    assert "Close_GC=F" in wide.columns and wide.count() == 2
+    back = reshape.unflatten(wide, ["GC=F", "SI=F"]).select(*long.columns)
+    assert sorted(back.collect()) == sorted(long.collect())
