@@ -50,6 +50,9 @@ def supervised(
     values, split counts); with ``persist`` it is written once to the shared
     checkpoint folder first, so the upstream plan runs once, not four times.
     """
+    # Only these columns are used downstream; pruning cannot reach through a
+    # written table, so narrow the projection before writing it.
+    series = series.select("symbol", "idx", "date", value_col)
     if persist:
         series = materialize(series, "series")
     # Rows per symbol, computed once: the scaler fit needs N, the split needs
