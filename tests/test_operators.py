@@ -279,3 +279,19 @@ def test_flatten_unflatten_roundtrip(spark):
     assert "Close_GC=F" in wide.columns and wide.count() == 2
     back = reshape.unflatten(wide, ["GC=F", "SI=F"]).select(*long.columns)
     assert sorted(back.collect()) == sorted(long.collect())
+
+
+def test_one_hot_symbol_is_spread_over_tasks(spark):
+    """A single long series: its look-back windows run in several partitions
+    (blocks), not in one task holding the whole symbol."""
+    s = ordering.series_index(series(spark, range(2000), "HOT"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        def build(d, w):
+            return d.withColumn("m", F.avg("close").over(w.rowsBetween(-5, 0))).withColumn("pid", F.spark_partition_id())
+
+        out = ordering.with_lookback(s, build, k=5, block_rows=128)
+        assert out.select("pid").distinct().count() > 1
+        assert out.count() == 2000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
