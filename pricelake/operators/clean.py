@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelake.operators.ordering import partition_by_bucket, series_index
@@ -29,6 +29,7 @@ def clean_series(
     priority: Sequence[str] = DEFAULT_PRIORITY,
     keys: Sequence[str] = ("symbol",),
     index: bool = True,
+    bucket: Column | None = None,
 ) -> DataFrame:
     """Unified rows -> one clean row per ``(symbol, date)`` with a dense ``idx``.
 
@@ -45,7 +46,7 @@ def clean_series(
     sources, which rarely share a map partition, so a map-side combine
     before this shuffle would save little.
     """
-    d = partition_by_bucket(from_date(unified, start), keys, "date")
+    d = partition_by_bucket(from_date(unified, start), keys, "date", bucket)
     d = dedupe_by_date(d, keys=(*keys, "_bkt", "date"), priority=priority, method="window")
     d = drop_columns(d, "ingested_at", "source")
     d = d.dropna(how="any")

@@ -86,14 +86,20 @@ def series_index(
     )
 
 
-def partition_by_bucket(df: DataFrame, keys: Sequence[str] = ("symbol",), order_col: str = "date") -> DataFrame:
-    """Hash-partition rows by ``(keys, month bucket)`` and keep ``_bkt``.
+def partition_by_bucket(
+    df: DataFrame, keys: Sequence[str] = ("symbol",), order_col: str = "date", bucket: Column | None = None
+) -> DataFrame:
+    """Hash-partition rows by ``(keys, bucket)`` and keep it as ``_bkt``.
 
     One exchange then serves everything keyed by a finer key that contains
     it: a dedupe on ``(symbol, _bkt, date)``, the bucket counts and the
-    row numbers of ``series_index``. A hot symbol still spreads over its months.
+    row numbers of ``series_index``. A hot symbol still spreads over its
+    buckets. The default bucket is the calendar month (at most 31 rows per
+    symbol for daily data); pass a finer monotone bucket (e.g. the day, or
+    ``floor(unix_seconds / 3600)``) for intraday series.
     """
-    return df.withColumn("_bkt", month_bucket(order_col)).repartition(*keys, "_bkt")
+    b = bucket if bucket is not None else month_bucket(order_col)
+    return df.withColumn("_bkt", b).repartition(*keys, "_bkt")
 
 
 def with_lookback(

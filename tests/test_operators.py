@@ -295,3 +295,12 @@ def test_one_hot_symbol_is_spread_over_tasks(spark):
         assert out.count() == 2000
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_clean_series_with_a_finer_bucket(spark):
+    schema = "symbol string, date date, open double, high double, low double, close double, volume double, source string, ingested_at string"
+    rows = [("S", D(2020, 1, 1) + dt.timedelta(days=i), 1.0, 1.0, 1.0, float(i), 1.0, "csv", "t") for i in range(90)]
+    df = spark.createDataFrame(rows, schema)
+    by_month = clean_series(df).select("date", "idx").collect()
+    by_day = clean_series(df, bucket=F.unix_date("date")).select("date", "idx").collect()
+    assert sorted(by_month) == sorted(by_day) and sorted(r.idx for r in by_day) == list(range(90))
