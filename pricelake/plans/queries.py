@@ -26,6 +26,10 @@ from pricelake.streaming import land
 
 W = fixtures.SEQ_WINDOW
 
+# Fixed values of the multi-symbol fixture: the order priorities of the driver
+# tables are its symbols (named up front, so pivots need no discovery job).
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
 
 def r6(c: str | Column) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
@@ -411,13 +415,11 @@ def q_provider_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S4 + S5: one ticker from a start date (filters reach the scan)."""
     _ready(spark)
     m = fixtures.multi_symbol(spark, sf_dir)
-    return m.filter((F.col("symbol") == "1-URGENT") & (F.col("date") >= F.to_date(F.lit(fixtures.FROM_DATE))))
+    return m.filter((F.col("symbol") == PRIORITIES[0]) & (F.col("date") >= F.to_date(F.lit(fixtures.FROM_DATE))))
 
 
 # ---------------------------------------------------------------- sources and sinks (round trips)
 
-PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-
 
 def q_src_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + S2: semicolon CSV with a header, read back with a declared schema."""
