@@ -104,28 +104,45 @@ def exact_quantiles(
 IN_TASK_LIMIT = 2_000_000
 
 
-def quantiles(
+def quantile_aggs(
     v: DataFrame,
     group: Sequence[str],
     probs: Sequence[tuple[str, float]],
     method: str = "exact",
     accuracy: int = 10000,
     in_task_limit: int = IN_TASK_LIMIT,
-) -> DataFrame:
-    """``(group, <name>...)`` quantiles of ``value``.
+) -> list | None:
+    """Aggregate expressions for the quantiles when they can run inside one
+    aggregate, or None when the distributed ``exact_quantiles`` is needed.
 
     ``exact``: one small aggregate measures the largest group; groups proven
     to be at most ``in_task_limit`` values use the built-in in-task
-    ``percentile``, otherwise the distributed ``exact_quantiles`` runs. Both
-    give the same exact answer. ``approx``: ``percentile_approx``, one pass.
+    ``percentile``. ``approx``: ``percentile_approx``, always one pass.
     """
     if method == "approx":
-        return v.groupBy(*group).agg(*[F.percentile_approx("value", F.lit(p), F.lit(accuracy)).alias(n) for n, p in probs])
+        return [F.percentile_approx("value", F.lit(p), F.lit(accuracy)).alias(n) for n, p in probs]
     if method != "exact":
         raise ValueError(f"method must be 'exact' or 'approx', not {method!r}")
     biggest = v.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     if biggest <= in_task_limit:
-        return v.groupBy(*group).agg(*[F.percentile("value", F.lit(p)).alias(n) for n, p in probs])
+        return [F.percentile("value", F.lit(p)).alias(n) for n, p in probs]
+    return None
+
+
+def quantiles(
+    v: DataFrame,
+    group: Sequence[str],
+    probs: Sequence[tuple[str, float]],
+    method: str = "exact",
+    accuracy: int = 10000,
+    in_task_limit: int = IN_TASK_LIMIT,
+) -> DataFrame:
+    """``(group, <name>...)`` quantiles of ``value``: in one aggregate when the
+    measured group size allows it (see ``quantile_aggs``), otherwise with the
+    distributed ``exact_quantiles``. Both give the same exact answer."""
+    aggs = quantile_aggs(v, group, probs, method, accuracy, in_task_limit)
+    if aggs is not None:
+        return v.groupBy(*group).agg(*aggs)
     return exact_quantiles(v, group, probs)
 
 
@@ -143,15 +160,19 @@ def describe(
     columns = list(columns) if columns is not None else numeric_columns(df, keys)
     v = long_values(df, columns, keys, persist=True)
     g = [*keys, "column"]
-    moments = v.groupBy(*g).agg(
+    probs = (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
+    moments = [
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-    )
-    q = quantiles(v, g, (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)), method)
-    return moments.join(q, g).select(*g, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    ]
+    cols = [*g, "count", "mean", "std", "min", "p25", "p50", "p75", "max"]
+    q_aggs = quantile_aggs(v, g, probs, method)
+    if q_aggs is not None:  # everything in one aggregate
+        return v.groupBy(*g).agg(*moments, *q_aggs).select(*cols)
+    return v.groupBy(*g).agg(*moments).join(exact_quantiles(v, g, probs), g).select(*cols)
 
 
 def null_counts(df: DataFrame) -> DataFrame:
