@@ -10,13 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def write_documents(df: DataFrame, fmt: str = "mongodb", path: str | None = None, mode: str = "append", **options: str) -> None:
-    """Bulk insert; an empty frame writes nothing and is not an error."""
+def write_documents(
+    df: DataFrame, fmt: str = "mongodb", path: str | None = None, mode: str = "append", **options: str
+) -> bool:
+    """Bulk insert; an empty frame writes nothing and is not an error
+    (``isEmpty`` reads at most one row). Returns whether anything was written."""
+    if df.isEmpty():
+        return False
     w = df.write.mode(mode).format(fmt).options(**options)
     if path is not None:
         w.save(path)
     else:
         w.save()
+    return True
 
 
 def read_documents(

@@ -54,6 +54,12 @@ def publish_parquet(
     w.parquet(path)
 
 
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Reset a catalog table (``DROP TABLE IF EXISTS``); path-based tables are
+    reset by an overwrite instead."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def read_published(spark: SparkSession, path: str) -> DataFrame:
     """Scan the published table (the whole directory, every file)."""
     try:

@@ -24,8 +24,10 @@ def write_table(
     column_types: str | None = PRICE_TABLE_TYPES,
     batch_size: int = 10000,
 ) -> None:
-    """Create-if-absent and bulk insert (batched, one connection per partition)."""
-    w = df.write.mode(mode).option("batchsize", batch_size)
+    """Create-if-absent and bulk insert (batched, one connection per partition).
+    ``mode='overwrite'`` resets the target by truncating it (keeping its
+    definition) rather than dropping it."""
+    w = df.write.mode(mode).option("batchsize", batch_size).option("truncate", str(mode == "overwrite").lower())
     if column_types:
         w = w.option("createTableColumnTypes", column_types)
     w.jdbc(url, table, properties=properties or {})

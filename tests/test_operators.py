@@ -304,3 +304,14 @@ def test_clean_series_with_a_finer_bucket(spark):
     by_month = clean_series(df).select("date", "idx").collect()
     by_day = clean_series(df, bucket=F.unix_date("date")).select("date", "idx").collect()
     assert sorted(by_month) == sorted(by_day) and sorted(r.idx for r in by_day) == list(range(90))
+
+
+def test_document_writer_skips_empty_and_drop_table(spark):
+    from pricelake.session import scratch_path
+    from pricelake.sources import documents, files
+
+    path = scratch_path(spark, "docs")
+    assert documents.write_documents(spark.createDataFrame([], "a int"), fmt="json", path=path) is False
+    assert documents.write_documents(spark.createDataFrame([(1,)], "a int"), fmt="json", path=path)
+    assert documents.read_documents(spark, "a int", fmt="json", path=path).count() == 1
+    files.drop_table(spark, "pricelake_missing_table")  # absent: no error
