@@ -64,10 +64,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+# Scratch paths handed out by this process, for ``release_scratch``.
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/pricelake/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/pricelake/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the scratch paths this process created (materialised
+    intermediates, round-trip outputs, stream checkpoints) once their
+    DataFrames are no longer needed. Uses the Hadoop FileSystem API, so it
+    works on any shared file system. Returns the number of paths removed."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _SCRATCH:
+        p = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
+            removed += 1
+    return removed
 
 
 def materialize(df, name: str):

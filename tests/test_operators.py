@@ -315,3 +315,17 @@ def test_document_writer_skips_empty_and_drop_table(spark):
     assert documents.write_documents(spark.createDataFrame([(1,)], "a int"), fmt="json", path=path)
     assert documents.read_documents(spark, "a int", fmt="json", path=path).count() == 1
     files.drop_table(spark, "pricelake_missing_table")  # absent: no error
+
+
+def test_release_scratch_removes_own_paths(spark):
+    import os
+
+    from pricelake.session import materialize, release_scratch
+
+    release_scratch(spark)  # start from a clean slate for this check
+    m = materialize(spark.range(10), "scratch-test")
+    assert m.count() == 10
+    path = m.inputFiles()[0].rsplit("/", 1)[0].replace("file:", "")
+    assert os.path.exists(path)
+    assert release_scratch(spark) >= 1
+    assert not os.path.exists(path)
