@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from pyspark.sql import SparkSession
 
-    from pricelake.session import configure
+    from pricelake.session import configure, release_scratch
 
     ckpt = tempfile.mkdtemp(prefix="pricelake-test-ckpt-")
     s = (
@@ -27,3 +27,4 @@ def spark():
         s.sparkContext.setCheckpointDir(ckpt)  # only where the session names no shared folder
     configure(s)
     yield s
+    release_scratch(s)
