@@ -329,3 +329,38 @@ def test_release_scratch_removes_own_paths(spark):
     assert os.path.exists(path)
     assert release_scratch(spark) >= 1
     assert not os.path.exists(path)
+
+
+def test_lookback_and_rank_property(spark):
+    """Randomised: halo blocks and two-level rank equal the plain windows for
+    random look-backs, block sizes, bucket widths and series lengths."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(
+        lengths=st.lists(st.integers(1, 120), min_size=1, max_size=3),
+        k=st.integers(1, 12),
+        block=st.integers(1, 40),
+        bucket_days=st.integers(1, 60),
+    )
+    def check(lengths, k, block, bucket_days):
+        rows = []
+        for j, n in enumerate(lengths):
+            rows += [(f"S{j}", D(2020, 1, 1) + dt.timedelta(days=3 * i), float((i * 31 + j) % 17)) for i in range(n)]
+        df = spark.createDataFrame(rows, "symbol string, date date, close double")
+        idx = ordering.series_index(df, bucket=F.floor(F.unix_date("date") / bucket_days))
+        w = Window.partitionBy("symbol").orderBy("date")
+        ref = df.withColumn("idx", (F.row_number().over(w) - 1).cast("long"))
+        assert sorted(idx.select("symbol", "date", "idx").collect()) == sorted(ref.select("symbol", "date", "idx").collect())
+
+        def build(d, wv):
+            return d.withColumn("s", F.sum("close").over(wv.rowsBetween(-k, 0))).withColumn("l", F.lag("close", k).over(wv))
+
+        got = ordering.with_lookback(idx, build, k=k, block_rows=max(block, k))
+        wi = Window.partitionBy("symbol").orderBy("idx")
+        exp = ref.withColumn("s", F.sum("close").over(wi.rowsBetween(-k, 0))).withColumn("l", F.lag("close", k).over(wi))
+        cols = ["symbol", "idx", "s", "l"]
+        assert sorted(got.select(cols).collect()) == sorted(exp.select(cols).collect())
+
+    check()
