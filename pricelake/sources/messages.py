@@ -86,7 +86,11 @@ def read_topics(
 
 def read_raw_zone(spark: SparkSession, path: str, topics: Sequence[str] | None = None) -> DataFrame:
     """Every landed record of the raw zone (all files, no listing limit), with
-    its topic from the ``topic=`` directory and the file it came from."""
+    its topic from the ``topic=`` directory and the file it came from.
+
+    Reading the sink's root directory goes through its ``_spark_metadata``
+    log, so only files of committed micro-batches are read: partial output of
+    a failed batch never shows up, and a replayed batch is not read twice."""
     schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
     df = spark.read.schema(schema).json(path)
     df = df.select(
