@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelake.functions.dates import parse_date
@@ -81,16 +81,25 @@ def dedupe_by_date(
     (no shuffle of its own, one sort that later windows on the same prefix
     reuse). Both keep the same row.
     """
-    pos = F.array_position(F.array(*[F.lit(p) for p in priority]), F.col(source_col))
-    prio = F.when(pos == 0, F.lit(len(priority) + 1)).otherwise(pos)
-    ts = F.try_to_timestamp(F.col(ingested_col))
     payload = [c for c in df.columns if c not in keys]
-    tie = F.xxhash64(*[F.col(c) for c in payload])
     if method == "window":
-        w = Window.partitionBy(*keys).orderBy(prio, ts.isNull(), ts, F.col(ingested_col), tie)
-        return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+        # The same order as one SQL window expression (one JVM call).
+        q = lambda c: f"`{c}`"
+        prio_sql = ", ".join("'" + p.replace("'", "\\'") + "'" for p in priority)
+        ts_sql = f"try_to_timestamp({q(ingested_col)})"
+        order = (
+            f"CASE array_position(array({prio_sql}), {q(source_col)}) WHEN 0 THEN {len(priority) + 1} "
+            f"ELSE array_position(array({prio_sql}), {q(source_col)}) END, "
+            f"{ts_sql} IS NULL, {ts_sql}, {q(ingested_col)}, xxhash64({', '.join(q(c) for c in payload)})"
+        )
+        rn = F.expr(f"row_number() OVER (PARTITION BY {', '.join(q(k) for k in keys)} ORDER BY {order})")
+        return df.withColumn("_rn", rn).filter(F.col("_rn") == 1).drop("_rn")
     if method != "aggregate":
         raise ValueError(f"method must be 'aggregate' or 'window', not {method!r}")
+    pos = F.array_position(F.array(*[F.lit(p) for p in priority]), F.col(source_col))
+    prio = F.when(pos == 0, F.lit(len(priority) + 1)).otherwise(pos)
+    ts = F.try_to_timestamp(F.col(ingested_col))
+    tie = F.xxhash64(*[F.col(c) for c in payload])
     rank = F.struct(prio.alias("p"), ts.isNull().alias("tn"), ts.alias("t"), F.col(ingested_col).alias("s"), tie.alias("h"))
     return (
         df.groupBy(*keys)
