@@ -99,7 +99,28 @@ def partition_by_bucket(
     ``floor(unix_seconds / 3600)``) for intraday series.
     """
     b = bucket if bucket is not None else month_bucket(order_col)
-    return df.withColumn("_bkt", b).repartition(*keys, "_bkt")
+    # A key that is a constant (e.g. one fixed symbol) separates nothing, and
+    # Catalyst drops it from window keys; keep it out of the hash keys too, so
+    # the windows downstream still find their partitioning.
+    varying = [k for k in keys if not is_constant(df, k)]
+    return df.withColumn("_bkt", b).repartition(*varying, "_bkt")
+
+
+def is_constant(df: DataFrame, col: str) -> bool:
+    """Whether the optimiser reduced ``col`` to a literal (a foldable
+    projection). Unknown plan shapes count as not constant."""
+    try:
+        plan = df.select(col)._jdf.queryExecution().optimizedPlan()
+        name = plan.nodeName()
+        if name == "Project":
+            e = plan.projectList().apply(0)
+        elif name == "Aggregate":
+            e = plan.aggregateExpressions().apply(0)
+        else:
+            return False
+        return e.nodeName() == "Alias" and e.child().foldable()
+    except Exception:  # noqa: BLE001 - a heuristic; never fail the plan over it
+        return False
 
 
 def with_lookback(

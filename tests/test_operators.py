@@ -364,3 +364,12 @@ def test_lookback_and_rank_property(spark):
         assert sorted(got.select(cols).collect()) == sorted(exp.select(cols).collect())
 
     check()
+
+
+def test_is_constant_detects_literal_keys(spark):
+    from pricelake.operators.ordering import is_constant
+
+    df = series(spark, range(5))
+    assert not is_constant(df, "symbol")
+    assert is_constant(df.withColumn("symbol", F.lit("ALL")), "symbol")
+    assert is_constant(df.groupBy("date").agg(F.max("close").alias("close")).withColumn("symbol", F.lit("X")), "symbol")
