@@ -77,3 +77,10 @@ def test_any_text_gets_exactly_one_outcome(spark):
 
     for _ in range(5):
         check()
+
+
+def test_messages_parsed_once_in_one_pass(spark):
+    """Both layouts come out of one projection with a single JSON parse per message."""
+    df = spark.createDataFrame([("c", "k", "{}"), ("p", "k", "{}")], "topic string, key string, value string")
+    plan = N.normalize_messages(df, ["c"], ["p"], "S")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") + plan.count("jsontostructs") == 1
