@@ -373,3 +373,19 @@ def test_is_constant_detects_literal_keys(spark):
     assert not is_constant(df, "symbol")
     assert is_constant(df.withColumn("symbol", F.lit("ALL")), "symbol")
     assert is_constant(df.groupBy("date").agg(F.max("close").alias("close")).withColumn("symbol", F.lit("X")), "symbol")
+
+
+def test_clean_series_offsets_reuse_the_shared_shuffle(spark):
+    """The bucket-offsets branch reads the same (symbol, bucket) shuffle as the
+    main branch instead of recomputing the upstream."""
+    schema = "symbol string, date date, open double, high double, low double, close double, volume double, source string, ingested_at string"
+    rows = [(s, D(2020, 1, 1) + dt.timedelta(days=i), 1.0, 1.0, 1.0, float(i), 1.0, "csv", "t") for s in "AB" for i in range(70)]
+    df = clean_series(spark.createDataFrame(rows, schema).groupBy(*schema_cols(schema)).count().drop("count"))
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()
+    final = qe.executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Reused" in final
+
+
+def schema_cols(schema):
+    return [c.strip().split(" ")[0] for c in schema.split(",")]
