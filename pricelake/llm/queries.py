@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pricelake.llm.bpe import op4_bpe_round_trip
+from pricelake.llm.toxicity import op7_toxicity
 
 QUERIES = {
     "op4_bpe_round_trip": op4_bpe_round_trip,
+    "op7_toxicity": op7_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
