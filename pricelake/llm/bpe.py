@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 
 from pricelake.llm.common import fresh, pack, pieces, scratch_path, shuffle_partitions, squeeze, table, unpack, unsqueeze
 
-BLOCK_CHARS = 16_000_000
-BUCKET_CHARS = 16_000_000
+BLOCK_CHARS = 12_000_000
+BUCKET_CHARS = 8_000_000
 
 # A space is no cut where white space (or a character that some engines count as such) follows, or the text ends.
 _KEEP = re.compile("[ ](?=[\\s\u180e\u200b\ufeff]|$)")
@@ -168,8 +168,8 @@ def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(total)
 
 
-def _place(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-    """Puts the ids of each word back at the positions of the word."""
+def _place(blocks: pd.DataFrame, answers: pd.DataFrame, texts_of=None) -> pd.DataFrame:
+    """Puts the ids of each word back at the positions of the word; texts_of, if given, decodes the lists of ids."""
     out_ids, out = [], []
     if len(blocks):
         row = blocks.iloc[0]
@@ -189,11 +189,12 @@ def _place(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
             at = seq[a:b]
             out_ids.append(doc)
             out.append(flat[_spans(start[at], size[at])])
-    return pd.DataFrame({"doc_id": pd.array(out_ids, dtype="Int64"), "ids": pd.Series(out, dtype=object)})
+    done = pd.DataFrame({"doc_id": pd.array(out_ids, dtype="Int64"), "ids": pd.Series(out, dtype=object)})
+    return done if texts_of is None else done.assign(decoded=pd.Series([texts_of(x) for x in out], dtype=object))
 
 
-def encode(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``doc_id``, ``ids`` (array of int) of every row of ``docs``."""
+def encode(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS, decoded: bool = False) -> DataFrame:
+    """``doc_id``, ``ids`` (array of int) of every row of ``docs``; with ``decoded`` also the text that ``decode`` gives, made in the same tasks."""
     spark = docs.sparkSession
     path = tokenizer or default_tokenizer()
     specials = special_strings(path)
@@ -210,12 +211,25 @@ def encode(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id"
     blocks = spark.table(name)
     asked = blocks.select("block", F.explode("words").alias("w")).select("block", "w.bucket", "w.codes", "w.text")
     answers = asked.groupBy("bucket").applyInPandas(_encode_bucket(path), "block string, codes binary, n binary, tokens binary")
-    return (
-        blocks.select("block", "ids", "lens", "seq")
-        .groupBy("block")
-        .cogroup(answers.groupBy("block"))
-        .applyInPandas(_place, "doc_id bigint, ids array<int>")
-    )
+    met = blocks.select("block", "ids", "lens", "seq").groupBy("block").cogroup(answers.groupBy("block"))
+    if not decoded:
+        return met.applyInPandas(lambda a, b: _place(a, b), "doc_id bigint, ids array<int>")
+    shared = _shared_pieces(spark, path)
+    return met.applyInPandas(lambda a, b: _place(a, b, lambda ids: _text_of(ids, *shared.value)), "doc_id bigint, ids array<int>, decoded string")
+
+
+def _shared_pieces(spark: SparkSession, tokenizer: str):
+    """The id-to-piece table as (bytes of all pieces, their start, their size), broadcast: it is as large as the vocabulary at most."""
+    table_of = piece_table(tokenizer)
+    size = np.array([len(p or b"") for p in table_of], np.int64)
+    return spark.sparkContext.broadcast((np.frombuffer(b"".join(p or b"" for p in table_of), np.uint8), np.cumsum(size) - size, size))
+
+
+def _text_of(ids: np.ndarray, raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> str:
+    """The join of ids with their pieces, read as UTF-8."""
+    got = ids[(ids >= 0) & (ids < len(size))]
+    parts = [raw[_spans(start[x], size[x])].tobytes() for x in (got[a : a + 200_000] for a in range(0, len(got), 200_000))]
+    return b"".join(parts).decode("utf-8", "replace")
 
 
 def _byte_of_char() -> dict[str, int]:
@@ -239,24 +253,17 @@ def piece_table(tokenizer: str) -> list[bytes | None]:
 
 def decode(encoded: DataFrame, tokenizer: str | None = None, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
     """Adds the decoded text. Ids outside the vocabulary and null ids are skipped, bytes that are no UTF-8 become U+FFFD, null lists give an empty text."""
-    table_of = piece_table(tokenizer or default_tokenizer())
-    sizes = np.array([len(p or b"") for p in table_of], np.int64)
-    shared = encoded.sparkSession.sparkContext.broadcast((b"".join(p or b"" for p in table_of), sizes))
+    shared = _shared_pieces(encoded.sparkSession, tokenizer or default_tokenizer())
     names = encoded.columns
     at = names.index(ids_col)
 
     def run(batches):
-        blob, size = shared.value
-        raw = np.frombuffer(blob, np.uint8)
-        start = np.cumsum(size) - size
         for batch in batches:
             texts = []
             for ids in batch.column(at):
                 values = ids.values
                 got = np.zeros(0, np.int64) if values is None else (values.drop_null() if values.null_count else values).to_numpy(zero_copy_only=False).astype(np.int64)
-                got = got[(got >= 0) & (got < len(size))]
-                parts = [raw[_spans(start[x], size[x])].tobytes() for x in (got[a : a + 500_000] for a in range(0, len(got), 500_000))]
-                texts.append(b"".join(parts).decode("utf-8", "replace"))
+                texts.append(_text_of(got, *shared.value))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*names, to])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields), f"`{to}` string"])
@@ -265,7 +272,7 @@ def decode(encoded: DataFrame, tokenizer: str | None = None, ids_col: str = "ids
 
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: doc_id, n_tokens, ids_sha256 and decoded_sha256."""
-    done = decode(encode(table(spark, sf_dir, "documents")))
+    done = encode(table(spark, sf_dir, "documents"), decoded=True)
     return done.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
