@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pricelake.llm.bagminhash import op5_minhash_near_dedup
 from pricelake.llm.bpe import op4_bpe_round_trip
 from pricelake.llm.toxicity import op7_toxicity
 
 QUERIES = {
     "op4_bpe_round_trip": op4_bpe_round_trip,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_toxicity": op7_toxicity,
 }
 
