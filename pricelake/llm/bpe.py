@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from pricelake.llm.common import fresh, pack, pieces, scratch_path, shuffle_partitions, squeeze, table, unpack, unsqueeze
 
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS = 16_000_000
 BUCKET_CHARS = 8_000_000
 
 # A space is no cut where white space (or a character that some engines count as such) follows, or the text ends.
@@ -90,7 +90,7 @@ class _Numbers(dict):
         return n
 
 
-_BLOCK = "block string, ids array<bigint>, lens binary, seq binary, words array<struct<bucket:int,codes:binary,text:binary>>"
+_BLOCK = "block string, ids array<bigint>, lens binary, seq binary, words array<struct<bucket:int,text:binary>>, codes array<struct<bucket:int,codes:binary>>"
 
 
 def _blocks(batches, specials: list[str], buckets: int, block_chars: int):
@@ -105,14 +105,15 @@ def _blocks(batches, specials: list[str], buckets: int, block_chars: int):
         of = np.fromiter((zlib.crc32(w) for w in words), np.uint32, len(words)) % buckets
         order = np.lexsort((rank, of))
         ends = np.searchsorted(of[order], np.arange(buckets + 1))
-        out = []
+        out, places = [], []
         for b in range(buckets):
             if (mine := order[ends[b] : ends[b + 1]]).size:
                 parts = [words[i] for i in mine]
                 sizes = pack(np.fromiter(map(len, parts), np.uint32, len(parts)))
-                out.append({"bucket": b, "codes": pack(np.diff(rank[mine].astype(np.int64), prepend=0)), "text": len(sizes).to_bytes(4, "little") + sizes + squeeze(b"".join(parts))})
-        schema = pa.schema([("block", pa.string()), ("ids", pa.list_(pa.int64())), ("lens", pa.binary()), ("seq", pa.binary()), ("words", pa.list_(pa.struct([("bucket", pa.int32()), ("codes", pa.binary()), ("text", pa.binary())])))])
-        row = {"block": uuid.uuid4().hex, "ids": ids, "lens": pack(np.array(lens, np.uint32)), "seq": pack(rank[flat]), "words": out}
+                places.append({"bucket": b, "codes": pack(np.diff(rank[mine].astype(np.int64), prepend=0))})
+                out.append({"bucket": b, "text": len(sizes).to_bytes(4, "little") + sizes + squeeze(b"".join(parts))})
+        schema = pa.schema([("block", pa.string()), ("ids", pa.list_(pa.int64())), ("lens", pa.binary()), ("seq", pa.binary()), ("words", pa.list_(pa.struct([("bucket", pa.int32()), ("text", pa.binary())]))), ("codes", pa.list_(pa.struct([("bucket", pa.int32()), ("codes", pa.binary())])))])
+        row = {"block": uuid.uuid4().hex, "ids": ids, "lens": pack(np.array(lens, np.uint32)), "seq": pack(rank[flat]), "words": out, "codes": places}
         return pa.RecordBatch.from_pylist([row], schema=schema)
 
     ids, lens, codes, number, chars = [], [], [], _Numbers(), 0
@@ -157,7 +158,7 @@ def _encode_bucket(path: str):
         for words in asked:
             which = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
             out.append((pack(lens[which]), pack(flat[_spans(start[which], lens[which])])))
-        return pd.DataFrame({"block": pdf["block"], "codes": pdf["codes"], "n": [x[0] for x in out], "tokens": [x[1] for x in out]})
+        return pd.DataFrame({"block": pdf["block"], "bucket": pdf["bucket"], "n": [x[0] for x in out], "tokens": [x[1] for x in out]})
 
     return encode
 
@@ -173,7 +174,8 @@ def _place(blocks: pd.DataFrame, answers: pd.DataFrame, texts_of=None) -> pd.Dat
     out_ids, out = [], []
     if len(blocks):
         row = blocks.iloc[0]
-        codes = [np.cumsum(unpack(c).astype(np.uint32), dtype=np.uint32) for c in answers["codes"]]
+        of = {c["bucket"]: c["codes"] for c in row["codes"]}
+        codes = [np.cumsum(unpack(of[b]), dtype=np.uint32) for b in answers["bucket"]]
         n = sum(map(len, codes))
         size, start = np.zeros(n, np.int64), np.zeros(n, np.int64)
         flat, base = [], 0
@@ -209,9 +211,9 @@ def encode(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id"
         .saveAsTable(name)
     )
     blocks = spark.table(name)
-    asked = blocks.select("block", F.explode("words").alias("w")).select("block", "w.bucket", "w.codes", "w.text")
-    answers = asked.groupBy("bucket").applyInPandas(_encode_bucket(path), "block string, codes binary, n binary, tokens binary")
-    met = blocks.select("block", "ids", "lens", "seq").groupBy("block").cogroup(answers.groupBy("block"))
+    asked = blocks.select("block", F.explode("words").alias("w")).select("block", "w.bucket", "w.text")
+    answers = asked.groupBy("bucket").applyInPandas(_encode_bucket(path), "block string, bucket int, n binary, tokens binary")
+    met = blocks.select("block", "ids", "lens", "seq", "codes").groupBy("block").cogroup(answers.groupBy("block"))
     if not decoded:
         return met.applyInPandas(lambda a, b: _place(a, b), "doc_id bigint, ids array<int>")
     shared = _shared_pieces(spark, path)
