@@ -5,10 +5,12 @@ from __future__ import annotations
 from pricelake.llm.bagminhash import op5_minhash_near_dedup
 from pricelake.llm.bpe import op4_bpe_round_trip
 from pricelake.llm.decontaminate import op1_template_decontamination
+from pricelake.llm.pii import op3_pii
 from pricelake.llm.toxicity import op7_toxicity
 
 QUERIES = {
     "op1_template_decontamination": op1_template_decontamination,
+    "op3_pii": op3_pii,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_toxicity": op7_toxicity,
