@@ -6,6 +6,8 @@ from pricelake.llm.bagminhash import op5_minhash_near_dedup
 from pricelake.llm.bpe import op4_bpe_round_trip
 from pricelake.llm.decontaminate import op1_template_decontamination
 from pricelake.llm.pii import op3_pii
+from pricelake.llm.topk import ORACLE as TOP_K_SQL
+from pricelake.llm.topk import op10_exact_top_k
 from pricelake.llm.toxicity import op7_toxicity
 
 QUERIES = {
@@ -14,6 +16,9 @@ QUERIES = {
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_toxicity": op7_toxicity,
+    "op10_exact_top_k": op10_exact_top_k,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_exact_top_k": TOP_K_SQL,
+}
