@@ -9,6 +9,8 @@ from pricelake.llm.pii import op3_pii
 from pricelake.llm.topk import ORACLE as TOP_K_SQL
 from pricelake.llm.topk import op10_exact_top_k
 from pricelake.llm.toxicity import op7_toxicity
+from pricelake.llm.warc import ORACLE as WARC_SQL
+from pricelake.llm.warc import op9_warc
 
 QUERIES = {
     "op1_template_decontamination": op1_template_decontamination,
@@ -16,9 +18,11 @@ QUERIES = {
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_toxicity": op7_toxicity,
+    "op9_warc": op9_warc,
     "op10_exact_top_k": op10_exact_top_k,
 }
 
 ORACLE: dict[str, str] = {
+    "op9_warc": WARC_SQL,
     "op10_exact_top_k": TOP_K_SQL,
 }
