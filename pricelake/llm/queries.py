@@ -6,6 +6,7 @@ from pricelake.llm.bagminhash import op5_minhash_near_dedup
 from pricelake.llm.bpe import op4_bpe_round_trip
 from pricelake.llm.decontaminate import op1_template_decontamination
 from pricelake.llm.pii import op3_pii
+from pricelake.llm.separators import op6_token_counts
 from pricelake.llm.topk import ORACLE as TOP_K_SQL
 from pricelake.llm.topk import op10_exact_top_k
 from pricelake.llm.toxicity import op7_toxicity
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_pii": op3_pii,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_token_counts": op6_token_counts,
     "op7_toxicity": op7_toxicity,
     "op9_warc": op9_warc,
     "op10_exact_top_k": op10_exact_top_k,
