@@ -5,6 +5,7 @@ from __future__ import annotations
 from pricelake.llm.bagminhash import op5_minhash_near_dedup
 from pricelake.llm.bpe import op4_bpe_round_trip
 from pricelake.llm.decontaminate import op1_template_decontamination
+from pricelake.llm.html import op8_html_text
 from pricelake.llm.pii import op3_pii
 from pricelake.llm.separators import op6_token_counts
 from pricelake.llm.topk import ORACLE as TOP_K_SQL
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_toxicity": op7_toxicity,
+    "op8_html_text": op8_html_text,
     "op9_warc": op9_warc,
     "op10_exact_top_k": op10_exact_top_k,
 }
