@@ -8,6 +8,7 @@ from pricelake.llm.decontaminate import op1_template_decontamination
 from pricelake.llm.html import op8_html_text
 from pricelake.llm.pii import op3_pii
 from pricelake.llm.separators import op6_token_counts
+from pricelake.llm.substrings import op2_substring_dedup
 from pricelake.llm.topk import ORACLE as TOP_K_SQL
 from pricelake.llm.topk import op10_exact_top_k
 from pricelake.llm.toxicity import op7_toxicity
@@ -16,6 +17,7 @@ from pricelake.llm.warc import op9_warc
 
 QUERIES = {
     "op1_template_decontamination": op1_template_decontamination,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_pii": op3_pii,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
