@@ -11,14 +11,18 @@ Only points up to a time by which all registers are almost surely filled are
 drawn (the time is raised for the documents where one is empty), so a document
 costs about its shingles plus m log m points, not m per shingle.
 
-Signatures are banded (32 bands of 5 registers: a pair at similarity 0.8 is
-missed with a chance of 3e-6). In each bucket every member is paired with the
-smallest id (the centre), not with every other. A pair whose signatures agree
-in under ``LEAST`` registers is dropped (a pair at similarity 0.8 does so with
-a chance under 1e-8); of the others the exact multiset overlap is counted.
-Members that the centre does not reach become centres themselves, a few per
-bucket and round, until no bucket holds an unchecked pair of two classes.
-Exact copies are collapsed before banding.
+Exact copies are collapsed, then signatures are banded (32 bands of 5 registers:
+a pair at similarity 0.8 shares no bucket with a chance of 3e-6). Candidates are
+all pairs in a bucket of at most ``SMALL`` documents; in a larger one every
+member with the smallest id (the centre), and, within the finer buckets that two
+neighbouring bands make (10 registers), every member with that bucket's centre
+again. So candidates grow with the members of the buckets, not their squares,
+and a member of a large group meets the centres of all buckets it is in.
+
+A candidate whose signatures agree in under ``LEAST`` registers is dropped (a
+pair at similarity 0.8 does so with a chance under 1e-8). Of the others the exact
+multiset overlap is counted: of each document the most agreeing pair first, then
+all whose ends are not connected by these.
 
 Defined cases: null, empty and blank texts have no shingle and are alone in
 their class; a text of one to four words is one shingle; repeated rows share
@@ -42,7 +46,8 @@ BANDS, ROWS = 32, 5
 REGISTERS = BANDS * ROWS
 SHINGLE = 5
 SIMILARITY = 0.8
-CENTRES = 64
+#: Buckets of at most so many documents give all their pairs.
+SMALL = 12
 #: Registers (of 160, by one byte each) in which a pair has to agree to be verified.
 LEAST = 96
 _EMPTY = np.inf
@@ -155,20 +160,20 @@ def _agreeing(batches):
     for batch in batches:
         if len(batch):
             x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(len(batch), -1) for k in (2, 3))
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array((x == y).sum(1) >= LEAST)) for c in batch.columns[:2]], names=["a", "b"])
+            same = (x == y).sum(1)
+            good = pa.array(same >= LEAST)
+            yield pa.RecordBatch.from_arrays([c.filter(good) for c in (*batch.columns[:2], pa.array(same.astype(np.int32)))], names=["a", "b", "same"])
 
 
 def promising(pairs: DataFrame, marks: DataFrame) -> DataFrame:
-    """Those pairs (a, b) whose signatures agree enough; marks: (rep, marks)."""
+    """(a, b, same): those pairs whose signatures agree enough, in how many registers; marks: (rep, marks)."""
     one = materialize(pairs.join(marks.toDF("b", "_y"), "b").select("a", "b", "_y"), "minhash-marked")
     both = one.join(marks.toDF("a", "_x"), "a").select("a", "b", "_x", "_y")
-    return materialize(both.mapInArrow(_agreeing, "a bigint, b bigint"), "minhash-promising")
+    return materialize(both.mapInArrow(_agreeing, "a bigint, b bigint, same int"), "minhash-promising")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Those pairs (a, b) whose multisets of shingles overlap enough."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    items = materialize(texts.join(ids, "doc_id", "left_semi").mapInArrow(_elements, "doc_id bigint, items array<bigint>"), "minhash-items")
+def verified(pairs: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
+    """Those pairs (a, b) whose multisets of shingles overlap enough; items: (doc_id, items)."""
     one = materialize(pairs.join(items.select(F.col("doc_id").alias("b"), F.col("items").alias("y")), "b"), "minhash-half")
     both = one.join(items.select(F.col("doc_id").alias("a"), F.col("items").alias("x")), "a")
     common = F.size(F.array_intersect("x", "y"))
@@ -193,6 +198,22 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def candidates(reps: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b) of (rep, bands) to look at."""
+    members = reps.select("rep", F.posexplode("bands").alias("_band", "bucket"), F.col("bands"))
+    finer = F.xxhash64("bucket", F.col("bands")[F.pmod(F.col("_band") + 1, F.lit(BANDS))])
+    members = members.select("rep", "bucket", finer.alias("finer"))
+    sizes = members.groupBy("bucket").agg(F.min("rep").alias("a"), F.max("rep").alias("_z"), F.count("*").alias("n")).where("a < _z").drop("_z")
+    shared = materialize(members.join(materialize(sizes, "minhash-buckets"), "bucket"), "minhash-shared")
+    star = shared.where("a < rep").select("a", F.col("rep").alias("b"))
+    large = shared.where(F.col("n") > SMALL)
+    centres = materialize(large.groupBy("finer").agg(F.min("rep").alias("a")), "minhash-centres")
+    fine = large.drop("a").join(centres, "finer").where("a < rep").select("a", F.col("rep").alias("b"))
+    few = shared.where(F.col("n") <= SMALL).groupBy("bucket").agg(F.sort_array(F.collect_set("rep")).alias("r"))  # at most SMALL each
+    few = few.select(F.explode(F.expr("flatten(transform(r, (x, i) -> transform(slice(r, i + 2, size(r)), y -> struct(x as a, y as b))))")).alias("p")).select("p.a", "p.b")
+    return star.union(fine).union(few).distinct()
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id``, ``class_id`` (the smallest doc_id of the class) for every row."""
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
@@ -200,36 +221,20 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
     known = signed.where("doc_id is not null and digest is not null")
     reps = known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("marks").alias("marks"))
     reps = materialize(reps, "minhash-reps")
-    marks = reps.groupBy("rep").agg(F.first("marks").alias("marks"))
-    members = reps.select("rep", F.explode("bands").alias("bucket"))
-    centres = members.groupBy("bucket").agg(F.min("rep").alias("a"), F.max("rep").alias("_z")).where("a < _z").drop("_z")
-    shared = materialize(members.join(materialize(centres, "minhash-centres"), "bucket").select("bucket", "a", F.col("rep").alias("b")), "minhash-shared")
-    checked = materialize(shared.where("a < b").select("a", "b").distinct(), "minhash-pairs")
-    texts_of = texts.where("doc_id is not null")
-    edges = verified(promising(checked, marks), texts_of, similarity)
+    marks = materialize(reps.groupBy("rep").agg(F.first("marks").alias("marks")), "minhash-marks")
+    pairs = materialize(candidates(reps), "minhash-pairs")
+    likely = promising(pairs, marks)
+    ids = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
+    items = texts.where("doc_id is not null").join(ids, "doc_id", "left_semi").mapInArrow(_elements, "doc_id bigint, items array<bigint>")
+    items = materialize(items, "minhash-items")
+
+    best = likely.groupBy("b").agg(F.max(F.struct("same", (-F.col("a")).alias("a"))).alias("m")).select((-F.col("m.a")).alias("a"), "b")
+    best = materialize(best, "minhash-best")
+    edges = verified(best, items, similarity)
     labels = components(edges)
-    spent = None
-    while True:
-        # Members that the first centre of their bucket does not reach become centres, CENTRES per bucket and round.
-        at = shared.join(labels.toDF("b", "_cb"), "b", "left").join(labels.toDF("a", "_ca"), "a", "left")
-        at = materialize(at.select("bucket", "b", F.coalesce("_ca", "a").alias("ca"), F.coalesce("_cb", "b").alias("cb")), "minhash-at")
-        pending = at.where("ca != cb")
-        if spent is not None:
-            pending = pending.join(spent, ["bucket", "b"], "left_anti")
-        some = pending.groupBy("bucket", F.pmod(F.xxhash64("b"), F.lit(CENTRES)).alias("_slot")).agg(F.min(F.struct("b", "cb")).alias("c"))
-        some = materialize(some.select("bucket", F.col("c.b").alias("x"), F.col("c.cb").alias("cx")), "minhash-some")
-        if not some.limit(1).count():
-            break
-        used = some.select("bucket", F.col("x").alias("b"))
-        spent = materialize(used if spent is None else spent.union(used), "minhash-spent")
-        more = some.join(at.select("bucket", "b", "cb"), "bucket").where("cx != cb")
-        more = more.select(F.least("x", "b").alias("a"), F.greatest("x", "b").alias("b")).distinct()
-        more = materialize(more.join(checked, ["a", "b"], "left_anti"), "minhash-more")
-        likely = promising(more, marks)
-        if likely.limit(1).count():
-            checked = materialize(checked.union(more), "minhash-checked")
-            edges = materialize(edges.union(verified(likely, texts_of, similarity)), "minhash-all-edges")
-            labels = components(edges)
+    rest = likely.select("a", "b").join(best, ["a", "b"], "left_anti").join(labels.toDF("a", "_ca"), "a", "left").join(labels.toDF("b", "_cb"), "b", "left")
+    rest = materialize(rest.where(F.coalesce("_ca", "a") != F.coalesce("_cb", "b")).select("a", "b"), "minhash-rest")
+    labels = components(edges.union(verified(rest, items, similarity)))
     rep_class = reps.select("digest", "rep").join(labels.toDF("rep", "comp"), "rep", "left")
     rep_class = materialize(rep_class.groupBy("digest").agg(F.min(F.coalesce("comp", "rep")).alias("class_id")), "minhash-classes")
     out = signed.select("doc_id", "digest").join(rep_class, "digest", "left")
