@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 FIXED_INGESTED_AT = "2024-01-01T00:00:00+00:00"
 FROM_DATE = "1997-01-01"
 SINGLE_SYMBOL = "ALL"
+ONE_SYMBOL = "1-URGENT"
 EXTERNAL_SYMBOL = "EXT"
 SEQ_WINDOW = 30
 FORECAST_HORIZON = 365

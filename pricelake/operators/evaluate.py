@@ -12,8 +12,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from pricelake.functions.numeric import is_missing
 from pricelake.operators.ordering import DEFAULT_BLOCK_ROWS, with_lookback
+from pricelake.operators.reshape import listed
 
 
 def baseline_predictions(
@@ -51,8 +54,10 @@ def regression_metrics(predictions: DataFrame, by: Sequence[str] = ("model",)) -
     """MAE, RMSE and R^2 per group in one aggregate.
 
     R^2 = 1 - SSE / SST with SST = var_pop(real) * n; NULL when ``real`` is
-    constant (SST = 0) instead of a division error.
+    constant (SST = 0) instead of a division error. Only complete pairs count
+    (neither side missing or NaN).
     """
+    predictions = predictions.filter(~is_missing("pred", T.DoubleType()) & ~is_missing("real", T.DoubleType()))
     e = F.col("pred") - F.col("real")
     sst = F.var_pop("real") * F.count(F.lit(1))
     return predictions.groupBy(*by).agg(
@@ -64,18 +69,23 @@ def regression_metrics(predictions: DataFrame, by: Sequence[str] = ("model",)) -
 
 
 def leaderboard(predictions: DataFrame, by: Sequence[str] = ("model",), digits: int | None = 4) -> DataFrame:
-    """Metrics per model ranked by MAE (1 = best). The metric table has one
-    row per model, so ranking it in a single partition is cheap."""
+    """Metrics per model ranked by MAE (1 = best), then rounded. With further
+    keys in ``by`` (a symbol) models are ranked within each; the metric table
+    has one row per model there, so a rank's partition is small."""
     m = regression_metrics(predictions, by)
-    if digits is not None:
-        m = m.select(*by, "n", *[F.round(c, digits).alias(c) for c in ("mae", "rmse", "r2")])
-    return m.withColumn("rank", F.rank().over(Window.orderBy(F.col("mae").asc_nulls_last())))
+    within = Window.partitionBy(*[k for k in by if k != "model"]).orderBy(F.col("mae").asc_nulls_last())
+    m = m.withColumn("rank", F.rank().over(within))
+    if digits is None:
+        return m
+    return m.select(*by, "n", *[F.round(c, digits).alias(c) for c in ("mae", "rmse", "r2")], "rank")
 
 
 def compare_wide(predictions: DataFrame, models: Sequence[str], keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """Models side by side on the date axis: one row per ``(symbol, date)``,
     one column per model. A conditional aggregate over a known model list
-    (a pivot with explicit values: no extra job to find the models)."""
+    (a pivot with explicit values: no extra job to find the models); a model
+    that the list lacks is an error. The long table serves any number of models."""
+    predictions = listed(predictions, "model", models)
     aggs = [F.max("real").alias("real")]
     aggs += [F.max(F.when(F.col("model") == m, F.col("pred"))).alias(m) for m in models]
     return predictions.groupBy(*keys, "date").agg(*aggs)

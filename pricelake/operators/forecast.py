@@ -14,16 +14,15 @@ from pyspark.sql import functions as F
 
 from pricelake.operators.evaluate import regression_metrics
 from pricelake.operators.supervised import apply_minmax
-
-
-def _coef_array(coef: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(c)) for c in coef])
+from pricelake.session import materialize
 
 
 def dot(x: Column, coef: Sequence[float]) -> Column:
-    """sum_i x[i] * coef[i] as a higher-order expression (stays in codegen)."""
-    prods = F.zip_with(x, _coef_array(coef), lambda a, b: a * b)
-    return F.aggregate(prods, F.lit(0.0), lambda acc, v: acc + v)
+    """sum_i x[i] * coef[i], written out term by term: plain arithmetic that code generation takes whole."""
+    total = F.lit(0.0)
+    for i, c in enumerate(coef):
+        total = total + F.get(x, F.lit(i)) * F.lit(float(c))
+    return total
 
 
 def score_linear(samples: DataFrame, coef: Sequence[float], x_col: str = "X", out_col: str = "pred") -> DataFrame:
@@ -122,31 +121,60 @@ def fit_lag_model(
 
     ``kind='linear'``: normal equations; only the small Gram matrix is
     tree-aggregated, never the rows. ``kind='gbt'``: gradient-boosted trees.
-    ``per_symbol`` adds a one-hot symbol term, so one model serves many
-    series with its own level for each. Returns a fitted ``PipelineModel``
-    that reads the ``features`` / ``label`` columns of ``ml_frame``.
+    ``per_symbol`` gives every series its own level: features and label are
+    centred on the symbol's means (one aggregate, one join), which fits the
+    same coefficients as a term per symbol would, for any number of symbols
+    (see ``CentredModel``). Returns a fitted model that reads the ``features``
+    / ``label`` columns of ``ml_frame``.
     """
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
     from pyspark.ml.regression import GBTRegressor, LinearRegression
 
-    stages, features = [], "features"
     if per_symbol:
-        stages += [
-            StringIndexer(inputCol="symbol", outputCol="_sym_idx", handleInvalid="keep"),
-            OneHotEncoder(inputCol="_sym_idx", outputCol="_sym_vec", handleInvalid="keep"),
-            VectorAssembler(inputCols=["features", "_sym_vec"], outputCol="_features"),
-        ]
-        features = "_features"
+        means = materialize(symbol_means(train), "symbol-means")
+        inner = fit_lag_model(centred(train, means), weight_col, reg_param, kind)
+        return CentredModel(inner, means)
     if kind == "linear":
-        est = LinearRegression(featuresCol=features, labelCol="label", regParam=reg_param, solver="normal")
+        est = LinearRegression(featuresCol="features", labelCol="label", regParam=reg_param, solver="normal")
     elif kind == "gbt":
-        est = GBTRegressor(featuresCol=features, labelCol="label", seed=42)
+        est = GBTRegressor(featuresCol="features", labelCol="label", seed=42)
     else:
         raise ValueError(f"kind must be 'linear' or 'gbt', not {kind!r}")
     if weight_col:
         est = est.setWeightCol(weight_col)
-    return Pipeline(stages=[*stages, est]).fit(train)
+    return Pipeline(stages=[est]).fit(train)
+
+
+def symbol_means(frame: DataFrame, key: str = "symbol") -> DataFrame:
+    """(key, _mx, _my): the means of features and label per symbol, and over all rows under a NULL key (for symbols not seen)."""
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    means = [vector_to_array(Summarizer.mean(F.col("features"))).alias("_mx"), F.avg("label").alias("_my")]
+    return frame.groupBy(key).agg(*means).unionByName(frame.agg(*means).withColumn(key, F.lit(None).cast("string")))
+
+
+def centred(frame: DataFrame, means: DataFrame, key: str = "symbol") -> DataFrame:
+    """``frame`` with features and label less the symbol's means; ``_my`` is kept."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    whole = means.where(F.col(key).isNull()).select(F.col("_mx").alias("_ax"), F.col("_my").alias("_ay")).withColumn("_one", F.lit(1))
+    own = means.where(F.col(key).isNotNull())
+    d = frame.join(own, key, "left").withColumn("_one", F.lit(1)).join(F.broadcast(whole), "_one").drop("_one")  # one row
+    d = d.withColumn("_mx", F.coalesce("_mx", "_ax")).withColumn("_my", F.coalesce("_my", "_ay")).drop("_ax", "_ay")
+    x = F.zip_with(vector_to_array("features"), F.col("_mx"), lambda a, b: a - b)
+    return d.withColumn("features", array_to_vector(x)).withColumn("label", F.col("label") - F.col("_my")).drop("_mx")
+
+
+class CentredModel:
+    """A model of centred series; ``transform`` adds the symbol's mean back to label and prediction."""
+
+    def __init__(self, model, means: DataFrame):
+        self.model, self.means = model, means
+
+    def transform(self, frame: DataFrame) -> DataFrame:
+        d = self.model.transform(centred(frame, self.means))
+        return d.withColumn("prediction", F.col("prediction") + F.col("_my")).withColumn("label", F.col("label") + F.col("_my")).drop("_my")
 
 
 def score_model(model, samples: DataFrame, model_name: str, keys: Sequence[str] = ("symbol",)) -> DataFrame:

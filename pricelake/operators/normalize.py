@@ -49,10 +49,15 @@ def _get(key_sql: str) -> str:
     return f"try_element_at(_m, {key_sql})"
 
 
+# What Python's float() reads, without the type suffixes (1.5d, 2f) that a cast would take.
+NUMBER = r"(?i)^[+-]?([0-9]+\\.?[0-9]*([eE][+-]?[0-9]+)?|\\.[0-9]+([eE][+-]?[0-9]+)?|nan|inf|infinity)$"
+
+
 def _num(text_sql: str) -> str:
     """Number text -> DOUBLE or NULL. A bare NaN token comes out of the map
     quoted, so quotes are trimmed; 'NaN' / 'Infinity' parse as in Python."""
-    return f"try_cast(btrim(trim({text_sql}), '\"') AS DOUBLE)"
+    bare = f"btrim(trim({text_sql}), '\"')"
+    return f"CASE WHEN {bare} RLIKE '{NUMBER}' THEN try_cast({bare} AS DOUBLE) END"
 
 
 def _csv_fields(symbol: str) -> dict[str, str]:
@@ -91,12 +96,15 @@ def _provider_fields(default_ticker: str | None) -> dict[str, str]:
     null, empty or zero values become 0.0, NaN is kept, a non-number rejects
     the row."""
     default = sql_str(default_ticker) if default_ticker is not None else "CAST(NULL AS STRING)"
-    ticker = f"coalesce({_get(sql_str('ticker'))}, {default})"
+    # A message without a ticker still names it in its keys (Open_<ticker>).
+    prefix = PROVIDER_FIELD_NAMES["open"] + "_"
+    in_keys = f"substring(get(filter(map_keys(_m), k -> startswith(k, {sql_str(prefix)})), 0), {len(prefix) + 1})"
+    ticker = f"coalesce({_get(sql_str('ticker'))}, {in_keys}, {default})"
     raw = {f: _get(f"concat({sql_str(PROVIDER_FIELD_NAMES[f] + '_')}, {ticker})") for f in PRICE_FIELDS}
     empty = {f: f"({raw[f]} IS NULL OR btrim({raw[f]}, '\"') = '')" for f in PRICE_FIELDS}
     bad = " OR ".join(f"(NOT {empty[f]} AND {_num(raw[f])} IS NULL)" for f in PRICE_FIELDS)
     return {
-        "_reason": f"CASE WHEN _m IS NULL THEN {sql_str(MALFORMED)} WHEN {bad} THEN {sql_str(BAD_NUMBER)} END",
+        "_reason": f"CASE WHEN _m IS NULL THEN {sql_str(MALFORMED)} WHEN {ticker} IS NULL THEN {sql_str(UNKNOWN)} WHEN {bad} THEN {sql_str(BAD_NUMBER)} END",
         "symbol": ticker,
         "_date_text": _get(sql_str(PROVIDER_DATE_KEY)),
         **{f: f"CASE WHEN {empty[f]} THEN 0.0D ELSE {_num(raw[f])} END" for f in PRICE_FIELDS},
@@ -108,9 +116,11 @@ def _provider_fields(default_ticker: str | None) -> dict[str, str]:
 def _finish(messages: DataFrame, fields: dict[str, str]) -> DataFrame:
     """Parse once, evaluate the layout, parse the date, add the date reject,
     NULL every value of a rejected row."""
-    parsed = messages.select(
-        "topic", "value", parse_map(F.col("value")).alias("_m")
-    ).selectExpr("*", f"split({_get(sql_str(PACKED_KEY))}, ';', -1) AS _parts")
+    parsed = messages.select("topic", "value", parse_map(F.col("value")).alias("_m"))
+    # A key that comes twice: the last value counts, as json.loads reads it.
+    last = "transform(array_distinct(map_keys(_m)), k -> element_at(filter(map_entries(_m), e -> e.key = k), -1).value)"
+    once = f"CASE WHEN size(array_distinct(map_keys(_m))) < size(_m) THEN map_from_arrays(array_distinct(map_keys(_m)), {last}) ELSE _m END"
+    parsed = parsed.selectExpr("topic", "value", f"{once} AS _m").selectExpr("*", f"split({_get(sql_str(PACKED_KEY))}, ';', -1) AS _parts")
     d = parsed.selectExpr("topic", "value", *[f"{sql} AS {name}" for name, sql in fields.items()])
     d = d.withColumn("date", parse_date(F.col("_date_text")))
     d = d.selectExpr(

@@ -1,9 +1,9 @@
 """Profiling: summary statistics, missing counts, correlations, box plots,
 histograms (A1-A7, A9).
 
-Numeric columns are unpivoted to ``(symbol, column, value)`` once, so every
-statistic is a single grouped aggregate whatever the number of columns or
-series. Missing values (NULL or NaN) are left out of every statistic, as
+Sums and extremes come from one aggregate over the wide rows; only what needs
+the values one by one (quantiles, bins) unpivots them to ``(symbol, column,
+value)``. Missing values (NULL or NaN) are left out of every statistic, as
 pandas does.
 """
 
@@ -12,11 +12,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricelake.functions.numeric import is_missing
+from pricelake.operators.normalize import sql_str
 from pricelake.session import materialize
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -27,16 +28,27 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 
 
 def long_values(
-    df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("symbol",), persist: bool = False
+    df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("symbol",)
 ) -> DataFrame:
-    """``(keys, column, value DOUBLE)`` without missing values.
+    """``(keys, column, value DOUBLE)`` without missing values."""
+    d = df.select(*keys, *[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+    return d.unpivot(list(keys), [f"`{c}`" for c in columns], "column", "value").filter(~is_missing("value", T.DoubleType()))
 
-    With ``persist`` the result is written once to the shared checkpoint
-    folder, for statistics that read it in several branches (otherwise every
-    branch would recompute the upstream plan)."""
-    d = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
-    v = d.unpivot(list(keys), list(columns), "column", "value").filter(~is_missing("value", T.DoubleType()))
-    return materialize(v, "long-values") if persist else v
+
+def order_bin(x: Column) -> Column:
+    """A bin that never decreases with ``x`` and is narrow for any scale: 256
+    bins per power of two on either side of zero, so one huge value does not
+    push all others into one bin."""
+    log = F.floor(F.log2(F.abs(x)) * F.lit(256.0)).cast("int") + F.lit(300_000)
+    return F.when(x == 0, F.lit(0)).when(x > 0, log).otherwise(-log)
+
+
+def _locate(counts: DataFrame, g: Sequence[str], bin_col: str, n_col: str) -> DataFrame:
+    """Of (group, bin, n) the bins that hold a target rank of ``_t``, with the ranks they hold as ``_t`` and the rows before them as ``_start``."""
+    before = Window.partitionBy(*g).orderBy(bin_col).rowsBetween(Window.unboundedPreceding, -1)
+    d = counts.withColumn("_start", F.col("_from") + F.coalesce(F.sum(n_col).over(before), F.lit(0)))
+    hit = lambda t: (t["k"] >= F.col("_start")) & (t["k"] < F.col("_start") + F.col(n_col))
+    return d.withColumn("_t", F.filter("_t", hit)).filter(F.size("_t") > 0)
 
 
 def exact_quantiles(
@@ -48,29 +60,22 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles (linear interpolation between the order statistics at
     floor and ceil of p*(n-1), as pandas and SQL ``quantile_cont``) without
-    sending a whole group to one task.
-
-    1. count/min/max per group; each value gets an equal-width bin of its group;
-    2. distinct values with multiplicities per (group, bin) -- map-side combined;
-    3. a running count over the (at most ``bins``) bins of each group locates
-       the bin holding each target rank;
-    4. only the distinct values of those bins are ranked to pick the value.
-    A task therefore holds at most ``bins`` rows per group, or the distinct
-    values of one bin -- never the group. Returns ``(group, <name>...)``.
+    sending a whole group to one task, whatever the values' spread.
+
+    1. distinct values with multiplicities per group -- map-side combined,
+       written once, since the steps below read them several times;
+    2. counts per logarithmic bin (``order_bin``), a running count over them,
+       and so the bins that hold the target ranks;
+    3. the values of those bins, cut again into ``bins`` equal parts of the
+       bin's own range, located the same way;
+    4. only the distinct values of those parts are ranked.
+    A task holds at most the bins of a group (they do not grow with its rows),
+    or the distinct values of one part. Returns ``(group, <name>...)``.
     """
     g = list(group)
-    x = F.col(value)
-    st = v.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.min(x).alias("_lo"), F.max(x).alias("_hi"))
-    lo, hi = F.col("_lo"), F.col("_hi")
-    b = F.when(hi == lo, F.lit(0)).otherwise(
-        F.least(F.floor((x - lo) * F.lit(float(bins)) / (hi - lo)), F.lit(bins - 1))
-    ).cast("int")
-    # _n is constant per group, so carrying it as a grouping key costs nothing
-    # and saves joining the group stats back later.
-    dv = v.join(st, g).groupBy(*g, "_n", b.alias("_b"), x.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    bc = dv.groupBy(*g, "_n", "_b").agg(F.sum("_c").alias("_bc"))
-    before = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    bc = bc.withColumn("_start", F.coalesce(F.sum("_bc").over(before), F.lit(0)).cast("long"))
+    x = F.col(value).cast("double").alias("_v")
+    dv = materialize(v.filter(~is_missing(value, T.DoubleType())).groupBy(*g, x).agg(F.count(F.lit(1)).alias("_c")), "distinct-values")
+    dv = dv.withColumn("_b", order_bin(F.col("_v")))
     n1 = (F.col("_n") - F.lit(1)).cast("double")
     targets = F.array(
         *[
@@ -79,12 +84,17 @@ def exact_quantiles(
             for side, fn in (("lo", F.floor), ("hi", F.ceil))
         ]
     )
-    hit = lambda t: (t["k"] >= F.col("_start")) & (t["k"] < F.col("_start") + F.col("_bc"))
-    in_bin = bc.select(*g, "_b", "_start", F.filter(targets, hit).alias("_t")).filter(F.size("_t") > 0)
-    within = Window.partitionBy(*g, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = dv.join(in_bin, [*g, "_b"]).withColumn("_vs", F.col("_start") + F.coalesce(F.sum("_c").over(within), F.lit(0)))
-    at = lambda t: (t["k"] >= F.col("_vs")) & (t["k"] < F.col("_vs") + F.col("_c"))
-    picked = ranked.select(*g, "_n", "_v", F.explode(F.filter("_t", at)).alias("_t"))
+    counts = dv.groupBy(*g, "_b").agg(F.sum("_c").alias("_bc"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    counts = counts.withColumn("_n", F.sum("_bc").over(Window.partitionBy(*g)))
+    first = _locate(counts.withColumn("_t", targets).withColumn("_from", F.lit(0)), g, "_b", "_bc")
+    first = materialize(first.select(*g, "_b", "_n", "_lo", "_hi", "_t", F.col("_start").alias("_from")), "quantile-bins")
+
+    part = F.least(F.floor((F.col("_v") - F.col("_lo")) * F.lit(float(bins)) / (F.col("_hi") - F.col("_lo"))), F.lit(bins - 1))
+    inside = dv.join(first, [*g, "_b"]).withColumn("_p", F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(part).cast("int"))
+    parts = inside.groupBy(*g, "_b", "_p").agg(F.sum("_c").alias("_pc"), F.any_value("_t").alias("_t"), F.any_value("_from").alias("_from"))
+    second = _locate(parts, [*g, "_b"], "_p", "_pc").select(*g, "_b", "_p", F.col("_t").alias("_u"), F.col("_start").alias("_s"))
+    last = inside.join(materialize(second, "quantile-parts"), [*g, "_b", "_p"]).withColumn("_t", F.col("_u")).withColumn("_from", F.col("_s"))
+    picked = _locate(last, [*g, "_b", "_p"], "_v", "_c").select(*g, "_n", "_v", F.explode("_t").alias("_t"))
     sides = picked.groupBy(*g, "_n").agg(
         *[
             F.max(F.when((F.col("_t.q") == name) & (F.col("_t.side") == side), F.col("_v"))).alias(f"{name}_{side}")
@@ -99,51 +109,26 @@ def exact_quantiles(
     )
 
 
-# Largest group (in values) whose exact quantiles may be computed inside one
-# task by Spark's built-in ``percentile`` (it keeps a value -> count map).
-IN_TASK_LIMIT = 2_000_000
-
-
-def quantile_aggs(
-    v: DataFrame,
-    group: Sequence[str],
-    probs: Sequence[tuple[str, float]],
-    method: str = "exact",
-    accuracy: int = 10000,
-    in_task_limit: int = IN_TASK_LIMIT,
-) -> list | None:
-    """Aggregate expressions for the quantiles when they can run inside one
-    aggregate, or None when the distributed ``exact_quantiles`` is needed.
-
-    ``exact``: one small aggregate measures the largest group; groups proven
-    to be at most ``in_task_limit`` values use the built-in in-task
-    ``percentile``. ``approx``: ``percentile_approx``, always one pass.
-    """
+def quantiles(v: DataFrame, group: Sequence[str], probs: Sequence[tuple[str, float]], method: str = "exact", accuracy: int = 10000) -> DataFrame:
+    """``(group, <name>...)`` quantiles of ``value``: ``exact`` is the
+    distributed ``exact_quantiles``, for every size; ``approx`` is Spark's
+    ``percentile_approx`` in one pass. The caller chooses."""
     if method == "approx":
-        return [F.percentile_approx("value", F.lit(p), F.lit(accuracy)).alias(n) for n, p in probs]
+        return v.groupBy(*group).agg(*[F.percentile_approx("value", F.lit(p), F.lit(accuracy)).alias(n) for n, p in probs])
     if method != "exact":
         raise ValueError(f"method must be 'exact' or 'approx', not {method!r}")
-    biggest = v.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if biggest <= in_task_limit:
-        return [F.percentile("value", F.lit(p)).alias(n) for n, p in probs]
-    return None
+    return exact_quantiles(v, group, probs)
 
 
-def quantiles(
-    v: DataFrame,
-    group: Sequence[str],
-    probs: Sequence[tuple[str, float]],
-    method: str = "exact",
-    accuracy: int = 10000,
-    in_task_limit: int = IN_TASK_LIMIT,
-) -> DataFrame:
-    """``(group, <name>...)`` quantiles of ``value``: in one aggregate when the
-    measured group size allows it (see ``quantile_aggs``), otherwise with the
-    distributed ``exact_quantiles``. Both give the same exact answer."""
-    aggs = quantile_aggs(v, group, probs, method, accuracy, in_task_limit)
-    if aggs is not None:
-        return v.groupBy(*group).agg(*aggs)
-    return exact_quantiles(v, group, probs)
+def wide_stats(df: DataFrame, columns: Sequence[str], keys: Sequence[str], stats: dict) -> DataFrame:
+    """``(keys, column, <stat>...)`` from one aggregate over the wide rows; only
+    its small result is turned into one row per column. stats: name -> function
+    of a Column."""
+    number = lambda c: F.when(~is_missing(c, T.DoubleType()), F.col(f"`{c}`").cast("double"))
+    d = df.select(*keys, *[number(c).alias(f"_{i}") for i, c in enumerate(columns)])
+    one = d.groupBy(*keys).agg(*[f(F.col(f"_{i}")).alias(f"_{i}_{n}") for i in range(len(columns)) for n, f in stats.items()])
+    rows = [F.struct(F.lit(c).alias("column"), *[F.col(f"_{i}_{n}").alias(n) for n in stats]) for i, c in enumerate(columns)]
+    return one.select(*keys, F.inline(F.array(*rows)))
 
 
 def describe(
@@ -158,21 +143,11 @@ def describe(
     (exact and distributed by default, ``method='approx'`` for one pass).
     """
     columns = list(columns) if columns is not None else numeric_columns(df, keys)
-    v = long_values(df, columns, keys, persist=True)
     g = [*keys, "column"]
     probs = (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
-    moments = [
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    ]
-    cols = [*g, "count", "mean", "std", "min", "p25", "p50", "p75", "max"]
-    q_aggs = quantile_aggs(v, g, probs, method)
-    if q_aggs is not None:  # everything in one aggregate
-        return v.groupBy(*g).agg(*moments, *q_aggs).select(*cols)
-    return v.groupBy(*g).agg(*moments).join(exact_quantiles(v, g, probs), g).select(*cols)
+    moments = wide_stats(df, columns, keys, {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max})
+    q = quantiles(long_values(df, columns, keys), g, probs, method)
+    return moments.filter("count > 0").join(q, g).select(*g, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -184,7 +159,7 @@ def null_counts(df: DataFrame) -> DataFrame:
         aggs.append(F.count_if(is_missing(f.name, f.dataType)).alias(f"_m{i}"))
     one = df.agg(*aggs)
     rows = ", ".join(
-        f"named_struct('column', '{f.name}', 'dtype', '{f.dataType.simpleString()}', "
+        f"named_struct('column', {sql_str(f.name)}, 'dtype', '{f.dataType.simpleString()}', "
         f"'non_null', _rows - _m{i}, 'missing', _m{i}, 'rows', _rows)"
         for i, f in enumerate(fields)
     )
@@ -203,14 +178,14 @@ def corr_matrix(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("s
     if date_col is not None:
         d = d.withColumn(date_col, F.unix_date(F.col(date_col)).cast("double"))
         cols = [date_col, *cols]
-    d = d.select(*keys, *[F.when(~is_missing(c, T.DoubleType()), F.col(c).cast("double")).alias(c) for c in cols])
+    d = d.select(*keys, *[F.when(~is_missing(c, T.DoubleType()), F.col(f"`{c}`").cast("double")).alias(c) for c in cols])
     pairs = [(a, a) for a in cols] + list(combinations(cols, 2))
-    agg = d.groupBy(*keys).agg(*[F.corr(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
+    agg = d.groupBy(*keys).agg(*[F.corr(f"`{a}`", f"`{b}`").alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
     cells = []
     for i, (a, b) in enumerate(pairs):
-        cells.append(f"named_struct('col_a', '{a}', 'col_b', '{b}', 'r', _{i})")
+        cells.append(f"named_struct('col_a', {sql_str(a)}, 'col_b', {sql_str(b)}, 'r', _{i})")
         if a != b:
-            cells.append(f"named_struct('col_a', '{b}', 'col_b', '{a}', 'r', _{i})")
+            cells.append(f"named_struct('col_a', {sql_str(b)}, 'col_b', {sql_str(a)}, 'r', _{i})")
     # One SQL expression for the whole matrix (one call, not hundreds of Column objects).
     return agg.selectExpr(*[f"`{k}`" for k in keys], f"inline(array({', '.join(cells)}))")
 
@@ -226,10 +201,10 @@ def outlier_stats(
     extreme values inside the fences (whisker ends) and the outlier count.
     Rows are counted, never removed.
 
-    Two passes: quartiles per group (a table of #series x #columns rows that
-    Spark broadcasts if small enough), then one aggregate against the fences.
+    Quartiles per group (a table of #series x #columns rows that Spark
+    broadcasts if small enough), then one aggregate against the fences.
     """
-    v = long_values(df, columns, keys, persist=True)
+    v = long_values(df, columns, keys)
     g = [*keys, "column"]
     q = quantiles(v, g, (("q1", 0.25), ("q3", 0.75)), method)
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
@@ -250,14 +225,18 @@ def outlier_stats(
 def histogram(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("symbol",), bins: int = 50) -> DataFrame:
     """Equal-width histogram per series and column, all ``bins`` bins (empty
     ones with count 0); the last bin is closed so the maximum falls in it.
-    A constant column puts every value in bin 1.
+    A constant column puts every value in bin 1. Infinite values have no bin
+    and are left out, as missing ones are.
 
-    min/max per group -> bin number per row -> grouped count; the bin grid
-    is generated from the small per-group table, not a cross join.
+    min/max per group (one wide aggregate, written once) -> bin number per
+    row -> grouped count; the bin grid is generated from the small per-group
+    table, not a cross join.
     """
-    v = long_values(df, columns, keys, persist=True)
+    v = long_values(df, columns, keys).filter(F.abs("value") < float("inf"))
     g = [*keys, "column"]
-    rng = v.groupBy(*g).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    finite = lambda f: lambda c: f(F.when(F.abs(c) < float("inf"), c))
+    rng = wide_stats(df, columns, keys, {"lo": finite(F.min), "hi": finite(F.max)}).filter("lo is not null")
+    rng = materialize(rng, "histogram-ranges")
     x, lo, hi = F.col("value"), F.col("lo"), F.col("hi")
     b = F.when(hi == lo, F.lit(1)).otherwise(
         F.least(F.floor((x - lo) * F.lit(float(bins)) / (hi - lo)) + F.lit(1), F.lit(bins))

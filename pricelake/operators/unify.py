@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelake.functions.dates import parse_date
+from pricelake.operators.normalize import sql_str
 from pricelake.schemas import PRICE_FIELDS, UNIFIED_COLUMNS
 
 # Fixed value: default source priority for "first wins" (provider rows first).
@@ -26,8 +27,8 @@ def canonical(df: DataFrame, symbol: str | None = None) -> DataFrame:
     def project(c: str):
         if c == "symbol" and c not in dtypes:
             return F.lit(symbol).cast("string").alias(c)
-        if c in PRICE_FIELDS:
-            return F.col(c).cast("double").alias(c)
+        if c in PRICE_FIELDS:  # a text that is no number is missing, and the row goes when the series is cleaned
+            return F.col(c).try_cast("double").alias(c)
         if c == "date":
             return (F.col(c) if dtypes[c] == "date" else parse_date(F.col(c).cast("string"))).alias(c)
         return F.col(c).cast("string").alias(c)
@@ -72,8 +73,8 @@ def dedupe_by_date(
 ) -> DataFrame:
     """Keep one row per ``keys`` under a total order.
 
-    Order: source priority, then earliest ``ingested_at``, then a hash of the
-    row so that even full ties resolve the same way on every run.
+    Order: source priority (a row without source comes last), then earliest
+    ``ingested_at``, then a hash of the row so that even full ties resolve the same way on every run.
 
     ``method='aggregate'`` (default): a ``min_by`` aggregate, which combines
     map-side before its shuffle. ``method='window'``: ``row_number() == 1``
@@ -82,27 +83,24 @@ def dedupe_by_date(
     reuse). Both keep the same row.
     """
     payload = [c for c in df.columns if c not in keys]
+    q = lambda c: f"`{c}`"
+    place = f"array_position(array({', '.join(sql_str(p) for p in priority)}), {q(source_col)})"
+    ts = f"try_to_timestamp({q(ingested_col)})"
+    # The one order of both methods: listed sources, then others, then rows without a source.
+    order = [
+        f"CASE WHEN {q(source_col)} IS NULL THEN {len(priority) + 2} WHEN {place} = 0 THEN {len(priority) + 1} ELSE {place} END",
+        f"{ts} IS NULL",
+        ts,
+        q(ingested_col),
+        f"xxhash64({', '.join(q(c) for c in payload)})",
+    ]
     if method == "window":
-        # The same order as one SQL window expression (one JVM call).
-        q = lambda c: f"`{c}`"
-        prio_sql = ", ".join("'" + p.replace("'", "\\'") + "'" for p in priority)
-        ts_sql = f"try_to_timestamp({q(ingested_col)})"
-        order = (
-            f"CASE array_position(array({prio_sql}), {q(source_col)}) WHEN 0 THEN {len(priority) + 1} "
-            f"ELSE array_position(array({prio_sql}), {q(source_col)}) END, "
-            f"{ts_sql} IS NULL, {ts_sql}, {q(ingested_col)}, xxhash64({', '.join(q(c) for c in payload)})"
-        )
-        rn = F.expr(f"row_number() OVER (PARTITION BY {', '.join(q(k) for k in keys)} ORDER BY {order})")
+        rn = F.expr(f"row_number() OVER (PARTITION BY {', '.join(q(k) for k in keys)} ORDER BY {', '.join(order)})")
         return df.withColumn("_rn", rn).filter(F.col("_rn") == 1).drop("_rn")
     if method != "aggregate":
         raise ValueError(f"method must be 'aggregate' or 'window', not {method!r}")
-    pos = F.array_position(F.array(*[F.lit(p) for p in priority]), F.col(source_col))
-    prio = F.when(pos == 0, F.lit(len(priority) + 1)).otherwise(pos)
-    ts = F.try_to_timestamp(F.col(ingested_col))
-    tie = F.xxhash64(*[F.col(c) for c in payload])
-    rank = F.struct(prio.alias("p"), ts.isNull().alias("tn"), ts.alias("t"), F.col(ingested_col).alias("s"), tie.alias("h"))
     return (
         df.groupBy(*keys)
-        .agg(F.min_by(F.struct(*[F.col(c) for c in payload]), rank).alias("_row"))
+        .agg(F.min_by(F.struct(*[F.col(c) for c in payload]), F.expr(f"struct({', '.join(order)})")).alias("_row"))
         .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in payload])
     )

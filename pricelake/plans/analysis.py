@@ -21,12 +21,12 @@ class Supervised:
     scaled: DataFrame  # indexed series with the scaled value column
 
 
-def clean_two_sources(spark: SparkSession, sf_dir: str, start: str | None = fixtures.FROM_DATE) -> DataFrame:
+def clean_two_sources(spark: SparkSession, sf_dir: str, start: str | None = None) -> DataFrame:
     """F1 (two overlapping sources) -> one clean, indexed row per date."""
     return clean_series(fixtures.two_sources(spark, sf_dir), start=start)
 
 
-def clean_multi(spark: SparkSession, sf_dir: str, start: str | None = fixtures.FROM_DATE) -> DataFrame:
+def clean_multi(spark: SparkSession, sf_dir: str, start: str | None = None) -> DataFrame:
     """F1m (one series per symbol) -> clean, indexed series."""
     return clean_series(fixtures.multi_symbol_unified(spark, sf_dir), start=start)
 

@@ -37,8 +37,8 @@ exti AS (SELECT *, CAST(row_number() OVER (PARTITION BY symbol ORDER BY date) -
 NOT_MISSING = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in ("open", "high", "low", "close", "volume"))
 
 
-def clean_from(src: str, name: str = "clean") -> str:
-    """dedupe (priority yfinance, csv) -> drop missing -> from-date -> idx."""
+def clean_from(src: str, name: str = "clean", start: str | None = None) -> str:
+    """dedupe (priority yfinance, csv) -> drop missing -> from-date, if any -> idx."""
     return f"""{name}_d AS (
   SELECT * FROM {src}
   QUALIFY row_number() OVER (PARTITION BY symbol, date
@@ -46,7 +46,7 @@ def clean_from(src: str, name: str = "clean") -> str:
 {name} AS (
   SELECT symbol, date, open, high, low, close, volume,
          CAST(row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS BIGINT) AS idx
-  FROM {name}_d WHERE date IS NOT NULL AND {NOT_MISSING} AND date >= {FROM_DATE})"""
+  FROM {name}_d WHERE date IS NOT NULL AND {NOT_MISSING}{f" AND date >= {start}" if start else ""})"""
 
 
 F1MU = f"""f1mu AS (SELECT *, 'yfinance' AS source, {INGESTED} AS ingested_at FROM f1m)"""
@@ -69,7 +69,7 @@ def with_(*ctes: str) -> str:
 
 ORACLE: dict[str, str] = {}
 
-ORACLE["features"] = with_(F1, clean_from("f1"), FEATURES) + """
+ORACLE["features"] = with_(F1, clean_from("f1", start=FROM_DATE), FEATURES) + """
 SELECT symbol, idx, date, open, high, low, close, volume, volatility, year, month, dayofweek,
        round(ma_20, 6) AS ma_20, round(log_close, 6) AS log_close, round(log_volume, 6) AS log_volume
 FROM feat"""
@@ -87,7 +87,7 @@ SELECT * FROM f1
 QUALIFY row_number() OVER (PARTITION BY symbol, date
         ORDER BY CASE source WHEN 'yfinance' THEN 1 WHEN 'csv' THEN 2 ELSE 3 END, ingested_at) = 1"""
 
-ORACLE["clean_series"] = with_(F1, clean_from("f1")) + "SELECT * FROM clean"
+ORACLE["clean_series"] = with_(F1, clean_from("f1", start=FROM_DATE)) + "SELECT * FROM clean"
 
 ORACLE["series_index"] = with_(F1M) + """
 SELECT symbol, date, CAST(row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS BIGINT) AS idx FROM f1m"""
@@ -301,9 +301,8 @@ SELECT model, symbol, n, round(mae, 6) AS mae, round(rmse, 6) AS rmse, round(r2,
 FROM (SELECT model, symbol, {METRICS} FROM f4 GROUP BY model, symbol)"""
 
 ORACLE["leaderboard"] = with_(F1M, F4) + f"""
-SELECT model, n, mae, rmse, r2, CAST(rank() OVER (ORDER BY mae) AS INTEGER) AS rank
-FROM (SELECT model, n, round(mae, 4) AS mae, round(rmse, 4) AS rmse, round(r2, 4) AS r2
-      FROM (SELECT model, {METRICS} FROM f4 GROUP BY model))"""
+SELECT model, n, round(mae, 4) AS mae, round(rmse, 4) AS rmse, round(r2, 4) AS r2, CAST(rank() OVER (ORDER BY mae) AS INTEGER) AS rank
+FROM (SELECT model, {METRICS} FROM f4 GROUP BY model)"""
 
 ORACLE["model_compare_wide"] = with_(F1M, F4) + """
 SELECT symbol, date, max(real) AS real, max(CASE WHEN model = 'naive' THEN pred END) AS naive,
@@ -408,7 +407,7 @@ ORACLE["provider_slice"] = with_(F1M) + f"SELECT * FROM f1m WHERE symbol = '1-UR
 # ---------------------------------------------------------------- sources and sinks
 
 ORACLE["src_csv"] = with_(F1) + """
-SELECT date, open, high, low, close, volume, CAST(NULL AS VARCHAR) AS _corrupt_record FROM f1 WHERE source = 'csv'"""
+SELECT date, open, high, low, close, volume, CAST(NULL AS VARCHAR) AS _corrupt_record FROM f1"""
 
 ORACLE["parquet_publish"] = with_(F1M, F1MU) + "SELECT * FROM f1mu"
 
@@ -418,7 +417,7 @@ ORACLE["predictions_csv"] = with_(F1M, F4) + "SELECT model, symbol, date, real,
 
 ORACLE["supervised_store"] = with_(*BASE, SV) + """
 SELECT s.symbol, s.idx, s.date, round(s.y, 6) AS y, s.split, p.mn AS min, p.mx AS max
-FROM sv_samples s JOIN sv_p p USING (symbol) WHERE split = 'test'"""
+FROM sv_samples s JOIN sv_p p USING (symbol)"""
 
 ORACLE["doc_roundtrip"] = with_(F1) + """
-SELECT symbol, date, open, high, low, close, volume, source, 'GC=F' AS ticker, ingested_at FROM f1 WHERE source = 'yfinance'"""
+SELECT symbol, date, open, high, low, close, volume, source, 'GC=F' AS ticker, ingested_at FROM f1"""

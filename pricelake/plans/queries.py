@@ -1,7 +1,9 @@
 """Registered queries: one per operator of the inventory, each over the whole
 driver tables (or data Spark derives from them).
 
-Every callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame.
+Every callable takes ``(spark, sf_dir)`` and returns a DataFrame. Those that
+write intermediate tables (quantiles, histogram, the supervised chain, sources
+and sinks) run jobs while they build it; the others are lazy.
 Computed doubles whose value depends on summation order are rounded to 6
 digits so they compare exactly with the SQL oracle; the library operators
 themselves never round.
@@ -26,10 +28,6 @@ from pricelake.streaming import land
 
 W = fixtures.SEQ_WINDOW
 
-# Fixed values of the multi-symbol fixture: the order priorities of the driver
-# tables are its symbols (named up front, so pivots need no discovery job).
-PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-
 
 def r6(c: str | Column) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
@@ -75,7 +73,7 @@ def q_dedupe_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_clean_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     _ready(spark)
-    return analysis.clean_two_sources(spark, sf_dir)
+    return analysis.clean_two_sources(spark, sf_dir, fixtures.FROM_DATE)
 
 
 def q_series_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +103,7 @@ def q_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: two sources -> unify -> one row per date -> clean from a date
     on -> volatility, calendar, guarded 20-row mean, logs."""
     _ready(spark)
-    f = analysis.feature_table(analysis.clean_two_sources(spark, sf_dir))
+    f = analysis.feature_table(analysis.clean_two_sources(spark, sf_dir, fixtures.FROM_DATE))
     return f.select(
         "symbol",
         "idx",
@@ -408,14 +406,15 @@ def q_string_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_flatten_provider(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: long multi-ticker frame -> flat ``Field_TICKER`` columns per date."""
     _ready(spark)
-    return reshape.flatten(fixtures.multi_symbol(spark, sf_dir), PRIORITIES)
+    m = fixtures.multi_symbol(spark, sf_dir)
+    return reshape.flatten(m, reshape.values_of(m, "symbol"))
 
 
 def q_provider_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S4 + S5: one ticker from a start date (filters reach the scan)."""
     _ready(spark)
     m = fixtures.multi_symbol(spark, sf_dir)
-    return m.filter((F.col("symbol") == PRIORITIES[0]) & (F.col("date") >= F.to_date(F.lit(fixtures.FROM_DATE))))
+    return m.filter((F.col("symbol") == fixtures.ONE_SYMBOL) & (F.col("date") >= F.to_date(F.lit(fixtures.FROM_DATE))))
 
 
 # ---------------------------------------------------------------- sources and sinks (round trips)
@@ -424,7 +423,7 @@ def q_provider_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_src_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + S2: semicolon CSV with a header, read back with a declared schema."""
     _ready(spark)
-    f1 = fixtures.two_sources(spark, sf_dir).filter(F.col("source") == "csv")
+    f1 = fixtures.two_sources(spark, sf_dir)
     path = scratch_path(spark, "csv")
     out = f1.select(
         format_csv_date("date").alias("Date"),
@@ -465,12 +464,12 @@ def q_predictions_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_supervised_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Samples by split + scaler table persisted; the test split read back."""
+    """Samples by split + scaler table persisted; all splits read back."""
     _ready(spark)
     sv = _f1_supervised(spark, sf_dir)
     path = scratch_path(spark, "supervised")
     files.write_supervised(sv.samples, sv.params, path)
-    test, params = files.read_supervised(spark, path, "test")
+    test, params = files.read_supervised(spark, path)
     return test.join(params, "symbol").select("symbol", "idx", "date", r6("y").alias("y"), "split", "min", "max")
 
 
@@ -478,7 +477,7 @@ def q_doc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S14 + S15 with the file stand-in for the document store."""
     _ready(spark)
     path = scratch_path(spark, "documents")
-    docs = fixtures.two_sources(spark, sf_dir).filter(F.col("source") == "yfinance").withColumn("ticker", F.lit("GC=F"))
+    docs = fixtures.two_sources(spark, sf_dir).withColumn("ticker", F.lit("GC=F"))
     documents.write_documents(docs, fmt="json", path=path)
     schema = "symbol string, date date, open double, high double, low double, close double, volume double, source string, ticker string, ingested_at string"
     return documents.read_documents(spark, schema, fmt="json", path=path)

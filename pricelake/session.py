@@ -38,9 +38,12 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the SQL confs pricelake needs to an existing session."""
+    """Apply the SQL confs pricelake needs to an existing session. What the
+    session was built with (its SparkConf) is left as it is."""
+    given = spark.sparkContext.getConf()
     for k, v in SQL_CONF.items():
-        spark.conf.set(k, v)
+        if not given.contains(k):
+            spark.conf.set(k, v)
     checkpoint_dir(spark)
     return spark
 
@@ -51,7 +54,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this is set by the cluster (a folder every executor can
     reach). Only when it is unset, as in local tests, do we pick a folder
     ourselves and register it with ``setCheckpointDir`` (the conf itself
-    cannot be changed on a running session).
+    cannot be changed on a running session). Off local mode an unset folder is
+    an error: executors would each write to their own disk.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -60,10 +64,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(base)
         return base
     if not sc.getCheckpointDir():
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="pricelake-ckpt-"))
     return sc.getCheckpointDir()
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process on one machine."""
+    return master == "local" or master.startswith("local[")
+
+
 # Scratch paths handed out by this process, for ``release_scratch``.
 _SCRATCH: list[str] = []
 

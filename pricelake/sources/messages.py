@@ -14,6 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# A file zone's columns; ``topic`` is its partition directory. Declared, so nothing is read to infer it.
+ZONE = "key string, value string, topic string"
+
 RECORD_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -80,7 +83,7 @@ def read_topics(
             .load()
         )
         return df.select("topic", F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
-    df = spark.read.format(fmt).options(**options).load(path)
+    df = spark.read.format(fmt).options(**options).schema(ZONE).load(path)
     return df.filter(F.col("topic").isin(list(topics))).select("topic", "key", "value")
 
 
@@ -91,12 +94,6 @@ def read_raw_zone(spark: SparkSession, path: str, topics: Sequence[str] | None =
     Reading the sink's root directory goes through its ``_spark_metadata``
     log, so only files of committed micro-batches are read: partial output of
     a failed batch never shows up, and a replayed batch is not read twice."""
-    schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
-    df = spark.read.schema(schema).json(path)
-    df = df.select(
-        F.regexp_extract(F.col("_metadata.file_path"), r"topic=([^/]+)/", 1).alias("topic"),
-        "key",
-        "value",
-        F.col("_metadata.file_path").alias("file_path"),
-    )
+    df = spark.read.schema(ZONE).json(path)
+    df = df.select("topic", "key", "value", F.col("_metadata.file_path").alias("file_path"))
     return df if topics is None else df.filter(F.col("topic").isin(list(topics)))
