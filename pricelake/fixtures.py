@@ -18,6 +18,8 @@ ONE_SYMBOL = "1-URGENT"
 EXTERNAL_SYMBOL = "EXT"
 SEQ_WINDOW = 30
 FORECAST_HORIZON = 365
+TICKS_A_DAY = 10**13
+TICK_BLOCK_ROWS = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +63,14 @@ def multi_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("symbol", "date", "open", "high", "low", "close", "volume")
 
 
+def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1m written once: ``series_index`` reads its input in two branches that
+    need different columns, so Spark would aggregate ``orders`` twice."""
+    from pricelake.session import materialize
+
+    return materialize(multi_symbol(spark, sf_dir), "daily")
+
+
 def multi_symbol_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1m in the unified layout (one source, fixed ingestion time)."""
     return multi_symbol(spark, sf_dir).select(
@@ -68,6 +78,22 @@ def multi_symbol_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """one row per order line, so a series grows with the data: symbol = return
+    flag, ``t`` = a unique, increasing time (day, order, line); the highest price where lines repeat."""
+    li = table(spark, sf_dir, "lineitem")
+    t = F.unix_date(F.col("l_shipdate").cast("date")).cast("bigint") * F.lit(TICKS_A_DAY) + F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    day = F.col("l_shipdate").cast("date")
+    return li.where("l_shipdate is not null").groupBy(F.col("l_returnflag").alias("symbol"), t.alias("t"), day.alias("date")).agg(F.max("l_extendedprice").alias("close"))
+
+
+def tick_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F6 with its position; the bucket is the day."""
+    from pricelake.operators.ordering import series_index
+
+    return series_index(ticks(spark, sf_dir), order_col="t", bucket=F.floor(F.col("t") / F.lit(TICKS_A_DAY)))
+
+
 def external_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F3 as the external table looks on disk: ``Date``, ``Close`` and other columns."""
     li = table(spark, sf_dir, "lineitem")
@@ -88,7 +114,7 @@ def prediction_table(spark: SparkSession, sf_dir: str, block_rows: int | None =
     from pricelake.operators.evaluate import baseline_predictions
     from pricelake.operators.ordering import series_index
 
-    series = series_index(multi_symbol(spark, sf_dir))
+    series = series_index(daily_series(spark, sf_dir))
     kw = {} if block_rows is None else {"block_rows": block_rows}
     return baseline_predictions(series, value_col="close", **kw)
 

@@ -67,8 +67,8 @@ def series_index(
     ``df`` (e.g. from ``partition_by_bucket``) is used as the bucket. Rows
     with a NULL key or NULL ordering value have no position and are left out.
     """
-    # One exchange by (keys, bucket) feeds the counts and the row numbers; without it a
-    # branch pruned to fewer columns would not share the other's shuffle (two scans).
+    # One exchange by (keys, bucket) feeds the counts and the row numbers. If the input is an
+    # aggregate whose value columns the counts prune, write it first (see fixtures.daily_series).
     d = df if "_bkt" in df.columns else partition_by_bucket(df, keys, order_col, bucket)
     # Stated once for both branches: the join would otherwise infer these
     # filters for the offsets branch only, and the two branches would no

@@ -124,7 +124,7 @@ def wide_stats(df: DataFrame, columns: Sequence[str], keys: Sequence[str], stats
     """``(keys, column, <stat>...)`` from one aggregate over the wide rows; only
     its small result is turned into one row per column. stats: name -> function
     of a Column."""
-    number = lambda c: F.when(~is_missing(c, T.DoubleType()), F.col(f"`{c}`").cast("double"))
+    number = lambda c: F.when(~is_missing(F.col(f"`{c}`"), T.DoubleType()), F.col(f"`{c}`").cast("double"))
     d = df.select(*keys, *[number(c).alias(f"_{i}") for i, c in enumerate(columns)])
     one = d.groupBy(*keys).agg(*[f(F.col(f"_{i}")).alias(f"_{i}_{n}") for i in range(len(columns)) for n, f in stats.items()])
     rows = [F.struct(F.lit(c).alias("column"), *[F.col(f"_{i}_{n}").alias(n) for n in stats]) for i, c in enumerate(columns)]
@@ -156,7 +156,7 @@ def null_counts(df: DataFrame) -> DataFrame:
     fields = df.schema.fields
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, f in enumerate(fields):
-        aggs.append(F.count_if(is_missing(f.name, f.dataType)).alias(f"_m{i}"))
+        aggs.append(F.count_if(is_missing(F.col(f"`{f.name}`"), f.dataType)).alias(f"_m{i}"))
     one = df.agg(*aggs)
     rows = ", ".join(
         f"named_struct('column', {sql_str(f.name)}, 'dtype', '{f.dataType.simpleString()}', "
@@ -178,7 +178,7 @@ def corr_matrix(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("s
     if date_col is not None:
         d = d.withColumn(date_col, F.unix_date(F.col(date_col)).cast("double"))
         cols = [date_col, *cols]
-    d = d.select(*keys, *[F.when(~is_missing(c, T.DoubleType()), F.col(f"`{c}`").cast("double")).alias(c) for c in cols])
+    d = d.select(*keys, *[F.when(~is_missing(F.col(f"`{c}`"), T.DoubleType()), F.col(f"`{c}`").cast("double")).alias(c) for c in cols])
     pairs = [(a, a) for a in cols] + list(combinations(cols, 2))
     agg = d.groupBy(*keys).agg(*[F.corr(f"`{a}`", f"`{b}`").alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
     cells = []

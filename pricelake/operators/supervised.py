@@ -89,10 +89,12 @@ def make_sequences(
     """
 
     def build(d, w):
-        return d.withColumn("X", F.collect_list(value_col).over(w.rowsBetween(-window, -1)))
+        frame = w.rowsBetween(-window, -1)
+        # The count alone decides which samples exist, so a caller that only wants labels prunes the arrays.
+        return d.withColumn("X", F.collect_list(value_col).over(frame)).withColumn("_seen", F.count(value_col).over(frame))
 
     seq = with_lookback(indexed, build, k=window, keys=keys, idx_col=idx_col, block_rows=block_rows)
-    return seq.filter(F.size("X") == window).select(
+    return seq.filter(F.col("_seen") == window).select(
         *keys, (F.col(idx_col) - F.lit(window)).alias("idx"), "date", "X", F.col(value_col).alias("y")
     )
 

@@ -19,4 +19,9 @@ def normalized(messages: DataFrame, symbol: str) -> DataFrame:
 
 def unified_from_messages(messages: DataFrame, symbol: str) -> DataFrame:
     """Good rows of both topics in the unified layout (P4 + U1)."""
-    return canonical(good_rows(normalized(messages, symbol)))
+    return unified(normalized(messages, symbol))
+
+
+def unified(normalized_rows: DataFrame) -> DataFrame:
+    """The good ones of normalised rows, in the unified layout."""
+    return canonical(good_rows(normalized_rows))

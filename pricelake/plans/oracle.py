@@ -184,7 +184,7 @@ FROM grid g LEFT JOIN cnt USING (symbol, "column", bin)"""
 WEIGHTS = [2.0 * i / (30 * 31) for i in range(1, 31)]
 
 
-def supervised_ctes(src: str, value: str, window: int, pct: int, p: str, val_pct: int | None = None) -> str:
+def supervised_ctes(src: str, value: str, window: int, pct: int, p: str, val_pct: int | None = None, fit_all: bool = False) -> str:
     """Scale ``value`` with min/max of the training rows, cut ``window``-step
     samples (x_00 oldest), label the split by position."""
     lags = ",\n         ".join(f"lag(xs, {window - j}) OVER w AS x_{j:02d}" for j in range(window))
@@ -196,7 +196,7 @@ def supervised_ctes(src: str, value: str, window: int, pct: int, p: str, val_pct
         )
     return f"""{p}_n AS (SELECT symbol, count(*) AS n_rows FROM {src} GROUP BY symbol),
 {p}_p AS (SELECT t.symbol, min({value}) AS mn, max({value}) AS mx FROM {src} t JOIN {p}_n USING (symbol)
-          WHERE t.idx < (n_rows - {window}) * {pct} // 100 + {window} GROUP BY t.symbol),
+          {"" if fit_all else f"WHERE t.idx < (n_rows - {window}) * {pct} // 100 + {window}"} GROUP BY t.symbol),
 {p}_s AS (SELECT t.*, mn, mx, CASE WHEN mx = mn THEN 0.0 ELSE ({value} - mn) / (mx - mn) END AS xs
           FROM {src} t JOIN {p}_p USING (symbol)),
 {p}_q AS (SELECT symbol, idx - {window} AS idx, date, xs AS y,
@@ -421,3 +421,99 @@ FROM sv_samples s JOIN sv_p p USING (symbol)"""
 
 ORACLE["doc_roundtrip"] = with_(F1) + """
 SELECT symbol, date, open, high, low, close, volume, source, 'GC=F' AS ticker, ingested_at FROM f1"""
+
+# ---------------------------------------------------------------- ticks
+
+F6 = """f6 AS (
+  SELECT l_returnflag AS symbol, CAST(l_shipdate AS DATE) AS date, max(l_extendedprice) AS close,
+         CAST(CAST(l_shipdate AS DATE) - DATE '1970-01-01' AS BIGINT) * 10000000000000 + l_orderkey * 10 + l_linenumber AS t
+  FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1, 2, 4),
+f6i AS (SELECT *, CAST(row_number() OVER (PARTITION BY symbol ORDER BY t) - 1 AS BIGINT) AS idx FROM f6)"""
+
+ORACLE["tick_rolling_mean"] = with_(F6) + """
+SELECT symbol, t, idx, close, round(CASE WHEN count(close) OVER w = 20 THEN avg(close) OVER w END, 6) AS ma_20
+FROM f6i WINDOW w AS (PARTITION BY symbol ORDER BY t ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"""
+
+ORACLE["tick_log_return"] = with_(F6) + """
+SELECT symbol, t, round(CASE WHEN close / lag(close) OVER w > 0 THEN ln(close / lag(close) OVER w) END, 6) AS log_return
+FROM f6i WINDOW w AS (PARTITION BY symbol ORDER BY t)"""
+
+ORACLE["tick_sequences"] = with_(F6) + """
+SELECT symbol, idx - 5 AS idx, date, close AS y, x_00, x_01, x_02, x_03, x_04
+FROM (SELECT *, """ + ", ".join(f"lag(close, {5 - j}) OVER w AS x_{j:02d}" for j in range(5)) + """
+      FROM f6i WINDOW w AS (PARTITION BY symbol ORDER BY t)) WHERE idx >= 5"""
+
+ORACLE["tick_baselines"] = with_(F6.replace("f6i AS", "f1m AS"), F4.replace("ORDER BY date", "ORDER BY t")) + f"""
+SELECT model, symbol, n, round(mae, 6) AS mae, round(rmse, 6) AS rmse, round(r2, 6) AS r2
+FROM (SELECT model, symbol, {METRICS} FROM f4 GROUP BY model, symbol)"""
+
+ORACLE["tick_describe"] = with_(F6) + """
+SELECT symbol, 'close' AS "column", count(close) AS count, round(avg(close), 6) AS mean, round(stddev_samp(close), 6) AS std,
+       round(min(close), 6) AS min, round(quantile_cont(close, 0.25), 6) AS p25, round(quantile_cont(close, 0.5), 6) AS p50,
+       round(quantile_cont(close, 0.75), 6) AS p75, round(max(close), 6) AS max
+FROM f6 GROUP BY symbol"""
+
+ORACLE["minmax_scale_all"] = with_(*BASE, supervised_ctes("feat", "close", 30, 80, "sv", fit_all=True)) + """
+SELECT symbol, idx, date, close, mn AS min, mx AS max, round(xs, 6) AS close_scaled FROM sv_s"""
+
+# ---------------------------------------------------------------- end to end
+
+ORACLE["publish_pipeline"] = with_(F1, NORM, "good AS (SELECT * FROM norm WHERE reject_reason IS NULL)", clean_from("good")) + """
+SELECT 'clean' AS kind, symbol, date, open, high, low, close, volume, idx, CAST(NULL AS VARCHAR) AS topic, CAST(NULL AS VARCHAR) AS reject_reason
+FROM clean
+UNION ALL
+SELECT 'quarantine', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, topic, reject_reason FROM norm WHERE reject_reason IS NOT NULL"""
+
+# ---------------------------------------------------------------- fitted models: normal equations of two lags
+
+ORACLE["ml_frame"] = with_(*BASE, SV) + f"""
+SELECT symbol, idx, date, split, round(y, 6) AS y, {x_cols(30)} FROM sv_samples"""
+
+SV2 = supervised_ctes("feat", "close", 2, 80, "sv")
+EX2 = supervised_ctes("exti", "close", 2, 85, "ex")
+
+
+def fitted(src: str, name: str) -> str:
+    """Weighted least squares of y on x_00, x_01 and a constant over ``src`` (with weights w): one row (b0, b1, c)."""
+    m = ", ".join(f"sum(w * {v}) / sum(w) AS m_{v}" for v in ("x_00", "x_01", "y"))
+    s = ", ".join(
+        f"sum(w * ({a} - m_{a}) * ({b} - m_{b})) AS s_{i}"
+        for i, (a, b) in enumerate((("x_00", "x_00"), ("x_00", "x_01"), ("x_01", "x_01"), ("x_00", "y"), ("x_01", "y")))
+    )
+    return f"""{name}_m AS (SELECT {m} FROM {src}),
+{name}_s AS (SELECT {s}, any_value(m_x_00) AS m0, any_value(m_x_01) AS m1, any_value(m_y) AS my FROM {src}, {name}_m),
+{name}_b AS (SELECT (s_2 * s_3 - s_1 * s_4) / (s_0 * s_2 - s_1 * s_1) AS b0, (s_0 * s_4 - s_1 * s_3) / (s_0 * s_2 - s_1 * s_1) AS b1, m0, m1, my FROM {name}_s),
+{name} AS (SELECT b0, b1, my - b0 * m0 - b1 * m1 AS c FROM {name}_b)"""
+
+
+ORACLE["fit_lag_model"] = with_(
+    *BASE,
+    SV2,
+    "tr AS (SELECT *, 1.0::DOUBLE AS w FROM sv_samples WHERE split = 'train')",
+    fitted("tr", "fit"),
+    """f4 AS (
+  SELECT 'linear_fit' AS model, symbol, date, y AS real, b0 * x_00 + b1 * x_01 + c AS pred FROM sv_samples, fit WHERE split = 'test'
+  UNION ALL
+  SELECT 'linear_given', symbol, date, y, x_00 * (1.0::DOUBLE / 3) + x_01 * (2.0::DOUBLE / 3) FROM sv_samples WHERE split = 'test'
+  UNION ALL
+  SELECT 'naive', symbol, date, y, x_01 FROM sv_samples WHERE split = 'test')""",
+) + f"""
+SELECT model, n, round(mae, 4) AS mae, round(rmse, 4) AS rmse, round(r2, 4) AS r2, CAST(rank() OVER (ORDER BY mae) AS INTEGER) AS rank
+FROM (SELECT model, {METRICS} FROM f4 GROUP BY model)"""
+
+ORACLE["refit_compare"] = with_(
+    *BASE,
+    F3,
+    SV2,
+    EX2,
+    "tr AS (SELECT x_00, x_01, y, 1.0::DOUBLE AS w FROM sv_samples WHERE split = 'train')",
+    "ta AS (SELECT * FROM tr UNION ALL SELECT x_00, x_01, y, 0.1::DOUBLE FROM ex_samples WHERE split = 'train')",
+    fitted("tr", "before"),
+    fitted("ta", "after"),
+    """f4 AS (
+  SELECT 'before' AS stage, y AS real, b0 * x_00 + b1 * x_01 + c AS pred FROM ex_samples, before WHERE split = 'test'
+  UNION ALL
+  SELECT 'after', y, b0 * x_00 + b1 * x_01 + c FROM ex_samples, after WHERE split = 'test')""",
+) + f"""
+SELECT stage, n, round(mae, 6) AS mae, round(rmse, 6) AS rmse, round(r2, 6) AS r2
+FROM (SELECT stage, {METRICS} FROM f4 GROUP BY stage)"""

@@ -18,15 +18,16 @@ from pricelake import fixtures
 from pricelake.functions.dates import format_csv_date, format_provider_date, parse_date
 from pricelake.functions.strings import flatten_label, normalize_label
 from pricelake.operators import evaluate, features, forecast, normalize, ordering, profile, reshape, supervised
-from pricelake.operators.clean import series_head
+from pricelake.operators.clean import clean_series, series_head
 from pricelake.operators.unify import canonical, dedupe_by_date, stamp_provenance, unify_sources
 from pricelake.plans import analysis, ingest
-from pricelake.schemas import PREDICTIONS
-from pricelake.session import configure, scratch_path
+from pricelake.schemas import PREDICTIONS, PRICE_FIELDS
+from pricelake.session import configure, materialize, scratch_path
 from pricelake.sources import documents, files, messages
 from pricelake.streaming import land
 
 W = fixtures.SEQ_WINDOW
+W_FIT = 2  # lags of the fitted models: few enough to solve their normal equations in SQL
 
 
 def r6(c: str | Column) -> Column:
@@ -125,16 +126,53 @@ def q_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_rolling_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     _ready(spark)
-    s = ordering.series_index(fixtures.multi_symbol(spark, sf_dir))
+    s = ordering.series_index(fixtures.daily_series(spark, sf_dir))
     return features.rolling_mean(s, "close", 20).select("symbol", "date", "close", r6("ma_20").alias("ma_20"))
 
 
 def q_log_return(spark: SparkSession, sf_dir: str) -> DataFrame:
     _ready(spark)
-    s = ordering.series_index(fixtures.multi_symbol(spark, sf_dir))
+    s = ordering.series_index(fixtures.daily_series(spark, sf_dir))
     return features.log_return(s, "close").select("symbol", "date", "close", r6("log_return").alias("log_return"))
 
 
+def q_tick_rolling_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 on series that grow with the data, in blocks of 64 rows with halos."""
+    _ready(spark)
+    s = fixtures.tick_series(spark, sf_dir)
+    m = features.rolling_mean(s, "close", 20, block_rows=fixtures.TICK_BLOCK_ROWS)
+    return m.select("symbol", "t", "idx", "close", r6("ma_20").alias("ma_20"))
+
+
+def q_tick_log_return(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 on F6, in blocks of 64 rows."""
+    _ready(spark)
+    s = features.log_return(fixtures.tick_series(spark, sf_dir), "close", block_rows=fixtures.TICK_BLOCK_ROWS)
+    return s.select("symbol", "t", r6("log_return").alias("log_return"))
+
+
+def q_tick_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W3 on F6: five-step samples, in blocks of 64 rows."""
+    _ready(spark)
+    s = supervised.make_sequences(fixtures.tick_series(spark, sf_dir), "close", 5, block_rows=fixtures.TICK_BLOCK_ROWS)
+    return s.select("symbol", "idx", "date", "y", *[F.expr(f"X[{j}] AS x_{j:02d}") for j in range(5)])
+
+
+def q_tick_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 + A10 on F6: naive and trailing means scored per symbol."""
+    _ready(spark)
+    p = evaluate.baseline_predictions(fixtures.tick_series(spark, sf_dir), block_rows=fixtures.TICK_BLOCK_ROWS)
+    m = evaluate.regression_metrics(p, by=("model", "symbol"))
+    return m.select("model", "symbol", "n", *[r6(c).alias(c) for c in ("mae", "rmse", "r2")])
+
+
+def q_tick_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + A2 on F6."""
+    _ready(spark)
+    d = profile.describe(fixtures.ticks(spark, sf_dir), ["close"])
+    return d.select("symbol", "column", "count", *[r6(c).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
+
+
 def q_future_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T3 + X12: the 365 calendar days after each series' last date."""
     _ready(spark)
@@ -177,9 +215,9 @@ def q_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- supervised
 
 
-def _f1_supervised(spark: SparkSession, sf_dir: str, **kw) -> analysis.Supervised:
+def _f1_supervised(spark: SparkSession, sf_dir: str, window: int = W, **kw) -> analysis.Supervised:
     feat = analysis.feature_table(analysis.clean_two_sources(spark, sf_dir))
-    return analysis.supervised(feat, "close", W, **kw)
+    return analysis.supervised(feat, "close", window, **kw)
 
 
 def _x_columns(window: int) -> list[Column]:
@@ -195,6 +233,15 @@ def q_minmax_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_minmax_scale_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 with the scaler fitted on every row (fit_on='all')."""
+    _ready(spark)
+    sv = _f1_supervised(spark, sf_dir, fit_on="all")
+    return sv.scaled.join(sv.params, "symbol").select(
+        "symbol", "idx", "date", "close", "min", "max", r6("close_scaled").alias("close_scaled")
+    )
+
+
 def q_minmax_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J2 + X5: scale then map back with the broadcast-joined parameters."""
     _ready(spark)
@@ -229,8 +276,8 @@ def q_temporal_split_3way(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _f1_supervised(spark, sf_dir, val_pct_of_train=10).samples.select("symbol", "idx", "date", "split")
 
 
-def _ext_supervised(spark: SparkSession, sf_dir: str) -> analysis.Supervised:
-    return analysis.supervised(analysis.external_series(spark, sf_dir), "close", W, train_pct=85)
+def _ext_supervised(spark: SparkSession, sf_dir: str, window: int = W) -> analysis.Supervised:
+    return analysis.supervised(analysis.external_series(spark, sf_dir), "close", window, train_pct=85)
 
 
 def q_temporal_split_85(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -541,26 +588,41 @@ def q_reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return land.reconcile(landed, fixtures.expected_counts(spark, sf_dir))
 
 
-# ---------------------------------------------------------------- ML (rows-only checks)
+def q_publish_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """End to end: landed messages -> normalised -> quarantine table, and good
+    rows unified -> one per date -> clean -> published; both tables read back."""
+    _ready(spark)
+    raw = messages.read_raw_zone(spark, _landed(spark, sf_dir))
+    norm = materialize(ingest.normalized(raw, fixtures.SINGLE_SYMBOL), "normalized")
+    rejected, published = scratch_path(spark, "quarantine"), scratch_path(spark, "published")
+    files.publish_parquet(normalize.quarantined(norm), rejected, partition_by=("topic",))
+    files.publish_parquet(clean_series(ingest.unified(norm)), published)
+    clean = files.read_published(spark, published).select(F.lit("clean").alias("kind"), "symbol", "date", *PRICE_FIELDS, "idx")
+    bad = files.read_published(spark, rejected).where(F.length("raw") > 0)
+    return clean.unionByName(bad.select(F.lit("quarantine").alias("kind"), "topic", "reject_reason"), allowMissingColumns=True)
+
+
+# ---------------------------------------------------------------- ML
 
 
 def q_ml_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1 + X14: sample arrays as ML feature vectors."""
     _ready(spark)
-    s = _f1_supervised(spark, sf_dir).samples
-    return forecast.ml_frame(s).select("symbol", "idx", "date", "split", "features", "label")
+    from pyspark.ml.functions import vector_to_array
+
+    s = forecast.ml_frame(_f1_supervised(spark, sf_dir).samples).withColumn("X", vector_to_array("features"))
+    return s.select("symbol", "idx", "date", "split", r6("label").alias("y"), *_x_columns(W))
 
 
 def q_fit_lag_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2 + M3 + M7: fit a linear lag model on train, score test, rank it
     against the given-weights model and the naive baseline."""
     _ready(spark)
-    sv = _f1_supervised(spark, sf_dir)
-    frame = forecast.ml_frame(sv.samples)
+    frame = forecast.ml_frame(_f1_supervised(spark, sf_dir, window=W_FIT).samples)
     model = forecast.fit_lag_model(frame.filter(F.col("split") == "train"))
     test = frame.filter(F.col("split") == "test")
     fitted = forecast.score_model(model, test, "linear_fit")
-    given = forecast.score_linear(test, fixtures.linear_weights(W)).select(
+    given = forecast.score_linear(test, fixtures.linear_weights(W_FIT)).select(
         F.lit("linear_given").alias("model"), "symbol", "date", F.col("y").alias("real"), "pred"
     )
     naive = test.select(
@@ -572,9 +634,10 @@ def q_fit_lag_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_refit_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M8: before/after adding the external series at lower weight."""
     _ready(spark)
-    own = _f1_supervised(spark, sf_dir).samples
-    ext = _ext_supervised(spark, sf_dir).samples
-    return forecast.refit_compare(own, ext, external_weight=0.1)
+    own = _f1_supervised(spark, sf_dir, window=W_FIT).samples
+    ext = _ext_supervised(spark, sf_dir, W_FIT).samples
+    m = forecast.refit_compare(own, ext, external_weight=0.1)
+    return m.select("stage", "n", *[r6(c).alias(c) for c in ("mae", "rmse", "r2")])
 
 
 QUERIES = {
@@ -587,12 +650,18 @@ QUERIES = {
     "series_coverage": q_series_coverage,
     "rolling_mean": q_rolling_mean,
     "log_return": q_log_return,
+    "tick_rolling_mean": q_tick_rolling_mean,
+    "tick_log_return": q_tick_log_return,
+    "tick_sequences": q_tick_sequences,
+    "tick_baselines": q_tick_baselines,
+    "tick_describe": q_tick_describe,
     "future_dates": q_future_dates,
     "describe": q_describe,
     "corr_matrix": q_corr_matrix,
     "outlier_stats": q_outlier_stats,
     "histogram": q_histogram,
     "minmax_scale": q_minmax_scale,
+    "minmax_scale_all": q_minmax_scale_all,
     "minmax_roundtrip": q_minmax_roundtrip,
     "make_sequences": q_make_sequences,
     "make_sequences_60": q_make_sequences_60,
@@ -629,6 +698,7 @@ QUERIES = {
     "raw_scan": q_raw_scan,
     "stream_topic_counts": q_stream_topic_counts,
     "reconcile_counts": q_reconcile_counts,
+    "publish_pipeline": q_publish_pipeline,
     "ml_frame": q_ml_frame,
     "fit_lag_model": q_fit_lag_model,
     "refit_compare": q_refit_compare,

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricelake.functions.strings import normalize_header
@@ -41,13 +42,20 @@ def write_price_csv(df: DataFrame, path: str, sep: str = ";", mode: str = "overw
 
 
 def publish_parquet(
-    df: DataFrame, path: str, partition_by: Sequence[str] = ("symbol",), single_file: bool = False
+    df: DataFrame, path: str, partition_by: Sequence[str] = ("symbol",), files_per_value: int = 4
 ) -> None:
     """Publish a table as Parquet, partitioned by symbol; with dynamic
     partition overwrite a re-run replaces only the symbols it writes (an
-    idempotent load). ``single_file`` funnels the write through one task and
-    is for small exports only."""
-    out = df.coalesce(1) if single_file else df
+    idempotent load).
+
+    Rows are clustered first by (symbol, hash of the row modulo
+    ``files_per_value``), so a symbol gets at most that many files, and a hot
+    symbol is still written by several tasks. Raise it for large symbols; for
+    millions of symbols pass ``partition_by=()`` instead of a directory each."""
+    out = df
+    if partition_by:
+        part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(int(files_per_value)))
+        out = df.repartition(*[F.col(c) for c in partition_by], part)
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -95,8 +103,6 @@ def write_supervised(samples: DataFrame, params: DataFrame, path: str) -> None:
 
 
 def read_supervised(spark: SparkSession, path: str, split: str | None = None) -> tuple[DataFrame, DataFrame]:
-    from pyspark.sql import functions as F
-
     s = spark.read.parquet(f"{path}/samples")
     if split is not None:
         s = s.filter(F.col("split") == split)  # partition pruning on the split directory

@@ -62,21 +62,48 @@ def test_any_text_gets_exactly_one_outcome(spark):
     obj = st.dictionaries(keys, scalar, max_size=8)
     text = st.one_of(obj.map(lambda d: json.dumps(d)), st.text(max_size=30))
 
-    @settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
-    @given(st.lists(text, min_size=20, max_size=60))
-    def check(texts):
-        df = spark.createDataFrame([(i % 2 and "p" or "c", "k", t) for i, t in enumerate(texts)], "topic string, key string, value string")
-        rows = N.normalize_messages(df, ["c"], ["p"], "S").collect()
-        assert len(rows) == len(texts)
-        for r in rows:
-            if r.reject_reason is None:
-                assert r.date is not None and all(r[f] is not None for f in ("open", "high", "low", "close", "volume"))
-            else:
-                assert r.reject_reason in {N.MALFORMED, N.UNKNOWN, N.BAD_ARITY, N.NULL_VALUE, N.BAD_NUMBER, N.BAD_DATE}
-                assert r.date is None and r.raw is not None
-
-    for _ in range(5):
-        check()
+    seen = []  # at least 60 drawn lists; all texts go through one Spark job
+
+    @settings(max_examples=60, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(text, min_size=8, max_size=30))
+    def draw(texts):
+        seen.extend(texts)
+
+    draw()
+    assert len(set(seen)) > 100
+    df = spark.createDataFrame([(i % 2 and "p" or "c", "k", t) for i, t in enumerate(seen)], "topic string, key string, value string")
+    rows = N.normalize_messages(df, ["c"], ["p"], "S").collect()
+    assert len(rows) == len(seen)
+    for r in rows:
+        if r.reject_reason is None:
+            assert r.date is not None and all(r[f] is not None for f in ("open", "high", "low", "close", "volume"))
+        else:
+            assert r.reject_reason in {N.MALFORMED, N.UNKNOWN, N.BAD_ARITY, N.NULL_VALUE, N.BAD_NUMBER, N.BAD_DATE}
+            assert r.date is None and r.raw is not None
+
+
+def test_provider_without_ticker_reads_it_from_its_keys(spark):
+    texts = ['{"Date":"2011-02-03 00:00:00","Open_X":1,"High_X":2,"Low_X":3,"Close_X":4,"Volume_X":5}', '{"Date":"2011-02-03 00:00:00","a":1}']
+    df = spark.createDataFrame([("p", "k", t) for t in texts], "topic string, key string, value string")
+    a, b = N.normalize_provider(df).collect()
+    assert (a.symbol, a.open, a.volume) == ("X", 1.0, 5.0) and b.reject_reason == N.UNKNOWN
+
+
+def test_number_texts_and_repeated_keys(spark):
+    row = '{"date":"2011.02.03 00:00","open":%s,"high":1,"low":1,"close":1,"volume":1%s}'
+    texts = [row % ('"1.5d"', ""), row % ('"2f"', ""), row % ("1e2", ""), row % ("1.0", ',"open":7.5'), row % ('"-Infinity"', "")]
+    df = spark.createDataFrame([("c", "k", t) for t in texts], "topic string, key string, value string")
+    rows = N.normalize_csv(df, "S").collect()
+    assert [r.reject_reason for r in rows] == ["bad_number", "bad_number", None, None, None]
+    assert [r.open for r in rows[2:]] == [100.0, 7.5, float("-inf")]
+
+
+def test_good_rows_and_quarantine_split_everything(spark):
+    texts = ['{"date":"2011.02.03 00:00","open":1,"high":1,"low":1,"close":1,"volume":1}', "{bad", '{"x":1}']
+    df = spark.createDataFrame([("c", "k", t) for t in texts], "topic string, key string, value string")
+    n = N.normalize_csv(df, "S")
+    assert [r.open for r in N.good_rows(n).collect()] == [1.0]
+    assert sorted((r.reject_reason, r.raw) for r in N.quarantined(n).collect()) == [("malformed_json", "{bad"), ("unknown_format", '{"x":1}')]
 
 
 def test_messages_parsed_once_in_one_pass(spark):

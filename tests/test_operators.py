@@ -161,19 +161,132 @@ def test_reconcile_statuses(spark):
     assert got == {"a": "ok", "b": "short", "c": "over", "d": "short"}
 
 
-def test_distributed_quantiles_equal_in_task(spark):
+def test_distributed_quantiles_equal_percentile(spark):
     import random
 
     rnd = random.Random(7)
-    rows = [("A", "c", float(rnd.randint(0, 50))) for _ in range(500)] + [("B", "c", rnd.random()) for _ in range(301)]
-    rows += [("C", "c", 4.0)] * 9
+    rows = [("A", "c", float(rnd.randint(-50, 50))) for _ in range(500)] + [("B", "c", rnd.random()) for _ in range(301)]
+    rows += [("C", "c", 4.0)] * 9 + [("D", "c", rnd.lognormvariate(0, 30) * rnd.choice([-1, 1])) for _ in range(400)]
     v = spark.createDataFrame(rows, "symbol string, column string, value double")
     probs = (("p25", 0.25), ("p50", 0.5), ("p75", 0.75), ("p0", 0.0), ("p100", 1.0))
     dist = {r.symbol: r for r in profile.exact_quantiles(v, ["symbol", "column"], probs, bins=8).collect()}
-    in_task = {r.symbol: r for r in profile.quantiles(v, ["symbol", "column"], probs).collect()}
-    for s in "ABC":
+    want = v.groupBy("symbol").agg(*[F.percentile("value", F.lit(p)).alias(n) for n, p in probs])
+    for r in want.collect():
         for n, _ in probs:
-            assert math.isclose(dist[s][n], in_task[s][n], rel_tol=1e-12, abs_tol=1e-12), (s, n)
+            assert math.isclose(dist[r.symbol][n], r[n], rel_tol=1e-9, abs_tol=1e-9), (r.symbol, n)
+
+
+def test_one_outlier_does_not_fill_one_bin(spark):
+    v = spark.range(1_000_000).select(F.lit("A").alias("symbol"), F.lit("c").alias("column"), (F.col("id") / 1e6 + 1).alias("value"))
+    v = v.union(spark.createDataFrame([("A", "c", 1e9)], "symbol string, column string, value double"))
+    fullest = v.groupBy(profile.order_bin(F.col("value"))).count().agg(F.max("count")).first()[0]
+    assert fullest < 10_000
+    q = profile.exact_quantiles(v, ["symbol"], (("p50", 0.5),)).first()
+    assert math.isclose(q.p50, 1.5, rel_tol=1e-9)
+
+
+def test_unlisted_symbol_is_an_error(spark):
+    import pytest
+
+    from pricelake.operators import reshape
+
+    df = spark.createDataFrame([("A", "2020-01-01", 1.0), ("B", "2020-01-01", 2.0)], "symbol string, date string, close double")
+    with pytest.raises(Exception, match="not listed"):
+        reshape.flatten(df, ["A"], fields=["close"]).collect()
+    assert reshape.values_of(df, "symbol") == ["A", "B"]
+    with pytest.raises(ValueError, match="long form"):
+        reshape.values_of(df, "symbol", limit=1)
+
+
+def test_per_symbol_fit_serves_thousands_of_symbols(spark):
+    """5,000 symbols, each with its own level: the slope is found and every level added back."""
+    from pricelake.operators import forecast
+
+    df = spark.range(20_000).selectExpr("cast(id % 5000 as string) AS symbol", "array(cast(id * 37 % 101 as double)) AS X", "2 * cast(id * 37 % 101 as double) + id % 5000 AS y", "date'2020-01-01' AS date")
+    frame = forecast.ml_frame(df)
+    model = forecast.fit_lag_model(frame, per_symbol=True)
+    worst = forecast.score_model(model, frame, "m").select(F.max(F.abs(F.col("pred") - F.col("real"))).alias("e")).first().e
+    assert worst < 1e-6
+
+
+def test_metrics_over_complete_pairs_and_rank_before_rounding(spark):
+    from pricelake.operators import evaluate
+
+    rows = [("m", 0.0, 5.0), ("m", 10.0, 15.0), ("m", 20.0, None), ("m", 30.0, float("nan"))]
+    r = evaluate.regression_metrics(spark.createDataFrame(rows, "model string, real double, pred double")).first()
+    assert (r.n, r.r2) == (2, 0.0)
+    rows = [("a", "s", 0.0, 0.01161), ("b", "s", 0.0, 0.01164), ("a", "t", 0.0, 9.0)]
+    board = evaluate.leaderboard(spark.createDataFrame(rows, "model string, symbol string, real double, pred double"), by=("model", "symbol"))
+    assert {(x.model, x.symbol): x["rank"] for x in board.collect()} == {("a", "s"): 1, ("b", "s"): 2, ("a", "t"): 1}
+
+
+def test_row_without_source_comes_last(spark):
+    from pricelake.operators.unify import dedupe_by_date
+
+    rows = [("A", "d", 1.0, None, "2020"), ("A", "d", 2.0, "csv", "2021"), ("A", "d", 3.0, "other", "2019")]
+    df = spark.createDataFrame(rows, "symbol string, date string, close double, source string, ingested_at string")
+    for method in ("aggregate", "window"):
+        assert dedupe_by_date(df, method=method).first().close == 2.0
+        assert dedupe_by_date(df.where("source is null or source = 'other'"), method=method).first().close == 3.0
+
+
+def test_bad_text_price_is_missing_not_an_error(spark):
+    from pricelake.operators.unify import canonical
+
+    df = spark.createDataFrame([("A", "2020-01-01 00:00:00", "n/a", "1", "1", "2", "3", "s", "t")], "symbol string, date string, open string, high string, low string, close string, volume string, source string, ingested_at string")
+    r = canonical(df).first()
+    assert r.open is None and r.close == 2.0
+
+
+def test_histogram_leaves_out_infinite_values_and_dotted_names_work(spark):
+    df = spark.createDataFrame([("A", 1.0), ("A", 2.0), ("A", float("inf")), ("A", 3.0)], "symbol string, `Open_X.B` double")
+    h = profile.histogram(df, ["Open_X.B"], bins=2).orderBy("bin").collect()
+    assert [r["count"] for r in h] == [1, 2] and h[0].bin_lo == 1.0 and h[1].bin_hi == 3.0
+    assert {r["column"]: r.missing for r in profile.null_counts(df).collect()} == {"symbol": 0, "Open_X.B": 0}
+
+
+def test_odd_topic_names_round_trip(spark, tmp_path):
+    from pricelake.sources import messages
+
+    topics = ["gold csv:1", "7"]
+    df = spark.createDataFrame([(t, None, "{}") for t in topics], "topic string, key string, value string")
+    messages.publish(df, fmt="json", path=str(tmp_path / "z"))
+    for t in topics:
+        assert [r.topic for r in messages.read_raw_zone(spark, str(tmp_path / "z"), [t]).collect()] == [t]
+        assert messages.read_topics(spark, [t], fmt="json", path=str(tmp_path / "z")).count() == 1
+
+
+def test_published_files_per_symbol_are_bounded(spark, tmp_path):
+    import glob
+
+    from pricelake.sources import files
+
+    df = spark.range(0, 4000, 1, 16).selectExpr("cast(id % 10 as string) AS symbol", "id AS v")
+    files.publish_parquet(df, str(tmp_path / "p"), files_per_value=3)
+    assert all(len(glob.glob(f"{tmp_path}/p/symbol={s}/*.parquet")) <= 3 for s in range(10))
+    assert files.read_published(spark, str(tmp_path / "p")).count() == 4000
+
+
+def test_series_entries_scan_orders_once(spark, monkeypatch):
+    """orders is read by the one job that writes the daily table, and by nothing after it."""
+    import __spark_entry__ as E
+    from pricelake import session
+
+    written = []
+    real = session.materialize
+    monkeypatch.setattr(session, "materialize", lambda df, name: (written.append(name), real(df, name))[1])
+    for key in ("rolling_mean", "log_return", "regression_metrics", "leaderboard", "model_compare_wide"):
+        written.clear()
+        df = E.queries()[key](spark, "/root/testdata/sf0.001")
+        df.collect()
+        assert "orders.parquet" not in df._jdf.queryExecution().executedPlan().toString(), key
+        assert written == ["daily"], key
+
+
+def test_no_scratch_folder_of_one_machine_off_local_mode():
+    from pricelake.session import is_local
+
+    assert is_local("local[8]") and is_local("local") and not is_local("local-cluster[3,2,1024]") and not is_local("yarn")
 
 
 def test_stamp_provenance_one_value_per_load(spark):

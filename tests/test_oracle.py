@@ -39,12 +39,12 @@ def con():
 
 
 def test_every_query_has_an_oracle_or_is_ml():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing <= {"ml_frame", "fit_lag_model", "refit_compare"}
+    missing = {k for k in set(E.queries()) - set(E.oracle_sql()) if k != "pipeline" and not k.startswith("op")}
+    assert not missing
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(k for k in E.oracle_sql() if not k.startswith("op")))
 def test_query_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF)
     res = con.execute(E.oracle_sql()[key])
