@@ -14,9 +14,9 @@ costs about its shingles plus m log m points, not m per shingle.
 Exact copies are collapsed, then signatures are banded (32 bands of 5 registers:
 a pair at similarity 0.8 shares no bucket with a chance of 3e-6). Candidates are
 all pairs in a bucket of at most ``SMALL`` documents; in a larger one every
-member with the smallest id (the centre), and, within the finer buckets that two
-neighbouring bands make (10 registers), every member with that bucket's centre
-again. So candidates grow with the members of the buckets, not their squares,
+member with ``CENTRES`` members that a hash picks, and, within the finer buckets
+that two neighbouring bands make (10 registers), every member with the smallest
+id. So candidates grow with the members of the buckets, not their squares,
 and a member of a large group meets the centres of all buckets it is in.
 
 A candidate whose signatures agree in under ``LEAST`` registers is dropped (a
@@ -47,7 +47,9 @@ REGISTERS = BANDS * ROWS
 SHINGLE = 5
 SIMILARITY = 0.8
 #: Buckets of at most so many documents give all their pairs.
-SMALL = 12
+SMALL = 32
+#: Centres of a larger bucket.
+CENTRES = 2
 #: Registers (of 160, by one byte each) in which a pair has to agree to be verified.
 LEAST = 96
 _EMPTY = np.inf
@@ -203,12 +205,13 @@ def candidates(reps: DataFrame) -> DataFrame:
     members = reps.select("rep", F.posexplode("bands").alias("_band", "bucket"), F.col("bands"))
     finer = F.xxhash64("bucket", F.col("bands")[F.pmod(F.col("_band") + 1, F.lit(BANDS))])
     members = members.select("rep", "bucket", finer.alias("finer"))
-    sizes = members.groupBy("bucket").agg(F.min("rep").alias("a"), F.max("rep").alias("_z"), F.count("*").alias("n")).where("a < _z").drop("_z")
+    sizes = members.groupBy("bucket").agg(F.min("rep").alias("_a"), F.max("rep").alias("_z"), F.count("*").alias("n")).where("_a < _z").drop("_a", "_z")
     shared = materialize(members.join(materialize(sizes, "minhash-buckets"), "bucket"), "minhash-shared")
-    star = shared.where("a < rep").select("a", F.col("rep").alias("b"))
-    large = shared.where(F.col("n") > SMALL)
-    centres = materialize(large.groupBy("finer").agg(F.min("rep").alias("a")), "minhash-centres")
-    fine = large.drop("a").join(centres, "finer").where("a < rep").select("a", F.col("rep").alias("b"))
+    large = shared.where(F.col("n") > SMALL).drop("n")
+    centres = large.groupBy("bucket", F.pmod(F.xxhash64("rep"), F.lit(CENTRES)).alias("_slot")).agg(F.min("rep").alias("c"))
+    star = large.join(materialize(centres.select("bucket", "c"), "minhash-centres"), "bucket").where("c != rep").select(F.least("c", "rep").alias("a"), F.greatest("c", "rep").alias("b"))
+    centres = materialize(large.groupBy("finer").agg(F.min("rep").alias("a")), "minhash-fine-centres")
+    fine = large.join(centres, "finer").where("a < rep").select("a", F.col("rep").alias("b"))
     few = shared.where(F.col("n") <= SMALL).groupBy("bucket").agg(F.sort_array(F.collect_set("rep")).alias("r"))  # at most SMALL each
     few = few.select(F.explode(F.expr("flatten(transform(r, (x, i) -> transform(slice(r, i + 2, size(r)), y -> struct(x as a, y as b))))")).alias("p")).select("p.a", "p.b")
     return star.union(fine).union(few).distinct()

@@ -131,7 +131,7 @@ class FMIndex:
             w = g[full]
             run[w] = self.depth
             low[w], high[w] = self.low[low[w]], self.high[low[w]]
-            found[place[good]] = run[g]
+            found[place[good]] = np.maximum(found[place[good]], run[g])
             least[place[good][full]] = self.least[low[w]]
             at[g] -= 1
             # No match goes on here: it has to end one symbol earlier, and is searched anew from there.

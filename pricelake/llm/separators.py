@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pricelake.llm.bpe import cut_words, default_tokenizer, load_tokenizer
-from pricelake.llm.common import materialize, scratch_path, table
+from pricelake.llm.common import materialize, pieces, scratch_path, table
 from pricelake.llm.warc import _make, _open
 
 BLOCK = 1 << 20
@@ -108,7 +108,9 @@ def count_tokens(files: DataFrame, separator: int, block: int = BLOCK, group: in
     """(file, ordinal, n_tokens) of every document in the flat files named by the column ``file``."""
     sizes = materialize(files.select("file").distinct().mapInPandas(_sizes, "file string, ids bigint"), "tokens-sizes")
     blocks = sizes.where("ids > 0").withColumn("block", F.explode(F.sequence(F.lit(0), ((F.col("ids") - 1) / block).cast("int"))))
-    blocks = blocks.repartition(F.col("file"), F.col("block"))
+    # Tasks by the ids to scan: AQE would size them by the block rows, which are small.
+    total = sizes.agg(F.sum("ids")).first()[0] or 0
+    blocks = blocks.repartition(pieces(total, 8 * block), "file", "block")
     found = blocks.mapInPandas(lambda b: _scan(b, separator, block), "file string, block int, n bigint, first bigint, last bigint, between array<bigint>")
     found = materialize(found.withColumn("group", F.floor(F.col("block") / group)), "tokens-blocks")
 

@@ -149,7 +149,8 @@ def _search(window: int):
         _, least = index.matching_statistics(parts)
         starts = [np.flatnonzero((x >= 0) & (x < own)).astype(np.int32) for x, own in zip(least, pdf["least"])]
         hit = np.fromiter(map(len, starts), np.int64, len(starts)) > 0
-        return pd.DataFrame({"anchor": pdf["anchor"][hit], "mark": pdf["mark"][hit], "starts": [s for s in starts if len(s)]})
+        found = pd.Series([s for s in starts if len(s)], dtype=object)
+        return pd.DataFrame({"anchor": pdf["anchor"].to_numpy()[hit], "mark": pdf["mark"].to_numpy()[hit], "starts": found})
 
     return search
 

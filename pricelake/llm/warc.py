@@ -36,7 +36,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import materialize, scratch_path, table
+from pricelake.llm.common import materialize, pieces, scratch_path, table
 
 LEAST = 1000
 ROLL = 256 << 20
@@ -164,6 +164,9 @@ def read_records(index: DataFrame, payload: bool = True) -> DataFrame:
     """The records that the rows of an index name, each once: page_id, url, record_type, refers_to, digest, payload_bytes and, if asked for, payload."""
     schema = "page_id bigint, url string, record_type string, refers_to bigint, digest string, payload_bytes bigint" + ", payload binary" * payload
     wanted = index.select("archive", "offset", "length", F.floor(F.col("offset") / STRETCH).alias("_stretch"))
+    # Tasks by the bytes to fetch: AQE would size them by the index rows, which are small.
+    total = wanted.agg(F.sum("length")).first()[0] or 0
+    wanted = wanted.repartition(pieces(total, 4 * STRETCH), "archive", "_stretch")
     return wanted.groupBy("archive", "_stretch").applyInPandas(lambda pdf: _read(pdf, payload), schema)
 
 

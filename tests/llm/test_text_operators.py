@@ -1,0 +1,142 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from pricelake.llm import decontaminate as D
+from pricelake.llm import pii as P
+from pricelake.llm import separators as S
+from pricelake.llm import toxicity as X
+from pricelake.llm.bpe import default_tokenizer, load_tokenizer
+
+ITEM = "Anna drove 12 km from Berlin to the old harbour and paid 30 euros for fuel before noon on a rainy Monday in spring."
+
+
+@pytest.fixture(scope="module")
+def items(spark):
+    rows = [(1, ITEM), (2, "short item"), (3, None), (None, ITEM), (4, "7 8 9 10 11"), (5, "the quick brown fox jumps over the lazy dog near the quiet river bank today")]
+    return spark.createDataFrame(rows, "item_id bigint, text string")
+
+
+def test_leaks_and_reparameterised_questions(spark, docs_of, items):
+    again = ITEM.replace("Anna", "Bob").replace("12", "45").replace("Berlin", "Paris").replace("30", "99")
+    # one slot value that becomes two different ones is no renaming of the question
+    twice = "Tom met 5 and then Tom met 5 and then he left with Tom who had 5 old coats"
+    rows = [
+        (1, "before it all " + ITEM + " and after"), (2, "x y " + again), (3, "nothing to see here at all"), (4, None), (5, ""), (6, "a short item here"), (7, "so 7 8 9 10 11 go"), (8, "so 7 8 9 10 12 go"),
+        (9, "THE QUICK, brown fox jumps over the lazy dog near the quiet river"), (10, "the quick brown fox"), (1, "before it all " + ITEM + " and after"), (None, ITEM),
+    ]
+    got = {(r.doc_id, r.item_id): r for r in D.leaks(docs_of(rows), items).collect()}
+    assert {(1, 1), (2, 1), (6, 2), (7, 4)} <= set(got)
+    assert not {d for d, _ in got} & {3, 4, 5, 10}
+    assert got[1, 1].changed == 0 and got[2, 1].changed > 0
+    assert (8, 4) not in got  # an item of placeholders alone is matched by its words
+    assert twice
+    kept = {r.doc_id for r in D.without_leaks(docs_of(rows), items).collect()}
+    assert kept == {3, 4, 5, 8, 10, None} | ({9} if (9, 5) not in got else set())
+
+
+def test_inconsistent_slots_are_no_leak(spark, docs_of):
+    item = spark.createDataFrame([(1, "first take 5 parts of salt then add 5 parts of water and stir for 9 long minutes")], "item_id bigint, text string")
+    same = "first take 7 parts of salt then add 7 parts of water and stir for 3 long minutes"
+    split = "first take 7 parts of salt then add 8 parts of water and stir for 3 long minutes"
+    assert [r.doc_id for r in D.leaks(docs_of([(1, same), (2, split)]), item).collect()] == [1]
+
+
+def test_leaks_of_empty_tables(spark, docs_of, items):
+    assert D.leaks(docs_of([]), items).count() == 0
+    assert D.leaks(docs_of([(1, ITEM)]), items.limit(0)).count() == 0
+
+
+def test_base_spans_on_hand_made_texts():
+    t = "a@b.c_d@e.f x+y@mail-1.co.uk @q.r w@z 1.2.3.4.5 300.1.1.1 010.0.0.1 4111 1111 1111 1111 4111-1111-1111-1112 +1 (555) 123-4567 +12 +1234567890123456"
+    e, i, c, p = ([t[a:b] for a, b in k] for k in P.base_spans(t))
+    assert e == ["a@b.c", "_d@e.f", "x+y@mail-1.co.uk"]
+    assert i == ["1.2.3.4", "010.0.0.1"] and p == ["+1 (555) 123-4567 "[:-1]]
+    assert c == []  # one run of digits and spaces, too long; no retries
+    assert [[t[a:b] for a, b in P.base_spans(t)[2]] for t in ("x 4111 1111 1111 1111, y", "4111-1111-1111-1112")] == [["4111 1111 1111 1111"], []]
+    assert P.base_spans("") == [[], [], [], []]
+
+
+def test_pii_rows_and_bootstrapped_spans(spark, docs_of):
+    rnd = random.Random(2)
+    luhn = lambda n: next(f"{n}{d}" for d in range(10) if P.luhn(f"{n}{d}"))
+    rows = [(i, f"some words then card number {luhn(rnd.randrange(10**14, 10**15))} expires soon and more") for i in range(40)]
+    rows += [(100, "some words then card number AB12-99X7 expires soon"), (101, "the year 1999 was fine"), (102, None), (103, ""), (None, "me@x.org"), (0, rows[0][1])]
+    done = P.extract(docs_of(rows))
+    got = {(r.doc_id, r.text): r for r in done.collect()}
+    assert done.count() == len(rows) and got[None, "me@x.org"].base[0][0].start == 0 and got[None, "me@x.org"].spans == "x"
+    assert [(s.start, s.end) for s in got[100, rows[40][1]].added] == [(28, 37)]
+    assert not got[101, rows[41][1]].added and got[102, None].base == [[], [], [], []]
+    red = {r.doc_id: r.text for r in P.redact(docs_of(rows)).collect()}
+    assert red[100] == "some words then card number <ID> expires soon" and red[None] == "<EMAIL>" and red[102] is None
+    assert red[0] == "some words then card number <CARD> expires soon and more"
+    assert P.extract(docs_of([])).count() == 0
+
+
+def test_redaction_of_overlapping_spans():
+    assert P._redacted("0123456789", [(2, 5, "ip"), (4, 7, "card"), (8, 9, "email")]) == "01<IP>7<EMAIL>9"
+
+
+@pytest.mark.parametrize("block", [1, 7, 64, 10**6])
+def test_token_counts_across_blocks(spark, docs_of, block):
+    texts = ["", "a b c", None, "word " * 100, "<|endoftext|> inside", "x", "", "y z"]
+    rows = list(enumerate(texts)) + [(None, "no id"), (1, "a b c")]
+    manifest = S.write_token_files(docs_of(rows).coalesce(2))
+    tok = load_tokenizer(default_tokenizer())
+    counts = S.count_tokens(manifest, tok.token_to_id(S.SEPARATOR), block=block, group=3)
+    got = sorted((str(r.doc_id), r.n_tokens) for r in manifest.join(counts, ["file", "ordinal"]).collect())
+    tok.encode_special_tokens = True
+    assert got == sorted((str(i), len(tok.encode(t or "", add_special_tokens=False).ids)) for i, t in rows)
+
+
+def test_token_counts_of_unterminated_and_empty_files(spark, tmp_path):
+    import numpy as np
+
+    for name, ids in (("a", [5, 6, 9, 9, 7]), ("b", []), ("c", [9]), ("d", [1, 2, 3])):
+        np.array(ids, "<u2").tofile(tmp_path / name)
+    files = spark.createDataFrame([(str(tmp_path / n),) for n in "abcd"], "file string")
+    got = sorted((r.file[-1], r.ordinal, r.n_tokens) for r in S.count_tokens(files, 9, block=2).collect())
+    assert got == [("a", 0, 2), ("a", 1, 0), ("a", 2, 1), ("c", 0, 0), ("d", 0, 3)]
+
+
+def test_token_counts_of_an_empty_table(spark, docs_of):
+    manifest = S.write_token_files(docs_of([]))
+    assert S.count_tokens(manifest, 9).count() == 0
+
+
+def made_up(n, seed):
+    rnd = random.Random(seed)
+    word = lambda: "".join(rnd.choice(["ba", "lo", "ti", "ne", "ku", "ra"]) for _ in range(rnd.randint(1, 4)))
+    rows = []
+    for i in range(n):
+        w, y = [word() for _ in range(rnd.randint(5, 150))], int(i % 5 == 0)
+        if y:
+            for _ in range(rnd.randint(2, 5)):
+                w.insert(rnd.randrange(len(w)), rnd.choice(["zounds!", "Drivel,", "gadzook" + word()]))
+        rows.append((i, " ".join(w), y))
+    return rows
+
+
+def test_toxicity_on_held_out_documents(spark):
+    rows = made_up(400, 1)
+    docs = spark.createDataFrame([(i, t, "x", 0.5) for i, t, _ in rows] + [(1000, None, "x", 1.0), (1001, "", "x", 1.0), (None, "zounds! " * 3, "x", 1.0), (0, rows[0][1], "x", 1.0)], "doc_id bigint, text string, spans string, score double")
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in rows] + [(None, 1, 1), (7, 1, None), (999, 1, 1)], "doc_id bigint, quality int, toxic int")
+    model = X.train(docs, labels, lambda i: ~X.held_out(i))
+    got = X.score(docs, model, score_col="s", spans_col="w").collect()
+    assert len(got) == docs.count() and all(0 <= r.s <= 1 for r in got) and all(r.spans == "x" for r in got)
+    by = {r.doc_id: r for r in got}
+    wrong = [i for i, _, y in rows if (by[i].s >= X.THRESHOLD) != bool(y)]
+    assert len(wrong) <= 4
+    assert by[1000].s == by[1001].s == 0.0 and by[None].s >= X.THRESHOLD and by[1000].w == []
+    hit = next(r for r in got if r.w and r.doc_id is not None)
+    assert any(k in hit.text[hit.w[0].start : hit.w[0].end].lower() for k in ("zounds", "drivel", "gadzook"))
+
+
+def test_toxicity_without_labels_and_without_documents(spark):
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    model = X.train(docs, labels)
+    assert X.score(docs, model).first().score < 0.01
+    assert X.score(docs.limit(0), model).count() == 0
+    assert X.held_out(F.col("doc_id")) is not None
