@@ -19,7 +19,7 @@ SQL_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "pricelake") -> SparkSession:
+def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "pricelake", checkpoint: str | None = None) -> SparkSession:
     """Session for tests and local runs; on a cluster use the cluster's own builder."""
     builder = (
         SparkSession.builder.master(master)
@@ -31,6 +31,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     )
     for k, v in SQL_CONF.items():
         builder = builder.config(k, v)
+    if checkpoint:
+        builder = builder.config("spark.checkpoint.dir", checkpoint)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     configure(spark)
