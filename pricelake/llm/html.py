@@ -209,7 +209,7 @@ def viterbi(scores: list[float], step: np.ndarray) -> list[int]:
     return out[::-1]
 
 
-def fit(pages: list[tuple[list[Block], list[int | None]]], epochs: int = 12, seed: int = 3) -> Model:
+def fit(pages: list[tuple[list[Block], list[int | None]]], epochs: int = 7, seed: int = 3) -> Model:
     """Stochastic gradient of the likelihood, page by page; blocks labelled None are summed out."""
     rng = np.random.default_rng(seed)
     w, m = np.zeros(DIMS), np.zeros((2, 2))
@@ -347,14 +347,17 @@ def marked_by_markup(blocks: list[Block]) -> list[int | None]:
     return out if 1 in out else [None] * len(out)
 
 
-def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_pages: int = 200, max_html: int = 50_000, built: int = 700, seed: int = 11) -> Model:
+def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_pages: int = 150, max_html: int = 50_000, built: int = 600, seed: int = 11) -> Model:
     rng = random.Random(seed)
     labelled = []
     for _ in range(built):
         blocks = leaf_blocks(built_page(rng))
         labelled.append((blocks, [int(b.mark or 0) for b in blocks]))
-    some = pages.where(F.length(html_col).between(1, max_html)).orderBy(F.xxhash64(F.col(id_col), F.lit("html"))).select(html_col).limit(max_pages).collect()
-    for (page,) in some:
+    fit_for = pages.where(F.length(html_col).between(1, max_html)).select(F.col(id_col).alias("_id"), F.col(html_col).alias("_html"))
+    # The ids are ordered alone: each task sends its first ids to the driver, not its first pages.
+    ids = fit_for.select("_id").where("_id is not null").orderBy(F.xxhash64("_id", F.lit("html")), "_id").limit(max_pages).distinct()
+    some = fit_for.join(F.broadcast(ids), "_id").groupBy("_id").agg(F.min("_html").alias("_html")).orderBy("_id").collect()
+    for _, page in some:
         blocks = leaf_blocks(page)
         labelled.append((blocks, marked_by_markup(blocks)))
     return fit([(b, y) for b, y in labelled if any(v is not None for v in y)])
