@@ -17,8 +17,8 @@ anchors at the same place.
    FM-index of them (``fm_index``); the segments are streamed through it by
    backward search, and the matching statistics that reach ``window`` words
    name the smallest document that holds each window.
-4. An anchor with more than ``HOT`` different segments (a passage in many
-   surroundings) would fill its shard: its segments are cut into single windows,
+4. An anchor whose segments have more words than a shard holds (a passage in
+   many surroundings) would make its shard too large: its segments are cut into single windows,
    of which those in more than one segment are dealt over all shards by their
    hash and go through the same index.
 5. The intervals of every occurrence are joined back to the documents.
@@ -50,7 +50,6 @@ from pricelake.llm.fm_index import FMIndex
 from pricelake.llm.words import WordHashes, gram_hashes, words_of
 
 WINDOW, GRAM = 50, 8
-HOT = 500
 SHARD_WORDS = 300_000
 
 
@@ -208,15 +207,16 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, text
     distinct = materialize(distinct, "repeat-segments")
     per_anchor = distinct.groupBy("anchor").agg(F.count("*").alias("n"), F.min("least").alias("a"), F.max("most").alias("z"), F.sum("size").alias("size"))
     per_anchor = materialize(per_anchor.where("a < z"), "repeat-per-anchor")
-    total = per_anchor.where(F.col("n").between(2, HOT)).agg(F.sum("size")).first()[0] or 0
+    fits = (F.col("n") > 1) & (F.col("size") <= SHARD_WORDS)
+    total = per_anchor.where(fits).agg(F.sum("size")).first()[0] or 0
     shards = pieces(total, SHARD_WORDS, shuffle_partitions(spark))
     result = "anchor bigint, mark bigint, starts array<int>"
 
-    cool = distinct.join(per_anchor.where(F.col("n").between(2, HOT)).select("anchor"), "anchor")
+    cool = distinct.join(per_anchor.where(fits).select("anchor"), "anchor")
     cool = cool.select("anchor", "mark", "least", "words", F.pmod(F.xxhash64("anchor", F.lit("shard")), F.lit(shards)).alias("_shard"))
     hits = cool.groupBy("_shard").applyInPandas(_search(window), result)
 
-    hot = distinct.join(per_anchor.where(F.col("n") > HOT).select("anchor"), "anchor").select("anchor", "mark", "least", "words")
+    hot = distinct.join(per_anchor.where(F.col("size") > SHARD_WORDS).select("anchor"), "anchor").select("anchor", "mark", "least", "words")
     cut = hot.mapInArrow(lambda b: _cut_windows(b, window), "anchor bigint, mark bigint, least bigint, start int, hash bigint, words binary")
     cut = materialize(cut, "repeat-hot-windows")
     several = cut.groupBy("hash").agg(F.min("least").alias("a"), F.max("least").alias("z"), F.first("words").alias("words")).where("a < z")

@@ -42,10 +42,10 @@ def corpus(seed):
     return list({str(r[0]): r for r in rows if r[0] is not None}.values()) + [rows[4], (None, rows[0][1])]
 
 
-@pytest.mark.parametrize("hot", [2, 500])
-def test_equal_to_brute_force(spark, docs_of, monkeypatch, hot):
-    monkeypatch.setattr(S, "HOT", hot)
-    rows = corpus(hot)
+@pytest.mark.parametrize("words", [60, 300_000])
+def test_equal_to_brute_force(spark, docs_of, monkeypatch, words):
+    monkeypatch.setattr(S, "SHARD_WORDS", words)
+    rows = corpus(words)
     got = S.remove_repeats(docs_of(rows).repartition(3), window=20, gram=5).collect()
     assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute(rows, 20)
     for r in got:
