@@ -228,7 +228,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
     pairs = materialize(candidates(reps), "minhash-pairs")
     likely = promising(pairs, marks)
     ids = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
-    items = texts.where("doc_id is not null").join(ids, "doc_id", "left_semi").mapInArrow(_elements, "doc_id bigint, items array<bigint>")
+    # ids grow with the input: the join is a shuffle at every size, not a broadcast at small ones.
+    items = texts.where("doc_id is not null").join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(_elements, "doc_id bigint, items array<bigint>")
     items = materialize(items, "minhash-items")
 
     best = likely.groupBy("b").agg(F.max(F.struct("same", (-F.col("a")).alias("a"))).alias("m")).select((-F.col("m.a")).alias("a"), "b")
