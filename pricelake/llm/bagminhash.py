@@ -13,16 +13,22 @@ costs about its shingles plus m log m points, not m per shingle.
 
 Exact copies are collapsed, then signatures are banded (32 bands of 5 registers:
 a pair at similarity 0.8 shares no bucket with a chance of 3e-6). Candidates are
-all pairs in a bucket of at most ``SMALL`` documents; in a larger one every
-member with ``CENTRES`` members that a hash picks, and, within the finer buckets
-that two neighbouring bands make (10 registers), every member with the smallest
-id. So candidates grow with the members of the buckets, not their squares,
-and a member of a large group meets the centres of all buckets it is in.
+all pairs in a bucket of at most ``SMALL`` documents; in a larger one first every
+member with ``CENTRES`` members (of each hash slot the one whose large buckets
+hold most documents, as an original's among its copies do), and, within the finer
+buckets that two neighbouring bands make (10 registers), every member with the
+smallest id. So these candidates grow with the members of the buckets, not their
+squares, and a member of a large group meets the centres of all buckets it is in.
 
 A candidate whose signatures agree in under ``LEAST`` registers is dropped (a
 pair at similarity 0.8 does so with a chance under 1e-8). Of the others the exact
 multiset overlap is counted: of each document the most agreeing pair first, then
-all whose ends are not connected by these.
+all whose ends are not connected by these. Then the pairs of large buckets that
+are still in two classes are compared, too: the bucket is dealt into blocks of
+about ``BLOCK`` members, those of its largest class apart, since they need not meet
+one another; each pair of blocks is one task's group and gives only the edges that
+join two classes of it. So rows grow with members x blocks, and no pair of a bucket
+is left out.
 
 Defined cases: null, empty and blank texts have no shingle and are alone in
 their class; a text of one to four words is one shingle; repeated rows share
@@ -50,6 +56,8 @@ SIMILARITY = 0.8
 SMALL = 32
 #: Centres of a larger bucket.
 CENTRES = 2
+#: About so many members of a larger bucket meet as many others in one group.
+BLOCK = 256
 #: Registers (of 160, by one byte each) in which a pair has to agree to be verified.
 LEAST = 96
 _EMPTY = np.inf
@@ -200,21 +208,76 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def candidates(reps: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of (rep, bands) to look at."""
+def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs (a < b) of (rep, bands) to look at first; (bucket, rep) of the members of large buckets."""
     members = reps.select("rep", F.posexplode("bands").alias("_band", "bucket"), F.col("bands"))
     finer = F.xxhash64("bucket", F.col("bands")[F.pmod(F.col("_band") + 1, F.lit(BANDS))])
     members = members.select("rep", "bucket", finer.alias("finer"))
     sizes = members.groupBy("bucket").agg(F.min("rep").alias("_a"), F.max("rep").alias("_z"), F.count("*").alias("n")).where("_a < _z").drop("_a", "_z")
     shared = materialize(members.join(materialize(sizes, "minhash-buckets"), "bucket"), "minhash-shared")
-    large = shared.where(F.col("n") > SMALL).drop("n")
-    centres = large.groupBy("bucket", F.pmod(F.xxhash64("rep"), F.lit(CENTRES)).alias("_slot")).agg(F.min("rep").alias("c"))
+    large = shared.where(F.col("n") > SMALL)
+    degrees = materialize(large.groupBy("rep").agg(F.sum("n").alias("degree")), "minhash-degrees")
+    large = materialize(large.drop("n").join(degrees, "rep"), "minhash-large")
+    centres = large.groupBy("bucket", F.pmod(F.xxhash64("rep"), F.lit(CENTRES)).alias("_slot")).agg((-F.max(F.struct("degree", (-F.col("rep")).alias("c")))["c"]).alias("c"))
     star = large.join(materialize(centres.select("bucket", "c"), "minhash-centres"), "bucket").where("c != rep").select(F.least("c", "rep").alias("a"), F.greatest("c", "rep").alias("b"))
     centres = materialize(large.groupBy("finer").agg(F.min("rep").alias("a")), "minhash-fine-centres")
     fine = large.join(centres, "finer").where("a < rep").select("a", F.col("rep").alias("b"))
     few = shared.where(F.col("n") <= SMALL).groupBy("bucket").agg(F.sort_array(F.collect_set("rep")).alias("r"))  # at most SMALL each
     few = few.select(F.explode(F.expr("flatten(transform(r, (x, i) -> transform(slice(r, i + 2, size(r)), y -> struct(x as a, y as b))))")).alias("p")).select("p.a", "p.b")
-    return star.union(fine).union(few).distinct()
+    return star.union(fine).union(few).distinct(), large.select("bucket", "rep").distinct()
+
+
+def _crossing(similarity: float):
+    """Edges between classes of one group (bucket, i, j): members of block i against those of block j."""
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        rep, label, block, i, j, bucket = (group[k].to_numpy() for k in ("rep", "comp", "block", "i", "j", "bucket"))
+        label, bucket, n = label.copy(), bucket[0], len(rep)
+        marks = np.frombuffer(b"".join(group["marks"].to_pylist()), np.uint8).reshape(n, -1)
+        bands = group["bands"].combine_chunks().flatten().to_numpy().reshape(n, -1)
+        items = group["items"].combine_chunks()
+        size = items.value_lengths().to_numpy()
+        x, y = np.flatnonzero(block == i[0]), np.flatnonzero(block == j[0])
+        edges = []
+        for at, one in enumerate(x):
+            others = x[at + 1 :] if i[0] == j[0] else y
+            others = others[(label[others] != label[one]) & (np.minimum(size[others], size[one]) >= similarity * np.maximum(size[others], size[one]) - 1e-9)]
+            same = (marks[others] == marks[one]).sum(1)
+            others, same = others[same >= LEAST], same[same >= LEAST]
+            # A pair is looked at in the first bucket it shares.
+            here = bands[one][(bands[others] == bands[one]).argmax(1)] == bucket
+            others, same = others[here], same[here]
+            mine = items[one].values.to_numpy() if len(others) else None
+            for other in others[np.argsort(-same, kind="stable")]:
+                if label[other] != label[one]:
+                    common = len(np.intersect1d(mine, items[other].values.to_numpy(), assume_unique=True))
+                    if common >= similarity * (size[one] + size[other] - common) - 1e-9:
+                        edges.append((rep[one], rep[other]))
+                        label[label == label[other]] = label[one]
+        a, b = np.array(edges, np.int64).reshape(-1, 2).T
+        return pa.table({"a": pa.array(np.ascontiguousarray(a)), "b": pa.array(np.ascontiguousarray(b))})
+
+    return run
+
+
+def across(large: DataFrame, labels: DataFrame, reps: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
+    """Verified edges (a, b) between members of a large bucket in different classes, enough of them to connect all that are linked.
+
+    large: (bucket, rep), labels: (node, comp) of those with an edge, reps: (rep, bands, marks), items: (doc_id, items)."""
+    met = large.join(labels.toDF("rep", "comp"), "rep", "left").select("bucket", "rep", F.coalesce("comp", "rep").alias("comp"))
+    met = materialize(met, "minhash-met")
+    parts = met.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
+    parts = parts.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n")).where("n > top.n")
+    parts = parts.select("bucket", F.col("top.comp").alias("main"), F.ceil(F.col("top.n") / BLOCK).alias("mains"), F.ceil((F.col("n") - F.col("top.n")) / BLOCK).alias("others"))
+    met = met.join(materialize(parts, "minhash-classes-met"), "bucket")
+    dealt = F.xxhash64("rep")
+    met = met.withColumn("block", F.expr("if(comp = main, others, 0)") + F.when(F.col("comp") == F.col("main"), F.pmod(dealt, F.col("mains"))).otherwise(F.pmod(dealt, F.col("others"))))
+    met = met.withColumn("_with", F.explode(F.expr("sequence(0L, if(comp = main, others, others + mains) - 1)")))
+    met = met.select("bucket", F.least("block", "_with").alias("i"), F.greatest("block", "_with").alias("j"), "block", "rep", "comp")
+    full = materialize(reps.select("rep", "bands", "marks").join(items.toDF("rep", "items"), "rep"), "minhash-full")
+    met = met.join(full.join(large.select("rep").distinct(), "rep", "left_semi"), "rep")
+    return materialize(met.groupBy("bucket", "i", "j").applyInArrow(_crossing(similarity), "a bigint, b bigint"), "minhash-across")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -225,9 +288,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
     reps = known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("marks").alias("marks"))
     reps = materialize(reps, "minhash-reps")
     marks = materialize(reps.groupBy("rep").agg(F.first("marks").alias("marks")), "minhash-marks")
-    pairs = materialize(candidates(reps), "minhash-pairs")
+    pairs, large = candidates(reps)
+    pairs, large = materialize(pairs, "minhash-pairs"), materialize(large, "minhash-large-members")
     likely = promising(pairs, marks)
-    ids = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
+    ids = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).union(large.select("rep")).distinct()
     # ids grow with the input: the join is a shuffle at every size, not a broadcast at small ones.
     items = texts.where("doc_id is not null").join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(_elements, "doc_id bigint, items array<bigint>")
     items = materialize(items, "minhash-items")
@@ -238,7 +302,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
     labels = components(edges)
     rest = likely.select("a", "b").join(best, ["a", "b"], "left_anti").join(labels.toDF("a", "_ca"), "a", "left").join(labels.toDF("b", "_cb"), "b", "left")
     rest = materialize(rest.where(F.coalesce("_ca", "a") != F.coalesce("_cb", "b")).select("a", "b"), "minhash-rest")
-    labels = components(edges.union(verified(rest, items, similarity)))
+    edges = edges.union(verified(rest, items, similarity))
+    labels = components(edges)
+    labels = components(edges.union(across(large, labels, reps, items, similarity)))
     rep_class = reps.select("digest", "rep").join(labels.toDF("rep", "comp"), "rep", "left")
     rep_class = materialize(rep_class.groupBy("digest").agg(F.min(F.coalesce("comp", "rep")).alias("class_id")), "minhash-classes")
     out = signed.select("doc_id", "digest").join(rep_class, "digest", "left")

@@ -65,6 +65,39 @@ def test_large_group_of_near_copies_is_one_class(spark, docs_of):
     assert {r.class_id for r in B.classes(docs_of(rows)).collect()} == {0}
 
 
+def star(copies=300, words=200, changed=3):
+    """An original with a middle id and copies linked to it, hardly to each other."""
+    rnd = random.Random(7)
+    base = [f"w{rnd.randrange(10**6)}" for _ in range(words)]
+    rows = []
+    for i in range(copies):
+        w = list(base)
+        for k in range(changed):  # far apart: 5 shingles each
+            part = words // changed
+            w[k * part + rnd.randrange(5, part - 5)] = f"x{i}_{k}"
+        rows.append((i + (i >= copies // 2), " ".join(w)))
+    return [*rows, (copies // 2, " ".join(base))]
+
+
+def test_copies_of_an_original_with_a_middle_id_are_one_class(spark, docs_of):
+    rows = star()
+    sets = dict((i, multiset(t)) for i, t in rows)
+    alike = lambda a, b: sum((sets[a] & sets[b]).values()) / sum((sets[a] | sets[b]).values())
+    assert all(alike(150, i) >= 0.85 for i in range(0, 301, 10))
+    assert sum(alike(a, b) < 0.8 for a in range(0, 100, 5) for b in range(101, 150, 5)) > 150
+    got = {r.doc_id: r.class_id for r in B.classes(docs_of(rows)).collect()}
+    assert got == brute(rows)
+
+
+def test_pairs_of_large_buckets_meet_without_any_first_candidate(spark, docs_of, monkeypatch):
+    rows = star(120)
+    monkeypatch.setattr(B, "SMALL", 2)
+    monkeypatch.setattr(B, "BLOCK", 16)
+    monkeypatch.setattr(B, "promising", lambda pairs, marks: pairs.selectExpr("a", "b", "0 same").where("false"))
+    got = {r.doc_id: r.class_id for r in B.classes(docs_of(rows)).collect()}
+    assert got == brute(rows)
+
+
 def test_repeated_rows_null_ids_and_empty_table(spark, docs_of):
     rows = [(5, "a b c d e f"), (5, "a b c d e f"), (2, "a b c d e f"), (None, "a b c d e f"), (9, None)]
     got = sorted(((r.doc_id, r.class_id) for r in B.classes(docs_of(rows)).collect()), key=str)
