@@ -3,7 +3,9 @@
 Words that an exam writer would vary become typed placeholders: ``<num>`` for
 tokens with digits or a number word, ``<unit>`` for units of measure and
 currencies, ``<name>`` for capitalised words inside a sentence (a run of names
-is one placeholder). The rest is lower-cased without punctuation. Documents
+is one placeholder). Capitalised words that open a sentence may be names or not, so
+windows are taken in two forms: with these as words and with these as names; an
+item's window counts as found if either form meets. The rest is lower-cased without punctuation. Documents
 and benchmark items are cut into windows of five template tokens; windows of
 placeholders alone say nothing about a template and take no part. The windows
 are joined by hash: a filter of fixed size, built from the benchmark's windows,
@@ -69,7 +71,12 @@ class Kinds(dict):
 
 def template(text: str | None, kinds: Kinds) -> tuple[list[int], list[str]]:
     """Kinds and values of a text's template tokens, in order. Tokens of punctuation alone are left out."""
-    types, values = [], []
+    return opened(text, kinds)[:2]
+
+
+def opened(text: str | None, kinds: Kinds) -> tuple[list[int], list[str], list[int]]:
+    """A text's template, and which of its tokens are capitalised words that open a sentence (names or not)."""
+    types, values, openers = [], [], []
     start = True
     for chunk in (text or "").split():
         kind, value, ends, capital = kinds[chunk]
@@ -79,10 +86,20 @@ def template(text: str | None, kinds: Kinds) -> tuple[list[int], list[str]]:
             if kind == NAME and types and types[-1] == NAME:
                 values[-1] += " " + value
             else:
+                if capital and start:
+                    openers.append(len(types))
                 types.append(kind)
                 values.append(value)
         start = ends if value else start or ends
-    return types, values
+    return types, values, openers
+
+
+def as_names(types: list[int], openers: list[int]) -> list[int]:
+    """The second form of a template: sentence openers are names. Positions stay."""
+    types = list(types)
+    for at in openers:
+        types[at] = NAME
+    return types
 
 
 def window_hashes(types: list[int], values: list[str], hashes: WordHashes, literal: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -102,15 +119,20 @@ def _item_windows(batches):
     for batch in batches:
         out = []
         for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            types, values = template(text, kinds)
+            types, values, openers = opened(text, kinds)
             found, plain = window_hashes(types, values, hashes)
             literal = not plain.any()
             if literal:
                 found, plain = window_hashes(types, values, hashes, True)
             n = int(plain.sum())
             for i in np.flatnonzero(plain):
-                out.append((int(found[i : i + 1].view(np.int64)[0]), item, int(i), n, literal, _slots(types, values, i)))
-        yield pa.RecordBatch.from_pydict({k: [o[j] for o in out] for j, k in enumerate(("hash", "item_id", "ipos", "n_windows", "literal", "islots"))}, schema=pa.schema([("hash", pa.int64()), ("item_id", pa.int64()), ("ipos", pa.int32()), ("n_windows", pa.int32()), ("literal", pa.bool_()), ("islots", pa.list_(pa.string()))]))
+                out.append((int(found[i : i + 1].view(np.int64)[0]), 0, item, int(i), n, literal, _slots(types, values, i)))
+            if openers and not literal:
+                named = as_names(types, openers)
+                found, also = window_hashes(named, values, hashes)
+                for i in np.flatnonzero(also & plain):
+                    out.append((int(found[i : i + 1].view(np.int64)[0]), 1, item, int(i), n, literal, _slots(named, values, i)))
+        yield pa.RecordBatch.from_pydict({k: [o[j] for o in out] for j, k in enumerate(("hash", "form", "item_id", "ipos", "n_windows", "literal", "islots"))}, schema=pa.schema([("hash", pa.int64()), ("form", pa.int32()), ("item_id", pa.int64()), ("ipos", pa.int32()), ("n_windows", pa.int32()), ("literal", pa.bool_()), ("islots", pa.list_(pa.string()))]))
 
 
 def _slots(types: list[int], values: list[str], at: int) -> list[str]:
@@ -126,19 +148,22 @@ def _doc_windows(bits: np.ndarray, short: frozenset, any_literal: bool):
         for batch in batches:
             out = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                types, values = template(text.as_py(), kinds)
+                types, values, openers = opened(text.as_py(), kinds)
                 if not types:
                     continue
                 kind = np.array(types)
                 word = np.fromiter(map(hashes.__getitem__, (v.encode("utf-8") for v in values)), np.uint64, len(values))
                 token = np.where(kind > 0, mix(kind.astype(np.uint64)), word)
-                for form in (token, word) if any_literal and kind.any() else (token,):
+                named = as_names(types, openers) if openers else types
+                second = np.where(np.array(named) > 0, mix(np.array(named).astype(np.uint64)), word) if openers else token
+                forms = [(0, token, types), (1, second, named)] + ([(0, word, types)] if any_literal and kind.any() else [])
+                for form, tokens, typed in forms:
                     for n in (WINDOW, *short):
-                        found = gram_hashes(form, n)
+                        found = gram_hashes(tokens, n)
                         slot = (found & np.uint64(FILTER_BITS - 1)).astype(np.int64)
                         for i in np.flatnonzero(bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1):
-                            out.append((int(found[i : i + 1].view(np.int64)[0]), doc, int(i), _slots(types[: i + n], values[: i + n], i)))
-            yield pa.RecordBatch.from_pydict({k: [o[j] for o in out] for j, k in enumerate(("hash", "doc_id", "dpos", "dslots"))}, schema=pa.schema([("hash", pa.int64()), ("doc_id", pa.int64()), ("dpos", pa.int32()), ("dslots", pa.list_(pa.string()))]))
+                            out.append((int(found[i : i + 1].view(np.int64)[0]), form, doc, int(i), _slots(typed[: i + n], values[: i + n], i)))
+            yield pa.RecordBatch.from_pydict({k: [o[j] for o in out] for j, k in enumerate(("hash", "form", "doc_id", "dpos", "dslots"))}, schema=pa.schema([("hash", pa.int64()), ("form", pa.int32()), ("doc_id", pa.int64()), ("dpos", pa.int32()), ("dslots", pa.list_(pa.string()))]))
 
     return run
 
@@ -147,7 +172,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, id_
     """(doc_id, item_id, covered, slots, changed) of every leaked item."""
     spark = docs.sparkSession
     items = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).cast("bigint").alias("item_id"), F.col(text_col).alias("text")).dropDuplicates(["item_id"])
-    windows = materialize(items.mapInArrow(_item_windows, "hash bigint, item_id bigint, ipos int, n_windows int, literal boolean, islots array<string>"), "leak-items")
+    windows = materialize(items.mapInArrow(_item_windows, "hash bigint, form int, item_id bigint, ipos int, n_windows int, literal boolean, islots array<string>"), "leak-items")
     # The filter: which of its FILTER_BITS are set, gathered as at most FILTER_BITS / 8 bytes.
     slots = windows.select(F.col("hash").bitwiseAND(F.lit(FILTER_BITS - 1)).cast("int").alias("s")).distinct()
     bytes_of = slots.groupBy(F.shiftright("s", 3).alias("b")).agg(F.expr("bit_or(cast(shiftleft(1, s & 7) as int))").alias("v"))
@@ -159,12 +184,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, id_
     shared = spark.sparkContext.broadcast(bits)
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     run = _doc_windows
-    passed = texts.mapInArrow(lambda batches: run(shared.value, short, bool(flags))(batches), "hash bigint, doc_id bigint, dpos int, dslots array<string>")
+    passed = texts.mapInArrow(lambda batches: run(shared.value, short, bool(flags))(batches), "hash bigint, form int, doc_id bigint, dpos int, dslots array<string>")
     passed = materialize(passed, "leak-windows")
-    hits = passed.join(windows, "hash")
+    hits = passed.join(windows, ["hash", "form"])
     # Along a diagonal, every slot pair (item value -> document value) of the windows found.
     pairs = F.when(F.size("dslots") == F.size("islots"), F.arrays_zip(F.col("islots").alias("i"), F.col("dslots").alias("d")))
-    diagonal = hits.groupBy("doc_id", "item_id", (F.col("dpos") - F.col("ipos")).alias("diagonal")).agg(
+    diagonal = hits.groupBy("doc_id", "item_id", "form", (F.col("dpos") - F.col("ipos")).alias("diagonal")).agg(
         F.collect_set("ipos").alias("found"),
         F.max("n_windows").alias("n"),
         F.array_distinct(F.flatten(F.collect_set(pairs))).alias("slots"),

@@ -43,6 +43,12 @@ def test_inconsistent_slots_are_no_leak(spark, docs_of):
     assert [r.doc_id for r in D.leaks(docs_of([(1, same), (2, split)]), item).collect()] == [1]
 
 
+def test_names_that_open_inner_sentences_are_placeholders(spark, docs_of):
+    item = spark.createDataFrame([(1, "Anna has 12 apples. Bob gives her 5 more apples.")], "item_id bigint, text string")
+    rows = [(1, "Carl has 9 apples. Dora gives her 7 more apples."), (2, "so it goes: once Carl has 9 apples. Dora gives her 7 more apples."), (3, "Carl sold 9 pears. Dora wants her 7 old hats.")]
+    assert sorted(r.doc_id for r in D.leaks(docs_of(rows), item).collect()) == [1, 2]
+
+
 def test_leaks_of_empty_tables(spark, docs_of, items):
     assert D.leaks(docs_of([]), items).count() == 0
     assert D.leaks(docs_of([(1, ITEM)]), items.limit(0)).count() == 0
