@@ -598,7 +598,7 @@ def q_publish_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     files.publish_parquet(normalize.quarantined(norm), rejected, partition_by=("topic",))
     files.publish_parquet(clean_series(ingest.unified(norm)), published)
     clean = files.read_published(spark, published).select(F.lit("clean").alias("kind"), "symbol", "date", *PRICE_FIELDS, "idx")
-    bad = files.read_published(spark, rejected).where(F.length("raw") > 0)
+    bad = files.read_published(spark, rejected)
     return clean.unionByName(bad.select(F.lit("quarantine").alias("kind"), "topic", "reject_reason"), allowMissingColumns=True)
 
 
