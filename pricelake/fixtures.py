@@ -19,7 +19,10 @@ EXTERNAL_SYMBOL = "EXT"
 SEQ_WINDOW = 30
 FORECAST_HORIZON = 365
 TICKS_A_DAY = 10**13
+TUNE_STRENGTH = 5.0
 TICK_BLOCK_ROWS = 64
+TICK_BUCKET_ROWS = 4096
+ONE_DAY_MICROS = 865_123_200_000_000  # 1997-06-01
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,10 +91,19 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tick_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F6 with its position; the bucket is the day."""
-    from pricelake.operators.ordering import series_index
+    """F6 with its position, from buckets whose bounds come from the data. F6 is written first: sketch, counts and rows read it."""
+    from pricelake.operators.ordering import data_buckets, series_index
+    from pricelake.session import materialize
+
+    rows = materialize(ticks(spark, sf_dir), "ticks")
+    return series_index(data_buckets(rows, order_col="t", rows=TICK_BUCKET_ROWS), order_col="t")
 
-    return series_index(ticks(spark, sf_dir), order_col="t", bucket=F.floor(F.col("t") / F.lit(TICKS_A_DAY)))
+
+def one_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8: the order lines as events of one and the same day, microseconds apart: what a calendar bucket cannot cut."""
+    li = table(spark, sf_dir, "lineitem")
+    micros = F.lit(ONE_DAY_MICROS) + F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    return li.groupBy(F.col("l_linestatus").alias("symbol"), F.timestamp_micros(micros).alias("ts")).agg(F.max("l_extendedprice").alias("close"))
 
 
 def external_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

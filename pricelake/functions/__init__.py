@@ -14,6 +14,6 @@ from pricelake.functions.numeric import (  # noqa: F401
     log1p_or_null,
     ln_or_null,
     minmax,
-    to_double_or_null,
+    order_image,
 )
 from pricelake.functions.strings import flatten_label, normalize_label  # noqa: F401

@@ -30,6 +30,7 @@ def clean_series(
     keys: Sequence[str] = ("symbol",),
     index: bool = True,
     bucket: Column | None = None,
+    constant: Sequence[str] = (),
 ) -> DataFrame:
     """Unified rows -> one clean row per ``(symbol, date)`` with a dense ``idx``.
 
@@ -44,9 +45,10 @@ def clean_series(
     counts and the row numbers all reuse that partitioning, and the row
     numbers reuse the dedupe's sort. Duplicates of a date come from different
     sources, which rarely share a map partition, so a map-side combine
-    before this shuffle would save little.
+    before this shuffle would save little. ``constant`` names keys that the
+    caller has fixed to one literal (see ``partition_by_bucket``).
     """
-    d = partition_by_bucket(from_date(unified, start), keys, "date", bucket)
+    d = partition_by_bucket(from_date(unified, start), keys, "date", bucket, constant)
     d = dedupe_by_date(d, keys=(*keys, "_bkt", "date"), priority=priority, method="window")
     d = drop_columns(d, "ingested_at", "source")
     d = d.dropna(how="any")

@@ -113,22 +113,22 @@ def _provider_fields(default_ticker: str | None) -> dict[str, str]:
     }
 
 
-def _finish(messages: DataFrame, fields: dict[str, str]) -> DataFrame:
+def _finish(messages: DataFrame, fields: dict[str, str], keep: tuple[str, ...] = ()) -> DataFrame:
     """Parse once, evaluate the layout, parse the date, add the date reject,
-    NULL every value of a rejected row."""
-    parsed = messages.select("topic", "value", parse_map(F.col("value")).alias("_m"))
+    NULL every value of a rejected row. ``keep`` names message columns to carry along."""
+    parsed = messages.select("topic", "value", *keep, parse_map(F.col("value")).alias("_m"))
     # A key that comes twice: the last value counts, as json.loads reads it.
     last = "transform(array_distinct(map_keys(_m)), k -> element_at(filter(map_entries(_m), e -> e.key = k), -1).value)"
     once = f"CASE WHEN size(array_distinct(map_keys(_m))) < size(_m) THEN map_from_arrays(array_distinct(map_keys(_m)), {last}) ELSE _m END"
-    parsed = parsed.selectExpr("topic", "value", f"{once} AS _m").selectExpr("*", f"split({_get(sql_str(PACKED_KEY))}, ';', -1) AS _parts")
-    d = parsed.selectExpr("topic", "value", *[f"{sql} AS {name}" for name, sql in fields.items()])
+    parsed = parsed.selectExpr("topic", "value", *keep, f"{once} AS _m").selectExpr("*", f"split({_get(sql_str(PACKED_KEY))}, ';', -1) AS _parts")
+    d = parsed.selectExpr("topic", "value", *keep, *[f"{sql} AS {name}" for name, sql in fields.items()])
     d = d.withColumn("date", parse_date(F.col("_date_text")))
     d = d.selectExpr(
         "*", f"CASE WHEN _reason IS NULL AND date IS NULL THEN {sql_str(BAD_DATE)} ELSE _reason END AS reject_reason"
     )
     kept = ("symbol", "date", *PRICE_FIELDS, "source", "ingested_at")
     return d.selectExpr(
-        "topic", *[f"CASE WHEN reject_reason IS NULL THEN {c} END AS {c}" for c in kept], "reject_reason", "value AS raw"
+        "topic", *[f"CASE WHEN reject_reason IS NULL THEN {c} END AS {c}" for c in kept], "reject_reason", "value AS raw", *keep
     )
 
 
@@ -142,7 +142,7 @@ def normalize_provider(messages: DataFrame, default_ticker: str | None = None) -
     return _finish(messages, _provider_fields(default_ticker))
 
 
-def normalize_messages(messages: DataFrame, csv_topics: list[str], provider_topics: list[str], symbol: str) -> DataFrame:
+def normalize_messages(messages: DataFrame, csv_topics: list[str], provider_topics: list[str], symbol: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Both layouts in one pass: each message is parsed once and routed by
     topic inside the projection (no second scan of the source, which a
     broker source could not prune by topic). Messages of other topics are
@@ -151,7 +151,7 @@ def normalize_messages(messages: DataFrame, csv_topics: list[str], provider_topi
     in_csv = "topic IN (" + ", ".join(sql_str(t) for t in csv_topics) + ")"
     fields = {n: f"CASE WHEN {in_csv} THEN {csv[n]} ELSE {prov[n]} END" for n in csv}
     routed = messages.filter(F.col("topic").isin([*csv_topics, *provider_topics]))
-    return _finish(routed, fields)
+    return _finish(routed, fields, keep)
 
 
 def good_rows(normalized: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ window while bounding the rows any single window partition sees:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -47,9 +48,61 @@ def bucket_offsets(
     return counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long"))
 
 
-def series_lengths(offsets: DataFrame, keys: Sequence[str] = ("symbol",), n_col: str = "n") -> DataFrame:
-    """Rows per series from the bucket table (no second pass over the data)."""
-    return offsets.groupBy(*keys).agg(F.sum("_n").cast("long").alias(n_col))
+#: Rows that a bucket made from the data should hold, and the most buckets of one series.
+BUCKET_ROWS = 1 << 20
+MOST_BUCKETS = 4096
+_STEP = 64  # cuts under one coarse cut
+
+
+def as_number(df: DataFrame, col: str) -> Column:
+    """An ordering column as a number that keeps its order (days, microseconds or the number itself)."""
+    kind = df.schema[col].dataType.typeName()
+    c = F.col(f"`{col}`")
+    if kind == "date":
+        return F.unix_date(c)
+    if kind in ("timestamp", "timestamp_ntz"):
+        return F.unix_micros(c.cast("timestamp"))
+    if kind in ("byte", "short", "integer", "long", "float", "double", "decimal"):
+        return c
+    raise TypeError(f"buckets from the data need a date, a time or a number, not {kind}: pass a bucket column")
+
+
+def data_buckets(
+    df: DataFrame,
+    keys: Sequence[str] = ("symbol",),
+    order_col: str = "date",
+    rows: int = BUCKET_ROWS,
+    most: int = MOST_BUCKETS,
+) -> DataFrame:
+    """Add ``_bkt``, a bucket that rises with ``order_col`` and whose bounds come from the data.
+
+    One aggregate per series (its count and a mergeable quantile sketch of the
+    ordering column, combined before the shuffle) gives ``most - 1`` cuts;
+    a series keeps every n-th of them, so that its buckets hold about ``rows``
+    rows (within a quarter; a series of more than ``rows * most`` rows has
+    ``most`` buckets), wherever its rows lie: a series with all rows in one
+    month or one second is cut as finely as one spread over years. A row finds
+    its bucket by two short searches, over the coarse cuts and below one of
+    them. Equal values share a bucket. The result is partitioned by
+    ``(keys, _bkt)``; the input is read twice.
+    """
+    x = as_number(df, order_col)
+    near = max(10_000, 10 * int(most))
+    tag = uuid.uuid4().hex[:8]  # no column of the input can have these names
+    n, cut, coarse, at, number = (f"_{c}_{tag}" for c in ("n", "cut", "coarse", "at", "x"))
+    cuts = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias(n),
+        F.percentile_approx(x, [i / most for i in range(1, most)], near).alias(cut),
+    )
+    each = F.greatest(F.ceil(F.lit(int(rows)) * F.lit(int(most)) / F.col(n)), F.lit(1)).cast("int")
+    cuts = cuts.withColumn(n, each).withColumn(cut, F.expr(f"array_distinct(filter({cut}, (c, i) -> (i + 1) % {n} = 0))"))
+    own = [F.col(k).alias(f"_k{i}_{tag}") for i, k in enumerate(keys)]
+    cuts = cuts.select(*own, cut, F.expr(f"filter({cut}, (c, i) -> i % {_STEP} = 0)").alias(coarse))
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}_{tag}")) for i, k in enumerate(keys)]
+    d = df.withColumn(number, x).join(cuts, same, "left").withColumn(at, F.expr(f"size(filter({coarse}, c -> c <= {number}))"))
+    below = F.expr(f"{_STEP} * ({at} - 1) + size(filter(slice({cut}, {_STEP} * greatest({at} - 1, 0) + 1, {_STEP}), c -> c <= {number}))")
+    bucket = F.when(F.col(number).isNotNull(), F.when(F.col(at) > 0, below).otherwise(F.lit(0))).cast("int")
+    return d.select(*[F.col(f"`{c}`") for c in df.columns], bucket.alias("_bkt")).repartition(*keys, "_bkt")
 
 
 def series_index(
@@ -59,17 +112,18 @@ def series_index(
     idx_col: str = "idx",
     bucket: Column | None = None,
     offsets: DataFrame | None = None,
+    constant: Sequence[str] = (),
 ) -> DataFrame:
     """Add a dense 0-based position ``idx_col`` per series, ordered by ``order_col``.
 
     ``(keys, order_col)`` must be unique (dedupe first), otherwise ties are
     broken arbitrarily, as ``row_number`` would. A ``_bkt`` column already on
-    ``df`` (e.g. from ``partition_by_bucket``) is used as the bucket. Rows
+    ``df`` (e.g. from ``data_buckets`` or ``partition_by_bucket``) is used as the bucket. Rows
     with a NULL key or NULL ordering value have no position and are left out.
     """
     # One exchange by (keys, bucket) feeds the counts and the row numbers. If the input is an
     # aggregate whose value columns the counts prune, write it first (see fixtures.daily_series).
-    d = df if "_bkt" in df.columns else partition_by_bucket(df, keys, order_col, bucket)
+    d = df if "_bkt" in df.columns else partition_by_bucket(df, keys, order_col, bucket, constant)
     # Stated once for both branches: the join would otherwise infer these
     # filters for the offsets branch only, and the two branches would no
     # longer share their upstream shuffle (the upstream would run twice).
@@ -89,7 +143,11 @@ def series_index(
 
 
 def partition_by_bucket(
-    df: DataFrame, keys: Sequence[str] = ("symbol",), order_col: str = "date", bucket: Column | None = None
+    df: DataFrame,
+    keys: Sequence[str] = ("symbol",),
+    order_col: str = "date",
+    bucket: Column | None = None,
+    constant: Sequence[str] = (),
 ) -> DataFrame:
     """Hash-partition rows by ``(keys, bucket)`` and keep it as ``_bkt``.
 
@@ -97,32 +155,16 @@ def partition_by_bucket(
     it: a dedupe on ``(symbol, _bkt, date)``, the bucket counts and the
     row numbers of ``series_index``. A hot symbol still spreads over its
     buckets. The default bucket is the calendar month (at most 31 rows per
-    symbol for daily data); pass a finer monotone bucket (e.g. the day, or
-    ``floor(unix_seconds / 3600)``) for intraday series.
+    symbol for daily data); for intraday series use ``data_buckets`` or pass a
+    finer monotone bucket (e.g. ``floor(unix_seconds / 3600)``).
+
+    ``constant`` names the keys that the caller has fixed to one literal: such
+    a key separates nothing, and Catalyst drops it from window keys, so it is
+    left out of the hash keys, too, and the windows downstream still find
+    their partitioning.
     """
     b = bucket if bucket is not None else month_bucket(order_col)
-    # A key that is a constant (e.g. one fixed symbol) separates nothing, and
-    # Catalyst drops it from window keys; keep it out of the hash keys too, so
-    # the windows downstream still find their partitioning.
-    varying = [k for k in keys if not is_constant(df, k)]
-    return df.withColumn("_bkt", b).repartition(*varying, "_bkt")
-
-
-def is_constant(df: DataFrame, col: str) -> bool:
-    """Whether the optimiser reduced ``col`` to a literal (a foldable
-    projection). Unknown plan shapes count as not constant."""
-    try:
-        plan = df.select(col)._jdf.queryExecution().optimizedPlan()
-        name = plan.nodeName()
-        if name == "Project":
-            e = plan.projectList().apply(0)
-        elif name == "Aggregate":
-            e = plan.aggregateExpressions().apply(0)
-        else:
-            return False
-        return e.nodeName() == "Alias" and e.child().foldable()
-    except Exception:  # noqa: BLE001 - a heuristic; never fail the plan over it
-        return False
+    return df.withColumn("_bkt", b).repartition(*[k for k in keys if k not in constant], "_bkt")
 
 
 def with_lookback(

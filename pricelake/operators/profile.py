@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricelake.functions.numeric import is_missing
+from pricelake.functions.numeric import is_missing, order_image
 from pricelake.operators.normalize import sql_str
 from pricelake.session import materialize
 
@@ -35,19 +35,16 @@ def long_values(
     return d.unpivot(list(keys), [f"`{c}`" for c in columns], "column", "value").filter(~is_missing("value", T.DoubleType()))
 
 
-def order_bin(x: Column) -> Column:
-    """A bin that never decreases with ``x`` and is narrow for any scale: 256
-    bins per power of two on either side of zero, so one huge value does not
-    push all others into one bin."""
-    log = F.floor(F.log2(F.abs(x)) * F.lit(256.0)).cast("int") + F.lit(300_000)
-    return F.when(x == 0, F.lit(0)).when(x > 0, log).otherwise(-log)
+def narrow(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """The columns that a profile reads, written once: it reads them in several passes."""
+    return materialize(df.select(*keys, *[F.col(f"`{c}`").cast("double").alias(c) for c in columns]), "profile-input")
 
 
-def _locate(counts: DataFrame, g: Sequence[str], bin_col: str, n_col: str) -> DataFrame:
-    """Of (group, bin, n) the bins that hold a target rank of ``_t``, with the ranks they hold as ``_t`` and the rows before them as ``_start``."""
-    before = Window.partitionBy(*g).orderBy(bin_col).rowsBetween(Window.unboundedPreceding, -1)
-    d = counts.withColumn("_start", F.col("_from") + F.coalesce(F.sum(n_col).over(before), F.lit(0)))
-    hit = lambda t: (t["k"] >= F.col("_start")) & (t["k"] < F.col("_start") + F.col(n_col))
+def _locate(counts: DataFrame, part: Sequence[str]) -> DataFrame:
+    """Of (part, _d, _c) the digits that hold a target rank of ``_t``, with the ranks they hold as ``_t`` and the rows before them as ``_start``."""
+    before = Window.partitionBy(*part).orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
+    d = counts.withColumn("_start", F.col("_from") + F.coalesce(F.sum("_c").over(before), F.lit(0)))
+    hit = lambda t: (t["k"] >= F.col("_start")) & (t["k"] < F.col("_start") + F.col("_c"))
     return d.withColumn("_t", F.filter("_t", hit)).filter(F.size("_t") > 0)
 
 
@@ -56,26 +53,26 @@ def exact_quantiles(
     group: Sequence[str],
     probs: Sequence[tuple[str, float]],
     value: str = "value",
-    bins: int = 4096,
+    digit: int = 16,
 ) -> DataFrame:
     """Exact quantiles (linear interpolation between the order statistics at
-    floor and ceil of p*(n-1), as pandas and SQL ``quantile_cont``) without
-    sending a whole group to one task, whatever the values' spread.
-
-    1. distinct values with multiplicities per group -- map-side combined,
-       written once, since the steps below read them several times;
-    2. counts per logarithmic bin (``order_bin``), a running count over them,
-       and so the bins that hold the target ranks;
-    3. the values of those bins, cut again into ``bins`` equal parts of the
-       bin's own range, located the same way;
-    4. only the distinct values of those parts are ranked.
-    A task holds at most the bins of a group (they do not grow with its rows),
-    or the distinct values of one part. Returns ``(group, <name>...)``.
+    floor and ceil of p*(n-1), as pandas and SQL ``quantile_cont``) by radix
+    selection, whatever the values' spread.
+
+    Values are read as their ``order_image``. A round counts the rows of each
+    group by the image's next ``digit`` bits (combined before the shuffle),
+    adds the counts up, and keeps the prefixes that hold a target rank; the
+    next round counts only rows with a kept prefix. A rank is found as soon as
+    its prefix holds one distinct value or the rank is the prefix's first or
+    last, so spread-out values take one or two rounds, and no input takes more
+    than ``64 / digit``.
+
+    A task holds at most ``2 ** digit`` counts of one group and prefix. No
+    table of the distinct values is made and no rows are sorted. ``v`` is read
+    once per round: write it first if it is costly. Returns ``(group, <name>...)``.
     """
     g = list(group)
-    x = F.col(value).cast("double").alias("_v")
-    dv = materialize(v.filter(~is_missing(value, T.DoubleType())).groupBy(*g, x).agg(F.count(F.lit(1)).alias("_c")), "distinct-values")
-    dv = dv.withColumn("_b", order_bin(F.col("_v")))
+    rows = v.filter(~is_missing(value, T.DoubleType())).select(*g, F.col(value).cast("double").alias("_v")).withColumn("_i", order_image("_v"))
     n1 = (F.col("_n") - F.lit(1)).cast("double")
     targets = F.array(
         *[
@@ -84,29 +81,42 @@ def exact_quantiles(
             for side, fn in (("lo", F.floor), ("hi", F.ceil))
         ]
     )
-    counts = dv.groupBy(*g, "_b").agg(F.sum("_c").alias("_bc"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    counts = counts.withColumn("_n", F.sum("_bc").over(Window.partitionBy(*g)))
-    first = _locate(counts.withColumn("_t", targets).withColumn("_from", F.lit(0)), g, "_b", "_bc")
-    first = materialize(first.select(*g, "_b", "_n", "_lo", "_hi", "_t", F.col("_start").alias("_from")), "quantile-bins")
-
-    part = F.least(F.floor((F.col("_v") - F.col("_lo")) * F.lit(float(bins)) / (F.col("_hi") - F.col("_lo"))), F.lit(bins - 1))
-    inside = dv.join(first, [*g, "_b"]).withColumn("_p", F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(part).cast("int"))
-    parts = inside.groupBy(*g, "_b", "_p").agg(F.sum("_c").alias("_pc"), F.any_value("_t").alias("_t"), F.any_value("_from").alias("_from"))
-    second = _locate(parts, [*g, "_b"], "_p", "_pc").select(*g, "_b", "_p", F.col("_t").alias("_u"), F.col("_start").alias("_s"))
-    last = inside.join(materialize(second, "quantile-parts"), [*g, "_b", "_p"]).withColumn("_t", F.col("_u")).withColumn("_from", F.col("_s"))
-    picked = _locate(last, [*g, "_b", "_p"], "_v", "_c").select(*g, "_n", "_v", F.explode("_t").alias("_t"))
+    stats = [F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+    first, last = F.col("_k") == F.col("_start"), F.col("_k") == F.col("_start") + F.col("_c") - 1
+    found = F.when((F.col("_lo") == F.col("_hi")) | first, F.col("_lo")).when(last, F.col("_hi"))
+    rounds, kept, shift = [], None, 64 - digit
+    while True:
+        low = F.shiftright("_i", max(shift, 0)).alias("_d")
+        if kept is None:
+            part = g
+            counts = rows.groupBy(*g, low).agg(*stats).withColumn("_n", F.sum("_c").over(Window.partitionBy(*g)))
+            counts = counts.withColumn("_t", targets).withColumn("_from", F.lit(0).cast("long"))
+        else:
+            part = [*g, "_p"]
+            inside = rows.withColumn("_p", F.shiftright("_i", shift + digit)).join(kept.select(*part), part, "left_semi")
+            counts = inside.groupBy(*part, low).agg(*stats).join(kept, part)
+        located = _locate(counts, part).select(*g, "_n", "_d", "_start", "_c", "_lo", "_hi", F.explode("_t").alias("_t"))
+        located = located.select("*", F.col("_t.q").alias("_q"), F.col("_t.side").alias("_side"), F.col("_t.k").alias("_k"))
+        picked = materialize(located.select(*g, "_n", "_d", "_start", "_t", "_q", "_side", found.alias("_x")), "quantile-round")
+        rounds.append(picked.filter("_x is not null").select(*g, "_n", "_q", "_side", "_x"))
+        open_ = picked.filter("_x is null")
+        if shift <= 0 or open_.isEmpty():
+            break
+        kept = open_.groupBy(*g, F.col("_d").alias("_p"), "_n", F.col("_start").alias("_from")).agg(F.collect_list("_t").alias("_t"))
+        shift -= digit
+    picked = rounds[0]
+    for more in rounds[1:]:
+        picked = picked.unionByName(more)
     sides = picked.groupBy(*g, "_n").agg(
         *[
-            F.max(F.when((F.col("_t.q") == name) & (F.col("_t.side") == side), F.col("_v"))).alias(f"{name}_{side}")
+            F.max(F.when((F.col("_q") == name) & (F.col("_side") == side), F.col("_x"))).alias(f"{name}_{side}")
             for name, _ in probs
             for side in ("lo", "hi")
         ]
     )
     frac = {name: F.lit(float(p)) * n1 - F.floor(F.lit(float(p)) * n1) for name, p in probs}
-    return sides.select(
-        *g,
-        *[(F.col(f"{n}_lo") + (F.col(f"{n}_hi") - F.col(f"{n}_lo")) * frac[n]).alias(n) for n, _ in probs],
-    )
+    between = lambda n: F.when(F.col(f"{n}_lo") == F.col(f"{n}_hi"), F.col(f"{n}_lo")).otherwise(F.col(f"{n}_lo") + (F.col(f"{n}_hi") - F.col(f"{n}_lo")) * frac[n])
+    return sides.select(*g, *[between(n).alias(n) for n, _ in probs])
 
 
 def quantiles(v: DataFrame, group: Sequence[str], probs: Sequence[tuple[str, float]], method: str = "exact", accuracy: int = 10000) -> DataFrame:
@@ -143,6 +153,7 @@ def describe(
     (exact and distributed by default, ``method='approx'`` for one pass).
     """
     columns = list(columns) if columns is not None else numeric_columns(df, keys)
+    df = narrow(df, columns, keys)
     g = [*keys, "column"]
     probs = (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
     moments = wide_stats(df, columns, keys, {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max})
@@ -204,7 +215,7 @@ def outlier_stats(
     Quartiles per group (a table of #series x #columns rows that Spark
     broadcasts if small enough), then one aggregate against the fences.
     """
-    v = long_values(df, columns, keys)
+    v = long_values(narrow(df, columns, keys), columns, keys)
     g = [*keys, "column"]
     q = quantiles(v, g, (("q1", 0.25), ("q3", 0.75)), method)
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
@@ -230,8 +241,9 @@ def histogram(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("sym
 
     min/max per group (one wide aggregate, written once) -> bin number per
     row -> grouped count; the bin grid is generated from the small per-group
-    table, not a cross join.
+    table, not a cross join. The input is read once, its columns are written.
     """
+    df = narrow(df, columns, keys)
     v = long_values(df, columns, keys).filter(F.abs("value") < float("inf"))
     g = [*keys, "column"]
     finite = lambda f: lambda c: f(F.when(F.abs(c) < float("inf"), c))

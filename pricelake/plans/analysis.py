@@ -11,7 +11,8 @@ from pricelake import fixtures
 from pricelake.operators.clean import clean_series
 from pricelake.operators.features import features
 from pricelake.operators.supervised import apply_minmax, fit_minmax, make_sequences, series_counts, temporal_split
-from pricelake.session import materialize
+from pricelake.session import materialize, scratch_path
+from pricelake.sources.files import read_external
 
 
 @dataclass
@@ -23,7 +24,7 @@ class Supervised:
 
 def clean_two_sources(spark: SparkSession, sf_dir: str, start: str | None = None) -> DataFrame:
     """F1 (two overlapping sources) -> one clean, indexed row per date."""
-    return clean_series(fixtures.two_sources(spark, sf_dir), start=start)
+    return clean_series(fixtures.two_sources(spark, sf_dir), start=start, constant=("symbol",))
 
 
 def clean_multi(spark: SparkSession, sf_dir: str, start: str | None = None) -> DataFrame:
@@ -68,13 +69,14 @@ def supervised(
 
 
 def external_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F3 external table: pick and rename Date/Close, sort, drop missing, index."""
+    """F3 external table, written and read as the columnar dataset that it is: pick and rename Date/Close, drop missing, index."""
     from pricelake.operators.ordering import series_index
 
-    raw = fixtures.external_raw(spark, sf_dir)
-    d = raw.select(
+    path = scratch_path(spark, "external")
+    fixtures.external_raw(spark, sf_dir).write.parquet(path)
+    d = read_external(spark, path).select(
         F.lit(fixtures.EXTERNAL_SYMBOL).alias("symbol"),
         F.col("Date").cast("date").alias("date"),
         F.col("Close").cast("double").alias("close"),
     ).dropna(how="any")
-    return series_index(d)
+    return series_index(d, constant=("symbol",))

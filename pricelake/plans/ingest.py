@@ -12,14 +12,9 @@ TOPIC_CSV = "prices_csv"
 TOPIC_PROVIDER = "prices_provider"
 
 
-def normalized(messages: DataFrame, symbol: str) -> DataFrame:
-    """Both layouts normalised into one table with ``reject_reason`` and ``raw``."""
-    return normalize_messages(messages, [TOPIC_CSV], [TOPIC_PROVIDER], symbol)
-
-
-def unified_from_messages(messages: DataFrame, symbol: str) -> DataFrame:
-    """Good rows of both topics in the unified layout (P4 + U1)."""
-    return unified(normalized(messages, symbol))
+def normalized(messages: DataFrame, symbol: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Both layouts normalised into one table with ``reject_reason``, ``raw`` and the message columns of ``keep``."""
+    return normalize_messages(messages, [TOPIC_CSV], [TOPIC_PROVIDER], symbol, keep)
 
 
 def unified(normalized_rows: DataFrame) -> DataFrame:

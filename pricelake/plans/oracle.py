@@ -517,3 +517,118 @@ ORACLE["refit_compare"] = with_(
 ) + f"""
 SELECT stage, n, round(mae, 6) AS mae, round(rmse, 6) AS rmse, round(r2, 6) AS r2
 FROM (SELECT stage, {METRICS} FROM f4 GROUP BY stage)"""
+
+# ---------------------------------------------------------------- positions from data-made buckets
+
+ORACLE["tick_series_index"] = with_(F6) + "SELECT symbol, t, idx FROM f6i"
+
+ORACLE["one_day_index"] = """
+WITH f8 AS (
+  SELECT l_linestatus AS symbol, 865123200000000 + l_orderkey * 10 + l_linenumber AS micros, max(l_extendedprice) AS close
+  FROM lineitem GROUP BY ALL)
+SELECT symbol, CAST(micros AS BIGINT) AS micros, close, CAST(row_number() OVER (PARTITION BY symbol ORDER BY micros) - 1 AS BIGINT) AS idx FROM f8"""
+
+# ---------------------------------------------------------------- streams
+
+ORACLE["land_until"] = ORACLE["reconcile_counts"]
+ORACLE["stream_dedupe"] = ORACLE["stream_land"]
+
+ORACLE["guarded_publish"] = with_(F1M) + """
+SELECT '1-URGENT' AS topic, true AS published, count(*) AS n_messages FROM f1m WHERE symbol = '1-URGENT'
+UNION ALL SELECT 'ABSENT', false, 0"""
+
+
+def _members(*pairs: tuple[str, str]) -> str:
+    return "concat_ws(',', " + ", ".join(f"""'"' || {k} || '":' || {v}""" for k, v in pairs) + ")"
+
+
+def _quoted(v: str) -> str:
+    return f"""'"' || {v} || '"'"""
+
+
+_CSV_DATE = "strftime(date, '%Y.%m.%d %H:%M')"
+_NUMBERS = {c: f"CAST({c} AS VARCHAR)" for c in ("open", "high", "low", "close", "volume")}
+_FAULTY = {
+    "open": _NUMBERS["open"],
+    "high": f"CASE WHEN f = 5 THEN 'null' ELSE {_NUMBERS['high']} END",
+    "low": f"CASE WHEN f <> 6 THEN {_NUMBERS['low']} END",
+    "close": f"""CASE WHEN f = 4 THEN '"n/a"' ELSE {_NUMBERS['close']} END""",
+    "volume": f"CASE WHEN f = 7 THEN 'NaN' ELSE {_NUMBERS['volume']} END",
+}
+_PACKED = f"""concat_ws(';', {_CSV_DATE}, {_NUMBERS["open"]}, CASE WHEN f = 5 THEN '' ELSE {_NUMBERS["high"]} END,
+      CASE WHEN f <> 6 THEN {_NUMBERS["low"]} END, CASE WHEN f = 4 THEN 'n/a' ELSE {_NUMBERS["close"]} END,
+      CASE WHEN f = 3 THEN NULL WHEN f = 7 THEN 'NaN' ELSE {_NUMBERS["volume"]} END)"""
+_CSV_TAIL = (("'source'", _quoted("'csv'")), ("'ingested_at'", _quoted("ingested_at")))
+RAW = f"""raw AS (
+  SELECT *, CASE WHEN f = 1 THEN substring(body, 1, CAST(length(body) // 2 AS BIGINT)) ELSE body END AS raw FROM (
+    SELECT *, '{{' || CASE
+      WHEN source = 'csv' AND packed THEN {_members(("CASE WHEN f = 2 THEN 'date,open,high,low,close,volume' ELSE 'date;open;high;low;close;volume' END", _quoted(_PACKED)), *_CSV_TAIL)}
+      WHEN source = 'csv' THEN {_members(("CASE WHEN f = 2 THEN 'fecha' ELSE 'date' END", _quoted(_CSV_DATE)), *((f"'{c}'", v) for c, v in _FAULTY.items()), *_CSV_TAIL)}
+      ELSE {_members(("CASE WHEN f = 2 THEN 'Fecha' ELSE 'Date' END", _quoted("strftime(date, '%Y-%m-%d %H:%M:%S')")), *((f"'{c.capitalize()}_' || symbol", v) for c, v in _FAULTY.items()), ("'source'", _quoted("'yfinance'")), ("'ticker'", _quoted("symbol")), ("'ingested_at'", _quoted("ingested_at")))}
+      END || '}}' AS body FROM nr))"""
+
+ORACLE["stream_quarantine"] = with_(F1, NORM, RAW) + """
+SELECT 'good' AS kind, topic, symbol, date, open, high, low, close, volume,
+       CAST(NULL AS VARCHAR) AS reject_reason, CAST(NULL AS VARCHAR) AS raw, CAST(NULL AS BOOLEAN) AS origin_known
+FROM norm WHERE reject_reason IS NULL
+UNION ALL
+SELECT 'quarantine', topic, NULL, NULL, NULL, NULL, NULL, NULL, NULL, reject_reason, raw, true FROM raw WHERE reject_reason IS NOT NULL"""
+
+# ---------------------------------------------------------------- one model per series, and tuning
+
+MULTI2 = (F1M, F1MU, clean_from("f1mu"), supervised_ctes("clean", "close", 2, 80, "sv"))
+
+
+def fitted_by_symbol(src: str, name: str) -> str:
+    """``fitted`` for each symbol of ``src`` (unweighted): rows (symbol, n, b0, b1, c)."""
+    pairs = (("x_00", "x_00"), ("x_00", "x_01"), ("x_01", "x_01"), ("x_00", "y"), ("x_01", "y"))
+    s = ", ".join(f"count(*) * covar_pop({a}, {b}) AS s_{i}" for i, (a, b) in enumerate(pairs))
+    return f"""{name}_s AS (SELECT symbol, count(*) AS n, {s}, avg(x_00) AS m0, avg(x_01) AS m1, avg(y) AS my FROM {src} GROUP BY symbol),
+{name}_b AS (SELECT *, (s_2 * s_3 - s_1 * s_4) / (s_0 * s_2 - s_1 * s_1) AS b0, (s_0 * s_4 - s_1 * s_3) / (s_0 * s_2 - s_1 * s_1) AS b1 FROM {name}_s),
+{name} AS (SELECT symbol, n, b0, b1, my - b0 * m0 - b1 * m1 AS c FROM {name}_b)"""
+
+
+MODELS = ("tr AS (SELECT * FROM sv_samples WHERE split = 'train')", fitted_by_symbol("tr", "fit"))
+
+ORACLE["fit_per_series"] = with_(
+    *MULTI2,
+    *MODELS,
+    "f4 AS (SELECT symbol, y AS real, b0 * x_00 + b1 * x_01 + c AS pred FROM sv_samples JOIN fit USING (symbol) WHERE split = 'test')",
+    f"m AS (SELECT symbol, {METRICS} FROM f4 GROUP BY symbol)",
+) + """
+SELECT symbol, fit.n, round(b0, 6) AS b0, round(b1, 6) AS b1, round(c, 6) AS intercept, m.n AS n_test,
+       round(mae, 6) AS mae, round(rmse, 6) AS rmse, round(r2, 6) AS r2
+FROM fit JOIN m USING (symbol)"""
+
+ORACLE["forecast_per_series"] = "WITH RECURSIVE " + with_(
+    *MULTI2,
+    *MODELS,
+    """last AS (SELECT s.symbol, max(CASE WHEN s.idx = n_rows - 2 THEN xs END) AS x0, max(CASE WHEN s.idx = n_rows - 1 THEN xs END) AS x1
+      FROM sv_s s JOIN sv_n USING (symbol) GROUP BY s.symbol),
+rec AS (
+  SELECT symbol, 0 AS step, x0, x1, b0, b1, c FROM last JOIN fit USING (symbol)
+  UNION ALL
+  SELECT symbol, step + 1, x1, b0 * x0 + b1 * x1 + c, b0, b1, c FROM rec WHERE step < 365)""",
+)[5:] + """
+SELECT symbol, CAST(step AS INTEGER) AS step, round(x1, 6) AS pred FROM rec WHERE step > 0"""
+
+ORACLE["tune_compare"] = with_(
+    *BASE,
+    F3,
+    SV2,
+    EX2,
+    "tr AS (SELECT * FROM sv_samples WHERE split = 'train')",
+    fitted_by_symbol("tr", "before"),
+    "te AS (SELECT * FROM ex_samples WHERE split = 'train')",
+    fitted_by_symbol("te", "exm"),
+    """tuned_b AS (
+  SELECT e.m0, e.m1, e.my, e.s_0 + 5 AS a, e.s_1 AS b, e.s_2 + 5 AS d, e.s_3 + 5 * p.b0 AS u, e.s_4 + 5 * p.b1 AS v FROM exm_s e, before p),
+tuned_c AS (SELECT *, (d * u - b * v) / (a * d - b * b) AS b0, (a * v - b * u) / (a * d - b * b) AS b1 FROM tuned_b),
+after AS (SELECT b0, b1, my - b0 * m0 - b1 * m1 AS c FROM tuned_c),
+f4 AS (
+  SELECT 'before' AS stage, y AS real, b0 * x_00 + b1 * x_01 + c AS pred FROM ex_samples, before WHERE split = 'test'
+  UNION ALL
+  SELECT 'after', y, b0 * x_00 + b1 * x_01 + c FROM ex_samples, after WHERE split = 'test')""",
+) + f"""
+SELECT stage, n, round(mae, 6) AS mae, round(rmse, 6) AS rmse, round(r2, 6) AS r2
+FROM (SELECT stage, {METRICS} FROM f4 GROUP BY stage)"""

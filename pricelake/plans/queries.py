@@ -83,6 +83,20 @@ def q_series_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordering.series_index(fixtures.multi_symbol(spark, sf_dir)).select("symbol", "date", "idx")
 
 
+def q_tick_series_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P9 on F6, whose series grow with the data, in buckets made from the data."""
+    _ready(spark)
+    return fixtures.tick_series(spark, sf_dir).select("symbol", "t", "idx")
+
+
+def q_one_day_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P9 on F8: every row of every series lies in one day."""
+    _ready(spark)
+    rows = materialize(fixtures.one_day(spark, sf_dir), "one-day")
+    s = ordering.series_index(ordering.data_buckets(rows, order_col="ts", rows=fixtures.TICK_BUCKET_ROWS), order_col="ts")
+    return s.select("symbol", F.unix_micros("ts").alias("micros"), "close", "idx")
+
+
 def q_series_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     _ready(spark)
     return series_head(analysis.clean_multi(spark, sf_dir), 5)
@@ -458,12 +472,25 @@ def q_flatten_provider(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_provider_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S4 + S5: one ticker from a start date (filters reach the scan)."""
+    """One ticker from a start date (filters reach the scan)."""
     _ready(spark)
     m = fixtures.multi_symbol(spark, sf_dir)
     return m.filter((F.col("symbol") == fixtures.ONE_SYMBOL) & (F.col("date") >= F.to_date(F.lit(fixtures.FROM_DATE))))
 
 
+def q_guarded_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each ticker's slice is published unless it is empty; what was published, and how many messages came in."""
+    _ready(spark)
+    m = materialize(fixtures.multi_symbol(spark, sf_dir), "daily")
+    path, told = scratch_path(spark, "guarded"), []
+    for ticker in (fixtures.ONE_SYMBOL, "ABSENT"):
+        records = messages.to_messages(m.filter(F.col("symbol") == ticker), ticker, F.col("symbol"))
+        told.append((ticker, messages.publish(records, fmt="json", path=path)))
+    topics = spark.createDataFrame(told, "topic string, published boolean")
+    counts = messages.read_topics(spark, [t for t, _ in told], fmt="json", path=path).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+    return topics.join(counts, "topic", "left").select("topic", "published", F.coalesce("n", F.lit(0)).alias("n_messages"))
+
+
 # ---------------------------------------------------------------- sources and sinks (round trips)
 
 
@@ -588,6 +615,43 @@ def q_reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return land.reconcile(landed, fixtures.expected_counts(spark, sf_dir))
 
 
+def q_land_until(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A running query is ended at the expected counts, which the landing pass itself observes."""
+    _ready(spark)
+    src = _publish_fixture(spark, sf_dir)
+    expected = {r.topic: r.expected for r in fixtures.expected_counts(spark, sf_dir).collect()}  # a row per topic
+    stream = land.message_stream(spark, list(expected), fmt="json", path=src)
+    done = land.land_until(stream, scratch_path(spark, "raw"), scratch_path(spark, "ckpt-until"), expected, patience=5.0)
+    return spark.createDataFrame(done, "topic string, landed bigint, expected bigint, status string")
+
+
+def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G4 + P3 + S11 on the stream: good rows and the quarantine (reason, raw text, origin) written in one pass per micro-batch."""
+    _ready(spark)
+    topics = [ingest.TOPIC_CSV, ingest.TOPIC_PROVIDER]
+    stream = land.message_stream(spark, topics, fmt="json", path=_publish_fixture(spark, sf_dir), max_files_per_trigger=4, origin=True)
+    out = scratch_path(spark, "normalized")
+    land.land_normalized(stream, out, scratch_path(spark, "ckpt-normalized"), lambda batch: ingest.normalized(batch, fixtures.SINGLE_SYMBOL, keep=("origin", "arrived")))
+    good = land.read_normalized(spark, out, land.GOOD).select(F.lit("good").alias("kind"), "topic", "symbol", "date", *PRICE_FIELDS)
+    # The origin is a path of this run: that it names a file of the message's topic is what can be compared.
+    known = F.contains("origin", F.concat(F.lit("topic="), F.col("topic"), F.lit("/")))
+    bad = land.read_normalized(spark, out, land.QUARANTINE).select(F.lit("quarantine").alias("kind"), "topic", "reject_reason", "raw", known.alias("origin_known"))
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
+def q_stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message is delivered twice; the second one within the delay is dropped, with state bounded by a watermark."""
+    _ready(spark)
+    path = scratch_path(spark, "topics")
+    for _ in range(2):
+        messages.publish(fixtures.raw_messages(spark, sf_dir), fmt="json", path=path)
+    raw = scratch_path(spark, "raw")
+    stream = land.message_stream(spark, [ingest.TOPIC_CSV, ingest.TOPIC_PROVIDER], fmt="json", path=path, origin=True)
+    stream = stream.withColumn("msg_id", F.xxhash64("topic", "key", "value"))
+    land.land(stream, raw, scratch_path(spark, "ckpt-once"), dedupe_on="msg_id", within="1 hour")
+    return ingest.normalized(messages.read_raw_zone(spark, raw), fixtures.SINGLE_SYMBOL).drop("raw")
+
+
 def q_publish_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """End to end: landed messages -> normalised -> quarantine table, and good
     rows unified -> one per date -> clean -> published; both tables read back."""
@@ -640,7 +704,54 @@ def q_refit_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("stage", "n", *[r6(c).alias(c) for c in ("mae", "rmse", "r2")])
 
 
+def _multi_supervised(spark: SparkSession, sf_dir: str) -> analysis.Supervised:
+    return analysis.supervised(analysis.clean_multi(spark, sf_dir), "close", W_FIT)
+
+
+def _models(sv: analysis.Supervised) -> DataFrame:
+    return forecast.solve_models(forecast.lag_statistics(sv.samples.filter(F.col("split") == "train"), W_FIT), W_FIT)
+
+
+def q_fit_per_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: one model per series from its sufficient statistics, with its scores on the test samples."""
+    _ready(spark)
+    sv = _multi_supervised(spark, sf_dir)
+    models = materialize(_models(sv), "models")
+    scored = forecast.score_models(sv.samples.filter(F.col("split") == "test"), models, W_FIT).withColumnRenamed("y", "real")
+    scores = evaluate.regression_metrics(scored, by=("symbol",)).withColumnRenamed("n", "n_test")
+    slopes = [r6(F.get("coef", F.lit(i))).alias(f"b{i}") for i in range(W_FIT)]
+    d = models.select("symbol", F.col("n").cast("bigint").alias("n"), *slopes, r6("intercept").alias("intercept")).join(scores, "symbol")
+    return d.select("symbol", "n", *[f"b{i}" for i in range(W_FIT)], "intercept", "n_test", *[r6(c).alias(c) for c in ("mae", "rmse", "r2")])
+
+
+def q_forecast_per_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4 with the model of each series: 365 recursive steps."""
+    _ready(spark)
+    sv = _multi_supervised(spark, sf_dir)
+    seeds = supervised.seed_arrays(supervised.forecast_seed(sv.scaled, "close_scaled", W_FIT))
+    path = forecast.forecast_models(seeds, _models(sv), fixtures.FORECAST_HORIZON)
+    return path.select("symbol", "step", r6("pred").alias("pred"))
+
+
+def q_tune_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8: before/after tuning to the external series from stored statistics, with a penalty towards the earlier slopes."""
+    _ready(spark)
+    own = _f1_supervised(spark, sf_dir, window=W_FIT).samples
+    ext = _ext_supervised(spark, sf_dir, W_FIT).samples
+    m = forecast.tune_compare(own, ext, W_FIT, fixtures.TUNE_STRENGTH)
+    return m.select("stage", "n", *[r6(c).alias(c) for c in ("mae", "rmse", "r2")])
+
+
 QUERIES = {
+    "tick_series_index": q_tick_series_index,
+    "one_day_index": q_one_day_index,
+    "guarded_publish": q_guarded_publish,
+    "land_until": q_land_until,
+    "stream_quarantine": q_stream_quarantine,
+    "stream_dedupe": q_stream_dedupe,
+    "fit_per_series": q_fit_per_series,
+    "forecast_per_series": q_forecast_per_series,
+    "tune_compare": q_tune_compare,
     "features": q_features,
     "unify_sources": q_unify_sources,
     "dedupe_by_date": q_dedupe_by_date,
