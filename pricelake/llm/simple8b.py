@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pricelake.llm.bpe import _spans, load_tokenizer
+from pricelake.llm.bpe import load_tokenizer
 from pricelake.llm.common import materialize, pieces, scratch_path, shuffle_partitions, table
 from pricelake.llm.warc import _make, _open
 
@@ -197,35 +198,50 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+_MARKS = ".,;:!?"
+
+
 class _Words:
-    """The ids of words that were met, as one flat array; ``number`` gives the words' places in it."""
+    """The ids of words that were met, as one flat array; ``number`` gives the words' places in it. The closing marks come first."""
 
     def __init__(self, path: str):
         self.tok = load_tokenizer(path)
         self.clear()
 
     def clear(self) -> None:
-        self.known, self.size, self.ids = pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.known, self.size, self.ids = pa.array([], pa.string()), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self._add(pa.array(list(_MARKS)))
+
+    def _add(self, new: pa.Array) -> None:
+        got = [e.ids for a in range(0, len(new), 20_000) for e in self.tok.encode_batch_fast(new[a : a + 20_000].to_pylist(), add_special_tokens=False)]
+        self.size = np.append(self.size, np.fromiter(map(len, got), np.int32, len(got)))
+        self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(got), np.int32))
+        self.known = pa.concat_arrays([self.known, new])
 
     def number(self, words: pa.Array) -> np.ndarray:
         """The number of each (distinct) word; unknown ones are encoded."""
         if len(self.known) > MEMO_WORDS:
             self.clear()
         found = pc.index_in(words, value_set=self.known)
-        new = words.filter(pc.is_null(found))
-        if len(new):
-            got = [e.ids for a in range(0, len(new), 20_000) for e in self.tok.encode_batch_fast(new[a : a + 20_000].to_pylist(), add_special_tokens=False)]
-            self.size = np.append(self.size, np.fromiter(map(len, got), np.int64, len(got)))
-            self.ids = np.append(self.ids, np.fromiter((i for x in got for i in x), np.int32))
-            self.known = pa.concat_arrays([self.known, new])
-            found = pc.index_in(words, value_set=self.known)
-        return found.to_numpy(zero_copy_only=False).astype(np.int64)
+        missing, out = found.is_null().to_numpy(zero_copy_only=False), pc.fill_null(found, 0).to_numpy(zero_copy_only=False).astype(np.int32)
+        if missing.any():
+            out[missing] = np.arange(len(self.known), len(self.known) + np.count_nonzero(missing))
+            self._add(words.filter(pa.array(missing)))
+        return out
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... (size[0] of them), start[1], ...; all below 2 ** 31."""
+    ends = np.cumsum(size, dtype=np.int32)
+    return np.repeat((start - (ends - size)).astype(np.int32), size) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)
 
 
 _CLOSING = np.zeros(256, bool)
-_CLOSING[list(b".,;:!?")] = True
+_CLOSING[list(_MARKS.encode())] = True
 _ALNUM = np.zeros(256, bool)
 _ALNUM[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")] = True
+_MARK_NUMBER = np.zeros(256, np.int32)
+_MARK_NUMBER[list(_MARKS.encode())] = np.arange(len(_MARKS))
 _KNOWN: dict[str, _Words] = {}
 
 
@@ -245,21 +261,21 @@ def encode_texts(texts: pa.Array, words: _Words) -> tuple[np.ndarray, np.ndarray
     core = pc.if_else(pa.array(closed), pc.utf8_slice_codeunits(distinct, 0, -1), distinct)
     core = pc.if_else(pc.match_substring(core, "<|"), core, pc.ascii_lower(core))  # special tokens are told by their case
     cores = core.dictionary_encode()
-    marks = pa.array([chr(c) for c in np.flatnonzero(_CLOSING)])
-    number = words.number(pa.concat_arrays([cores.dictionary, marks.filter(pc.invert(pc.is_in(marks, value_set=cores.dictionary)))]))
-    of_mark = np.full(256, -1, np.int64)
-    of_mark[_CLOSING] = pc.index_in(marks, value_set=words.known).to_numpy(zero_copy_only=False)
-    core_of = number[cores.indices.to_numpy(zero_copy_only=False)]
-    mark_of = np.where(closed, of_mark[last], -1)
-    start = np.cumsum(words.size) - words.size
+    core_of = words.number(cores.dictionary)[cores.indices.to_numpy(zero_copy_only=False)]
+    # The ids of each distinct word, then those of each occurrence.
+    start = np.cumsum(words.size, dtype=np.int64) - words.size
+    pair = np.stack([core_of, _MARK_NUMBER[last]], axis=1)
+    size = words.size[pair]
+    size[~closed, 1] = 0
+    pool = words.ids[_ranges(start[pair].ravel(), size.ravel())]
+    size = size.sum(axis=1, dtype=np.int32)
     at = coded.indices.to_numpy(zero_copy_only=False)
-    sequence = np.stack([core_of[at], mark_of[at]], axis=1).ravel()
-    size = np.where(sequence < 0, 0, words.size[sequence])
+    taken = size[at]
+    ids = pool[_ranges((np.cumsum(size, dtype=np.int32) - size)[at], taken)]
     ends = lists.offsets.to_numpy().astype(np.int64)
-    ends = 2 * (ends - ends[0])
-    total = np.concatenate([[0], np.cumsum(size)])
-    there = size > 0
-    return words.ids[_spans(start[sequence[there]], size[there])], total[ends[1:]] - total[ends[:-1]]
+    ends = ends - ends[0]
+    total = np.concatenate([[0], np.cumsum(taken, dtype=np.int64)])
+    return ids, total[ends[1:]] - total[ends[:-1]]
 
 
 def _slices(batch: pa.RecordBatch, most: int):
