@@ -29,10 +29,11 @@ import os
 import re
 import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +41,7 @@ from pricelake.llm.common import fresh, pack, pieces, scratch_path, shuffle_part
 
 BLOCK_CHARS = 12_000_000
 BUCKET_CHARS = 8_000_000
+MOST_FILES = 20_000  # a bucketed table has 100,000 buckets at most
 
 # A space is no cut where white space (or a character that some engines count as such) follows, or the text ends.
 _KEEP = re.compile("[ ](?=[\\s\u180e\u200b\ufeff]|$)")
@@ -82,85 +84,134 @@ def _cut(text: str) -> list[str]:
     return [head, *words] if head else words
 
 
-class _Numbers(dict):
-    """Numbers words in the order in which they first come."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = n = len(self)
-        return n
-
+# Where a text is cut in the ordinary way, at every space: no space before white space or at the end.
+_ODD = "[ ](?:[\\x{09}-\\x{0d}\\x{1c}-\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{180e}\\x{2000}-\\x{200b}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x{feff}]|$)"
 
 _BLOCK = "block string, ids array<bigint>, lens binary, seq binary, words array<struct<bucket:int,text:binary>>, codes array<struct<bucket:int,codes:binary>>"
+_BLOCK_SCHEMA = pa.schema([("block", pa.string()), ("ids", pa.list_(pa.int64())), ("lens", pa.binary()), ("seq", pa.binary()), ("words", pa.list_(pa.struct([("bucket", pa.int32()), ("text", pa.binary())]))), ("codes", pa.list_(pa.struct([("bucket", pa.int32()), ("codes", pa.binary())])))])
+
+
+def _distinct_words(texts: pa.Array, special: re.Pattern | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """(order of the texts, words per text, word numbers, distinct words): the texts cut at spaces, then the odd ones cut one by one."""
+    odd = pc.match_substring_regex(texts, _ODD)
+    if special is not None:
+        odd = pc.or_(odd, pc.match_substring_regex(texts, special.pattern))
+    odd = odd.to_numpy(zero_copy_only=False)
+    plain = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
+    parts = plain.flatten().dictionary_encode()
+    at = plain.offsets.to_numpy().astype(np.int64)
+    codes = 2 * parts.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1  # a part behind a space
+    if len(codes):
+        codes[at[:-1] - at[0]] -= 1  # the first of a text
+    used, codes = np.unique(codes, return_inverse=True)
+    words = [pc.binary_join_element_wise(pa.array(np.array(["", " "], object)[used % 2], pa.string()), parts.dictionary.take(pa.array(used // 2)), "")] if len(used) else []
+    cut = [cut_words(t.as_py(), special) for t in texts.filter(pa.array(odd))]
+    rest = pa.array([w for x in cut for w in x], pa.string()).dictionary_encode()
+    codes = np.concatenate([codes, rest.indices.to_numpy(zero_copy_only=False) + len(used)])
+    order = np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)])
+    return order, np.concatenate([np.diff(at), np.fromiter(map(len, cut), np.int64, len(cut))]), codes, pa.concat_arrays([*words, rest.dictionary])
+
+
+def _bytes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all bytes, ends) of an array of strings that is no slice."""
+    ends = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1).astype(np.int64) if len(words) else np.zeros(1, np.int64)
+    data = words.buffers()[2] if len(words) else None
+    return (np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)), ends
+
+
+def _flush(ids: list, texts: pa.Array, special: re.Pattern | None, buckets: int) -> pa.RecordBatch:
+    """The row of one block: its documents as word numbers, its distinct words by bucket (of those that have any)."""
+    order, lens, flat, words = _distinct_words(texts, special)
+    rank = np.empty(len(words), np.uint32)
+    rank[np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")] = np.arange(len(words), dtype=np.uint32)
+    of = np.zeros(len(words), np.uint32)
+    for a in range(0, len(words), 50_000):
+        part = words[a : a + 50_000]
+        of[a : a + len(part)] = np.fromiter((zlib.crc32(w.encode("utf-8")) for w in part.to_pylist()), np.uint32, len(part))
+    of %= buckets
+    by = np.lexsort((rank, of))
+    data, ends = _bytes_of(pa.concat_arrays([words.take(pa.array(by))]))
+    mine, first = np.unique(of[by], return_index=True)
+    out, places = [], []
+    for bucket, a, b in zip(mine.tolist(), first, [*first[1:], len(by)]):
+        sizes = pack(np.diff(ends[a : b + 1]))
+        places.append({"bucket": bucket, "codes": pack(np.diff(rank[by[a:b]].astype(np.int64), prepend=0))})
+        out.append({"bucket": bucket, "text": len(sizes).to_bytes(4, "little") + sizes + squeeze(data[ends[a] : ends[b]].tobytes())})
+    row = {"block": uuid.uuid4().hex, "ids": [ids[i] for i in order], "lens": pack(lens), "seq": pack(rank[flat]), "words": out, "codes": places}
+    return pa.RecordBatch.from_pylist([row], schema=_BLOCK_SCHEMA)
 
 
 def _blocks(batches, specials: list[str], buckets: int, block_chars: int):
-    """One row per block: its documents as word numbers, its distinct words by bucket."""
+    """One row per block of whole documents of about ``block_chars`` bytes."""
     special = re.compile("(" + "|".join(map(re.escape, sorted(specials, key=len, reverse=True))) + ")") if specials else None
-
-    def flush(ids, lens, codes, number):
-        flat = np.concatenate(codes) if codes else np.zeros(0, np.uint32)
-        rank = np.empty(len(number), np.uint32)
-        rank[np.argsort(-np.bincount(flat, minlength=len(number)), kind="stable")] = np.arange(len(number), dtype=np.uint32)
-        words = [w.encode("utf-8") for w in number]
-        of = np.fromiter((zlib.crc32(w) for w in words), np.uint32, len(words)) % buckets
-        order = np.lexsort((rank, of))
-        ends = np.searchsorted(of[order], np.arange(buckets + 1))
-        out, places = [], []
-        for b in range(buckets):
-            if (mine := order[ends[b] : ends[b + 1]]).size:
-                parts = [words[i] for i in mine]
-                sizes = pack(np.fromiter(map(len, parts), np.uint32, len(parts)))
-                places.append({"bucket": b, "codes": pack(np.diff(rank[mine].astype(np.int64), prepend=0))})
-                out.append({"bucket": b, "text": len(sizes).to_bytes(4, "little") + sizes + squeeze(b"".join(parts))})
-        schema = pa.schema([("block", pa.string()), ("ids", pa.list_(pa.int64())), ("lens", pa.binary()), ("seq", pa.binary()), ("words", pa.list_(pa.struct([("bucket", pa.int32()), ("text", pa.binary())]))), ("codes", pa.list_(pa.struct([("bucket", pa.int32()), ("codes", pa.binary())])))])
-        row = {"block": uuid.uuid4().hex, "ids": ids, "lens": pack(np.array(lens, np.uint32)), "seq": pack(rank[flat]), "words": out, "codes": places}
-        return pa.RecordBatch.from_pylist([row], schema=schema)
-
-    ids, lens, codes, number, chars = [], [], [], _Numbers(), 0
+    ids, texts, held = [], [], 0
     for batch in batches:
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            text = text.as_py() or ""
-            words = cut_words(text, special)
-            ids.append(doc)
-            lens.append(len(words))
-            codes.append(np.fromiter(map(number.__getitem__, words), np.uint32, len(words)))
-            chars += len(text)
-            if chars >= block_chars:
-                yield flush(ids, lens, codes, number)
-                ids, lens, codes, number, chars = [], [], [], _Numbers(), 0
+        column = pc.fill_null(batch.column(1).cast(pa.string()), "")
+        size = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64))
+        a = 0
+        while a < len(batch):
+            b = min(len(batch), max(a + 1, int(np.searchsorted(size, (size[a - 1] if a else 0) + block_chars - held)) + 1))
+            ids += batch.column(0).slice(a, b - a).to_pylist()
+            texts.append(column.slice(a, b - a))
+            held += int(size[b - 1] - (size[a - 1] if a else 0))
+            a = b
+            if held >= block_chars:
+                yield _flush(ids, pa.concat_arrays(texts), special, buckets)
+                ids, texts, held = [], [], 0
     if ids:
-        yield flush(ids, lens, codes, number)
+        yield _flush(ids, pa.concat_arrays(texts), special, buckets)
 
 
-def _unpack_words(data: bytes) -> list[bytes]:
+def _unpack_words(data: bytes) -> pa.Array:
     n = int.from_bytes(data[:4], "little")
-    ends = np.cumsum(unpack(data[4 : 4 + n])).tolist()
-    blob = unsqueeze(data[4 + n :])
-    return [blob[a:b] for a, b in zip([0, *ends[:-1]], ends)]
-
-
-def _encode_bucket(path: str):
-    def encode(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Every distinct word of the bucket is encoded once; each block gets the ids of its words."""
-        tok = load_tokenizer(path)
-        asked = [_unpack_words(x) for x in pdf["text"]]
-        distinct = list({w for words in asked for w in words})
-        number = {w: i for i, w in enumerate(distinct)}
-        lens, flat = np.zeros(len(distinct), np.int64), []
-        for at in range(0, len(distinct), 20_000):
-            for i, e in enumerate(tok.encode_batch([w.decode("utf-8") for w in distinct[at : at + 20_000]], add_special_tokens=False), at):
-                got = e.ids
-                lens[i] = len(got)
-                flat.append(np.array(got, np.uint32))
-        flat = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
-        start = np.cumsum(lens) - lens
-        out = []
-        for words in asked:
-            which = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-            out.append((pack(lens[which]), pack(flat[_spans(start[which], lens[which])])))
-        return pd.DataFrame({"block": pdf["block"], "bucket": pdf["bucket"], "n": [x[0] for x in out], "tokens": [x[1] for x in out]})
+    ends = np.concatenate([[0], np.cumsum(unpack(data[4 : 4 + n]))]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer(unsqueeze(data[4 + n :])))
+
+
+_TOKENIZERS: dict = {}
+
+
+def _tokenizer(path: str):
+    """The tokenizer, loaded once per worker."""
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = load_tokenizer(path)
+    return _TOKENIZERS[path]
 
-    return encode
+
+_ANSWER = pa.schema([("block", pa.string()), ("bucket", pa.int32()), ("n", pa.binary()), ("tokens", pa.binary())])
+
+
+def _answers(batches, path: str):
+    """Rows (block, bucket, text) come sorted by bucket: every distinct word of a bucket is encoded once, and each block gets the ids of its words."""
+    tok = _tokenizer(path)
+
+    def encode(bucket: int, names: list[str], asked: list[pa.Array]):
+        coded = pa.concat_arrays(asked).dictionary_encode()
+        lens, flat = [], []
+        for a in range(0, len(coded.dictionary), 10_000):
+            for e in tok.encode_batch_fast(coded.dictionary[a : a + 10_000].to_pylist(), add_special_tokens=False):
+                got = e.ids
+                lens.append(len(got))
+                flat.append(got)
+        size = np.array(lens, np.int64)
+        ids, start = np.fromiter(chain.from_iterable(flat), np.uint32, int(size.sum())), np.cumsum(size) - size
+        which, at = coded.indices.to_numpy(zero_copy_only=False), 0
+        for name, words in zip(names, asked):
+            w = which[at : at + len(words)]
+            at += len(words)
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([bucket], pa.int32()), pa.array([pack(size[w])], pa.binary()), pa.array([pack(ids[_spans(start[w], size[w])])], pa.binary())], schema=_ANSWER)
+
+    bucket, names, asked = None, [], []
+    for batch in batches:
+        for name, b, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            if b != bucket and names:
+                yield from encode(bucket, names, asked)
+                names, asked = [], []
+            bucket = b
+            names.append(name)
+            asked.append(_unpack_words(text.as_py()))
+    if names:
+        yield from encode(bucket, names, asked)
 
 
 def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -169,30 +220,43 @@ def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(total)
 
 
-def _place(blocks: pd.DataFrame, answers: pd.DataFrame, texts_of=None) -> pd.DataFrame:
+_PLACED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+_AT_ONCE = 1 << 20
+
+
+def _place(blocks: pa.Table, answers: pa.Table, texts_of=None) -> pa.Table:
     """Puts the ids of each word back at the positions of the word; texts_of, if given, decodes the lists of ids."""
-    out_ids, out = [], []
-    if len(blocks):
-        row = blocks.iloc[0]
-        of = {c["bucket"]: c["codes"] for c in row["codes"]}
-        codes = [np.cumsum(unpack(of[b]), dtype=np.uint32) for b in answers["bucket"]]
-        n = sum(map(len, codes))
-        size, start = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        flat, base = [], 0
-        for c, s, t in zip(codes, answers["n"], answers["tokens"]):
-            s, t = unpack(s).astype(np.int64), unpack(t)
-            size[c], start[c] = s, base + np.cumsum(s) - s
-            base += len(t)
-            flat.append(t)
-        flat = (np.concatenate(flat) if flat else np.zeros(0, np.uint32)).astype(np.int32)
-        seq, lens = unpack(row["seq"]), unpack(row["lens"]).astype(np.int64)
-        ends = np.cumsum(lens)
-        for doc, a, b in zip(row["ids"], ends - lens, ends):
-            at = seq[a:b]
-            out_ids.append(doc)
-            out.append(flat[_spans(start[at], size[at])])
-    done = pd.DataFrame({"doc_id": pd.array(out_ids, dtype="Int64"), "ids": pd.Series(out, dtype=object)})
-    return done if texts_of is None else done.assign(decoded=pd.Series([texts_of(x) for x in out], dtype=object))
+    schema = pa.schema(list(_PLACED)[: 2 if texts_of is None else 3])
+    if not len(blocks):
+        return schema.empty_table()
+    of = {c["bucket"]: c["codes"] for c in blocks.column("codes")[0].as_py()}
+    order = answers.column("bucket").to_pylist()
+    codes = [np.cumsum(unpack(of[b]), dtype=np.uint32) for b in order]
+    n = sum(map(len, codes))
+    size, start = np.zeros(n, np.int32), np.zeros(n, np.int64)
+    pool, base = [], 0
+    for c, s, t in zip(codes, answers.column("n"), answers.column("tokens")):
+        s, t = unpack(s.as_py()).astype(np.int32), unpack(t.as_py()).astype(np.int32)
+        size[c], start[c] = s, base + np.cumsum(s) - s
+        base += len(t)
+        pool.append(t)
+    pool = np.concatenate(pool) if pool else np.zeros(0, np.int32)
+    seq, lens = unpack(blocks.column("seq")[0].as_py()), unpack(blocks.column("lens")[0].as_py()).astype(np.int64)
+    ids, ends = blocks.column("ids")[0].values, np.cumsum(lens)
+    out, a = [], 0
+    while a < len(lens):  # so many documents at once that their words are about _AT_ONCE
+        first = int(ends[a] - lens[a])
+        b = max(a + 1, int(np.searchsorted(ends, first + _AT_ONCE, side="right")))
+        at = seq[first : int(ends[b - 1])]
+        taken = size[at]
+        total = np.concatenate([[0], np.cumsum(taken, dtype=np.int64)])
+        flat, cuts = pool[_spans(start[at], taken)], total[np.concatenate([[0], ends[a:b] - first])]
+        columns = [ids.slice(a, b - a), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat))]
+        if texts_of is not None:
+            columns.append(pa.array([texts_of(flat[i:j]) for i, j in zip(cuts[:-1], cuts[1:])], pa.string()))
+        out.append(pa.RecordBatch.from_arrays(columns, schema=schema))
+        a = b
+    return pa.Table.from_batches(out, schema)
 
 
 def encode(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS, decoded: bool = False) -> DataFrame:
@@ -201,23 +265,26 @@ def encode(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id"
     path = tokenizer or default_tokenizer()
     specials = special_strings(path)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    chars = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = pieces(chars, BUCKET_CHARS, shuffle_partitions(spark))
+    files = min(buckets, MOST_FILES)
     name = fresh("bpe_blocks")
     (
         rows.mapInArrow(lambda batches: _blocks(batches, specials, buckets, block_chars), _BLOCK)
-        .write.bucketBy(buckets, "block")
+        .write.bucketBy(files, "block")
         .option("path", scratch_path(spark, name))
         .saveAsTable(name)
     )
     blocks = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # out of the catalog; the files stay, and the frame has been resolved
     asked = blocks.select("block", F.explode("words").alias("w")).select("block", "w.bucket", "w.text")
-    answers = asked.groupBy("bucket").applyInPandas(_encode_bucket(path), "block string, bucket int, n binary, tokens binary")
+    asked = asked.repartition(files, "bucket").sortWithinPartitions("bucket")
+    answers = asked.mapInArrow(lambda batches: _answers(batches, path), "block string, bucket int, n binary, tokens binary")
     met = blocks.select("block", "ids", "lens", "seq", "codes").groupBy("block").cogroup(answers.groupBy("block"))
     if not decoded:
-        return met.applyInPandas(lambda a, b: _place(a, b), "doc_id bigint, ids array<int>")
+        return met.applyInArrow(lambda a, b: _place(a, b), "doc_id bigint, ids array<int>")
     shared = _shared_pieces(spark, path)
-    return met.applyInPandas(lambda a, b: _place(a, b, lambda ids: _text_of(ids, *shared.value)), "doc_id bigint, ids array<int>, decoded string")
+    return met.applyInArrow(lambda a, b: _place(a, b, lambda ids: _text_of(ids, *shared.value)), "doc_id bigint, ids array<int>, decoded string")
 
 
 def _shared_pieces(spark: SparkSession, tokenizer: str):

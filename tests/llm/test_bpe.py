@@ -1,3 +1,6 @@
+import re
+
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -25,6 +28,34 @@ def test_words_join_and_encode_like_the_text(text):
     assert [i for w in words for i in TOK.encode(w, add_special_tokens=False).ids] == expected(text)[0] or "<|endoftext|>" in text
 
 
+@settings(max_examples=300, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.one_of(st.sampled_from([t or "" for t in ODD]), st.text(alphabet=st.one_of(st.sampled_from(" \n\t'sabZ1.<|>"), st.characters(exclude_categories=["Cs"])), max_size=40)), min_size=1, max_size=6))
+def test_distinct_words_join_to_the_texts(texts):
+    special = re.compile(r"(<\|endoftext\|>)")
+    order, lens, codes, words = bpe._distinct_words(pa.array(texts), special)
+    flat, ends = words.take(pa.array(codes)).to_pylist(), lens.cumsum()
+    assert sorted(order.tolist()) == list(range(len(texts)))
+    for i, n, end in zip(order.tolist(), lens, ends):
+        own = flat[end - n : end]
+        assert "".join(own) == texts[i]
+        assert [t for w in own for t in TOK.encode(w, add_special_tokens=False).ids] == expected(texts[i])[0]
+
+
+def test_more_buckets_than_words_and_no_table_left(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(bpe, "BUCKET_CHARS", 1)
+    before = {t.name for t in spark.catalog.listTables()}
+    rows = [(i, f"word{i % 7} and  more {i}") for i in range(40)]
+    got = {r.doc_id: list(r.ids) for r in bpe.encode(docs_of(rows).repartition(4), block_chars=100).collect()}
+    assert got == {i: expected(t)[0] for i, t in rows}
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_a_very_long_text(spark, docs_of):
+    long = "Words of a long text, 日本 \n and  more. " * 30_000
+    got = {r.doc_id: (list(r.ids), r.decoded) for r in bpe.encode(docs_of([(1, long), (2, "x" * 200_000)]), block_chars=1000, decoded=True).collect()}
+    assert got == {1: expected(long), 2: expected("x" * 200_000)}
+
+
 @pytest.mark.parametrize("block_chars", [20, 10**6])
 def test_ids_and_round_trip_equal_the_library(spark, docs_of, block_chars):
     rows = list(enumerate(ODD)) + [(None, "no id")]
