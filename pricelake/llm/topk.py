@@ -21,7 +21,9 @@ Defined cases: a vector that is null or holds a null or non-finite component
 and a row without vec_id take no part; a vec_id that comes several times counts
 once (its smallest vector); shorter vectors count as padded with zeros; ties go
 to the smaller vec_id; fewer than k candidates give fewer rows; other columns
-are ignored; an empty table gives an empty result.
+are ignored; an empty table gives an empty result. Scores are 64-bit integers:
+vectors so large that the product of two lengths may leave that range are
+refused with a ``ScoreRange`` error, none is rounded or left out.
 """
 
 from __future__ import annotations
@@ -38,6 +40,10 @@ LISTS = 2
 BLOCK, QUERY_BLOCK, LEAST_BLOCKS = 4096, 1024, 24
 
 
+class ScoreRange(ValueError):
+    """The vectors' inner products may not fit 64-bit integers."""
+
+
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """(vec_id, v): floor(scale * x) of every component, of the vectors that take part."""
     x = F.col("_v").cast("array<double>")
@@ -113,7 +119,12 @@ _PART = "query_id bigint, j int, vec_id bigint, part bigint"
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256, lists: int = LISTS) -> DataFrame:
     """(query_id, rank, vec_id, score): of each vector whose id is divisible by ``every`` the k candidates of the highest inner product."""
     vecs = materialize(quantised(vectors, id_col, vector_col, scale), "topk-vectors")
-    n, n_queries, width = vecs.agg(F.count("*"), F.count(F.when(F.col("vec_id") % every == 0, 1)), F.max(F.size("v"))).first()
+    is_query = F.col("vec_id") % every == 0
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")))
+    counts = F.count("*"), F.count(F.when(is_query, 1)), F.max(F.size("v")), F.max(length), F.max(F.when(is_query, length))
+    n, n_queries, width, longest, longest_query = vecs.agg(*counts).first()
+    if (longest or 0.0) * max(1.0, longest_query or 0.0) >= 2.0**62:
+        raise ScoreRange(f"scores up to {longest * max(1.0, longest_query or 0.0):.3g} do not fit 64-bit integers: scale the vectors down (scale={scale})")
     blocks, query_blocks = pieces(n, BLOCK, LEAST_BLOCKS), pieces(n_queries, QUERY_BLOCK)
     run = max(1, -(-(width or 0) // lists))
     block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
