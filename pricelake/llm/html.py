@@ -16,7 +16,10 @@ the like); other blocks of such pages are not trained on.
 Text: character references are decoded, white space inside a block becomes one
 space, the article's blocks are joined in page order by two line breaks. What
 stands in scripts, styles, templates and the head is no text. An end of input
-inside a tag, comment or script ends that piece.
+inside a tag, comment, script or style ends that piece; any other element of
+that kind that is never closed is passed over by its opening tag alone. Of more
+than ``MAX_DEPTH`` open elements the inner ones are not told apart, so a page's
+blocks take room and time in proportion to its length.
 
 Defined cases: a null or empty html gives an empty text; a page without an
 article block gives an empty text; repeated rows and null ids are kept row by
@@ -39,10 +42,12 @@ from pyspark.sql import functions as F
 from pricelake.llm.common import table
 
 DIMS = 1 << 17
+MAX_DEPTH = 64
 
 # Elements of HTML by their part in the layout.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style template noscript iframe svg head title object canvas audio video map".split())
+TO_THE_END = frozenset("script style".split())
 BLOCKS = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html label legend li main menu nav ol option optgroup p pre search section select summary table tbody td textarea tfoot th thead tr ul".split())
 #: An opening tag of the key closes an open element of the values, unless one of STOPS lies between.
 CLOSES = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option", "tbody": "tr td th thead tbody", "thead": "thead", "tfoot": "tr td th tbody"}
@@ -73,6 +78,8 @@ def leaf_blocks(page: str) -> list[Block]:
     parts: list[str] = []
     linked = links = at = 0
     n = len(page)
+    deeper: dict[str, int] = {}  # open elements below MAX_DEPTH, by tag
+    unclosed: set[str] = set()  # tags without an end tag from here on
 
     def flush():
         nonlocal linked
@@ -119,6 +126,12 @@ def leaf_blocks(page: str) -> list[Block]:
         at = m.end()
         ending, tag, rest = m[1], m[2].lower(), m[3]
         if ending:
+            if deeper.get(tag):
+                deeper[tag] -= 1
+                links -= tag == "a"
+                if tag in BLOCKS:
+                    flush()
+                continue
             index = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), -1)
             if index >= 0:
                 close(index)
@@ -126,9 +139,11 @@ def leaf_blocks(page: str) -> list[Block]:
                 flush()
             continue
         if tag in RAW:
-            if not rest.endswith("/") or tag not in ("svg",):
+            if tag not in unclosed and (not rest.endswith("/") or tag not in ("svg",)):
                 end = re.compile(f"</{tag}\\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else (n if tag != "head" else at)
+                if end is None:
+                    unclosed.add(tag)
+                at = end.end() if end else n if tag in TO_THE_END else at
             continue
         if tag in VOID:
             if tag == "hr":
@@ -159,8 +174,11 @@ def leaf_blocks(page: str) -> list[Block]:
                     found += _WORDS.findall((a or b or c).lower())
             words = tuple(found)
         if not rest.endswith("/"):
-            stack.append((tag, words, mark))
             links += tag == "a"
+            if len(stack) < MAX_DEPTH:
+                stack.append((tag, words, mark))
+            else:
+                deeper[tag] = deeper.get(tag, 0) + 1
     flush()
     for i, b in enumerate(out):
         b.place = i / max(1, len(out) - 1)
@@ -209,7 +227,7 @@ def viterbi(scores: list[float], step: np.ndarray) -> list[int]:
     return out[::-1]
 
 
-def fit(pages: list[tuple[list[Block], list[int | None]]], epochs: int = 7, seed: int = 3) -> Model:
+def fit(pages: list[tuple[list[Block], list[int | None]]], epochs: int = 12, seed: int = 3) -> Model:
     """Stochastic gradient of the likelihood, page by page; blocks labelled None are summed out."""
     rng = np.random.default_rng(seed)
     w, m = np.zeros(DIMS), np.zeros((2, 2))
@@ -347,7 +365,7 @@ def marked_by_markup(blocks: list[Block]) -> list[int | None]:
     return out if 1 in out else [None] * len(out)
 
 
-def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_pages: int = 150, max_html: int = 50_000, built: int = 600, seed: int = 11) -> Model:
+def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_pages: int = 200, max_html: int = 50_000, built: int = 700, seed: int = 11) -> Model:
     rng = random.Random(seed)
     labelled = []
     for _ in range(built):
