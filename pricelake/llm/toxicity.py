@@ -14,7 +14,10 @@ threshold.
 
 The model is fitted on a bounded sample of labelled rows: at most
 ``max_toxic`` + ``max_clean`` documents in hash order, of at most
-``max_train_chars`` characters each. Scoring reads every whole text.
+``max_train_chars`` characters each (longer ones leave before the sample is
+drawn), and of their chains at most ``max_chains`` with a toxic token and
+``others_per_chain`` times as many and ``least_others`` others. Scoring reads
+every whole text, in chains of ``CHAIN`` tokens that know nothing of each other.
 
 Defined cases: a null or empty text has no tokens and scores 0.0; null labels
 and labels of absent documents are not used; repeated rows are scored one by
@@ -124,8 +127,8 @@ def forward_backward(score: np.ndarray, model: Model) -> tuple[np.ndarray, np.nd
     return (p / (p + a[0] * b[0])).T, pairs
 
 
-def fit(texts: list[str], toxic: list[int], epochs: int = 5, batch: int = 1000, seed: int = 7) -> Model:
-    """Trains the field by AdaGrad on chains with a toxic token and three times as many others."""
+def fit(texts: list[str], toxic: list[int], epochs: int = 5, batch: int = 1000, seed: int = 7, max_chains: int = 6_000, others_per_chain: int = 2, least_others: int = 1_000) -> Model:
+    """Trains the field by AdaGrad on at most ``max_chains`` chains with a toxic token, and ``others_per_chain`` times as many others and ``least_others`` more."""
     docs = [[normalise(c) for c in t.split()] for t in texts]
     docs, toxic = [d for d in docs if d], [y for d, y in zip(docs, toxic) if d]
     marked = toxic_keys(docs, toxic)
@@ -150,8 +153,8 @@ def fit(texts: list[str], toxic: list[int], epochs: int = 5, batch: int = 1000,
     rng = np.random.default_rng(seed)
     hit = np.array([i for i, t in enumerate(tags) if any(t)], int)
     rest = np.array([i for i, t in enumerate(tags) if not any(t)], int)
-    hit = rng.permutation(hit)[:6_000]
-    rest = rng.permutation(rest)[: 2 * len(hit) + 1000]
+    hit = rng.permutation(hit)[:max_chains]
+    rest = rng.permutation(rest)[: others_per_chain * len(hit) + least_others]
     use = np.concatenate([hit, rest])
     memo: dict[str, list[int]] = {}
     f = np.zeros((len(use), CHAIN, FEATURES), np.int32)
@@ -221,18 +224,25 @@ def calibrated(p: float, model: Model) -> float:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, keep, max_toxic: int, max_clean: int, max_train_chars: int) -> list:
-    """The bounded, labelled sample: (text, toxic) rows, in hash order of their ids. keep: a condition on the column doc_id."""
+    """The bounded, labelled sample: (text, toxic) rows, in hash order of their ids. keep: a condition on the column doc_id.
+
+    Texts that are too long for training leave before the sample is drawn. Of
+    several texts with one doc_id the smallest counts."""
     one = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(keep(F.col("doc_id")))
     one = one.groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.col("toxic").cast("int")).alias("_y"))
+    texts = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")).where(F.length("_text").between(1, max_train_chars))
+    one = one.join(texts.select("_id"), "_id", "left_semi")
     order = F.xxhash64(F.col("_id"), F.lit("toxicity"))
     some = one.where("_y = 1").orderBy(order).limit(max_toxic).unionByName(one.where("_y = 0").orderBy(order).limit(max_clean))
-    texts = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")).where(F.length("_text").between(1, max_train_chars))
-    return texts.join(F.broadcast(some), "_id").dropDuplicates(["_id"]).orderBy("_id").select("_text", "_y").collect()
+    return texts.join(F.broadcast(some), "_id").groupBy("_id").agg(F.min("_text").alias("_text"), F.max("_y").alias("_y")).orderBy("_id").select("_text", "_y").collect()
 
 
-def train(docs: DataFrame, labels: DataFrame, keep=lambda i: F.lit(True), max_toxic: int = 1500, max_clean: int = 2500, max_train_chars: int = 20_000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, keep=lambda i: F.lit(True), max_toxic: int = 1500, max_clean: int = 2500, max_train_chars: int = 20_000, max_chains: int = 6_000, others_per_chain: int = 2, least_others: int = 1_000) -> Model:
+    """Fits the field on a bounded sample: at most ``max_toxic`` and ``max_clean`` labelled documents of at most
+    ``max_train_chars`` characters, and of their chains at most ``max_chains`` with a toxic token and
+    ``others_per_chain`` times as many and ``least_others`` others."""
     rows = training_rows(docs, labels, keep, max_toxic, max_clean, max_train_chars)
-    return fit([r[0] for r in rows], [r[1] for r in rows])
+    return fit([r[0] for r in rows], [r[1] for r in rows], max_chains=max_chains, others_per_chain=others_per_chain, least_others=least_others)
 
 
 SPANS = "array<struct<start:int,end:int,score:double>>"
@@ -277,8 +287,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
 
 
 def held_out(doc_id):
-    """Rows whose labels are never learned from."""
-    return F.crc32(doc_id.cast("string")) % 4 == 2
+    """Rows whose labels are never learned from; a row without doc_id has no label."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
