@@ -69,6 +69,46 @@ def test_html_blocks_and_text(spark, pages, model):
     assert H.leaf_blocks("") == [] and H.extract(pages.limit(0), model).count() == 0
 
 
+@pytest.mark.parametrize("tag", sorted(H.RAW - {"head"}))
+def test_unclosed_raw_elements_swallow_nothing_but_scripts_and_styles(tag):
+    texts = [b.text for b in H.leaf_blocks(f"<article><p>one</p><{tag} src=a><p>two</p><p>three")]
+    assert texts == (["one"] if tag in ("script", "style") else ["one", "two", "three"])
+    closed = [b.text for b in H.leaf_blocks(f"<article><p>one</p><{tag}><p>not</p></{tag.upper()} ><p>two</p>")]
+    assert closed == ["one", "two"]
+
+
+def test_deep_nesting_takes_linear_time():
+    import time
+
+    start = time.time()
+    blocks = H.leaf_blocks("<div class=a>x" * 50_000 + "</div>" * 50_000 + "<p>end</p>")
+    many = H.leaf_blocks("<p>a</p><video>" * 20_000)
+    assert time.time() - start < 20
+    assert len(blocks) == 50_001 and max(len(b.path) for b in blocks) <= H.MAX_DEPTH and [t for t, _ in blocks[-1].path] == ["p"]
+    assert len(many) == 20_000
+
+
+def test_elements_below_the_deepest_close_themselves():
+    page = "<div>" * (H.MAX_DEPTH + 5) + "deep" + "</div>" * 5 + "<section>s</section>" + "</div>" * (H.MAX_DEPTH - 1) + "<p>top</p>"
+    blocks = H.leaf_blocks(page)
+    assert [b.text for b in blocks] == ["deep", "s", "top"]
+    assert [len(b.path) for b in blocks] == [H.MAX_DEPTH, H.MAX_DEPTH, 2]
+
+
+def test_large_components(spark):
+    schema = "vec_id bigint, embedding array<double>"
+    with pytest.raises(T.ScoreRange, match="64-bit"):
+        T.top_k(spark.createDataFrame([(0, [3e30, 0.0]), (50, [1.0, 2.0])], schema))
+    rows = [(0, [5e6, -2e6]), (50, [3e6, 1e3]), (7, [-5e6, 5.5]), (8, [2e5, 2e6])]
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in T.top_k(spark.createDataFrame(rows, schema), k=3).collect())
+    q = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows}
+    want = []
+    for i in (0, 50):
+        best = sorted((-sum(a * b for a, b in zip(q[i], q[j])), j) for j in q if j != i)
+        want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
+    assert got == sorted(want)
+
+
 def test_viterbi_equals_enumeration():
     import itertools
 

@@ -189,6 +189,41 @@ def test_toxicity_on_held_out_documents(spark):
     assert any(k in hit.text[hit.w[0].start : hit.w[0].end].lower() for k in ("zounds", "drivel", "gadzook"))
 
 
+def test_forward_backward_equals_enumeration():
+    import itertools
+
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for _ in range(30):
+        score, model = rng.normal(size=(1, 5)), X.Model(np.zeros(1), rng.normal(size=(2, 2)), rng.normal(size=2))
+        weight = {y: np.exp(model.first[y[0]] + sum(score[0, i] * y[i] for i in range(5)) + sum(model.step[a, b] for a, b in zip(y, y[1:]))) for y in itertools.product((0, 1), repeat=5)}
+        total = sum(weight.values())
+        p, pairs = X.forward_backward(score, model)
+        for i in range(5):
+            assert np.isclose(p[0, i], sum(w for y, w in weight.items() if y[i]) / total)
+        for a, b in itertools.product((0, 1), repeat=2):
+            assert np.isclose(pairs[a, b], sum(w * sum((y[i], y[i + 1]) == (a, b) for i in range(4)) for y, w in weight.items()) / total)
+
+
+def test_toxic_words_deep_in_a_very_long_text(spark):
+    rows = made_up(300, 2)
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in rows], "doc_id bigint, quality int, toxic int")
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id bigint, text string")
+    model = X.train(docs, labels)
+    long = "lolo bati " * 60_000
+    got = {r.doc_id: r for r in X.score(spark.createDataFrame([(1, long), (2, long + "zounds! drivel zounds! drivel"), (3, None)], "doc_id bigint, text string"), model).collect()}
+    assert got[1].score < X.THRESHOLD <= got[2].score and got[2].spans[0].start >= len(long)
+
+
+def test_the_training_sample_keeps_its_size_where_texts_are_long(spark):
+    docs = spark.createDataFrame([(i, "x " * (30_000 if i % 2 else 5)) for i in range(40)] + [(0, "a second text")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1, int(i < 20)) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    rows = X.training_rows(docs, labels, lambda i: F.lit(True), 8, 10, 1000)
+    assert [r[1] for r in rows].count(1) == 8 and [r[1] for r in rows].count(0) == 10
+    assert spark.createDataFrame([(None,), (1,)], "doc_id bigint").select(X.held_out(F.col("doc_id"))).first()[0] is False
+
+
 def test_toxicity_without_labels_and_without_documents(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id bigint, text string")
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
