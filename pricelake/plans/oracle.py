@@ -574,6 +574,16 @@ FROM norm WHERE reject_reason IS NULL
 UNION ALL
 SELECT 'quarantine', topic, NULL, NULL, NULL, NULL, NULL, NULL, NULL, reject_reason, raw, true FROM raw WHERE reject_reason IS NOT NULL"""
 
+ORACLE["raw_trace"] = with_(F1, NORM, RAW) + """
+SELECT CAST(CASE WHEN topic = 'prices_csv' THEN 1 ELSE 2 END AS BIGINT) AS run, topic, reject_reason, raw, true AS origin_known
+FROM raw WHERE reject_reason IS NOT NULL"""
+
+ORACLE["publish_incremental"] = with_(F1M) + """
+SELECT symbol, date, CAST(row_number() OVER w - 1 AS BIGINT) AS idx, close,
+       round(CASE WHEN count(close) OVER m = 20 THEN avg(close) OVER m END, 6) AS ma_20,
+       round(CASE WHEN close / lag(close) OVER w > 0 THEN ln(close / lag(close) OVER w) END, 6) AS log_return
+FROM f1m WINDOW w AS (PARTITION BY symbol ORDER BY date), m AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"""
+
 # ---------------------------------------------------------------- one model per series, and tuning
 
 MULTI2 = (F1M, F1MU, clean_from("f1mu"), supervised_ctes("clean", "close", 2, 80, "sv"))

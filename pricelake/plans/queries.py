@@ -17,13 +17,13 @@ from pyspark.sql import functions as F
 from pricelake import fixtures
 from pricelake.functions.dates import format_csv_date, format_provider_date, parse_date
 from pricelake.functions.strings import flatten_label, normalize_label
-from pricelake.operators import evaluate, features, forecast, normalize, ordering, profile, reshape, supervised
+from pricelake.operators import evaluate, features, forecast, incremental, normalize, ordering, profile, reshape, supervised
 from pricelake.operators.clean import clean_series, series_head
 from pricelake.operators.unify import canonical, dedupe_by_date, stamp_provenance, unify_sources
 from pricelake.plans import analysis, ingest
 from pricelake.schemas import PREDICTIONS, PRICE_FIELDS
 from pricelake.session import configure, materialize, scratch_path
-from pricelake.sources import documents, files, messages
+from pricelake.sources import documents, files, messages, processed
 from pricelake.streaming import land
 
 W = fixtures.SEQ_WINDOW
@@ -666,6 +666,37 @@ def q_publish_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.unionByName(bad.select(F.lit("quarantine").alias("kind"), "topic", "reject_reason"), allowMissingColumns=True)
 
 
+def q_raw_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S11 + P3: two loads of a raw zone and a third without new files; every reject with its run, reason, text and file."""
+    _ready(spark)
+    zone, table = scratch_path(spark, "zone"), scratch_path(spark, "processed")
+    raw = fixtures.raw_messages(spark, sf_dir)
+    normalize_ = lambda batch: ingest.normalized(batch, fixtures.SINGLE_SYMBOL, keep=("origin", "arrived", "bytes"))
+    for topic in (ingest.TOPIC_CSV, ingest.TOPIC_PROVIDER):
+        messages.publish(raw.filter(F.col("topic") == topic), fmt="json", path=zone)
+        processed.ingest_new(spark, zone, table, normalize_)
+    processed.ingest_new(spark, zone, table, normalize_)
+    # The origin is a path of this run: that the file list holds it, and its topic's folder, is what can be compared.
+    files_ = processed.processed_files(spark, table).select("origin", F.col("run").alias("file_run"))
+    bad = processed.read_rows(spark, table, processed.QUARANTINE).join(files_, "origin", "left")
+    known = F.contains("origin", F.concat(F.lit("topic="), F.col("topic"), F.lit("/"))) & F.col("file_run").eqNullSafe(F.col("run"))
+    return bad.select("run", "topic", "reject_reason", "raw", known.alias("origin_known"))
+
+
+def q_publish_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S16 + W1 + W2: a table published without some dates and with wrong closes on others, then refreshed with late, corrected and removed rows."""
+    _ready(spark)
+    path = scratch_path(spark, "incremental")
+    full = materialize(fixtures.multi_symbol(spark, sf_dir).select("symbol", "date", "close"), "daily")
+    day = F.dayofyear("date")
+    late, wrong = day % 37 == 0, day % 41 == 0
+    too_many = full.filter(day % 43 == 0).withColumn("date", F.date_add("date", 4000))
+    first = full.filter(~late).withColumn("close", F.when(wrong, F.col("close") + 1).otherwise(F.col("close")))
+    incremental.publish(first.unionByName(too_many), path)
+    incremental.refresh(spark, path, full.filter(late | wrong).unionByName(too_many.withColumn("close", F.lit(None).cast("double"))))
+    return incremental.read(spark, path).select("symbol", "date", "idx", "close", r6("ma_20").alias("ma_20"), r6("log_return").alias("log_return"))
+
+
 # ---------------------------------------------------------------- ML
 
 
@@ -743,6 +774,8 @@ def q_tune_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "raw_trace": q_raw_trace,
+    "publish_incremental": q_publish_incremental,
     "tick_series_index": q_tick_series_index,
     "one_day_index": q_one_day_index,
     "guarded_publish": q_guarded_publish,
