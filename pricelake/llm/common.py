@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 
 from pricelake.session import materialize, scratch_path  # noqa: F401  (re-exported)
 
-#: Salts over which a side with hot keys is spread in ``salted_join``.
-SALTS = 64
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -29,16 +26,6 @@ def fresh(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:12]}"
 
 
-def salted_join(big: DataFrame, small: DataFrame, on: list[str], salt_by: str, how: str = "inner", salts: int = SALTS) -> DataFrame:
-    """Join ``big`` (any key may hold a large share of its rows) with ``small``
-    (at most one row per key): each key of ``big`` is dealt over ``salts``
-    partitions by a hash of the column ``salt_by``, and ``small`` is repeated
-    once per salt. No row is lost or doubled."""
-    left = big.withColumn("_salt", F.pmod(F.xxhash64(F.col(salt_by)), F.lit(salts)).cast("int"))
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
-
-
 def pieces(total: int, each: int, least: int = 1) -> int:
     """How many pieces of at most about ``each`` make ``total``."""
     return max(least, math.ceil(total / each))

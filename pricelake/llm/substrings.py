@@ -219,11 +219,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, text
     hot = distinct.join(per_anchor.where(F.col("size") > SHARD_WORDS).select("anchor"), "anchor").select("anchor", "mark", "least", "words")
     cut = hot.mapInArrow(lambda b: _cut_windows(b, window), "anchor bigint, mark bigint, least bigint, start int, hash bigint, words binary")
     cut = materialize(cut, "repeat-hot-windows")
-    several = cut.groupBy("hash").agg(F.min("least").alias("a"), F.max("least").alias("z"), F.first("words").alias("words")).where("a < z")
+    ends = F.array(*(F.struct(of("least").alias("least"), by("words", "least").alias("words")) for of, by in ((F.min, F.min_by), (F.max, F.max_by))))
+    several = cut.groupBy("hash").agg(F.min("least").alias("a"), F.max("least").alias("z"), ends.alias("ends")).where("a < z")
     several = materialize(several, "repeat-hot")
     words = several.count() * window * 2
-    # The window of the smallest document and that of the largest: the second finds the first through the index.
-    both = several.select("hash", F.explode(F.array("a", "z")).alias("least"), "words")
+    # Equal hashes propose a window; the words of the largest document must find those of the smallest through the index.
+    both = several.select("hash", F.explode("ends").alias("e")).select("hash", "e.least", "e.words")
     both = both.select(F.col("hash").alias("anchor"), F.col("least").alias("mark"), "least", "words", F.pmod(F.xxhash64("hash", F.lit("hot")), F.lit(pieces(words, SHARD_WORDS, shuffle_partitions(spark)))).alias("_shard"))
     confirmed = materialize(both.groupBy("_shard").applyInPandas(_search(window), result).select(F.col("anchor").alias("hash")), "repeat-hot-found")
     confirmed = confirmed.join(several.select("hash", "a"), "hash")
