@@ -60,32 +60,35 @@ def _num(text_sql: str) -> str:
     return f"CASE WHEN {bare} RLIKE '{NUMBER}' THEN try_cast({bare} AS DOUBLE) END"
 
 
+# A layout names, per price field f, the text of its number (``_t_f``). The texts are read as numbers once, in a
+# projection of their own (``_n_f``); reason and values refer to both.
+
+
 def _csv_fields(symbol: str) -> dict[str, str]:
     """CSV-producer layouts: (a) one packed key split on ';' into exactly 6
     parts, (b) regular keys where a missing key means 0.0 but an explicit null
     or a non-number rejects the row, (c) anything else is unknown.
     Reads ``_m`` (the parsed map) and ``_parts`` (the split packed text)."""
     hp = f"map_contains_key(_m, {sql_str(PACKED_KEY)})"
-    packed_bad = f"exists(slice(_parts, 2, 5), p -> {_num('p')} IS NULL)"
+    packed_bad = " OR ".join(f"_n_{f} IS NULL" for f in PRICE_FIELDS)
     present = {f: f"map_contains_key(_m, {sql_str(f)})" for f in PRICE_FIELDS}
-    got = {f: _get(sql_str(f)) for f in PRICE_FIELDS}
-    regular = {f: f"CASE WHEN {present[f]} THEN {_num(got[f])} ELSE 0.0D END" for f in PRICE_FIELDS}
-    null_value = " OR ".join(f"({present[f]} AND {got[f]} IS NULL)" for f in PRICE_FIELDS)
-    bad_number = " OR ".join(f"({present[f]} AND {got[f]} IS NOT NULL AND {_num(got[f])} IS NULL)" for f in PRICE_FIELDS)
+    null_value = " OR ".join(f"({present[f]} AND _t_{f} IS NULL)" for f in PRICE_FIELDS)
+    bad_number = " OR ".join(f"(_t_{f} IS NOT NULL AND _n_{f} IS NULL)" for f in PRICE_FIELDS)
     reason = (
         f"CASE WHEN _m IS NULL THEN {sql_str(MALFORMED)} "
         f"WHEN {hp} AND size(_parts) <> 6 THEN {sql_str(BAD_ARITY)} "
-        f"WHEN {hp} AND {packed_bad} THEN {sql_str(BAD_NUMBER)} "
+        f"WHEN {hp} AND ({packed_bad}) THEN {sql_str(BAD_NUMBER)} "
         f"WHEN {hp} THEN CAST(NULL AS STRING) "
         f"WHEN NOT map_contains_key(_m, 'date') THEN {sql_str(UNKNOWN)} "
         f"WHEN {null_value} THEN {sql_str(NULL_VALUE)} "
         f"WHEN {bad_number} THEN {sql_str(BAD_NUMBER)} END"
     )
     return {
+        **{f"_t_{f}": f"CASE WHEN {hp} THEN get(_parts, {i + 1}) ELSE {_get(sql_str(f))} END" for i, f in enumerate(PRICE_FIELDS)},
         "_reason": reason,
         "symbol": sql_str(symbol),
         "_date_text": f"CASE WHEN {hp} THEN get(_parts, 0) ELSE {_get(sql_str('date'))} END",
-        **{f: f"CASE WHEN {hp} THEN {_num(f'get(_parts, {i + 1})')} ELSE {regular[f]} END" for i, f in enumerate(PRICE_FIELDS)},
+        **{f: f"CASE WHEN {hp} OR {present[f]} THEN _n_{f} ELSE 0.0D END" for f in PRICE_FIELDS},
         "source": _get("'source'"),
         "ingested_at": _get("'ingested_at'"),
     }
@@ -100,14 +103,14 @@ def _provider_fields(default_ticker: str | None) -> dict[str, str]:
     prefix = PROVIDER_FIELD_NAMES["open"] + "_"
     in_keys = f"substring(get(filter(map_keys(_m), k -> startswith(k, {sql_str(prefix)})), 0), {len(prefix) + 1})"
     ticker = f"coalesce({_get(sql_str('ticker'))}, {in_keys}, {default})"
-    raw = {f: _get(f"concat({sql_str(PROVIDER_FIELD_NAMES[f] + '_')}, {ticker})") for f in PRICE_FIELDS}
-    empty = {f: f"({raw[f]} IS NULL OR btrim({raw[f]}, '\"') = '')" for f in PRICE_FIELDS}
-    bad = " OR ".join(f"(NOT {empty[f]} AND {_num(raw[f])} IS NULL)" for f in PRICE_FIELDS)
+    empty = {f: f"(_t_{f} IS NULL OR btrim(_t_{f}, '\"') = '')" for f in PRICE_FIELDS}
+    bad = " OR ".join(f"(NOT {empty[f]} AND _n_{f} IS NULL)" for f in PRICE_FIELDS)
     return {
+        **{f"_t_{f}": _get(f"concat({sql_str(PROVIDER_FIELD_NAMES[f] + '_')}, {ticker})") for f in PRICE_FIELDS},
         "_reason": f"CASE WHEN _m IS NULL THEN {sql_str(MALFORMED)} WHEN {ticker} IS NULL THEN {sql_str(UNKNOWN)} WHEN {bad} THEN {sql_str(BAD_NUMBER)} END",
         "symbol": ticker,
         "_date_text": _get(sql_str(PROVIDER_DATE_KEY)),
-        **{f: f"CASE WHEN {empty[f]} THEN 0.0D ELSE {_num(raw[f])} END" for f in PRICE_FIELDS},
+        **{f: f"CASE WHEN {empty[f]} THEN 0.0D ELSE _n_{f} END" for f in PRICE_FIELDS},
         "source": _get("'source'"),
         "ingested_at": _get("'ingested_at'"),
     }
@@ -121,7 +124,10 @@ def _finish(messages: DataFrame, fields: dict[str, str], keep: tuple[str, ...] =
     last = "transform(array_distinct(map_keys(_m)), k -> element_at(filter(map_entries(_m), e -> e.key = k), -1).value)"
     once = f"CASE WHEN size(array_distinct(map_keys(_m))) < size(_m) THEN map_from_arrays(array_distinct(map_keys(_m)), {last}) ELSE _m END"
     parsed = parsed.selectExpr("topic", "value", *keep, f"{once} AS _m").selectExpr("*", f"split({_get(sql_str(PACKED_KEY))}, ';', -1) AS _parts")
-    d = parsed.selectExpr("topic", "value", *keep, *[f"{sql} AS {name}" for name, sql in fields.items()])
+    texts = {n: sql for n, sql in fields.items() if n.startswith("_t_")}
+    parsed = parsed.selectExpr("*", *[f"{sql} AS {name}" for name, sql in texts.items()])
+    parsed = parsed.selectExpr("*", *[f"{_num(f'_t_{f}')} AS _n_{f}" for f in PRICE_FIELDS])
+    d = parsed.selectExpr("topic", "value", *keep, *[f"{sql} AS {name}" for name, sql in fields.items() if name not in texts])
     d = d.withColumn("date", parse_date(F.col("_date_text")))
     d = d.selectExpr(
         "*", f"CASE WHEN _reason IS NULL AND date IS NULL THEN {sql_str(BAD_DATE)} ELSE _reason END AS reject_reason"
