@@ -100,7 +100,7 @@ def tick_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def one_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F8: the order lines as events of one and the same day, microseconds apart: what a calendar bucket cannot cut."""
+    """the order lines as events of one and the same day, microseconds apart: what a calendar bucket cannot cut."""
     li = table(spark, sf_dir, "lineitem")
     micros = F.lit(ONE_DAY_MICROS) + F.col("l_orderkey") * 10 + F.col("l_linenumber")
     return li.groupBy(F.col("l_linestatus").alias("symbol"), F.timestamp_micros(micros).alias("ts")).agg(F.max("l_extendedprice").alias("close"))

@@ -54,6 +54,7 @@ def exact_quantiles(
     probs: Sequence[tuple[str, float]],
     value: str = "value",
     digit: int = 16,
+    rows: int | None = None,
 ) -> DataFrame:
     """Exact quantiles (linear interpolation between the order statistics at
     floor and ceil of p*(n-1), as pandas and SQL ``quantile_cont``) by radix
@@ -69,10 +70,14 @@ def exact_quantiles(
 
     A task holds at most ``2 ** digit`` counts of one group and prefix. No
     table of the distinct values is made and no rows are sorted. ``v`` is read
-    once per round: write it first if it is costly. Returns ``(group, <name>...)``.
+    once per round: write it first if it is costly. A caller who knows that no
+    group has more than ``rows`` rows says so: if that is no more than the counts
+    of a digit, all bits are one digit. Returns ``(group, <name>...)``.
     """
     g = list(group)
-    rows = v.filter(~is_missing(value, T.DoubleType())).select(*g, F.col(value).cast("double").alias("_v")).withColumn("_i", order_image("_v"))
+    if rows is not None and rows <= 1 << digit:
+        digit = 64
+    d = v.filter(~is_missing(value, T.DoubleType())).select(*g, F.col(value).cast("double").alias("_v")).withColumn("_i", order_image("_v"))
     n1 = (F.col("_n") - F.lit(1)).cast("double")
     targets = F.array(
         *[
@@ -89,11 +94,11 @@ def exact_quantiles(
         low = F.shiftright("_i", max(shift, 0)).alias("_d")
         if kept is None:
             part = g
-            counts = rows.groupBy(*g, low).agg(*stats).withColumn("_n", F.sum("_c").over(Window.partitionBy(*g)))
+            counts = d.groupBy(*g, low).agg(*stats).withColumn("_n", F.sum("_c").over(Window.partitionBy(*g)))
             counts = counts.withColumn("_t", targets).withColumn("_from", F.lit(0).cast("long"))
         else:
             part = [*g, "_p"]
-            inside = rows.withColumn("_p", F.shiftright("_i", shift + digit)).join(kept.select(*part), part, "left_semi")
+            inside = d.withColumn("_p", F.shiftright("_i", shift + digit)).join(kept.select(*part), part, "left_semi")
             counts = inside.groupBy(*part, low).agg(*stats).join(kept, part)
         located = _locate(counts, part).select(*g, "_n", "_d", "_start", "_c", "_lo", "_hi", F.explode("_t").alias("_t"))
         located = located.select("*", F.col("_t.q").alias("_q"), F.col("_t.side").alias("_side"), F.col("_t.k").alias("_k"))
@@ -119,7 +124,7 @@ def exact_quantiles(
     return sides.select(*g, *[between(n).alias(n) for n, _ in probs])
 
 
-def quantiles(v: DataFrame, group: Sequence[str], probs: Sequence[tuple[str, float]], method: str = "exact", accuracy: int = 10000) -> DataFrame:
+def quantiles(v: DataFrame, group: Sequence[str], probs: Sequence[tuple[str, float]], method: str = "exact", accuracy: int = 10000, rows: int | None = None) -> DataFrame:
     """``(group, <name>...)`` quantiles of ``value``: ``exact`` is the
     distributed ``exact_quantiles``, for every size; ``approx`` is Spark's
     ``percentile_approx`` in one pass. The caller chooses."""
@@ -127,7 +132,7 @@ def quantiles(v: DataFrame, group: Sequence[str], probs: Sequence[tuple[str, flo
         return v.groupBy(*group).agg(*[F.percentile_approx("value", F.lit(p), F.lit(accuracy)).alias(n) for n, p in probs])
     if method != "exact":
         raise ValueError(f"method must be 'exact' or 'approx', not {method!r}")
-    return exact_quantiles(v, group, probs)
+    return exact_quantiles(v, group, probs, rows=rows)
 
 
 def wide_stats(df: DataFrame, columns: Sequence[str], keys: Sequence[str], stats: dict) -> DataFrame:
@@ -157,7 +162,7 @@ def describe(
     g = [*keys, "column"]
     probs = (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
     moments = wide_stats(df, columns, keys, {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max})
-    q = quantiles(long_values(df, columns, keys), g, probs, method)
+    q = quantiles(long_values(df, columns, keys), g, probs, method, rows=df.count())
     return moments.filter("count > 0").join(q, g).select(*g, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
@@ -215,9 +220,10 @@ def outlier_stats(
     Quartiles per group (a table of #series x #columns rows that Spark
     broadcasts if small enough), then one aggregate against the fences.
     """
-    v = long_values(narrow(df, columns, keys), columns, keys)
+    df = narrow(df, columns, keys)
+    v = long_values(df, columns, keys)
     g = [*keys, "column"]
-    q = quantiles(v, g, (("q1", 0.25), ("q3", 0.75)), method)
+    q = quantiles(v, g, (("q1", 0.25), ("q3", 0.75)), method, rows=df.count())
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     q = q.withColumn("lo_fence", F.col("q1") - F.lit(whisker) * F.col("iqr")).withColumn(
         "hi_fence", F.col("q3") + F.lit(whisker) * F.col("iqr")

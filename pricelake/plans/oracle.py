@@ -523,10 +523,10 @@ FROM (SELECT stage, {METRICS} FROM f4 GROUP BY stage)"""
 ORACLE["tick_series_index"] = with_(F6) + "SELECT symbol, t, idx FROM f6i"
 
 ORACLE["one_day_index"] = """
-WITH f8 AS (
+WITH f9 AS (
   SELECT l_linestatus AS symbol, 865123200000000 + l_orderkey * 10 + l_linenumber AS micros, max(l_extendedprice) AS close
   FROM lineitem GROUP BY ALL)
-SELECT symbol, CAST(micros AS BIGINT) AS micros, close, CAST(row_number() OVER (PARTITION BY symbol ORDER BY micros) - 1 AS BIGINT) AS idx FROM f8"""
+SELECT symbol, CAST(micros AS BIGINT) AS micros, close, CAST(row_number() OVER (PARTITION BY symbol ORDER BY micros) - 1 AS BIGINT) AS idx FROM f9"""
 
 # ---------------------------------------------------------------- streams
 

@@ -90,7 +90,7 @@ def q_tick_series_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_one_day_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P9 on F8: every row of every series lies in one day."""
+    """P9 on F9: every row of every series lies in one day."""
     _ready(spark)
     rows = materialize(fixtures.one_day(spark, sf_dir), "one-day")
     s = ordering.series_index(ordering.data_buckets(rows, order_col="ts", rows=fixtures.TICK_BUCKET_ROWS), order_col="ts")

@@ -30,14 +30,14 @@ def test_image_is_the_bit_pattern(spark):
 PROBS = (("p25", 0.25), ("p50", 0.5), ("p75", 0.75), ("p0", 0.0), ("p100", 1.0))
 
 
-@pytest.mark.parametrize("digit", [7, 16])
-def test_equals_percentile_at_any_spread(spark, digit):
+@pytest.mark.parametrize(("digit", "rows_known"), [(7, None), (16, None), (16, 60_000)])
+def test_equals_percentile_at_any_spread(spark, digit, rows_known):
     rnd = random.Random(3)
     rows = [("dense", 100 + rnd.random() * 2e-7) for _ in range(20_000)] + [("dense", 100.04)]
     rows += [("signs", rnd.choice([-1, 1]) * rnd.lognormvariate(0, 40)) for _ in range(5000)] + [("ties", float(rnd.randint(0, 3))) for _ in range(999)]
     rows += [("one", 5.0), ("two", -1.0), ("two", 1.0), ("nulls", None), ("nulls", math.nan), ("zeros", -0.0), ("zeros", 0.0), ("tiny", 5e-324), ("tiny", 1e-323)]
     v = spark.createDataFrame(rows, "symbol string, value double").repartition(5)
-    got = {r.symbol: r.asDict() for r in profile.exact_quantiles(v, ["symbol"], PROBS, digit=digit).collect()}
+    got = {r.symbol: r.asDict() for r in profile.exact_quantiles(v, ["symbol"], PROBS, digit=digit, rows=rows_known).collect()}
     want = v.where(~F.isnan("value")).groupBy("symbol").agg(*[F.percentile("value", F.lit(p)).alias(n) for n, p in PROBS]).where("p50 is not null").collect()
     assert sorted(got) == sorted(r.symbol for r in want)
     for r in want:
