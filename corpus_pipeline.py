@@ -9,6 +9,13 @@ works on every document that its predecessor kept and returns the columns of
 3. decontamination: documents that hold a benchmark item go;
 4. pii: personal data in the text is replaced by its kind;
 5. bpe: the text becomes ids, which are decoded again as a check.
+
+Defined cases: documents with a null or empty text are clean in every stage and
+end without ids and with an empty decoded text; rows without doc_id are kept by
+every filter (they have no class and cannot be named by a leak) and encoded; of
+rows with one doc_id and one text one stays; texts of any length are
+worked on whole; labels and benchmark may be empty; an empty table of documents
+gives an empty result; other columns are carried to the last stage.
 """
 
 from __future__ import annotations
