@@ -342,4 +342,5 @@ def op1_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item."""
     bad = leaks(docs, benchmark, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(bad, id_col, "left_anti")
+    # Written first, so that the planner knows its size: the texts are shuffled only where the ids are too many to broadcast.
+    return docs.join(materialize(bad, "leak-documents"), id_col, "left_anti")
