@@ -51,7 +51,7 @@ def bucket_offsets(
 #: Rows that a bucket made from the data should hold, and the most buckets of one series.
 BUCKET_ROWS = 1 << 20
 MOST_BUCKETS = 4096
-_STEP = 64  # cuts under one coarse cut
+_FAN = 64  # children of a node of the search tree over the cuts
 
 
 def as_number(df: DataFrame, col: str) -> Column:
@@ -81,30 +81,52 @@ def data_buckets(
     a series keeps every n-th of them, so that its buckets hold about ``rows``
     rows (within a quarter; a series of more than ``rows * most`` rows has
     ``most`` buckets), wherever its rows lie: a series with all rows in one
-    month or one second is cut as finely as one spread over years. A row finds
-    its bucket by two short searches, over the coarse cuts and below one of
-    them. Equal values share a bucket. The result is partitioned by
-    ``(keys, _bkt)``; the input is read twice.
+    month or one second is cut as finely as one spread over years. Equal values
+    share a bucket. The cuts (about one per ``rows`` rows) are broadcast, so no
+    row moves before it has a bucket, however few the series; a row finds its
+    bucket in a search tree over the cuts of its series. The result is
+    partitioned by ``(keys, _bkt)``; the input is read twice.
     """
     x = as_number(df, order_col)
     near = max(10_000, 10 * int(most))
     tag = uuid.uuid4().hex[:8]  # no column of the input can have these names
-    n, cut, coarse, at, number = (f"_{c}_{tag}" for c in ("n", "cut", "coarse", "at", "x"))
+    n, cut, number, node = (f"_{c}_{tag}" for c in ("n", "cut", "x", "node"))
     cuts = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias(n),
         F.percentile_approx(x, [i / most for i in range(1, most)], near).alias(cut),
     )
     each = F.greatest(F.ceil(F.lit(int(rows)) * F.lit(int(most)) / F.col(n)), F.lit(1)).cast("int")
     cuts = cuts.withColumn(n, each).withColumn(cut, F.expr(f"array_distinct(filter({cut}, (c, i) -> (i + 1) % {n} = 0))"))
-    own = [F.col(k).alias(f"_k{i}_{tag}") for i, k in enumerate(keys)]
-    cuts = cuts.select(*own, cut, F.expr(f"filter({cut}, (c, i) -> i % {_STEP} = 0)").alias(coarse))
-    same = [F.col(k).eqNullSafe(F.col(f"_k{i}_{tag}")) for i, k in enumerate(keys)]
-    d = df.withColumn(number, x).join(cuts, same, "left").withColumn(at, F.expr(f"size(filter({coarse}, c -> c <= {number}))"))
-    below = F.expr(f"{_STEP} * ({at} - 1) + size(filter(slice({cut}, {_STEP} * greatest({at} - 1, 0) + 1, {_STEP}), c -> c <= {number}))")
-    bucket = F.when(F.col(number).isNotNull(), F.when(F.col(at) > 0, below).otherwise(F.lit(0))).cast("int")
+    # Node 1 is the root, node v has the children _FAN * v + 0, 1, ...; a node holds the cuts between its children. Many small
+    # nodes, as a join hands every row a copy of what it found; and shuffled by the series, few series would fill as few tasks.
+    depth = 1
+    while _FAN**depth < most:
+        depth += 1
+    nodes = F.expr("concat(" + ", ".join(_tree_level(cut, level, _FAN ** (depth - 1 - level)) for level in range(depth)) + ")")
+    tree = cuts.select(*keys, F.explode(nodes).alias(node)).select(*keys, f"{node}.*")
+    d = df.withColumn(number, x).withColumn(node, F.lit(1))
+    for level in range(depth):
+        own = {k: f"_k{i}_{level}_{tag}" for i, k in enumerate([*keys, "node", "cuts"])}
+        found = F.broadcast(tree.select(*[F.col(k).alias(v) for k, v in own.items()]))
+        same = [F.col(k).eqNullSafe(F.col(own[k])) for k in keys] + [F.col(node) == F.col(own["node"])]
+        d = d.join(found, same, "left").withColumn(node, F.expr(f"{_FAN} * {node} + {_children_before(own['cuts'], number)}"))
+    bucket = F.when(F.col(number).isNotNull(), F.col(node) - F.lit(_FAN**depth)).cast("int")
     return d.select(*[F.col(f"`{c}`") for c in df.columns], bucket.alias("_bkt")).repartition(*keys, "_bkt")
 
 
+def _tree_level(cut: str, level: int, span: int) -> str:
+    """SQL: the nodes of one level that hold a cut, as ``array<struct<node, cuts>>``; ``span`` buckets lie under a child."""
+    cuts = f"transform(sequence(0, {_FAN - 2}), i -> get({cut}, {_FAN * span} * a + {span} * (i + 1) - 1))"
+    nodes = f"transform(sequence(0, cast((size({cut}) - {span}) div {_FAN * span} as int)), a -> struct({_FAN**level} + a as node, {cuts} as cuts))"
+    return f"if(size({cut}) >= {span}, {nodes}, array())"
+
+
+def _children_before(cuts: str, number: str) -> str:
+    """SQL: how many cuts of a node are <= ``number`` (none where it is null), by binary search; get() beyond the last is null."""
+    steps = ", ".join(str(1 << b) for b in reversed(range((_FAN - 1).bit_length())))
+    return f"aggregate(array({steps}), 0, (at, step) -> if(get({cuts}, at + step - 1) <= {number}, at + step, at))"
+
+
 def series_index(
     df: DataFrame,
     keys: Sequence[str] = ("symbol",),
@@ -132,13 +154,15 @@ def series_index(
         valid = valid & F.col(k).isNotNull()
     d = d.filter(valid)
     offs = offsets if offsets is not None else bucket_offsets(d, keys, order_col)
+    # Numbered before the join: the window's sort serves the join by (keys, bucket), too.
     rn = F.row_number().over(Window.partitionBy(*keys, "_bkt").orderBy(order_col))
     # Every bucket has an offset; a left join keeps the plan free of extra
     # inferred filters on this side.
     return (
-        d.join(offs.select(*keys, "_bkt", "_off"), [*keys, "_bkt"], "left")
-        .withColumn(idx_col, F.col("_off") + rn - F.lit(1))
-        .drop("_bkt", "_off")
+        d.withColumn("_rn", rn)
+        .join(offs.select(*keys, "_bkt", "_off"), [*keys, "_bkt"], "left")
+        .withColumn(idx_col, F.col("_off") + F.col("_rn") - F.lit(1))
+        .drop("_bkt", "_off", "_rn")
     )
 
 
