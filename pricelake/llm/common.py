@@ -6,6 +6,7 @@ import math
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,15 @@ def pieces(total: int, each: int, least: int = 1) -> int:
     return max(least, math.ceil(total / each))
 
 
+def slices(batches, most: int):
+    """The rows of the Arrow batches in slices of about ``most`` bytes: what a worker makes of a batch at once stays small."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * most // max(1, batch.nbytes))
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+    pa.default_memory_pool().release_unused()  # a worker lives on, for other queries, too
+
+
 def pack(values: np.ndarray) -> bytes:
     """Unsigned integers as byte planes (all low bytes, then all second bytes...), compressed."""
     raw = np.ascontiguousarray(values, dtype="<u4")

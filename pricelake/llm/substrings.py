@@ -45,12 +45,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import materialize, pieces, shuffle_partitions, table
+from pricelake.llm.common import materialize, pieces, shuffle_partitions, slices, table
 from pricelake.llm.fm_index import FMIndex
 from pricelake.llm.words import WordHashes, gram_hashes, words_of
 
 WINDOW, GRAM = 50, 8
 SHARD_WORDS = 300_000
+# Bytes of texts, and of segments to be cut into windows, that a worker takes apart at once.
+TEXT_BYTES, CUT_BYTES = 4 << 20, 1 << 18
 
 
 def anchors(grams: np.ndarray, span: int) -> np.ndarray:
@@ -88,7 +90,7 @@ def _windows_of(words: list[bytes], memo: WordHashes, window: int, gram: int):
 
 def _anchor_rows(batches, window: int, gram: int):
     memo = WordHashes()
-    for batch in batches:
+    for batch in slices(batches, TEXT_BYTES):
         docs, marks = [], []
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             words = words_of(text.as_py())
@@ -118,7 +120,7 @@ _SEGMENT_TYPE = pa.list_(pa.struct([("anchor", pa.int64()), ("start", pa.int32()
 def _first_pass(batches, window: int, gram: int, texts: bool):
     """Documents without shared anchors are done; the others give their segments and keep their text."""
     memo = WordHashes()
-    for batch in batches:
+    for batch in slices(batches, TEXT_BYTES):
         n, kept, digest, raw, segments = [], [], [], [], []
         for text, known in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
             words = words_of(text)
@@ -156,7 +158,7 @@ def _search(window: int):
 
 def _cut_windows(batches, window: int):
     """Single windows of the segments of hot anchors."""
-    for batch in batches:
+    for batch in slices(batches, CUT_BYTES):
         out = []
         for anchor, mark, least, words in zip(*(batch.column(i).to_pylist() for i in range(4))):
             for i in range(len(words) // 5 - window + 1):
@@ -168,7 +170,7 @@ def _cut_windows(batches, window: int):
 
 
 def _second_pass(batches, window: int, texts: bool):
-    for batch in batches:
+    for batch in slices(batches, TEXT_BYTES):
         removed, kept, digest, gone = [], [], [], []
         for text, starts in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()):
             words = words_of(text)

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pricelake.llm import substrings as S
@@ -53,6 +54,27 @@ def test_equal_to_brute_force(spark, docs_of, monkeypatch, words):
         assert sum(x.end - x.start for x in r.removed) == r.n_removed
 
 
+def test_large_batches_are_taken_apart_in_slices():
+    # Of a whole batch of 10,000 long texts the words, segments and windows would be held at once.
+    texts = [" ".join(f"w{i}x{j}" for j in range(300)) for i in range(8000)]
+    ids = pa.array(range(len(texts)), pa.int64())
+    few, none = pa.array([[0]] * len(texts), pa.list_(pa.int64())), pa.array([None] * len(texts), pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_arrays([ids, ids, pa.array(texts), few], names=["doc_id", "version", "text", "known"])
+    passes = [
+        (list(S._anchor_rows([batch.select(["doc_id", "text"])], 50, 8)), None),
+        (list(S._first_pass([batch], 50, 8, False)), len(texts)),
+        (list(S._second_pass([pa.RecordBatch.from_arrays([ids, ids, ids, batch.column(2), none], names=list("abcde"))], 50, False)), len(texts)),
+    ]
+    for out, n in passes:
+        assert len(out) >= 3 and max(b.num_rows for b in out) < 0.6 * sum(b.num_rows for b in out)
+        assert n is None or sum(b.num_rows for b in out) == n
+    assert [x for b in passes[1][0] for x in b.column(0).to_pylist()] == list(range(len(texts)))
+    words = pa.array([S.pack40(np.arange(i, i + 92, dtype=np.uint64)) for i in range(5000)])
+    ids = pa.array(range(5000), pa.int64())
+    cut = list(S._cut_windows([pa.RecordBatch.from_arrays([ids, ids, ids, words], names=list("abcd"))], 50))
+    assert sum(b.num_rows for b in cut) == 5000 * 43 and max(b.num_rows for b in cut) < 50_000
+
+
 def test_empty_table(spark, docs_of):
     assert S.remove_repeats(docs_of([])).count() == 0
 
