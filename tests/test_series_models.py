@@ -54,9 +54,6 @@ def test_dates_of_one_month_ties_nulls_and_other_columns(spark):
         ordering.data_buckets(spark.createDataFrame([("a", "x")], "symbol string, date string"))
 
 
-# ---------------------------------------------------------------- M4: impulse response
-
-
 def static_plan(spark, df):
     """The physical plan without AQE and without joins that are broadcast for their size alone."""
     keep = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
@@ -101,53 +98,6 @@ def test_rows_are_sorted_once_for_their_positions(spark):
 # ---------------------------------------------------------------- M4: impulse response
 
 
-def test_buckets_of_few_series_move_no_row_by_series(spark):
-    # One series: dealt by its symbol, all rows would be searched by one task.
-    path = scratch_path(spark, "few-series")
-    spark.range(20_000).select(F.lit("a").alias("symbol"), (F.col("id") * 7919 % 100_003).alias("t")).repartition(8).write.parquet(path)
-    d = ordering.data_buckets(spark.read.parquet(path), order_col="t", rows=100)
-    keep = ["spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"]
-    before = {k: spark.conf.get(k) for k in keep}
-    try:
-        spark.conf.set(keep[0], "false")
-        spark.conf.set(keep[1], "-1")
-        plan = d.select("*")._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
-    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
-    sizes = {r["_bkt"]: (r["n"], r["a"], r["z"]) for r in d.groupBy("_bkt").agg(F.count("*").alias("n"), F.min("t").alias("a"), F.max("t").alias("z")).collect()}
-    assert sum(n for n, _, _ in sizes.values()) == 20_000 and max(n for n, _, _ in sizes.values()) <= 130
-    order = [sizes[b] for b in sorted(sizes)]
-    assert len(order) > 100 and all(x[2] < y[1] for x, y in zip(order, order[1:]))
-
-
-@pytest.mark.parametrize("most", [1, 2, 63, 64, 65, 4096, 5000])
-def test_bucket_is_the_number_of_cuts_not_above_the_value(spark, most):
-    rows = [("a", i * i) for i in range(3000)] + [("b", 5)] * 40 + [(None, 3), (None, 4), ("c", None)]
-    d = ordering.data_buckets(spark.createDataFrame(rows, "symbol string, t int"), order_col="t", rows=1, most=most).collect()
-    assert sorted((r["symbol"] or "", r["t"] or 0) for r in d) == sorted((s or "", t or 0) for s, t in rows)
-    a = sorted((r["t"], r["_bkt"]) for r in d if r["symbol"] == "a")
-    assert all(x[1] <= y[1] for x, y in zip(a, a[1:])) and a[0][1] == 0 if most == 1 else a[-1][1] == min(most, 3000) - 1 or most > 3000
-    assert max(b for _, b in a) < most and len({b for _, b in a}) >= min(most, 3000) * 0.9
-    assert [r["_bkt"] for r in d if r["symbol"] == "c"] == [None] and len({r["_bkt"] for r in d if r["symbol"] == "b"}) == 1
-
-
-def test_rows_are_sorted_once_for_positions(spark):
-    d = spark.range(1000).select(F.lit("a").alias("symbol"), "id", F.floor(F.col("id") / 50).cast("int").alias("_bkt")).repartition("symbol", "_bkt")
-    plan = ordering.series_index(d, order_col="id").select("symbol", "id", "idx")
-    keep = spark.conf.get("spark.sql.adaptive.enabled")
-    try:
-        spark.conf.set("spark.sql.adaptive.enabled", "false")
-        text = plan.select("*")._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", keep)
-    # Rows are sorted for their numbers, counts for their sum (and, joined without broadcast, for the join): no sort of rows by bucket only.
-    assert [x for x in text.splitlines() if "Sort [" in x and "id#" in x and "_bkt#" in x], text
-    assert all(r["id"] == r["idx"] for r in plan.collect())
-
-
-
 def recursion(seed, coef, horizon, level=0.0):
     window, out = list(seed), []
     for _ in range(horizon):
